@@ -351,3 +351,7 @@ QUERIES: dict[str, Query] = {
     "union_sources": q_union_sources,
     "new_members": q_new_members,
 }
+
+from beatstream.plans.catalog_io import IO_QUERIES  # noqa: E402
+
+QUERIES.update(IO_QUERIES)

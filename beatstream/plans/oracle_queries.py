@@ -270,3 +270,59 @@ FROM retail GROUP BY 1, 2 ORDER BY total_cost DESC, CustomerId, day_start LIMIT
 SELECT DISTINCT customer_id FROM predictions WHERE pred = 1
   AND customer_id NOT IN (SELECT customer_id FROM customers WHERE Level = '2' AND customer_id IS NOT NULL)"""),
 }
+
+# --- sources, sinks and streams ------------------------------------------------------------
+
+PARSED_GOOD = """
+SELECT event_id, customer_id, track_id, datetime, ismobile, listening_zip_code
+FROM parsed_lines WHERE reject_reason IS NULL"""
+
+STREAM_FLAGGED = """
+SELECT p.event_id, p.customer_id, p.track_id, p.datetime, p.ismobile, p.listening_zip_code,
+       c.name, c.age, c.gender, c.zip, c.Address, c.SignDate, c.Status, c.Level, c.Campaign, c.LinkedWithApps,
+       pr.pred AS SendEvent
+FROM parsed_lines p LEFT JOIN customers c ON p.customer_id = c.customer_id
+LEFT JOIN predictions pr ON p.customer_id = pr.customer_id
+WHERE p.reject_reason IS NULL"""
+
+# A window leaves an append-mode stream once the watermark (newest event time,
+# millisecond precision, minus the delay) has passed its end.
+WATERMARK_10M = "(SELECT date_trunc('millisecond', MAX(ts)) FROM events) - INTERVAL 10 MINUTE"
+
+TAG_ROWS = """
+SELECT ts, regexp_replace(lower(regexp_replace(token, '[,.!?:;]', '', 'g')), '^#', '') AS tag
+FROM (SELECT ts, unnest(regexp_split_to_array(text, '\\s+')) AS token FROM messages)
+WHERE starts_with(token, '#')"""
+
+ORACLE.update({
+    "read_plays_file": with_views(["parsed_lines"], PARSED_GOOD),
+    "read_clicks_csv": with_views(["clicks"], "SELECT * FROM clicks"),
+    "read_customers_csv": with_views(["customers"], "SELECT * FROM customers"),
+    "read_music_csv": with_views(["music"], "SELECT * FROM music"),
+    "read_retail_infer": ORACLE["daily_spend"],
+    "upsert_customers": with_views(["customers"], "SELECT * FROM customers"),
+    "set_predictions": with_views(["predictions"], "SELECT * FROM predictions"),
+    "stream_parse_lines": with_views(["parsed_lines"], PARSED_GOOD),
+    "stream_ad_flags": with_views(["parsed_lines", "customers", "predictions"], STREAM_FLAGGED),
+    "stream_audience": with_views(["parsed_lines", "predictions"], """
+SELECT DISTINCT p.customer_id FROM parsed_lines p JOIN predictions pr ON p.customer_id = pr.customer_id
+WHERE p.reject_reason IS NULL AND pr.pred = 1"""),
+    "stream_trending_tags": with_views(["messages"], f"""
+, tags AS ({TAG_ROWS}),
+w AS (SELECT time_bucket(INTERVAL 20 MINUTE, ts) - k * INTERVAL 20 MINUTE AS window_start, tag
+      FROM tags, range(0, 3) r(k) WHERE tag <> ''),
+c AS (SELECT window_start, window_start + INTERVAL 60 MINUTE AS window_end, tag, COUNT(*) AS amount
+      FROM w GROUP BY 1, 2, 3)
+SELECT window_start, window_end, CAST(ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY amount DESC, tag)
+       AS INTEGER) AS rank, tag, amount
+FROM c WHERE window_end <= {WATERMARK_10M}
+QUALIFY rank <= 10"""),
+    "stream_dedup": "SELECT DISTINCT event_id, user_id, event_type FROM events",
+    "stream_tumbling_counts": f"""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, event_type, COUNT(*) AS events
+FROM events GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {WATERMARK_10M}""",
+    "stream_repeat_listens": with_views(["plays"], """
+SELECT customer_id, track_id, first_detected FROM (""" + REPEAT.format(src=COARSE, horizon_us=24 * 3600 * 1_000_000)
+                                        + ")"),
+})
