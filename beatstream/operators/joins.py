@@ -26,9 +26,11 @@ def _lookup(left: DataFrame, dim: DataFrame, key: str, cols: list[str], on_missi
         return left.join(dim, key, "inner").drop("_hit")
     out = left.join(dim, key, "left")
     if on_missing == "fail":
-        check = F.when(F.col("_hit").isNull(),
-                       F.raise_error(F.concat(F.lit(f"no {what} for key "), F.col(key).cast("string"))))
-        out = out.withColumn("_hit", check)
+        # The check must sit inside columns the caller keeps: a helper column that is
+        # dropped afterwards would be pruned by the optimizer and never evaluated.
+        err = F.raise_error(F.concat(F.lit(f"no {what} for key "), F.col(key).cast("string")))
+        for c in [key, *cols]:
+            out = out.withColumn(c, F.when(F.col("_hit").isNull(), err).otherwise(F.col(c)))
     return out.drop("_hit")
 
 
