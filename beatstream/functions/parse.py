@@ -38,8 +38,9 @@ def to_int(c: Column, type_: str = "int") -> Column:
     return c.try_cast(type_)
 
 
-def parse_play_columns(value: Column) -> list[Column]:
-    parts = F.split(value, ",", -1)
+def parse_play_columns(value: Column, parts: Column | None = None) -> list[Column]:
+    """Typed play columns and ``reject_reason`` from a raw line (and its split fields)."""
+    parts = F.split(value, ",", -1) if parts is None else parts
     n = F.size(parts)
     event_id = to_int(unquote(_field(parts, 0)), "bigint")
     customer_id = to_int(unquote(_field(parts, 1)), "bigint")
@@ -56,8 +57,14 @@ def parse_play_columns(value: Column) -> list[Column]:
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """All lines with parsed columns plus ``reject_reason`` (null for good lines)."""
-    return lines.select(F.col(value_col).alias("raw"), *parse_play_columns(F.col(value_col)))
+    """All lines with parsed columns plus ``reject_reason`` (null for good lines).
+
+    The line is split once into an array column; the field expressions read that
+    array (the optimizer keeps the two projections apart because the split is
+    used by every field), so each line is split a single time.
+    """
+    split = lines.select(F.col(value_col).alias("raw"), F.split(F.col(value_col), ",", -1).alias("_parts"))
+    return split.select("raw", *parse_play_columns(F.col("raw"), F.col("_parts")))
 
 
 def parse_plays(lines: DataFrame, value_col: str = "value") -> DataFrame:

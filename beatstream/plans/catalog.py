@@ -106,12 +106,17 @@ def q_discover_view(spark, sf):
 
 # --- parsing and joins -------------------------------------------------------------
 
+def play_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw play log, read from the text files the log collector delivers."""
+    return spark.read.text(T.play_log_folder(spark, sf))
+
+
 def q_parse_plays(spark, sf):
-    return P.parse_plays(T.play_lines(spark, sf))
+    return P.parse_plays(play_log(spark, sf))
 
 
 def q_quarantine_lines(spark, sf):
-    return P.quarantine_bad_lines(T.play_lines(spark, sf))
+    return P.quarantine_bad_lines(play_log(spark, sf))
 
 
 def q_enrich_plays(spark, sf):
@@ -120,7 +125,7 @@ def q_enrich_plays(spark, sf):
 
 def q_enrich_parsed_lines(spark, sf):
     """Raw lines -> parsed plays -> customer lookup (the streaming record flow, batch form)."""
-    plays = P.parse_plays(T.play_lines(spark, sf))
+    plays = P.parse_plays(play_log(spark, sf))
     return J.enrich_with_customer(plays, T.customers(spark, sf))
 
 

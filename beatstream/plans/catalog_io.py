@@ -22,6 +22,12 @@ from beatstream.streaming import metrics as MET
 from beatstream.streaming.repeat import repeat_listens_stream
 from beatstream.streaming.sinks import append_table, set_value, upsert_by_key
 
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Stand-in predictions derived from the data: the click label of each customer."""
+    feats = PR.build_features(T.plays(spark, sf), T.clicks(spark, sf))
+    return feats.select("customer_id", F.col("label").cast("int").alias("pred"))
+
 AVAILABLE_NOW = {"availableNow": True}
 LINE_FILES = 4  # play-log files written per stream run (one micro-batch each)
 
@@ -33,9 +39,7 @@ def _write_csv(df: DataFrame, path: str, header: bool) -> None:
 
 def _log_folder(spark: SparkSession, sf: str) -> str:
     """The play log as text files in a fresh folder (what the log collector reads)."""
-    path = shared_path(spark, "play-log")
-    T.play_lines(spark, sf).repartition(LINE_FILES).write.text(path)
-    return path
+    return T.play_log_folder(spark, sf, LINE_FILES)
 
 
 # --- sources ------------------------------------------------------------------------------
@@ -121,13 +125,16 @@ def q_stream_parse_lines(spark, sf):
 
 
 def _ad_flag_run(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The real-time flow over the play log: customers and predictions are written
+    as tables first (the lookups the stream joins against), then the log folder is
+    processed (one micro-batch here; the tests cover multi-batch runs)."""
     cust_path = shared_path(spark, "customers")
     T.customers(spark, sf).write.parquet(cust_path)
-    pred_path = _store_predictions(spark, sf)
-    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf), max_files_per_trigger=1)
+    pred_path = shared_path(spark, "predictions")
+    predictions(spark, sf).write.parquet(pred_path)
+    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf))
     out, audience = shared_path(spark, "flagged-plays"), shared_path(spark, "audience")
-    q = FL.ad_flag_stream(lines, spark.read.parquet(cust_path),
-                          spark.read.parquet(pred_path).drop("_seq"), out, audience,
+    q = FL.ad_flag_stream(lines, spark.read.parquet(cust_path), spark.read.parquet(pred_path), out, audience,
                           trigger=AVAILABLE_NOW)
     q.awaitTermination()
     return out, audience

@@ -160,3 +160,13 @@ def play_lines_from_events(events: DataFrame) -> DataFrame:
 
 def play_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return play_lines_from_events(table(spark, sf_dir, "events"))
+
+
+def play_log_folder(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """Write the play log as text files to a fresh shared folder (what the log
+    collector tails) and return the folder.  One file per core by default."""
+    from beatstream.session import shared_path
+    path = shared_path(spark, "play-log")
+    n = files or spark.sparkContext.defaultParallelism
+    play_lines(spark, sf_dir).repartition(n).write.text(path)
+    return path

@@ -84,20 +84,23 @@ def set_value(updates: DataFrame, path: str, key: str, value_col: str, seq_col:
     return upsert_by_key(updates.select(key, value_col, seq_col), path, key, seq_col)
 
 
-def set_add(members: DataFrame, path: str, key: str = "customer_id") -> DataFrame:
+def set_add(members: DataFrame, path: str, key: str = "customer_id", return_new: bool = False) -> DataFrame | None:
     """Add each key once; keys already present are ignored (replays add nothing).
 
     Only the new keys are appended: a left anti join against the current set.
-    Returns the new keys that were added.
+    Appending is safe while reading the set, because the set's file list is fixed
+    when the read is planned.  With ``return_new`` the new keys are checkpointed
+    first (so they can be returned after the set has changed) and returned.
     """
     spark = members.sparkSession
-    checkpoint_root(spark)
     cand = members.select(key).filter(F.col(key).isNotNull()).distinct()
     old = _read_or_none(spark, path)
     new = cand if old is None else cand.join(old.select(key), key, "left_anti")
-    new = new.checkpoint(eager=True)
+    if return_new:
+        checkpoint_root(spark)
+        new = new.checkpoint(eager=True)
     new.write.mode("append").parquet(path)
-    return new
+    return new if return_new else None
 
 
 def nested_window_result(ranked: DataFrame, window_cols=("window_start", "window_end"),

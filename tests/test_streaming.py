@@ -94,9 +94,10 @@ def test_dedup_stream_drops_redelivered_events(spark, tmp_dir):
 def test_set_add_is_idempotent(spark, tmp_dir):
     path = os.path.join(tmp_dir, "set")
     m = spark.createDataFrame([(1,), (2,), (2,)], "customer_id long")
-    assert set_add(m, path).count() == 2
-    assert set_add(m, path).count() == 0
-    assert set_add(spark.createDataFrame([(3,), (1,)], "customer_id long"), path).count() == 1
+    assert set_add(m, path, return_new=True).count() == 2
+    assert set_add(m, path, return_new=True).count() == 0
+    assert set_add(spark.createDataFrame([(3,), (1,)], "customer_id long"), path, return_new=True).count() == 1
+    set_add(m, path)
     assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
 
 
