@@ -83,3 +83,19 @@ def quarantine_bad_lines(lines: DataFrame, value_col: str = "value") -> DataFram
 def bytes_to_lines(df: DataFrame, col: str = "value") -> DataFrame:
     """Decode a binary message payload as UTF-8 text (Pub/Sub or Kafka value)."""
     return df.withColumn(col, F.decode(F.col(col), "UTF-8"))
+
+
+def parse_libsvm_line(line: Column, num_features: int = 6) -> Column:
+    """``label i:v i:v ...`` (1-based indices) -> struct(label double, values array<double>).
+
+    Missing indices are 0.0; the values array is dense and 0-based, ready for
+    ``pyspark.ml.functions.array_to_vector``.
+    """
+    tokens = F.split(F.trim(line), r"\s+")
+    pairs = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+    kv = F.map_from_entries(F.transform(pairs, lambda t: F.struct(
+        F.split(t, ":").getItem(0).try_cast("int").alias("i"),
+        F.split(t, ":").getItem(1).try_cast("double").alias("v"))))
+    dense = F.transform(F.sequence(F.lit(1), F.lit(num_features)),
+                        lambda i: F.coalesce(F.element_at(kv, i), F.lit(0.0)))
+    return F.struct(F.get(tokens, 0).try_cast("double").alias("label"), dense.alias("values"))

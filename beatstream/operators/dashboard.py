@@ -43,22 +43,27 @@ def count_docs(df: DataFrame) -> DataFrame:
 
 def mobile_trend(plays: DataFrame, bucket: str = "1 hour", ts_col: str = "datetime") -> DataFrame:
     """Per time bucket: mobile connections (sum of the flag) and unique customers."""
-    return (plays.groupBy(time_bucket(F.col(ts_col), bucket).alias("bucket_start"))
+    return (plays.groupBy(F.window(F.col(ts_col), bucket).alias("_w"))
                  .agg(F.sum("ismobile").alias("mobile_connections"),
-                      F.countDistinct("customer_id").alias("unique_customers")))
+                      F.countDistinct("customer_id").alias("unique_customers"))
+                 .select(F.col("_w.start").alias("bucket_start"), "mobile_connections", "unique_customers"))
 
 
 def approx_users(plays: DataFrame, bucket: str = "1 hour", ts_col: str = "datetime",
                  rsd: float = 0.02) -> DataFrame:
     """Same as ``mobile_trend`` with a HyperLogLog++ cardinality (also valid on streams)."""
-    return (plays.groupBy(time_bucket(F.col(ts_col), bucket).alias("bucket_start"))
+    # Grouping by the window struct (not its start) keeps it an event-time window
+    # for streaming aggregation with a watermark.
+    return (plays.groupBy(F.window(F.col(ts_col), bucket).alias("_w"))
                  .agg(F.sum("ismobile").alias("mobile_connections"),
-                      F.approx_count_distinct("customer_id", rsd).alias("approx_customers")))
+                      F.approx_count_distinct("customer_id", rsd).alias("approx_customers"))
+                 .select(F.col("_w.start").alias("bucket_start"), "mobile_connections", "approx_customers"))
 
 
 def connections_per_minute(plays: DataFrame, ts_col: str = "datetime") -> DataFrame:
-    return (plays.groupBy(time_bucket(F.col(ts_col), "1 minute").alias("minute_start"))
-                 .agg(F.count(F.lit(1)).alias("connections")))
+    return (plays.groupBy(F.window(F.col(ts_col), "1 minute").alias("_w"))
+                 .agg(F.count(F.lit(1)).alias("connections"))
+                 .select(F.col("_w.start").alias("minute_start"), "connections"))
 
 
 def terms(df: DataFrame, col: str, size: int = TERMS_SIZE, count_col: str = "count") -> DataFrame:
@@ -73,10 +78,11 @@ def nested_terms(df: DataFrame, outer: str, inner: str, outer_size: int = TERMS_
                  inner_count: str = "count") -> DataFrame:
     """Top outer terms, and inside each the top inner terms (sub-buckets per parent).
 
-    One aggregation to (outer, inner) counts; the outer counts are summed from it
-    (the shared subplan's exchange is reused), the top outer terms (at most
-    ``outer_size`` rows, a proven bound) are broadcast to filter the pairs, and
-    the inner top-N is salted per outer term.
+    One aggregation to (outer, inner) counts and one to outer counts (which include
+    rows whose inner key is missing);
+    the top outer terms (at most ``outer_size`` rows, a proven bound) are
+    broadcast to filter the pairs, and the inner top-N per outer term is a
+    partial-then-final group limit.
     """
     outer_count = outer_count or f"{outer}_count"
     pairs = (df.filter(F.col(outer).isNotNull() & F.col(inner).isNotNull())
@@ -90,7 +96,7 @@ def nested_terms(df: DataFrame, outer: str, inner: str, outer_size: int = TERMS_
                      Window.orderBy(F.desc(outer_count), F.asc(outer)))))
     kept = pairs.join(F.broadcast(top_outer), outer, "inner")
     return top_n_per_group(kept, outer, [F.desc(inner_count), F.asc(inner)], inner_size,
-                           rank_col=f"{inner}_rank", salt_by=inner)
+                           rank_col=f"{inner}_rank")
 
 
 def top_regions_and_users(plays: DataFrame, n_zip: int = TERMS_SIZE, n_cust: int = TERMS_SIZE) -> DataFrame:

@@ -3,10 +3,13 @@
 All of them are written so that one hot group (a zip code or a customer holding a
 third of all rows) is never sorted inside a single task:
 
-* ``top_n_per_group`` ranks within (group, salt) first and keeps n per sub-group,
-  then ranks the at most ``salt_buckets * n`` survivors of each group.  The global
-  top n of a group is always inside the union of the sub-group top n, so the
-  result is exact.
+* ``top_n_per_group`` is a ``row_number() <= n`` filter, which Spark plans with a
+  partial ``WindowGroupLimit`` before the shuffle: every map task forwards at most
+  n rows per group, so a hot group costs n rows per task, not its full size.
+  Optional salting ranks within (group, salt) first for engines or settings
+  without that partial limit (``spark.sql.optimizer.windowGroupLimitThreshold``
+  below n); it stays exact because the top n of a group is inside the union of
+  the sub-group top n.
 * ``kth_previous_gap`` cuts each key into time buckets as wide as the horizon and
   carries every row once into the next bucket, so a window partition only holds
   two buckets of one key.
@@ -31,8 +34,8 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[C
                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Keep the first ``n`` rows of each group under ``order`` (a total order), with rank.
 
-    ``salt_by`` names the columns that identify a row inside its group (the
-    sub-term); rows are spread over ``salt_buckets`` sub-groups by their hash.
+    ``salt_by`` (optional) names the columns that identify a row inside its group;
+    rows are then ranked in ``salt_buckets`` sub-groups first (one more shuffle).
     """
     group = _cols(group)
     if salt_by is not None and salt_buckets > 1:
@@ -79,10 +82,11 @@ def kth_previous_gap(df: DataFrame, keys: Sequence[str], k: int, horizon_seconds
     keys = list(keys)
     width = horizon_seconds * 1_000_000
     us = _micros(F.col(ts_col))
-    base = df.withColumn("_us", us).withColumn("_bucket", F.floor(F.col("_us") / F.lit(width)))
-    own = base.withColumn("_own", F.lit(True))
-    carried = (base.withColumn("_bucket", F.col("_bucket") + 1).withColumn("_own", F.lit(False)))
-    both = own.unionByName(carried)
+    base = df.withColumn("_us", us).withColumn("_b0", F.floor(F.col("_us") / F.lit(width)))
+    # One scan: each row is emitted into its own bucket and, as a carried row, the next.
+    copies = F.array(F.struct(F.col("_b0").alias("_bucket"), F.lit(True).alias("_own")),
+                     F.struct((F.col("_b0") + 1).alias("_bucket"), F.lit(False).alias("_own")))
+    both = base.select(*base.columns, F.inline(copies)).drop("_b0")
     w = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts_col), F.col(tie_col))
     prev = F.lag("_us", k).over(w)
     gap = F.when(F.col("_us") - prev <= F.lit(width), (F.col("_us") - prev) / F.lit(1_000_000.0))

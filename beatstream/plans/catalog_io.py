@@ -222,7 +222,40 @@ def q_libsvm_round_trip(spark, sf):
                                                                           "mobile", "unique"])])
 
 
+def q_parse_libsvm_lines(spark, sf):
+    """The training file read back as text and parsed line by line into vectors."""
+    from pyspark.ml.functions import array_to_vector
+    from beatstream.functions.parse import parse_libsvm_line
+    path = shared_path(spark, "features-text")
+    FS.write_libsvm(PR.build_features(T.plays(spark, sf), T.clicks(spark, sf)), path)
+    parsed = spark.read.text(path).select(parse_libsvm_line(F.col("value"), 6).alias("p"))
+    return parsed.select(F.col("p.label").alias("label"), array_to_vector("p.values").alias("features"))
+
+
+def q_stream_publish_lines(spark, sf):
+    """Forward raw log lines unchanged to another sink (a text topic stand-in)."""
+    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf))
+    out = shared_path(spark, "forwarded")
+    from beatstream.streaming.sinks import publish_lines
+    publish_lines(lines, out, trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.text(out)
+
+
+def q_stream_mobile_trend(spark, sf):
+    """Hourly mobile connections and approximate unique customers on the play stream."""
+    from beatstream.operators.dashboard import approx_users
+    plays = FL.event_time(T.plays_from_events(T.events_stream(spark, sf)), "datetime")
+    trend = approx_users(plays.withWatermark("datetime", "10 minutes"), "1 hour")
+    out = shared_path(spark, "mobile-trend")
+    append_table(trend.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz")), out,
+                 trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(out)
+
+
 IO_QUERIES = {
+    "parse_libsvm_lines": q_parse_libsvm_lines,
+    "stream_publish_lines": q_stream_publish_lines,
+    "stream_mobile_trend": q_stream_mobile_trend,
     "read_plays_file": q_read_plays_file,
     "read_clicks_csv": q_read_clicks_csv,
     "read_customers_csv": q_read_customers_csv,

@@ -207,8 +207,8 @@ SELECT gender, track_id, COUNT(*) AS plays,
        CAST(ROW_NUMBER() OVER (PARTITION BY gender ORDER BY COUNT(*) DESC, track_id) AS INTEGER) AS rank
 FROM enriched
 WHERE gender IS NOT NULL
-  AND datetime >= (SELECT MAX(datetime) FROM enriched WHERE gender IS NOT NULL) - INTERVAL 30 HOUR
-  AND datetime <= (SELECT MAX(datetime) FROM enriched WHERE gender IS NOT NULL)
+  AND datetime >= (SELECT MAX(datetime) FROM enriched) - INTERVAL 30 HOUR
+  AND datetime <= (SELECT MAX(datetime) FROM enriched)
 GROUP BY 1, 2 QUALIFY rank <= 10"""),
     "daypart_average": with_views(["plays"], """
 , pd AS (
@@ -326,3 +326,5 @@ HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {WATERMARK_10M}""",
 SELECT customer_id, track_id, first_detected FROM (""" + REPEAT.format(src=COARSE, horizon_us=24 * 3600 * 1_000_000)
                                         + ")"),
 })
+
+ORACLE["stream_publish_lines"] = with_views(["play_lines"], "SELECT value FROM play_lines")

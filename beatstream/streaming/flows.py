@@ -109,7 +109,7 @@ def windowed_tag_counts(messages: DataFrame, length: str, slide: str, delay: str
 
 def rank_window_tags(counts: DataFrame, n: int) -> DataFrame:
     return top_n_per_group(counts, ["window_start", "window_end"], [F.desc("amount"), F.asc("tag")], n,
-                           rank_col="rank", salt_by="tag")
+                           rank_col="rank")
 
 
 def trending_tags_stream(messages: DataFrame, out_path: str, length: str = "60 minutes",

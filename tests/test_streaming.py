@@ -154,3 +154,29 @@ def test_tag_ranking_batch(spark):
     msgs = spark.createDataFrame([("#b #a #a #c #b #b",)], "text string")
     got = [(r.tag, r.amount) for r in TG.trending_tags_batch(msgs, 2).collect()]
     assert got == [("b", 3), ("a", 2)]
+
+
+def test_publish_lines_console_and_run_for(spark, tmp_dir):
+    from beatstream.streaming.sinks import console_debug, publish_lines
+    log = os.path.join(tmp_dir, "log")
+    spark.createDataFrame([("a,1",), ("b,2",)], "value string").write.text(log)
+    out = os.path.join(tmp_dir, "fwd")
+    publish_lines(FS.read_play_lines_stream(spark, log), out, checkpoint=os.path.join(tmp_dir, "ck"),
+                  trigger=NOW).awaitTermination()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["a,1", "b,2"]
+    q = console_debug(FS.read_play_lines_stream(spark, log), trigger=NOW)
+    FL.run_for(q, 0.5)
+    assert not q.isActive
+    q2 = FL.start(FS.read_play_lines_stream(spark, log), sink="memory", query_name="t_runfor",
+                  checkpoint=os.path.join(tmp_dir, "ck2"))
+    FL.run_for(q2, 0.05)  # processing-time trigger never ends by itself: stopped after 3 s
+    assert not q2.isActive
+
+
+def test_parse_libsvm_line(spark):
+    from beatstream.functions.parse import parse_libsvm_line
+    df = spark.createDataFrame([("0 1:0.00 2:0.00 3:0.00 4:1.00 5:0.00 6:1.00",),
+                                ("1 1:0.28 3:0.23 6:0.97",)], "v string")
+    rows = df.select(parse_libsvm_line(F.col("v")).alias("p")).collect()
+    assert rows[0].p.label == 0.0 and rows[0].p["values"] == [0.0, 0.0, 0.0, 1.0, 0.0, 1.0]
+    assert rows[1].p.label == 1.0 and rows[1].p["values"] == [0.28, 0.0, 0.23, 0.0, 0.0, 0.97]
