@@ -81,8 +81,7 @@ def is_member(df: DataFrame, members: DataFrame, key: str = "customer_id", how:
 
 def enrich_with_track(plays: DataFrame, music: DataFrame, track_key: str = "track_id") -> DataFrame:
     """Add title, artist and length of the played track."""
-    m = (music.select(F.col("TrackId").alias(track_key), "Title", "Artist", "Length")
-              .dropDuplicates([track_key]))
+    m = music.select(F.col("TrackId").alias(track_key), "Title", "Artist", "Length")
     return plays.join(m, track_key, "left")
 
 

@@ -10,9 +10,9 @@ third of all rows) is never sorted inside a single task:
   without that partial limit (``spark.sql.optimizer.windowGroupLimitThreshold``
   below n); it stays exact because the top n of a group is inside the union of
   the sub-group top n.
-* ``kth_previous_gap`` cuts each key into time buckets as wide as the horizon and
-  carries every row once into the next bucket, so a window partition only holds
-  two buckets of one key.
+* ``kth_previous_gap`` cuts each key into time buckets of a few horizons and
+  carries the rows of a bucket's last horizon into the next bucket, so a window
+  partition holds at most ``BUCKET_HORIZONS + 1`` horizons of one key.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_SALT_BUCKETS = 16
+# Width of a time bucket of ``kth_previous_gap``, in horizons.
+BUCKET_HORIZONS = 4
 
 
 def _cols(cols: str | Sequence[str]) -> list[str]:
@@ -75,21 +77,26 @@ def kth_previous_gap(df: DataFrame, keys: Sequence[str], k: int, horizon_seconds
 
     Rows are ordered by (ts, tie).  The gap is null when the row has fewer than k
     predecessors or when the k-th predecessor is older than ``horizon_seconds``.
-    Exact: a predecessor within the horizon lies in the row's own time bucket or
-    the one before, and the rows of two adjacent buckets form a contiguous run of
-    the key's global order.
+    Exact: a predecessor within the horizon of a row lies in the row's bucket or in
+    the carried last horizon of the bucket before, and a partition's rows form a
+    contiguous run of the key's global order; a predecessor outside the partition
+    is older than the horizon.
     """
     keys = list(keys)
-    width = horizon_seconds * 1_000_000
+    horizon = horizon_seconds * 1_000_000
+    width = BUCKET_HORIZONS * horizon
     us = _micros(F.col(ts_col))
     base = df.withColumn("_us", us).withColumn("_b0", F.floor(F.col("_us") / F.lit(width)))
-    # One scan: each row is emitted into its own bucket and, as a carried row, the next.
-    copies = F.array(F.struct(F.col("_b0").alias("_bucket"), F.lit(True).alias("_own")),
-                     F.struct((F.col("_b0") + 1).alias("_bucket"), F.lit(False).alias("_own")))
+    # One scan: each row goes to its own bucket; rows in the last horizon of a bucket
+    # are also carried into the next one (1 + 1/BUCKET_HORIZONS rows shuffled).
+    own = F.struct(F.col("_b0").alias("_bucket"), F.lit(True).alias("_own"))
+    carried = F.struct((F.col("_b0") + 1).alias("_bucket"), F.lit(False).alias("_own"))
+    near_end = F.col("_us") >= (F.col("_b0") + 1) * F.lit(width) - F.lit(horizon)
+    copies = F.when(near_end, F.array(own, carried)).otherwise(F.array(own))
     both = base.select(*base.columns, F.inline(copies)).drop("_b0")
     w = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts_col), F.col(tie_col))
     prev = F.lag("_us", k).over(w)
-    gap = F.when(F.col("_us") - prev <= F.lit(width), (F.col("_us") - prev) / F.lit(1_000_000.0))
+    gap = F.when(F.col("_us") - prev <= F.lit(horizon), (F.col("_us") - prev) / F.lit(1_000_000.0))
     return (both.withColumn(gap_col, gap)
                 .filter(F.col("_own"))
                 .drop("_us", "_bucket", "_own"))

@@ -28,6 +28,10 @@ DEFAULT_CONF = {
     # every dimension lookup in ``operators.joins``.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (window counts, dedup keys, repeat-listen buffers) lives in
+    # RocksDB off the JVM heap, so large state does not turn into GC pressure.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
 }
 

@@ -127,3 +127,15 @@ def test_mobile_trend_omits_empty_buckets(spark):
     got = sorted((r.bucket_start, r.mobile_connections, r.unique_customers)
                  for r in D.mobile_trend(plays_df(spark, rows)).collect())
     assert got == [(T0, 1, 2), (T0 + dt.timedelta(hours=3), 1, 1)]
+
+
+def test_approx_users_close_to_exact(spark):
+    rnd = random.Random(2)
+    rows = [(i, rnd.randint(0, 5000), 1, T0 + dt.timedelta(minutes=rnd.randint(0, 180)), 1, "1")
+            for i in range(20000)]
+    df = plays_df(spark, rows)
+    exact = {r.bucket_start: r.unique_customers for r in D.mobile_trend(df).collect()}
+    approx = {r.bucket_start: r.approx_customers for r in D.approx_users(df, rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    for k, v in exact.items():
+        assert abs(approx[k] - v) <= 4 * 0.02 * v  # a few standard errors

@@ -119,3 +119,19 @@ def test_plays_by_customer_lists_are_time_ordered(spark):
     for r in out.collect():
         times = [p.datetime for p in r.plays]
         assert times == sorted(times)
+
+
+def test_repeat_listens_carry_threshold_edges(spark):
+    # 30-minute horizon: buckets are two hours wide ([08:00, 10:00) here) and rows from
+    # 09:30 on are carried into the next bucket; the run ending at 10:00 needs 09:30.
+    day = dt.datetime(2014, 10, 15)
+    t = lambda h, m, s=0: day + dt.timedelta(hours=h, minutes=m, seconds=s)
+    rows = [(0, 1, 1, t(9, 30), 0, "1"), (1, 1, 1, t(9, 45), 0, "1"), (2, 1, 1, t(10, 0), 0, "1"),
+            (3, 2, 1, t(9, 29, 59), 0, "1"), (4, 2, 1, t(9, 45), 0, "1"), (5, 2, 1, t(10, 0), 0, "1"),
+            (6, 3, 1, t(9, 50), 0, "1"), (7, 3, 1, t(10, 5), 0, "1"), (8, 3, 1, t(10, 20), 0, "1")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.customer_id, r.first_detected) for r in L.repeat_listens(df, 3, 1800).collect()}
+    assert got == {(1, t(10, 0)), (3, t(10, 20))}
+    gaps = {r.event_id: r.gap_seconds for r in
+            W.kth_previous_gap(df, ["customer_id", "track_id"], 2, 1800).collect()}
+    assert gaps == brute_kth_gap(rows, 2, 1800)
