@@ -85,6 +85,8 @@ def ad_flag_stream(lines: DataFrame, customers: DataFrame, predictions: DataFram
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():
+                return
             write_batch_output(batch, out_path, batch_id)
             set_add(batch.filter(F.col("SendEvent") == 1), audience_path)
         finally:
@@ -125,13 +127,21 @@ def trending_tags_stream(messages: DataFrame, out_path: str, length: str = "60 m
     counts = windowed_tag_counts(messages, length, slide, delay)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ranked = rank_window_tags(batch, n).persist()
+        # Windows leave the aggregation only when the watermark passes their end,
+        # so many batches emit nothing: skip the ranking jobs for those.
+        batch = batch.persist()
+        ranked = None
         try:
+            if batch.isEmpty():
+                return
+            ranked = rank_window_tags(batch, n).persist()
             write_batch_output(nested_window_result(ranked), out_path, batch_id)
             if handler is not None:
                 handler(ranked, batch_id)
         finally:
-            ranked.unpersist()
+            if ranked is not None:
+                ranked.unpersist()
+            batch.unpersist()
 
     return start(counts, handle, checkpoint, trigger)
 
