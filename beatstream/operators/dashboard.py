@@ -29,12 +29,15 @@ def time_bucket(ts: Column, width: str) -> Column:
 def since(df: DataFrame, minutes: int, ts_col: str = "datetime", as_of: Column | None = None) -> DataFrame:
     """Rows in the last ``minutes`` before ``as_of`` (default: the newest row's time).
 
-    The default is a scalar subquery: computed once and inlined, no join.
+    The default is a scalar subquery: computed once and inlined, no join; every row
+    is at or before it, so only the lower bound is tested then.
     """
+    upper = as_of is not None
     if as_of is None:
         as_of = df.select(F.max(ts_col)).scalar()
     start = as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    return df.filter((F.col(ts_col) >= start) & (F.col(ts_col) <= as_of))
+    cond = F.col(ts_col) >= start
+    return df.filter(cond & (F.col(ts_col) <= as_of) if upper else cond)
 
 
 def count_docs(df: DataFrame) -> DataFrame:

@@ -18,8 +18,6 @@ def top_tracks_by_gender(enriched: DataFrame, n: int = 10, hours: int = 30,
     The time filter reads only play columns, so it is pushed below the customer
     lookup to the play scan; only recent plays are joined.
     """
-    if as_of is None:
-        as_of = enriched.select(F.max(ts_col)).scalar()
     recent = since(enriched, hours * 60, ts_col, as_of).filter(F.col("gender").isNotNull())
     counts = recent.groupBy("gender", "track_id").agg(F.count(F.lit(1)).alias("plays"))
     return top_n_per_group(counts, "gender", [F.desc("plays"), F.asc("track_id")], n, rank_col="rank")
