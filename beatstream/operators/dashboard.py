@@ -29,15 +29,17 @@ def time_bucket(ts: Column, width: str) -> Column:
 def since(df: DataFrame, minutes: int, ts_col: str = "datetime", as_of: Column | None = None) -> DataFrame:
     """Rows in the last ``minutes`` before ``as_of`` (default: the newest row's time).
 
-    The default is a scalar subquery: computed once and inlined, no join; every row
-    is at or before it, so only the lower bound is tested then.
+    By default the window start is one scalar subquery (newest time minus the
+    window), computed once and inlined: no join, and as a plain ``ts >= value``
+    comparison it is pushed into the parquet scan, which skips row groups whose
+    newest time is older.  Every row is at or before the newest time, so only the
+    lower bound is tested then.
     """
-    upper = as_of is not None
+    span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
     if as_of is None:
-        as_of = df.select(F.max(ts_col)).scalar()
-    start = as_of - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
-    cond = F.col(ts_col) >= start
-    return df.filter(cond & (F.col(ts_col) <= as_of) if upper else cond)
+        start = df.select(F.max(ts_col) - span).scalar()
+        return df.filter(F.col(ts_col) >= start)
+    return df.filter((F.col(ts_col) >= as_of - span) & (F.col(ts_col) <= as_of))
 
 
 def count_docs(df: DataFrame) -> DataFrame:
