@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatstream.schemas import CUSTOMER_ATTRIBUTES
+from beatstream.schemas import CUSTOMER_ATTRIBUTES, ENRICHED_COLUMNS
 
 ON_MISSING = ("null", "drop", "fail")
 
@@ -89,3 +89,15 @@ def missing_customers(plays: DataFrame, customers: DataFrame, key: str = "custom
     """Customer ids of plays with no customer row, and how many plays each has."""
     return (plays.join(customers.select(key), key, "left_anti")
                  .groupBy(key).agg(F.count(F.lit(1)).alias("plays")))
+
+
+def index_document(enriched: DataFrame, extras: tuple[str, ...] = ("event_id", "datetime")) -> DataFrame:
+    """The enriched record in its fixed field order: ``@timestamp, customer_id,
+    track_id, ismobile, listening_zip_code``, the ten customer attributes, then
+    ``SendEvent`` when present, then the play's own id and event time (kept here,
+    dropped by the reference)."""
+    cols = [c for c in ENRICHED_COLUMNS if c in enriched.columns]
+    if "SendEvent" in enriched.columns:
+        cols.append("SendEvent")
+    cols += [c for c in extras if c in enriched.columns and c not in cols]
+    return enriched.select(*[F.col(f"`{c}`") for c in cols])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from beatstream.functions.parse import parse_plays
 from beatstream.functions.scalar import hashtags
-from beatstream.operators.joins import enrich_with_customer, flag_ad_targets
+from beatstream.operators.joins import enrich_with_customer, flag_ad_targets, index_document
 from beatstream.operators.windows import top_n_per_group
 from beatstream.session import shared_path
 from beatstream.streaming.sinks import nested_window_result, set_add, write_batch_output
@@ -68,7 +68,7 @@ def ad_flag_records(lines: DataFrame, customers: DataFrame, predictions: DataFra
     """Streaming records: parsed play + customer attributes + ``SendEvent``."""
     plays = parse_plays(lines)
     enriched = enrich_with_customer(plays, customers, on_missing, ingest_time=True)
-    return flag_ad_targets(enriched, predictions, on_missing)
+    return index_document(flag_ad_targets(enriched, predictions, on_missing))
 
 
 def ad_flag_stream(lines: DataFrame, customers: DataFrame, predictions: DataFrame, out_path: str,

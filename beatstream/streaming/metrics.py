@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-SAMPLE_SCHEMA = "ts timestamp, alias string, metric string, value double"
+SAMPLE_SCHEMA = "ts timestamp, alias string, metric string, attribute string, value double"
 
 
 class BatchListener(StreamingQueryListener):
@@ -42,25 +42,30 @@ class BatchListener(StreamingQueryListener):
 
 
 def _samples_from_progress(progress: dict, alias: str) -> list[tuple]:
+    """(ts, alias, metric, attribute, value) samples of one progress report."""
     ts = progress.get("timestamp")
     out = [
-        (ts, alias, "input_rows", float(progress.get("numInputRows") or 0)),
-        (ts, alias, "input_rows_per_second", float(progress.get("inputRowsPerSecond") or 0.0)),
-        (ts, alias, "processed_rows_per_second", float(progress.get("processedRowsPerSecond") or 0.0)),
+        (ts, alias, "rows", "input", float(progress.get("numInputRows") or 0)),
+        (ts, alias, "rows", "input_per_second", float(progress.get("inputRowsPerSecond") or 0.0)),
+        (ts, alias, "rows", "processed_per_second", float(progress.get("processedRowsPerSecond") or 0.0)),
     ]
     for k, v in (progress.get("durationMs") or {}).items():
-        out.append((ts, alias, f"duration_ms.{k}", float(v)))
+        out.append((ts, alias, "duration_ms", k, float(v)))
     for i, src in enumerate(progress.get("sources") or []):
         for k, v in (src.get("metrics") or {}).items():
             try:
-                out.append((ts, alias, f"source{i}.{k}", float(v)))
+                out.append((ts, alias, f"source{i}", k, float(v)))
             except (TypeError, ValueError):
                 continue
+    for i, op in enumerate(progress.get("stateOperators") or []):
+        for k in ("numRowsTotal", "numRowsUpdated", "memoryUsedBytes"):
+            if op.get(k) is not None:
+                out.append((ts, alias, f"state{i}", k, float(op[k])))
     return out
 
 
 def progress_samples(spark: SparkSession, query, alias: str | None = None) -> DataFrame:
-    """The query's recent progress reports as (ts, alias, metric, value) rows.
+    """The query's recent progress reports as (ts, alias, metric, attribute, value) rows.
 
     Progress reports are small per-batch metadata kept by the driver (bounded by
     ``spark.sql.streaming.numRecentProgressUpdates``)."""
@@ -69,14 +74,13 @@ def progress_samples(spark: SparkSession, query, alias: str | None = None) -> Da
     for p in query.recentProgress:
         d = json.loads(p.json) if hasattr(p, "json") else dict(p)
         rows.extend(_samples_from_progress(d, alias))
-    df = spark.createDataFrame([(r[0], r[1], r[2], r[3]) for r in rows],
-                               "ts string, alias string, metric string, value double")
+    df = spark.createDataFrame(rows, "ts string, alias string, metric string, attribute string, value double")
     return df.withColumn("ts", F.to_timestamp("ts"))
 
 
 def metric_rollup(samples: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Average and maximum of each metric per time bucket."""
     w = F.window(F.col("ts"), bucket)
-    return (samples.groupBy("alias", "metric", w.start.alias("bucket_start"))
+    return (samples.groupBy("alias", "metric", "attribute", w.start.alias("bucket_start"))
                    .agg(F.avg("value").alias("avg_value"), F.max("value").alias("max_value"),
                         F.count(F.lit(1)).alias("samples")))

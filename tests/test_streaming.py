@@ -123,7 +123,9 @@ def test_ad_flag_stream_replays_write_once(spark, tmp_dir):
     for _ in range(2):  # second run: same checkpoint, nothing new, nothing doubled
         FL.ad_flag_stream(FS.read_play_lines_stream(spark, log), cust, preds, out, aud,
                           checkpoint=ck, trigger=NOW).awaitTermination()
-    res = {r.customer_id: (r.name, r.SendEvent) for r in spark.read.parquet(out).collect()}
+    table = spark.read.parquet(out)
+    assert table.columns[:6] == ["@timestamp", "customer_id", "track_id", "ismobile", "listening_zip_code", "name"]
+    res = {r.customer_id: (r.name, r.SendEvent) for r in table.collect()}
     assert res == {1: ("n1", 1), 2: ("n2", 0), 3: (None, None)}
     assert [r[0] for r in spark.read.parquet(aud).collect()] == [1]
 
@@ -143,8 +145,10 @@ def test_progress_listener_and_rollup(spark, tmp_dir):
                      query_name="t_progress", trigger=NOW, checkpoint=os.path.join(tmp_dir, "ck"))
         q.awaitTermination()
         roll = MET.metric_rollup(MET.progress_samples(spark, q), "1 minute")
-        metrics = {r.metric for r in roll.collect()}
-        assert "input_rows" in metrics and "processed_rows_per_second" in metrics
+        metrics = {(r.metric, r.attribute) for r in roll.collect()}
+        assert ("rows", "input") in metrics and ("duration_ms", "addBatch") in metrics
+        assert any(m.startswith("state") for m, _ in metrics)
+        assert any(e[0] == "progress" for e in listener.events)
         assert spark.sql("SELECT sum(events) FROM t_progress").first()[0] == 30
     finally:
         spark.streams.removeListener(listener)
