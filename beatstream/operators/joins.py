@@ -17,14 +17,38 @@ from beatstream.schemas import CUSTOMER_ATTRIBUTES, ENRICHED_COLUMNS
 ON_MISSING = ("null", "drop", "fail")
 
 
+DEFAULT_HOT_SALTS = 16
+
+
+def _salted(left: DataFrame, dim: DataFrame, key: str, hot_keys: list | None,
+            salts: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Spread the rows of known hot keys over ``salts`` join keys.
+
+    Rows of a hot key get a salt from their own hash; the dimension row of a hot
+    key is replicated once per salt (only hot keys: the dimension grows by
+    ``len(hot_keys) * (salts - 1)`` rows).  Other keys keep salt 0.  Used where
+    AQE cannot split skew at runtime (stream-static joins in micro-batches).
+    """
+    if not hot_keys or salts <= 1:
+        return left, dim, [key]
+    hot_l = F.col(key).isin(list(hot_keys))
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    left = left.withColumn("_salt", F.when(hot_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+    copies = F.when(F.col(key).isin(list(hot_keys)), F.sequence(F.lit(0), F.lit(salts - 1))) \
+              .otherwise(F.array(F.lit(0).cast("long")))
+    dim = dim.withColumn("_salt", F.explode(copies.cast("array<long>")))
+    return left, dim, [key, "_salt"]
+
+
 def _lookup(left: DataFrame, dim: DataFrame, key: str, cols: list[str], on_missing: str,
-            what: str) -> DataFrame:
+            what: str, hot_keys: list | None = None, salts: int = DEFAULT_HOT_SALTS) -> DataFrame:
     if on_missing not in ON_MISSING:
         raise ValueError(f"on_missing must be one of {ON_MISSING}")
     dim = dim.select(key, *cols, F.lit(True).alias("_hit"))
+    left, dim, on = _salted(left, dim, key, hot_keys, salts)
     if on_missing == "drop":
-        return left.join(dim, key, "inner").drop("_hit")
-    out = left.join(dim, key, "left")
+        return left.join(dim, on, "inner").drop("_hit", "_salt")
+    out = left.join(dim, on, "left").drop("_salt")
     if on_missing == "fail":
         # The check must sit inside columns the caller keeps: a helper column that is
         # dropped afterwards would be pruned by the optimizer and never evaluated.
@@ -35,23 +59,40 @@ def _lookup(left: DataFrame, dim: DataFrame, key: str, cols: list[str], on_missi
 
 
 def enrich_with_customer(plays: DataFrame, customers: DataFrame, on_missing: str = "null",
-                         ingest_time: bool = False, key: str = "customer_id") -> DataFrame:
+                         ingest_time: bool = False, key: str = "customer_id",
+                         hot_keys: list | None = None, salts: int = DEFAULT_HOT_SALTS) -> DataFrame:
     """Add the ten customer attributes to each play (left lookup by customer id).
 
     ``on_missing``: "null" keeps the play with null attributes, "drop" removes it,
     "fail" raises like the reference does.  ``ingest_time`` adds ``@timestamp``.
+    ``hot_keys`` (e.g. from ``hot_keys()``) salts those customers over ``salts``
+    join keys; batch joins get the same from AQE's skew-join split.
     """
-    out = _lookup(plays, customers, key, CUSTOMER_ATTRIBUTES, on_missing, "customer")
+    out = _lookup(plays, customers, key, CUSTOMER_ATTRIBUTES, on_missing, "customer", hot_keys, salts)
     if ingest_time:
         out = out.withColumn("@timestamp", F.current_timestamp().cast("timestamp_ntz"))
     return out
 
 
 def flag_ad_targets(enriched: DataFrame, predictions: DataFrame, on_missing: str = "null",
-                    key: str = "customer_id") -> DataFrame:
+                    key: str = "customer_id", hot_keys: list | None = None,
+                    salts: int = DEFAULT_HOT_SALTS) -> DataFrame:
     """Look up each customer's prediction and add it as ``SendEvent``."""
     preds = predictions.select(key, F.col("pred").cast("int").alias("SendEvent"))
-    return _lookup(enriched, preds, key, ["SendEvent"], on_missing, "prediction")
+    return _lookup(enriched, preds, key, ["SendEvent"], on_missing, "prediction", hot_keys, salts)
+
+
+def hot_keys(df: DataFrame, key: str = "customer_id", top: int = 10, min_share: float = 0.01) -> list:
+    """Keys holding at least ``min_share`` of the rows, at most ``top`` of them.
+
+    A bounded list (``top`` rows reach the driver) from one aggregation with
+    map-side combine and a take-ordered top-k.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.select(F.count(F.lit(1))).scalar()
+    top_rows = (counts.filter(F.col("_n") >= total * F.lit(min_share))
+                      .orderBy(F.desc("_n"), F.asc(key)).limit(top).collect())
+    return [r[key] for r in top_rows]
 
 
 def label_from_clicks(profiles: DataFrame, click_counts: DataFrame, key: str = "customer_id",

@@ -134,7 +134,12 @@ def _ad_flag_run(spark: SparkSession, sf: str) -> tuple[str, str]:
     predictions(spark, sf).write.parquet(pred_path)
     lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf))
     out, audience = shared_path(spark, "flagged-plays"), shared_path(spark, "audience")
+    # the heaviest listeners (at most 10, each with at least 0.5 % of past plays) get
+    # salted lookups in the stream
+    from beatstream.operators.joins import hot_keys
+    hot = hot_keys(T.plays(spark, sf), "customer_id", top=10, min_share=0.005)
     q = FL.ad_flag_stream(lines, spark.read.parquet(cust_path), spark.read.parquet(pred_path), out, audience,
+                          hot_customers=hot,
                           trigger=AVAILABLE_NOW)
     q.awaitTermination()
     return out, audience

@@ -64,23 +64,27 @@ def run_for(query, minutes: float = 0) -> None:
 # --- stage 3: parse -> enrich -> flag -> append + audience set ---------------------------
 
 def ad_flag_records(lines: DataFrame, customers: DataFrame, predictions: DataFrame,
-                    on_missing: str = "null") -> DataFrame:
-    """Streaming records: parsed play + customer attributes + ``SendEvent``."""
+                    on_missing: str = "null", hot_customers: list | None = None) -> DataFrame:
+    """Streaming records: parsed play + customer attributes + ``SendEvent``.
+
+    ``hot_customers`` salts the two lookups for those customers (no AQE skew split
+    inside a micro-batch); see ``operators.joins.hot_keys``.
+    """
     plays = parse_plays(lines)
-    enriched = enrich_with_customer(plays, customers, on_missing, ingest_time=True)
-    return index_document(flag_ad_targets(enriched, predictions, on_missing))
+    enriched = enrich_with_customer(plays, customers, on_missing, ingest_time=True, hot_keys=hot_customers)
+    return index_document(flag_ad_targets(enriched, predictions, on_missing, hot_keys=hot_customers))
 
 
 def ad_flag_stream(lines: DataFrame, customers: DataFrame, predictions: DataFrame, out_path: str,
                    audience_path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                   on_missing: str = "null"):
+                   on_missing: str = "null", hot_customers: list | None = None):
     """The whole real-time flow.  Per micro-batch: persist once, write the records
     (idempotent per batch id) and add flagged customers to the audience set.
 
     ``customers`` and ``predictions`` are static tables joined to the stream; pass
     materialised tables (parquet), not plans that would be recomputed per batch.
     """
-    records = ad_flag_records(lines, customers, predictions, on_missing)
+    records = ad_flag_records(lines, customers, predictions, on_missing, hot_customers)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()

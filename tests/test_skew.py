@@ -89,3 +89,17 @@ def test_hot_customer_profile_and_repeats_match_brute_force(spark):
                 exp[track] = ts[i][0]
                 break
     assert got == exp and exp
+
+
+def test_salted_lookup_for_hot_keys_equals_plain_lookup(spark):
+    plays, cust = skewed_plays(spark, 6000), customers(spark)
+    hot = J.hot_keys(plays, "customer_id", top=5, min_share=0.05)
+    assert hot == [0]
+    cols = ["event_id", "customer_id", "name", "age"]
+    plain = {tuple(r) for r in J.enrich_with_customer(plays, cust).select(*cols).collect()}
+    salted = J.enrich_with_customer(plays, cust, hot_keys=hot, salts=8).select(*cols)
+    assert {tuple(r) for r in salted.collect()} == plain and salted.count() == 6000
+    # missing keys and the drop policy behave the same with salting
+    few = cust.filter("customer_id % 2 = 0")
+    a = J.enrich_with_customer(plays, few, "drop", hot_keys=hot, salts=4).count()
+    assert a == J.enrich_with_customer(plays, few, "drop").count()
