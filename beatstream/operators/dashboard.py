@@ -130,8 +130,9 @@ def range_bucket(df: DataFrame, col: str, ranges: Sequence[tuple[int | None, int
                  label_col: str = "range") -> DataFrame:
     """One output row per (input row, matching range); ranges are half-open [lo, hi).
 
-    Ranges may overlap or leave gaps; open ends are None.  The ranges are an inline
-    array filtered per row and exploded: a narrow operator, no join.
+    Ranges may overlap or leave gaps; open ends are None (null bounds, doubles like
+    the range aggregation's keys).  The ranges are an inline array filtered per row
+    and exploded: a narrow operator, no join.
     """
     spec = F.array(*[F.struct(F.lit(range_label(lo, hi)).alias("label"),
                               F.lit(lo).cast("double").alias("lo"),
@@ -143,8 +144,8 @@ def range_bucket(df: DataFrame, col: str, ranges: Sequence[tuple[int | None, int
 
     return (df.withColumn("_r", F.explode(F.filter(spec, hit)))
               .withColumn(label_col, F.col("_r.label"))
-              .withColumn(f"{label_col}_from", F.col("_r.lo").cast("int"))
-              .withColumn(f"{label_col}_to", F.col("_r.hi").cast("int"))
+              .withColumn(f"{label_col}_from", F.col("_r.lo"))
+              .withColumn(f"{label_col}_to", F.col("_r.hi"))
               .drop("_r"))
 
 

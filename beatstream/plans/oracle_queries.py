@@ -40,7 +40,7 @@ def _ranges_values(ranges) -> str:
 
 def _range_terms(term: str, ranges) -> str:
     return with_views(["enriched"], f"""
-SELECT r.label AS age_range, CAST(r.lo AS INTEGER) AS age_range_from, CAST(r.hi AS INTEGER) AS age_range_to,
+SELECT r.label AS age_range, CAST(r.lo AS DOUBLE) AS age_range_from, CAST(r.hi AS DOUBLE) AS age_range_to,
        e.{term}, COUNT(*) AS plays,
        CAST(ROW_NUMBER() OVER (PARTITION BY r.label ORDER BY COUNT(*) DESC, e.{term}) AS INTEGER) AS {term}_rank
 FROM enriched e JOIN {_ranges_values(ranges)}
@@ -103,7 +103,7 @@ GROUP BY 1, 2, 3 QUALIFY gender_rank <= 5"""),
     "applink_by_age": _range_terms("LinkedWithApps", APPLINK_AGE_RANGES),
     "level_by_age": _range_terms("Level", LEVEL_AGE_RANGES),
     "range_bucket": with_views(["customers"], f"""
-SELECT r.label AS age_range, CAST(r.lo AS INTEGER) AS age_range_from, CAST(r.hi AS INTEGER) AS age_range_to,
+SELECT r.label AS age_range, CAST(r.lo AS DOUBLE) AS age_range_from, CAST(r.hi AS DOUBLE) AS age_range_to,
        COUNT(*) AS customers
 FROM customers c JOIN {_ranges_values(CUSTOMER_AGE_RANGES)}
   ON (r.lo IS NULL OR c.age >= r.lo) AND (r.hi IS NULL OR c.age < r.hi)
