@@ -83,23 +83,21 @@ def nested_terms(df: DataFrame, outer: str, inner: str, outer_size: int = TERMS_
                  inner_count: str = "count") -> DataFrame:
     """Top outer terms, and inside each the top inner terms (sub-buckets per parent).
 
-    One aggregation to (outer, inner) counts and one to outer counts (which include
-    rows whose inner key is missing);
-    the top outer terms (at most ``outer_size`` rows, a proven bound) are
-    broadcast to filter the pairs, and the inner top-N per outer term is a
-    partial-then-final group limit.
+    One scan and one aggregation to (outer, inner) counts, with a missing inner key
+    kept as its own row; the outer totals (which count those rows too) are summed
+    from it, so both branches share the aggregate's exchange.  The top outer terms
+    (at most ``outer_size`` rows, a proven bound) are broadcast to filter the
+    pairs, and the inner top-N per outer term is a partial-then-final group limit.
     """
     outer_count = outer_count or f"{outer}_count"
-    pairs = (df.filter(F.col(outer).isNotNull() & F.col(inner).isNotNull())
-               .groupBy(outer, inner).agg(F.count(F.lit(1)).alias(inner_count)))
-    # Outer totals count every row with an outer key, including rows whose inner key is missing.
-    outer_totals = (df.filter(F.col(outer).isNotNull())
-                      .groupBy(outer).agg(F.count(F.lit(1)).alias(outer_count)))
+    pairs_all = (df.filter(F.col(outer).isNotNull())
+                   .groupBy(outer, inner).agg(F.count(F.lit(1)).alias(inner_count)))
+    outer_totals = pairs_all.groupBy(outer).agg(F.sum(inner_count).alias(outer_count))
     top_outer = (outer_totals.orderBy(F.desc(outer_count), F.asc(outer)).limit(outer_size)
                  # a window without partition is fine here: at most outer_size rows
                  .withColumn(f"{outer}_rank", F.row_number().over(
                      Window.orderBy(F.desc(outer_count), F.asc(outer)))))
-    kept = pairs.join(F.broadcast(top_outer), outer, "inner")
+    kept = pairs_all.filter(F.col(inner).isNotNull()).join(F.broadcast(top_outer), outer, "inner")
     return top_n_per_group(kept, outer, [F.desc(inner_count), F.asc(inner)], inner_size,
                            rank_col=f"{inner}_rank")
 
@@ -113,11 +111,16 @@ def top_regions_and_users(plays: DataFrame, n_zip: int = TERMS_SIZE, n_cust: int
 def level_gender_trend(enriched: DataFrame, bucket: str = "1 hour", ts_col: str = "datetime",
                        size: int = TERMS_SIZE) -> DataFrame:
     """Count by membership level (top terms), time bucket and gender (top terms per level+bucket)."""
-    df = enriched.withColumn("bucket_start", time_bucket(F.col(ts_col), bucket))
-    top_levels = terms(df, "Level", size, count_col="level_count").select("Level")
-    counts = (df.filter(F.col("gender").isNotNull())
-                .join(F.broadcast(top_levels), "Level", "inner")
-                .groupBy("Level", "bucket_start", "gender").agg(F.count(F.lit(1)).alias("plays")))
+    # One aggregation; level totals (which include plays without a gender) are
+    # summed from it, and the top levels (at most ``size`` rows) filter it.
+    all_counts = (enriched.filter(F.col("Level").isNotNull())
+                          .groupBy(F.col("Level"), F.window(F.col(ts_col), bucket).start.alias("bucket_start"),
+                                   F.col("gender"))
+                          .agg(F.count(F.lit(1)).alias("plays")))
+    totals = all_counts.groupBy("Level").agg(F.sum("plays").alias("level_count"))
+    top_levels = totals.orderBy(F.desc("level_count"), F.asc("Level")).limit(size).select("Level")
+    counts = (all_counts.filter(F.col("gender").isNotNull())
+                        .join(F.broadcast(top_levels), "Level", "inner"))
     return top_n_per_group(counts, ["Level", "bucket_start"], [F.desc("plays"), F.asc("gender")],
                            size, rank_col="gender_rank")
 
