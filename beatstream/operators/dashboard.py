@@ -42,6 +42,40 @@ def since(df: DataFrame, minutes: int, ts_col: str = "datetime", as_of: Column |
     return df.filter((F.col(ts_col) >= as_of - span) & (F.col(ts_col) <= as_of))
 
 
+# Our ladder of "round" bucket widths in seconds for automatic time histograms:
+# 1 s, 5 s, 10 s, 30 s, 1 min, 5 min, 10 min, 30 min, 1 h, 3 h, 12 h, 1 day, 7 days.
+AUTO_WIDTHS = [1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400, 604800]
+AUTO_TARGET_BUCKETS = 100
+
+
+def auto_width_seconds(df: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> Column:
+    """The smallest ladder width that cuts the data's time span into at most
+    ``target`` buckets (the widest width past that), as one scalar subquery."""
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    span_s = (F.max(us) - F.min(us)) / F.lit(1_000_000.0)
+    choice = None
+    for w in AUTO_WIDTHS[:-1]:
+        cond = span_s <= F.lit(w * target)
+        choice = F.when(cond, F.lit(w)) if choice is None else choice.when(cond, F.lit(w))
+    width = choice.otherwise(F.lit(AUTO_WIDTHS[-1])).cast("bigint")
+    return df.select(width).scalar()
+
+
+def auto_time_bucket(df: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> Column:
+    """Bucket start on an automatic width, aligned to the epoch like ``window``."""
+    width_us = auto_width_seconds(df, ts_col, target) * F.lit(1_000_000)
+    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    return F.timestamp_micros(us - F.pmod(us, width_us)).cast("timestamp_ntz")
+
+
+def mobile_trend_auto(plays: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> DataFrame:
+    """``mobile_trend`` with the bucket width chosen from the data (``interval: auto``)."""
+    return (plays.groupBy(auto_time_bucket(plays, ts_col, target).alias("bucket_start"))
+                 .agg(F.sum("ismobile").alias("mobile_connections"),
+                      F.countDistinct("customer_id").alias("unique_customers"),
+                      F.count(F.lit(1)).alias("plays")))
+
+
 def count_docs(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("doc_count"))
 

@@ -46,6 +46,10 @@ def q_mobile_trend(spark, sf):
     return D.mobile_trend(T.plays(spark, sf), "1 hour")
 
 
+def q_mobile_trend_auto(spark, sf):
+    return D.mobile_trend_auto(T.plays(spark, sf))
+
+
 def q_approx_users(spark, sf):
     return D.approx_users(T.plays(spark, sf), "1 day")
 
@@ -298,6 +302,7 @@ QUERIES: dict[str, Query] = {
     # dashboards
     "count_docs": q_count_docs,
     "mobile_trend": q_mobile_trend,
+    "mobile_trend_auto": q_mobile_trend_auto,
     "approx_users": q_approx_users,
     "connections_per_minute": q_connections_per_minute,
     "top_regions_and_users": q_top_regions_and_users,

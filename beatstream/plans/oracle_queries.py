@@ -328,3 +328,14 @@ SELECT customer_id, track_id, first_detected FROM (""" + REPEAT.format(src=COARS
 })
 
 ORACLE["stream_publish_lines"] = with_views(["play_lines"], "SELECT value FROM play_lines")
+
+_LADDER = [1, 5, 10, 30, 60, 300, 600, 1800, 3600, 10800, 43200, 86400, 604800]
+_WIDTH = ("CASE " + " ".join(f"WHEN span_s <= {w * 100} THEN {w}" for w in _LADDER[:-1])
+          + f" ELSE {_LADDER[-1]} END")
+ORACLE["mobile_trend_auto"] = with_views(["plays"], f"""
+, w AS (SELECT CAST({_WIDTH} AS BIGINT) * 1000000 AS width_us
+        FROM (SELECT (MAX(epoch_us(datetime)) - MIN(epoch_us(datetime))) / 1000000.0 AS span_s FROM plays))
+SELECT make_timestamp(epoch_us(datetime) - (epoch_us(datetime) % w.width_us)) AS bucket_start,
+       CAST(SUM(ismobile) AS BIGINT) AS mobile_connections, COUNT(DISTINCT customer_id) AS unique_customers,
+       COUNT(*) AS plays
+FROM plays, w GROUP BY 1""")

@@ -139,3 +139,16 @@ def test_approx_users_close_to_exact(spark):
     assert exact.keys() == approx.keys()
     for k, v in exact.items():
         assert abs(approx[k] - v) <= 4 * 0.02 * v  # a few standard errors
+
+
+def test_auto_bucket_width_follows_the_span(spark):
+    def width(minutes):
+        rows = [(0, 1, 1, T0, 1, "1"), (1, 1, 1, T0 + dt.timedelta(minutes=minutes), 1, "1")]
+        return spark.range(1).select(D.auto_width_seconds(plays_df(spark, rows))).first()[0]
+    assert width(1) == 1          # 60 s span, 100 buckets -> 1 s
+    assert width(15) == 10        # 900 s -> 10 s
+    assert width(24 * 60) == 1800  # one day -> 30 min
+    assert width(60 * 24 * 365 * 3) == 604800
+    rows = [(i, i % 3, 1, T0 + dt.timedelta(minutes=7 * i), i % 2, "1") for i in range(100)]
+    out = D.mobile_trend_auto(plays_df(spark, rows)).collect()
+    assert sum(r.plays for r in out) == 100 and len(out) <= 100
