@@ -257,7 +257,18 @@ def q_stream_mobile_trend(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_stream_access_stats(spark, sf):
+    """Sliding 30-minute access statistics every 5 minutes on the play stream; the
+    exact columns are returned (the approximate customer count is checked in tests)."""
+    plays = T.plays_from_events(T.events_stream(spark, sf))
+    out = shared_path(spark, "access-stats")
+    append_table(FL.access_stats_stream(plays, "30 minutes", "5 minutes", "10 minutes"), out,
+                 trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(out).select("window_start", "window_end", "plays", "mobile_plays")
+
+
 IO_QUERIES = {
+    "stream_access_stats": q_stream_access_stats,
     "parse_libsvm_lines": q_parse_libsvm_lines,
     "stream_publish_lines": q_stream_publish_lines,
     "stream_mobile_trend": q_stream_mobile_trend,

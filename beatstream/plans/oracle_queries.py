@@ -339,3 +339,11 @@ SELECT make_timestamp(epoch_us(datetime) - (epoch_us(datetime) % w.width_us)) AS
        CAST(SUM(ismobile) AS BIGINT) AS mobile_connections, COUNT(DISTINCT customer_id) AS unique_customers,
        COUNT(*) AS plays
 FROM plays, w GROUP BY 1""")
+
+ORACLE["stream_access_stats"] = with_views(["plays"], f"""
+SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, COUNT(*) AS plays,
+       CAST(SUM(ismobile) AS BIGINT) AS mobile_plays
+FROM (SELECT p.*, time_bucket(INTERVAL 5 MINUTE, datetime) - k * INTERVAL 5 MINUTE AS window_start
+      FROM plays p, range(0, 6) r(k))
+GROUP BY window_start
+HAVING window_start + INTERVAL 30 MINUTE <= {WATERMARK_10M.replace("MAX(ts)) FROM events", "MAX(datetime)) FROM plays")}""")

@@ -166,3 +166,18 @@ def tumbling_counts(events: DataFrame, width: str = "1 hour", ts_col: str = "ts"
     w = F.window(F.col(ts_col), width)
     return (e.groupBy(w.alias("window"), *(by or [])).agg(F.count(F.lit(1)).alias("events"))
              .select(ntz(F.col("window.start")).alias("bucket_start"), *(by or []), "events"))
+
+
+def access_stats_stream(plays: DataFrame, length: str = "30 minutes", slide: str = "5 minutes",
+                        delay: str = "10 minutes", ts_col: str = "datetime") -> DataFrame:
+    """Access statistics of the last ``length`` every ``slide`` on a play stream:
+    plays, mobile plays and approximate unique customers per sliding window, final
+    once the watermark passes the window end (exact distinct counts are not
+    available on streams; the batch ``access_stats`` has them)."""
+    p = event_time(plays, ts_col).withWatermark(ts_col, delay)
+    w = F.window(F.col(ts_col), length, slide)
+    return (p.groupBy(w.alias("window"))
+             .agg(F.count(F.lit(1)).alias("plays"), F.sum("ismobile").alias("mobile_plays"),
+                  F.approx_count_distinct("customer_id").alias("approx_customers"))
+             .select(ntz(F.col("window.start")).alias("window_start"),
+                     ntz(F.col("window.end")).alias("window_end"), "plays", "mobile_plays", "approx_customers"))

@@ -184,3 +184,23 @@ def test_parse_libsvm_line(spark):
     rows = df.select(parse_libsvm_line(F.col("v")).alias("p")).collect()
     assert rows[0].p.label == 0.0 and rows[0].p["values"] == [0.0, 0.0, 0.0, 1.0, 0.0, 1.0]
     assert rows[1].p.label == 1.0 and rows[1].p["values"] == [0.28, 0.0, 0.23, 0.0, 0.0, 0.97]
+
+
+def test_access_stats_stream_close_to_batch(spark, tmp_dir):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randint(0, 300), 1, T0 + dt.timedelta(seconds=rnd.randint(0, 4 * 3600)), rnd.randint(0, 1), "1")
+            for i in range(3000)]
+    plays = spark.createDataFrame(rows, "event_id long, customer_id long, track_id long, "
+                                        "datetime timestamp_ntz, ismobile int, listening_zip_code string")
+    src = os.path.join(tmp_dir, "plays")
+    plays.write.parquet(src)
+    stream = spark.readStream.schema(plays.schema).parquet(src)
+    out = os.path.join(tmp_dir, "out")
+    append_table(FL.access_stats_stream(stream, "30 minutes", "5 minutes", "0 seconds"), out,
+                 checkpoint=os.path.join(tmp_dir, "ck"), trigger=NOW).awaitTermination()
+    got = {r.window_start: r for r in spark.read.parquet(out).collect()}
+    exp = {r.window_start: r for r in L.access_stats(plays, "30 minutes", "5 minutes").collect()}
+    assert got and set(got) <= set(exp)
+    for k, r in got.items():
+        assert (r.plays, r.mobile_plays) == (exp[k].plays, exp[k].mobile_plays)
+        assert abs(r.approx_customers - exp[k].unique_customers) <= max(2, 0.15 * exp[k].unique_customers)
