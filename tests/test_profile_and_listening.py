@@ -135,3 +135,13 @@ def test_repeat_listens_carry_threshold_edges(spark):
     gaps = {r.event_id: r.gap_seconds for r in
             W.kth_previous_gap(df, ["customer_id", "track_id"], 2, 1800).collect()}
     assert gaps == brute_kth_gap(rows, 2, 1800)
+
+
+def test_plays_by_customer_chunks_are_bounded_and_whole(spark):
+    rows = random_plays(n=500, customers=2, span_minutes=60)
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = PR.plays_by_customer(df, "1 day", max_items=40)
+    sizes = [r.n for r in out.select(F.size("plays").alias("n")).collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 80  # hash chunks: about max_items each
+    ids = [p.event_id for r in out.collect() for p in r.plays]
+    assert sorted(ids) == sorted(r[0] for r in rows)
