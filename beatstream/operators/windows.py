@@ -12,7 +12,9 @@ third of all rows) is never sorted inside a single task:
   the sub-group top n.
 * ``kth_previous_gap`` cuts each key into time buckets of a few horizons and
   carries the rows of a bucket's last horizon into the next bucket, so a window
-  partition holds at most ``BUCKET_HORIZONS + 1`` horizons of one key.
+  partition holds at most ``BUCKET_HORIZONS + 1`` horizons of one key: a hot key
+  is spread over as many tasks as its history has buckets (the sort inside one
+  partition spills to disk if a key is extremely dense).
 """
 
 from __future__ import annotations

@@ -4,8 +4,14 @@ State per (customer, track) holds the play times that can still complete a run
 (those not older than ``watermark - within``) and whether the key was already
 reported.  Each micro-batch merges the key's new plays into that buffer, reports
 the first run of ``min_plays`` plays within ``within_seconds`` once, and prunes
-the buffer, so state stays bounded by the plays of one horizon per key.  Keys
-without a report expire through an event-time timeout.
+the buffer.  Keys without a report expire through an event-time timeout.
+
+State size per key is bounded even for a hot key: a key that is not yet
+reported has fewer than ``min_plays`` plays in every horizon (otherwise it would
+have been reported), so its buffer, which spans the watermark delay plus one
+horizon, holds fewer than ``min_plays * (delay / horizon + 2)`` plays; a reported
+key keeps only its flag.  The rows one call receives are bounded by the
+micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 """
 
 from __future__ import annotations
