@@ -147,7 +147,8 @@ def trending_tags_stream(messages: DataFrame, out_path: str, length: str = "60 m
                 ranked.unpersist()
             batch.unpersist()
 
-    return start(counts, handle, checkpoint, trigger)
+    # Without an explicit trigger a batch runs once per slide, as in the reference job.
+    return start(counts, handle, checkpoint, trigger or {"processingTime": slide})
 
 
 # --- other stream operators --------------------------------------------------------------

@@ -34,15 +34,20 @@ def append_table(df: DataFrame, path: str, checkpoint: str | None = None, trigge
     return w.start(path)
 
 
-def publish_lines(df: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None,
-                  value_col: str = "value"):
-    """Forward raw messages unchanged (one text line each) to a text sink.  With the
-    Kafka connector the same frame goes to ``format("kafka")`` with a topic."""
+def publish_lines(df: DataFrame, path: str | None = None, checkpoint: str | None = None,
+                  trigger: dict | None = None, value_col: str = "value",
+                  kafka_servers: str | None = None, topic: str | None = None):
+    """Forward raw messages unchanged, one line each: to a Kafka topic when
+    ``kafka_servers`` and ``topic`` are given (needs the Kafka connector), else to a
+    text sink at ``path``."""
     spark = df.sparkSession
-    w = (df.select(F.col(value_col).cast("string").alias("value")).writeStream.format("text")
+    w = (df.select(F.col(value_col).cast("string").alias("value")).writeStream
            .option("checkpointLocation", checkpoint or shared_path(spark, "ck-lines"))
            .trigger(**(trigger or {"processingTime": "2 seconds"})))
-    return w.start(path)
+    if topic:
+        return (w.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+                 .option("topic", topic).start())
+    return w.format("text").start(path)
 
 
 def console_debug(df: DataFrame, trigger: dict | None = None, num_rows: int = 20):
