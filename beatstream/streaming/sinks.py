@@ -63,25 +63,44 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Newest committed snapshot number of a keyed table (None when there is none).
+
+    One aggregate over the ``version`` partition column; a snapshot becomes
+    visible only when its write job has committed."""
+    snaps = _read_or_none(spark, path)
+    if snaps is None or "version" not in snaps.columns:
+        return None
+    return snaps.select(F.max("version")).first()[0]
+
+
+def read_keyed_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current snapshot of a table written by ``upsert_by_key`` / ``set_value``."""
+    v = latest_version(spark, path)
+    return None if v is None else spark.read.parquet(f"{path}/version={v}")
+
+
 def upsert_by_key(updates: DataFrame, path: str, key: str, seq_col: str) -> DataFrame:
     """Merge field groups into one record per key; the last write wins per field.
 
     ``updates`` carries the key, a sequence column (larger = later) and any
     subset of fields, null where a write did not touch the field.  The merged
-    table is one hash aggregate over old and new rows; it is checkpointed into
-    the shared checkpoint folder (cutting the lineage to the files about to be
-    replaced) and then overwrites the table.  Returns the merged table.
+    table is one hash aggregate over the current snapshot and the updates, written
+    as the next snapshot ``path/version=<n+1>``: the snapshot being read is never
+    overwritten, so a failed or repeated call leaves the current snapshot intact
+    and a retry gives the same result.  Returns the new snapshot.  (Old snapshots
+    stay until removed; one writer per table.)
     """
     spark = updates.sparkSession
-    checkpoint_root(spark)
-    old = _read_or_none(spark, path)
+    v = latest_version(spark, path)
+    old = None if v is None else spark.read.parquet(f"{path}/version={v}")
     rows = updates if old is None else old.unionByName(updates, allowMissingColumns=True)
     fields = [c for c in rows.columns if c not in (key, seq_col)]
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq_col))).alias(c) for c in fields]
     merged = rows.groupBy(key).agg(*aggs, F.max(seq_col).alias(seq_col))
-    merged = merged.checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    target = f"{path}/version={0 if v is None else v + 1}"
+    merged.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
 
 
 def set_value(updates: DataFrame, path: str, key: str, value_col: str, seq_col: str) -> DataFrame:

@@ -13,7 +13,7 @@ from beatstream.sources import files as FS
 from beatstream.streaming import flows as FL
 from beatstream.streaming import metrics as MET
 from beatstream.streaming.repeat import repeat_listens_stream
-from beatstream.streaming.sinks import append_table, set_add, upsert_by_key
+from beatstream.streaming.sinks import append_table, read_keyed_table, set_add, upsert_by_key
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
 NOW = {"availableNow": True}
@@ -106,8 +106,13 @@ def test_upsert_last_write_wins_per_field(spark, tmp_dir):
     upsert_by_key(spark.createDataFrame([(1, "a", 10, 1)], "k long, name string, age int, seq int"), path, "k", "seq")
     upsert_by_key(spark.createDataFrame([(1, None, 11, 2), (2, "b", None, 2)],
                                         "k long, name string, age int, seq int"), path, "k", "seq")
-    got = {r.k: (r.name, r.age) for r in spark.read.parquet(path).collect()}
+    got = {r.k: (r.name, r.age) for r in read_keyed_table(spark, path).collect()}
     assert got == {1: ("a", 11), 2: ("b", None)}
+    # a repeated call writes the next snapshot with the same content; older ones stay intact
+    upsert_by_key(spark.createDataFrame([(1, None, 11, 2), (2, "b", None, 2)],
+                                        "k long, name string, age int, seq int"), path, "k", "seq")
+    assert {r.k: (r.name, r.age) for r in read_keyed_table(spark, path).collect()} == got
+    assert spark.read.parquet(path + "/version=0").count() == 1
 
 
 def test_ad_flag_stream_replays_write_once(spark, tmp_dir):
