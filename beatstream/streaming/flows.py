@@ -61,7 +61,7 @@ def run_for(query, minutes: float = 0) -> None:
         query.stop()
 
 
-# --- stage 3: parse -> enrich -> flag -> append + audience set ---------------------------
+# --- real-time ad flags: parse -> enrich -> flag -> append + audience set ---------------
 
 def ad_flag_records(lines: DataFrame, customers: DataFrame, predictions: DataFrame,
                     on_missing: str = "null", hot_customers: list | None = None) -> DataFrame:
