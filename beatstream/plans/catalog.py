@@ -22,19 +22,11 @@ from beatstream.operators import retail as R
 from beatstream.operators import sets as SET
 from beatstream.operators import tags as TG
 from beatstream.operators import windows as W
+from beatstream.plans.derived import enriched, predictions
 from beatstream.sources import testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return J.enrich_with_customer(T.plays(spark, sf), T.customers(spark, sf))
-
-
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in predictions derived from the data: the click label of each customer."""
-    feats = PR.build_features(T.plays(spark, sf), T.clicks(spark, sf))
-    return feats.select("customer_id", F.col("label").cast("int").alias("pred"))
-
 
 # --- dashboard aggregations -------------------------------------------------------
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from beatstream.functions.parse import parse_plays
 from beatstream.operators import model as M
 from beatstream.operators import profile as PR
+from beatstream.plans.derived import predictions
 from beatstream.session import shared_path
 from beatstream.sources import files as FS
 from beatstream.sources import testdata as T
@@ -22,14 +23,8 @@ from beatstream.streaming import metrics as MET
 from beatstream.streaming.repeat import repeat_listens_stream
 from beatstream.streaming.sinks import append_table, read_keyed_table, set_value, upsert_by_key
 
-
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in predictions derived from the data: the click label of each customer."""
-    feats = PR.build_features(T.plays(spark, sf), T.clicks(spark, sf))
-    return feats.select("customer_id", F.col("label").cast("int").alias("pred"))
-
 AVAILABLE_NOW = {"availableNow": True}
-LINE_FILES = 4  # play-log files written per stream run (one micro-batch each)
+LINE_FILES = 4  # play-log files written per stream run (one micro-batch each with maxFilesPerTrigger=1)
 
 
 def _write_csv(df: DataFrame, path: str, header: bool) -> None:
