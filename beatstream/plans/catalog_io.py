@@ -262,7 +262,22 @@ def q_stream_access_stats(spark, sf):
     return spark.read.parquet(out).select("window_start", "window_end", "plays", "mobile_plays")
 
 
+def q_stream_top_tracks_by_gender(spark, sf):
+    """Top 10 tracks per gender over 30-hour windows sliding every hour, on the
+    play stream joined to the customer table."""
+    from beatstream.operators.joins import enrich_with_customer
+    cust_path = shared_path(spark, "customers")
+    T.customers(spark, sf).write.parquet(cust_path)
+    plays = T.plays_from_events(T.events_stream(spark, sf))
+    enriched = enrich_with_customer(plays, spark.read.parquet(cust_path))
+    out = shared_path(spark, "top-tracks")
+    FL.top_tracks_by_gender_stream(enriched, out, "30 hours", "1 hour", 10, "10 minutes",
+                                   trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 IO_QUERIES = {
+    "stream_top_tracks_by_gender": q_stream_top_tracks_by_gender,
     "stream_access_stats": q_stream_access_stats,
     "parse_libsvm_lines": q_parse_libsvm_lines,
     "stream_publish_lines": q_stream_publish_lines,

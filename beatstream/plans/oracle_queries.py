@@ -347,3 +347,13 @@ FROM (SELECT p.*, time_bucket(INTERVAL 5 MINUTE, datetime) - k * INTERVAL 5 MINU
       FROM plays p, range(0, 6) r(k))
 GROUP BY window_start
 HAVING window_start + INTERVAL 30 MINUTE <= {WATERMARK_10M.replace("MAX(ts)) FROM events", "MAX(datetime)) FROM plays")}""")
+
+ORACLE["stream_top_tracks_by_gender"] = with_views(["enriched"], f"""
+, w AS (SELECT time_bucket(INTERVAL 1 HOUR, datetime) - k * INTERVAL 1 HOUR AS window_start, gender, track_id
+        FROM enriched, range(0, 30) r(k) WHERE gender IS NOT NULL),
+c AS (SELECT window_start, window_start + INTERVAL 30 HOUR AS window_end, gender, track_id, COUNT(*) AS plays
+      FROM w GROUP BY 1, 2, 3, 4)
+SELECT window_start, window_end, gender, track_id, plays,
+       CAST(ROW_NUMBER() OVER (PARTITION BY window_start, gender ORDER BY plays DESC, track_id) AS INTEGER) AS rank
+FROM c WHERE window_end <= {WATERMARK_10M}
+QUALIFY rank <= 10""")

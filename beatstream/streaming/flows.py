@@ -182,3 +182,34 @@ def access_stats_stream(plays: DataFrame, length: str = "30 minutes", slide: str
                   F.approx_count_distinct("customer_id").alias("approx_customers"))
              .select(ntz(F.col("window.start")).alias("window_start"),
                      ntz(F.col("window.end")).alias("window_end"), "plays", "mobile_plays", "approx_customers"))
+
+
+def top_tracks_by_gender_stream(enriched: DataFrame, out_path: str, length: str = "30 hours",
+                                slide: str = "1 hour", n: int = 10, delay: str = "10 minutes",
+                                checkpoint: str | None = None, trigger: dict | None = None,
+                                ts_col: str = "datetime"):
+    """Top ``n`` tracks per gender in each sliding window of ``length`` (every ``slide``).
+
+    Counts per (window, gender, track) are kept in state until the watermark passes
+    the window end; the finished windows of a batch are ranked in ``foreachBatch``
+    (per window and gender, partial group limit before the shuffle) and written
+    idempotently per batch id as flat rows.
+    """
+    e = event_time(enriched.filter(F.col("gender").isNotNull()), ts_col).withWatermark(ts_col, delay)
+    w = F.window(F.col(ts_col), length, slide)
+    counts = (e.groupBy(w.alias("window"), "gender", "track_id").agg(F.count(F.lit(1)).alias("plays"))
+               .select(ntz(F.col("window.start")).alias("window_start"),
+                       ntz(F.col("window.end")).alias("window_end"), "gender", "track_id", "plays"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            ranked = top_n_per_group(batch, ["window_start", "window_end", "gender"],
+                                     [F.desc("plays"), F.asc("track_id")], n, rank_col="rank")
+            write_batch_output(ranked, out_path, batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(counts, handle, checkpoint, trigger or {"processingTime": slide})
