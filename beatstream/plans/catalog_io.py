@@ -189,8 +189,7 @@ def q_stream_repeat_listens(spark, sf):
 def q_stream_progress_metrics(spark, sf):
     """Progress of a tumbling-count stream as metric samples, rolled up per minute."""
     counts = FL.tumbling_counts(T.events_stream(spark, sf, max_files_per_trigger=1), "1 hour")
-    q = FL.start(counts, sink="memory", query_name=f"progress_{abs(hash(sf)) % 10_000}",
-                 trigger=AVAILABLE_NOW)
+    q = FL.start(counts, sink="parquet", path=shared_path(spark, "tumbling-progress"), trigger=AVAILABLE_NOW)
     q.awaitTermination()
     return MET.metric_rollup(MET.progress_samples(spark, q), "1 minute")
 

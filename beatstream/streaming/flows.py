@@ -32,13 +32,16 @@ def ntz(c: Column) -> Column:
 
 
 def start(df: DataFrame, handler: Callable | None = None, checkpoint: str | None = None,
-          trigger: dict | None = None, output_mode: str = "append", sink: str = "memory",
+          trigger: dict | None = None, output_mode: str = "append", sink: str = "parquet",
           query_name: str | None = None, path: str | None = None):
     """Start a query: ``foreachBatch(handler)`` when given, else the named sink.
 
-    ``trigger`` follows ``DataStreamWriter.trigger`` keywords, e.g.
-    ``{"processingTime": "2 seconds"}`` (the reference's batch interval) or
-    ``{"availableNow": True}`` for a bounded run over what is there.
+    File sinks write to ``path`` (default: a fresh folder below the shared
+    checkpoint root).  The ``memory`` sink keeps the whole result on the driver
+    and is meant for small results and tests only.  ``trigger`` follows
+    ``DataStreamWriter.trigger`` keywords, e.g. ``{"processingTime": "2 seconds"}``
+    (the reference's batch interval) or ``{"availableNow": True}`` for a bounded
+    run over what is there.
     """
     spark = df.sparkSession
     w = (df.writeStream.outputMode(output_mode)
@@ -49,7 +52,9 @@ def start(df: DataFrame, handler: Callable | None = None, checkpoint: str | None
     if handler is not None:
         return w.foreachBatch(handler).start()
     w = w.format(sink)
-    return w.start(path) if path else w.start()
+    if sink in ("memory", "console", "noop"):
+        return w.start()
+    return w.start(path or shared_path(spark, f"{sink}-out"))
 
 
 def run_for(query, minutes: float = 0) -> None:
