@@ -145,6 +145,14 @@ def q_stream_ad_flags(spark, sf):
     return spark.read.parquet(out).drop("@timestamp", "batch_id")
 
 
+def q_dashboard_on_index(spark, sf):
+    """A dashboard over the table the real-time flow writes: app link by age range
+    on the enriched play records (the index the dashboards read)."""
+    from beatstream.operators.dashboard import applink_by_age
+    out, _ = _ad_flag_run(spark, sf)
+    return applink_by_age(spark.read.parquet(out))
+
+
 def q_stream_audience(spark, sf):
     _, audience = _ad_flag_run(spark, sf)
     return spark.read.parquet(audience)
@@ -276,6 +284,7 @@ def q_stream_top_tracks_by_gender(spark, sf):
 
 
 IO_QUERIES = {
+    "dashboard_on_index": q_dashboard_on_index,
     "stream_top_tracks_by_gender": q_stream_top_tracks_by_gender,
     "stream_access_stats": q_stream_access_stats,
     "parse_libsvm_lines": q_parse_libsvm_lines,

@@ -357,3 +357,17 @@ SELECT window_start, window_end, gender, track_id, plays,
        CAST(ROW_NUMBER() OVER (PARTITION BY window_start, gender ORDER BY plays DESC, track_id) AS INTEGER) AS rank
 FROM c WHERE window_end <= {WATERMARK_10M}
 QUALIFY rank <= 10""")
+
+ORACLE["dashboard_on_index"] = with_views(["parsed_lines", "customers"], f"""
+, idx AS (
+  SELECT p.*, c.age, c.LinkedWithApps FROM parsed_lines p LEFT JOIN customers c ON p.customer_id = c.customer_id
+  WHERE p.reject_reason IS NULL)
+SELECT r.label AS age_range, CAST(r.lo AS DOUBLE) AS age_range_from, CAST(r.hi AS DOUBLE) AS age_range_to,
+       i.LinkedWithApps, COUNT(*) AS plays,
+       CAST(ROW_NUMBER() OVER (PARTITION BY r.label ORDER BY COUNT(*) DESC, i.LinkedWithApps) AS INTEGER)
+         AS LinkedWithApps_rank
+FROM idx i JOIN {_ranges_values(APPLINK_AGE_RANGES)}
+  ON (r.lo IS NULL OR i.age >= r.lo) AND (r.hi IS NULL OR i.age < r.hi)
+WHERE i.LinkedWithApps IS NOT NULL
+GROUP BY 1, 2, 3, 4
+QUALIFY LinkedWithApps_rank <= 5""")
