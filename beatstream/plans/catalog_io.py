@@ -153,6 +153,14 @@ def q_dashboard_on_index(spark, sf):
     return applink_by_age(spark.read.parquet(out))
 
 
+def q_compact_index(spark, sf):
+    """The streamed play records compacted from per-batch files into date partitions
+    (the partition column is left out of the result; the rows are the records)."""
+    from beatstream.streaming.sinks import compact_table
+    out, _ = _ad_flag_run(spark, sf)
+    return compact_table(spark, out, shared_path(spark, "index-compacted")).drop("@timestamp", "play_date")
+
+
 def q_stream_audience(spark, sf):
     _, audience = _ad_flag_run(spark, sf)
     return spark.read.parquet(audience)
@@ -284,6 +292,7 @@ def q_stream_top_tracks_by_gender(spark, sf):
 
 
 IO_QUERIES = {
+    "compact_index": q_compact_index,
     "dashboard_on_index": q_dashboard_on_index,
     "stream_top_tracks_by_gender": q_stream_top_tracks_by_gender,
     "stream_access_stats": q_stream_access_stats,

@@ -371,3 +371,5 @@ FROM idx i JOIN {_ranges_values(APPLINK_AGE_RANGES)}
 WHERE i.LinkedWithApps IS NOT NULL
 GROUP BY 1, 2, 3, 4
 QUALIFY LinkedWithApps_rank <= 5""")
+
+ORACLE["compact_index"] = with_views(["parsed_lines", "customers", "predictions"], STREAM_FLAGGED)

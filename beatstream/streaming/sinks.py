@@ -147,3 +147,29 @@ def write_batch_output(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch's rows to ``path/batch_id=<id>``, replacing a previous
     attempt of the same batch: an idempotent append for ``foreachBatch``."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def compact_table(spark: SparkSession, src: str, dst: str, ts_col: str = "datetime",
+                  date_col: str = "play_date", drop: tuple[str, ...] = ("batch_id",),
+                  max_records_per_file: int = 5_000_000) -> DataFrame:
+    """Rewrite a table of many small per-batch files into date partitions.
+
+    The read packs small files into input tasks of about
+    ``spark.sql.files.maxPartitionBytes``; each task writes its rows straight into
+    their date folders (no shuffle, so a busy day is not funnelled into one task).
+    Dynamic partition overwrite replaces only the dates being written, so a
+    re-run after a failure gives the same table.  Returns the compacted table.
+    """
+    df = spark.read.parquet(src)
+    df = df.drop(*[c for c in drop if c in df.columns]).withColumn(date_col, F.to_date(F.col(ts_col)))
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (df.write.mode("overwrite").partitionBy(date_col)
+           .option("maxRecordsPerFile", max_records_per_file).parquet(dst))
+    finally:
+        if prev is None:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        else:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    return spark.read.parquet(dst)

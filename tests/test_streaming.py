@@ -209,3 +209,16 @@ def test_access_stats_stream_close_to_batch(spark, tmp_dir):
     for k, r in got.items():
         assert (r.plays, r.mobile_plays) == (exp[k].plays, exp[k].mobile_plays)
         assert abs(r.approx_customers - exp[k].unique_customers) <= max(2, 0.15 * exp[k].unique_customers)
+
+
+def test_compaction_is_whole_and_repeatable(spark, tmp_dir):
+    from beatstream.streaming.sinks import compact_table, write_batch_output
+    rows = [(i, T0 + dt.timedelta(hours=5 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "event_id long, datetime timestamp_ntz")
+    src, dst = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "dst")
+    for b in range(4):
+        write_batch_output(df.filter(F.col("event_id") % 4 == b), src, b)
+    for _ in range(2):  # a re-run replaces the same dates
+        out = compact_table(spark, src, dst)
+    assert out.count() == 40 and out.select("event_id").distinct().count() == 40
+    assert out.select("play_date").distinct().count() == len({(T0 + dt.timedelta(hours=5 * i)).date() for i in range(40)})
