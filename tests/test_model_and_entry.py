@@ -89,3 +89,13 @@ def test_fast_oracles_at_smallest_scale(spark):
         got_rows = sorted(tuple(str(r[c]) for c in cols) for r in got.collect())
         exp_rows = sorted(tuple(str(v) for v in row) for row in exp)
         assert got_rows == exp_rows, n
+
+
+def test_command_line_list_and_run(spark, capsys):
+    from beatstream.__main__ import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out.split()
+    assert "mobile_trend" in listed and len(listed) == len(entry.queries())
+    assert main(["run", "terms_zip", "--sf", SF_SMALL, "--show", "3"]) == 0
+    assert "listening_zip_code" in capsys.readouterr().out
+    assert main(["run", "no_such_query", "--sf", SF_SMALL]) == 2
