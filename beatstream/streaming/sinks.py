@@ -80,6 +80,24 @@ def read_keyed_table(spark: SparkSession, path: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{path}/version={v}")
 
 
+def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the ``keep`` newest snapshots of a keyed table; returns the
+    versions removed.  Uses the Hadoop file system of the table's path (HDFS,
+    object stores, local), so it works wherever the table lives.  Run it only
+    while no reader still uses an old snapshot."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    versions = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(root)
+                      if st.isDirectory() and st.getPath().getName().startswith("version="))
+    old = versions[:-keep] if keep > 0 else versions
+    for v in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}"), True)
+    return old
+
+
 def upsert_by_key(updates: DataFrame, path: str, key: str, seq_col: str) -> DataFrame:
     """Merge field groups into one record per key; the last write wins per field.
 
@@ -89,7 +107,7 @@ def upsert_by_key(updates: DataFrame, path: str, key: str, seq_col: str) -> Data
     as the next snapshot ``path/version=<n+1>``: the snapshot being read is never
     overwritten, so a failed or repeated call leaves the current snapshot intact
     and a retry gives the same result.  Returns the new snapshot.  (Old snapshots
-    stay until removed; one writer per table.)
+    stay until ``drop_old_snapshots``; one writer per table.)
     """
     spark = updates.sparkSession
     v = latest_version(spark, path)

@@ -222,3 +222,14 @@ def test_compaction_is_whole_and_repeatable(spark, tmp_dir):
         out = compact_table(spark, src, dst)
     assert out.count() == 40 and out.select("event_id").distinct().count() == 40
     assert out.select("play_date").distinct().count() == len({(T0 + dt.timedelta(hours=5 * i)).date() for i in range(40)})
+
+
+def test_drop_old_snapshots_keeps_the_newest(spark, tmp_dir):
+    from beatstream.streaming.sinks import drop_old_snapshots
+    path = os.path.join(tmp_dir, "kv")
+    for seq in range(4):
+        upsert_by_key(spark.createDataFrame([(1, f"v{seq}", seq)], "k long, name string, seq int"), path, "k", "seq")
+    assert drop_old_snapshots(spark, path, keep=2) == [0, 1]
+    assert sorted(os.listdir(path)) == ["version=2", "version=3"]
+    assert read_keyed_table(spark, path).first().name == "v3"
+    assert drop_old_snapshots(spark, os.path.join(tmp_dir, "missing")) == []
