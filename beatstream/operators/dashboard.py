@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatstream.functions.timeutil import ntz_micros
 from beatstream.operators.windows import share_of_total, top_n_per_group
 
 # Fixed values (must equal the reference dashboards): age ranges, half-open [from, to),
@@ -51,7 +52,7 @@ AUTO_TARGET_BUCKETS = 100
 def auto_width_seconds(df: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> Column:
     """The smallest ladder width that cuts the data's time span into at most
     ``target`` buckets (the widest width past that), as one scalar subquery."""
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    us = ntz_micros(F.col(ts_col))
     span_s = (F.max(us) - F.min(us)) / F.lit(1_000_000.0)
     choice = None
     for w in AUTO_WIDTHS[:-1]:
@@ -64,8 +65,9 @@ def auto_width_seconds(df: DataFrame, ts_col: str = "datetime", target: int = AU
 def auto_time_bucket(df: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> Column:
     """Bucket start on an automatic width, aligned to the epoch like ``window``."""
     width_us = auto_width_seconds(df, ts_col, target) * F.lit(1_000_000)
-    us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    return F.timestamp_micros(us - F.pmod(us, width_us)).cast("timestamp_ntz")
+    offset_us = F.pmod(ntz_micros(F.col(ts_col)), width_us)
+    # subtract the offset as an interval: stays timestamp_ntz, no time zone involved
+    return F.col(ts_col) - F.make_dt_interval(secs=(offset_us / F.lit(1_000_000)).cast("decimal(18,6)"))
 
 
 def mobile_trend_auto(plays: DataFrame, ts_col: str = "datetime", target: int = AUTO_TARGET_BUCKETS) -> DataFrame:

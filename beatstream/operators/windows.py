@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatstream.functions.timeutil import ntz_micros
+
 DEFAULT_SALT_BUCKETS = 16
 # Width of a time bucket of ``kth_previous_gap``, in horizons.
 BUCKET_HORIZONS = 4
@@ -69,7 +71,7 @@ def share_of_total(df: DataFrame, group: str | Sequence[str] | None, count_col:
 
 
 def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    return ntz_micros(ts)
 
 
 def kth_previous_gap(df: DataFrame, keys: Sequence[str], k: int, horizon_seconds: int,

@@ -199,7 +199,7 @@ def q_stream_repeat_listens(spark, sf):
     out = shared_path(spark, "repeat")
     rep = repeat_listens_stream(plays, 3, 24 * 3600, "1 day")
     append_table(rep, out, trigger=AVAILABLE_NOW).awaitTermination()
-    return spark.read.parquet(out).withColumn("first_detected", F.col("first_detected").cast("timestamp_ntz"))
+    return spark.read.parquet(out)
 
 
 def q_stream_progress_metrics(spark, sf):
@@ -262,7 +262,7 @@ def q_stream_mobile_trend(spark, sf):
     plays = FL.event_time(T.plays_from_events(T.events_stream(spark, sf)), "datetime")
     trend = approx_users(plays.withWatermark("datetime", "10 minutes"), "1 hour")
     out = shared_path(spark, "mobile-trend")
-    append_table(trend.withColumn("bucket_start", F.col("bucket_start").cast("timestamp_ntz")), out,
+    append_table(trend.withColumn("bucket_start", FL.ntz(F.col("bucket_start"))), out,
                  trigger=AVAILABLE_NOW).awaitTermination()
     return spark.read.parquet(out)
 

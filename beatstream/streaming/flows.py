@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from beatstream.functions.parse import parse_plays
 from beatstream.functions.scalar import hashtags
+from beatstream.functions.timeutil import instant_to_ntz, ntz_to_instant
 from beatstream.operators.joins import enrich_with_customer, flag_ad_targets, index_document
 from beatstream.operators.windows import top_n_per_group
 from beatstream.session import shared_path
@@ -24,11 +25,17 @@ DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
 
 
 def event_time(df: DataFrame, col: str, as_col: str | None = None) -> DataFrame:
-    return df.withColumn(as_col or col, F.col(col).cast("timestamp"))
+    """Event time as ``timestamp`` for watermarks; a ``timestamp_ntz`` wall clock is
+    read as UTC, so windows align the same way in every session time zone."""
+    c = F.col(col)
+    if df.schema[col].dataType.typeName() == "timestamp_ntz":
+        c = ntz_to_instant(c)
+    return df.withColumn(as_col or col, c)
 
 
 def ntz(c: Column) -> Column:
-    return c.cast("timestamp_ntz")
+    """Back to the data model's ``timestamp_ntz`` (inverse of ``event_time``)."""
+    return instant_to_ntz(c)
 
 
 def start(df: DataFrame, handler: Callable | None = None, checkpoint: str | None = None,

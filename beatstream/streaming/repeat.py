@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT_SCHEMA = "customer_id long, track_id long, first_detected timestamp"
+from beatstream.functions.timeutil import instant_to_ntz, ntz_micros, ntz_to_instant
+
+OUTPUT_SCHEMA = "customer_id long, track_id long, first_detected_us long"
 STATE_SCHEMA = "times array<long>, reported boolean"
 
 
@@ -43,14 +45,14 @@ def _make_state_fn(k: int, within_us: int):
             state.remove()
             return
         times, reported = (list(state.get[0]), bool(state.get[1])) if state.exists else ([], False)
-        new = [pd.to_datetime(b["ts"]).astype("int64").to_numpy() // 1000 for b in batches]
+        new = [b["us"].to_numpy(dtype=np.int64) for b in batches]
         merged = np.sort(np.concatenate([np.asarray(times, dtype=np.int64), *new]))
         if not reported:
             end = _first_run_end(merged, k, within_us)
             if end is not None:
                 reported = True
                 yield pd.DataFrame({"customer_id": [key[0]], "track_id": [key[1]],
-                                    "first_detected": [pd.Timestamp(end, unit="us")]})
+                                    "first_detected_us": [end]})
         if reported:
             # Reported keys keep only the flag: emit once per (customer, track).
             state.update(([], True))
@@ -65,10 +67,16 @@ def _make_state_fn(k: int, within_us: int):
 
 def repeat_listens_stream(plays: DataFrame, min_plays: int = 3, within_seconds: int = 30 * 60,
                           delay: str = "30 minutes", ts_col: str = "datetime") -> DataFrame:
-    """Streaming (customer, track, first_detected) reports, each key once."""
-    p = (plays.select("customer_id", "track_id", F.col(ts_col).cast("timestamp").alias("ts"))
+    """Streaming (customer, track, first_detected) reports, each key once.
+
+    Play times travel as epoch microseconds of the wall clock (no time zone), and
+    ``first_detected`` comes back as ``timestamp_ntz`` like the batch form."""
+    p = (plays.select("customer_id", "track_id", ntz_to_instant(F.col(ts_col)).alias("ts"),
+                      ntz_micros(F.col(ts_col)).alias("us"))
               .withWatermark("ts", delay))
     fn = _make_state_fn(min_plays, within_seconds * 1_000_000)
-    return (p.groupBy("customer_id", "track_id")
-             .applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                     GroupStateTimeout.EventTimeTimeout))
+    out = (p.groupBy("customer_id", "track_id")
+            .applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.EventTimeTimeout))
+    return out.select("customer_id", "track_id",
+                      instant_to_ntz(F.timestamp_micros(F.col("first_detected_us"))).alias("first_detected"))
