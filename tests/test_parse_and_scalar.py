@@ -90,3 +90,22 @@ def test_synth_age_is_deterministic_and_in_range(spark):
     # decade weights: 20s are the most common decade
     by_decade = {r.d: r["count"] for r in df.groupBy((F.floor(F.col("a") / 10) * 10).alias("d")).count().collect()}
     assert max(by_decade, key=by_decade.get) == 20
+
+
+def test_time_conversions_ignore_the_session_zone(spark):
+    from beatstream.functions.timeutil import instant_to_ntz, ntz_micros, ntz_to_instant
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["Asia/Kolkata", "America/New_York", "UTC"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 12:34:56.123456' AS t "
+                           "UNION ALL SELECT TIMESTAMP_NTZ'1969-12-31 23:59:59.5'")
+            rows = df.select("t", ntz_micros(F.col("t")).alias("us"),
+                             instant_to_ntz(ntz_to_instant(F.col("t"))).alias("back"),
+                             instant_to_ntz(F.window(ntz_to_instant(F.col("t")), "20 minutes").start).alias("w")
+                             ).orderBy("t").collect()
+            assert [r.us for r in rows] == [-500000, 1704112496123456], tz
+            assert all(r.back == r.t for r in rows), tz
+            assert str(rows[1].w) == "2024-01-01 12:20:00", tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
