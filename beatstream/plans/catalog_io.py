@@ -291,7 +291,20 @@ def q_stream_top_tracks_by_gender(spark, sf):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def q_stream_level_gender_trend(spark, sf):
+    """Hourly plays per level and gender on the play stream joined to customers."""
+    from beatstream.operators.joins import enrich_with_customer
+    cust_path = shared_path(spark, "customers")
+    T.customers(spark, sf).write.parquet(cust_path)
+    plays = T.plays_from_events(T.events_stream(spark, sf))
+    enriched = enrich_with_customer(plays, spark.read.parquet(cust_path))
+    out = shared_path(spark, "level-gender")
+    FL.level_gender_trend_stream(enriched, out, "1 hour", 5, "10 minutes", trigger=AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 IO_QUERIES = {
+    "stream_level_gender_trend": q_stream_level_gender_trend,
     "compact_index": q_compact_index,
     "dashboard_on_index": q_dashboard_on_index,
     "stream_top_tracks_by_gender": q_stream_top_tracks_by_gender,

@@ -373,3 +373,12 @@ GROUP BY 1, 2, 3, 4
 QUALIFY LinkedWithApps_rank <= 5""")
 
 ORACLE["compact_index"] = with_views(["parsed_lines", "customers", "predictions"], STREAM_FLAGGED)
+
+ORACLE["stream_level_gender_trend"] = with_views(["enriched"], f"""
+, c AS (SELECT time_bucket(INTERVAL 1 HOUR, datetime) AS window_start,
+               time_bucket(INTERVAL 1 HOUR, datetime) + INTERVAL 1 HOUR AS window_end,
+               Level, gender, COUNT(*) AS plays
+        FROM enriched WHERE Level IS NOT NULL AND gender IS NOT NULL GROUP BY 1, 2, 3, 4)
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY window_start, Level ORDER BY plays DESC, gender) AS INTEGER) AS rank
+FROM c WHERE window_end <= {WATERMARK_10M}
+QUALIFY rank <= 5""")

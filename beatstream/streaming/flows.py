@@ -196,32 +196,51 @@ def access_stats_stream(plays: DataFrame, length: str = "30 minutes", slide: str
                      ntz(F.col("window.end")).alias("window_end"), "plays", "mobile_plays", "approx_customers"))
 
 
-def top_tracks_by_gender_stream(enriched: DataFrame, out_path: str, length: str = "30 hours",
-                                slide: str = "1 hour", n: int = 10, delay: str = "10 minutes",
-                                checkpoint: str | None = None, trigger: dict | None = None,
-                                ts_col: str = "datetime"):
-    """Top ``n`` tracks per gender in each sliding window of ``length`` (every ``slide``).
+def windowed_top_n_stream(df: DataFrame, out_path: str, group: list[str], item: str, length: str,
+                          slide: str | None = None, n: int = 10, delay: str = "10 minutes",
+                          checkpoint: str | None = None, trigger: dict | None = None,
+                          ts_col: str = "datetime", count_col: str = "plays"):
+    """Top ``n`` values of ``item`` per ``group`` in each event-time window.
 
-    Counts per (window, gender, track) are kept in state until the watermark passes
+    Counts per (window, group, item) are kept in state until the watermark passes
     the window end; the finished windows of a batch are ranked in ``foreachBatch``
-    (per window and gender, partial group limit before the shuffle) and written
-    idempotently per batch id as flat rows.
+    (per window and group, partial group limit before the shuffle) and written
+    idempotently per batch id as flat rows.  ``slide`` None means tumbling windows.
     """
-    e = event_time(enriched.filter(F.col("gender").isNotNull()), ts_col).withWatermark(ts_col, delay)
-    w = F.window(F.col(ts_col), length, slide)
-    counts = (e.groupBy(w.alias("window"), "gender", "track_id").agg(F.count(F.lit(1)).alias("plays"))
+    e = event_time(df.filter(F.col(item).isNotNull()), ts_col).withWatermark(ts_col, delay)
+    w = F.window(F.col(ts_col), length, slide) if slide else F.window(F.col(ts_col), length)
+    counts = (e.groupBy(w.alias("window"), *group, item).agg(F.count(F.lit(1)).alias(count_col))
                .select(ntz(F.col("window.start")).alias("window_start"),
-                       ntz(F.col("window.end")).alias("window_end"), "gender", "track_id", "plays"))
+                       ntz(F.col("window.end")).alias("window_end"), *group, item, count_col))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
-            ranked = top_n_per_group(batch, ["window_start", "window_end", "gender"],
-                                     [F.desc("plays"), F.asc("track_id")], n, rank_col="rank")
+            ranked = top_n_per_group(batch, ["window_start", "window_end", *group],
+                                     [F.desc(count_col), F.asc(item)], n, rank_col="rank")
             write_batch_output(ranked, out_path, batch_id)
         finally:
             batch.unpersist()
 
-    return start(counts, handle, checkpoint, trigger or {"processingTime": slide})
+    return start(counts, handle, checkpoint, trigger or {"processingTime": slide or length})
+
+
+def top_tracks_by_gender_stream(enriched: DataFrame, out_path: str, length: str = "30 hours",
+                                slide: str = "1 hour", n: int = 10, delay: str = "10 minutes",
+                                checkpoint: str | None = None, trigger: dict | None = None,
+                                ts_col: str = "datetime"):
+    """Top ``n`` tracks per gender in each sliding window of ``length`` (every ``slide``)."""
+    return windowed_top_n_stream(enriched.filter(F.col("gender").isNotNull()), out_path, ["gender"],
+                                 "track_id", length, slide, n, delay, checkpoint, trigger, ts_col)
+
+
+def level_gender_trend_stream(enriched: DataFrame, out_path: str, bucket: str = "1 hour", size: int = 5,
+                              delay: str = "10 minutes", checkpoint: str | None = None,
+                              trigger: dict | None = None, ts_col: str = "datetime"):
+    """Plays per membership level, time bucket and gender (top ``size`` genders per
+    level and bucket) on a stream.  Unlike the batch form it keeps every level: the
+    top levels over all time are never final on an unbounded stream."""
+    return windowed_top_n_stream(enriched.filter(F.col("Level").isNotNull()), out_path, ["Level"],
+                                 "gender", bucket, None, size, delay, checkpoint, trigger, ts_col)
