@@ -233,3 +233,23 @@ def test_drop_old_snapshots_keeps_the_newest(spark, tmp_dir):
     assert sorted(os.listdir(path)) == ["version=2", "version=3"]
     assert read_keyed_table(spark, path).first().name == "v3"
     assert drop_old_snapshots(spark, os.path.join(tmp_dir, "missing")) == []
+
+
+def test_level_gender_trend_stream_equals_batch_over_batches(spark, tmp_dir):
+    from beatstream.operators import dashboard as D
+    rnd = random.Random(8)
+    rows = [(i, T0 + dt.timedelta(minutes=rnd.randint(0, 8 * 60)), rnd.choice(["0", "1", "2"]),
+             rnd.choice(["0", "1", None])) for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id long, datetime timestamp_ntz, Level string, gender string")
+    src = os.path.join(tmp_dir, "enriched")
+    cuts = [T0 + dt.timedelta(hours=h) for h in (0, 3, 6, 9)]
+    write_split(df, src, "datetime", list(zip(cuts, cuts[1:])))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
+    out = os.path.join(tmp_dir, "out")
+    FL.level_gender_trend_stream(stream, out, "1 hour", 5, "0 seconds", checkpoint=os.path.join(tmp_dir, "ck"),
+                                 trigger=NOW).awaitTermination()
+    got = {(r.window_start, r.Level, r.gender, r.plays, r["rank"]) for r in spark.read.parquet(out).collect()}
+    last = df.agg(F.max("datetime")).first()[0]
+    batch = D.level_gender_trend(df, "1 hour").filter(F.col("bucket_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(last))
+    exp = {(r.bucket_start, r.Level, r.gender, r.plays, r.gender_rank) for r in batch.collect()}
+    assert got == exp and exp
