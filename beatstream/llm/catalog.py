@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatstream.llm import quality, simhash
+from beatstream.llm import decontaminate, mixing, quality, simhash, tokens
 from beatstream.llm.common import table
+from beatstream.session import shared_path
+
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents by ascending id, read back and digested."""
+    import public_tokenizers
+    path = shared_path(spark, "op1-tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_digest(spark, path)
+
+
+def token_digest(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the token files at ``path``."""
+    return tokens.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +39,23 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model, threshold=0.3)
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, with at most one edit in ten characters."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                 q=8, edit_rate=0.1)
+
+
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mixture, with weights from the square roots of source sizes."""
+    return mixing.positions(table(spark, sf_dir, "documents"), block_chars=100_000, power=0.5)
+
+
 QUERIES = {
+    "op1_token_ids": op1_token_ids,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_quality_classifier": op4_quality_classifier,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLE: dict[str, str] = {}

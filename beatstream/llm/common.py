@@ -18,7 +18,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs only the tasks that read the files.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

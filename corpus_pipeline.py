@@ -6,10 +6,13 @@ returns a DataFrame, which is written as Parquet and read again as the next one'
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from beatstream.llm import quality, simhash
+from beatstream.llm import catalog, decontaminate, mixing, quality, simhash, tokens
 from beatstream.llm.common import table, written
+from beatstream.session import shared_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +26,40 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_first(docs, shingle_words=4, max_bits=4)
 
 
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), q=8, edit_rate=0.1)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in the order of the mixture; the files written from it keep that order."""
+    return mixing.mixed(docs, block_chars=100_000, power=0.5)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files in the order of the rows of ``docs`` (of their files), digested per document.
+
+    Rows that don't come from files are taken by ascending doc_id.
+    """
+    import public_tokenizers
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+    try:
+        rows = docs.select("doc_id", "text", F.when(number != "", number).cast("long").alias("part"),
+                           F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+        order = ["part", "file", "row"]
+    except AnalysisException:
+        rows, order = docs.select("doc_id", "text"), ["doc_id"]
+    path = shared_path(spark, "pipeline-tokens")
+    tokens.write_tokens(rows, path, public_tokenizers.path(catalog.TOKENIZER), catalog.END_ID, order_by=order)
+    return catalog.token_digest(spark, path)
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("SimHash near-dedup", simhash_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("token-ID / binary output", token_stage),
 ]
 
 # The classifier, the fingerprints and the tokenizer have no SQL form.
