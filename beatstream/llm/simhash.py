@@ -152,13 +152,12 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> Da
     ids = (near_duplicates(docs, shingle_words, max_bits).where("doc_id = component_id")
            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
            .select(F.col("doc_id").alias("kept_id"), "copies"))
-    kept = docs.join(ids, docs["doc_id"] == F.col("kept_id"))
-    once = kept.where("copies = 1").select(docs["*"])
-    again = kept.where("copies > 1").select(docs["*"])
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    kept = rows.join(ids, F.col("_row.doc_id") == F.col("kept_id"))
+    once = kept.where("copies = 1").select("_row.*")
     # only ids that occur on several rows: the first by its text
-    rest = [c for c in docs.columns if c != "doc_id"]
-    again = (again.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct("text", F.xxhash64(*rest))).alias("row"))
-             .select("doc_id", "row.*")).select(*docs.columns)
+    again = (kept.where("copies > 1").groupBy("kept_id")
+             .agg(F.min_by("_row", F.struct("_row.text", F.xxhash64("_row"))).alias("_row")).select("_row.*"))
     return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -1,0 +1,64 @@
+import re
+
+from beatstream.llm import urls
+from beatstream.llm.catalog import URL_RULES
+
+RULES = "action string, host string, path string"
+PAGE = "page_id long, url string, html string, key string, rule string, action string, target string"
+
+
+def judged(spark, rows, rules=URL_RULES, **kw):
+    pages = spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], PAGE)
+    out = urls.judge(pages, spark.createDataFrame(rules, RULES), **kw).collect()
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in out}
+
+
+def brute_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [(len(h + p), a == "allow", h + p, a) for a, h, p in URL_RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=(0, 0, None, None))
+    return host, path, best[2], best[3]
+
+
+URLS = ["http://a.example.com/en/1", "https://www.Example.COM/en/2?q#f", "http://x.net/es/3", "http://x.net/es", "x.net/es/",
+        "http://example.com", "http://notexample.com/en/", "ftp://u:p@b.net:80/fr/#x", "http://b.net/fr/1#://", None, "",
+        "http://", "http:///es/", "a://b://c.com/", "http://com/", "http://example.com/en/?x=://y.net/es/", "http://É.Com/Ä"]
+
+
+def test_rules_equal_brute_force(spark):
+    got = judged(spark, [(i, u, None) for i, u in enumerate(URLS)], default="none")
+    for i, u in enumerate(URLS):
+        host, path, rule, action = brute_rule(u)
+        assert got[i] == (host, path, rule, action or "none"), u
+
+
+def test_decisions_reach_aliases(spark):
+    rows = [
+        (1, "http://a.net/es/1#x", '<link rel="canonical" href="http://b.org/1">'),
+        (2, "http://b.org/1", ""),                                              # alias of a blocked page
+        (3, "http://c.org/3", '<meta http-equiv="refresh" content="0; url=/4">'),
+        (4, "http://c.org/4", "<link href='http://d.net/fr/' rel=canonical>"),  # leads to a blocked url
+        (5, "http://e.org/5?utm_source=q&id=2", '<meta property="og:url" content="http://www.example.com/en/">'),
+        (6, "http://e.org/5?id=2&ref=z", '<link rel="canonical" href="http://d.net/fr/9">'),  # allow outweighs
+        (7, "http://f.org/", "<p>http://a.net/es/1</p>"),
+        (1, "http://a.net/es/1#x", '<link rel="canonical" href="http://b.org/1">'),
+        (None, "http://b.org/1#top", None),
+    ]
+    got = {k: v[3] for k, v in judged(spark, rows).items()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow", None: "block"}
+
+
+def test_ties_empty_rules_and_empty_pages(spark):
+    tie = [("block", "example.com", "/a"), ("allow", "example.com", "/a"), ("block", "b.example.com", "/"), ("allow", "x.org", "/")]
+    got = judged(spark, [(1, "http://example.com/ab", None), (2, "http://b.example.com/a", None)], tie)
+    assert got[1][2:] == ("example.com/a", "allow") and got[2][2:] == ("b.example.com/", "block")
+    pages = spark.createDataFrame([], PAGE)
+    assert urls.judge(pages, spark.createDataFrame(URL_RULES, RULES)).count() == 0
+    none = urls.judge(spark.createDataFrame([(1, "http://x.net/es/", "", "", "", "", "")], PAGE), spark.createDataFrame([], RULES))
+    assert [r.verdict for r in none.collect()] == ["allow"]
