@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,12 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     four = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     four[:len(v)] = extra
     control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    at = np.cumsum(extra + 1, dtype=np.int64) - extra - 1
+    data = np.empty(int(at[-1]) + int(extra[-1]) + 1 if len(v) else 0, np.uint8)
+    data[at] = v.astype(np.uint8)
+    for k in range(1, 4):
+        longer = np.nonzero(extra >= k)[0]
+        data[at[longer] + k] = (v[longer] >> np.uint32(8 * k)).astype(np.uint8)
     return control.tobytes(), data.tobytes()
 
 
@@ -54,20 +60,35 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts, remembered by white-space-separated piece.
+    """Ids of texts, by way of their distinct words.
 
     The tokenizer drops white space and never joins characters across it, so the ids of a
-    text are those of its pieces in turn.  The memory holds at most ``LIMIT`` pieces.
+    text are those of its white-space-separated pieces in turn.  A piece that is a word with
+    closing marks is two pre-tokens.  Pieces are made distinct, split and put together again
+    column-wise; words are encoded many at a time (each is one pre-token, whose last token
+    carries the end-of-word mark) and remembered in two generations of about ``LIMIT`` words.
     """
 
     LIMIT = 300_000
-    LONGEST = 64
+    LONGEST = 40
+    SUFFIX = "</w>"
+    MARKS = ".,;:!?|&%$#*"
+    # Latin letters: one word, whatever normalisation does to them
+    PLAIN = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,;:!?|&%$#*]*$"
     made: dict[tuple[str, str], Encoder] = {}
 
     def __init__(self, path: str, dtype: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
+        from tokenizers import Tokenizer, pre_tokenizers
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        # the same model for words that need neither normalising nor splitting (a-z only)
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer, self.words.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith(self.SUFFIX)]] = True
 
     @classmethod
     def of(cls, path: str, dtype: str) -> Encoder:
@@ -75,20 +96,96 @@ class Encoder:
             cls.made[path, dtype] = cls(path, dtype)
         return cls.made[path, dtype]
 
-    def ids(self, text: str | None) -> bytes:
-        pieces = (text or "").replace("\n", " ").split(" ")
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        own: dict[str, bytes] = {}
-        if new:
-            if len(known) > self.LIMIT:
-                known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                (known if len(p) <= self.LONGEST else own)[p] = np.array(e.ids, self.dtype).tobytes()
-        if own:
-            return b"".join([known[p] if p in known else own[p] for p in pieces])
-        return b"".join([known[p] for p in pieces])
+    def _one(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _many(self, words: list[str], tokenizer) -> list[bytes]:
+        """Ids of words that are one pre-token each."""
+        if not words:
+            return []
+        rows = tokenizer.encode_batch_fast([" ".join(words[i:i + 200]) for i in range(0, len(words), 200)],
+                                           add_special_tokens=False)
+        ids = np.concatenate([np.array(r.ids, self.dtype) for r in rows])
+        ends = np.nonzero(self.last[ids])[0] + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return [self._one(w) for w in words]
+        raw, cuts = ids.tobytes(), [0, *(ends * self.dtype.itemsize).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def distinct(self, keys: list[str], plain: np.ndarray) -> list[bytes]:
+        """Ids of each of the distinct ``keys``: lower-case words where ``plain``, whole pieces elsewhere."""
+        out = list(map(self.young.get, keys))
+        ascii_words, latin = [], []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            k = keys[i]
+            x = self.old.get(k)
+            if x is not None:
+                self.young[k] = out[i] = x
+            elif not plain[i]:
+                self.young[k] = out[i] = self._one(k) if k else b""
+            else:
+                (ascii_words if k.isascii() else latin).append(i)
+        for places, tokenizer in ((ascii_words, self.words), (latin, self.tokenizer)):
+            words = [keys[i] for i in places]
+            for i, k, x in zip(places, words, self._many(words, tokenizer), strict=True):
+                self.young[k] = out[i] = x
+        if len(self.young) > self.LIMIT:
+            self.young, self.old = {}, {k: x for k, x in self.young.items() if len(k) <= self.LONGEST}
+        return out
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, as bytes."""
+        column = pc.replace_substring(pa.array([t or "" for t in texts], pa.large_string()), "\n", " ")
+        split = pc.split_pattern(column, " ")
+        coded = split.values.dictionary_encode()
+        piece = coded.dictionary
+        plain = pc.match_substring_regex(piece, self.PLAIN)
+        core = pc.utf8_rtrim(piece, self.MARKS)
+        key = pc.if_else(plain, pc.ascii_lower(core), piece).dictionary_encode()
+        key_of = key.indices.to_numpy()
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        key_plain = np.zeros(len(key.dictionary), bool)
+        key_plain[key_of[is_plain]] = True
+        # a lower-case word may also stand as a whole piece: its ids are the same
+        units = self.distinct(key.dictionary.to_pylist(), key_plain)
+        # closing marks are units of their own, after the one without ids
+        marked = np.nonzero(is_plain & (pc.not_equal(core, piece).to_numpy(zero_copy_only=False)))[0]
+        tail = np.full(len(piece), len(units))
+        units.append(b"")
+        if len(marked):
+            ends = piece.take(pa.array(marked)).to_pylist()
+            seen: dict[str, int] = {}
+            for i, p in zip(marked.tolist(), ends, strict=True):
+                t = p[len(p.rstrip(self.MARKS)):]
+                if t not in seen:
+                    seen[t] = len(units)
+                    units.append(self._one(t))
+                tail[i] = seen[t]
+        size = np.fromiter(map(len, units), np.int64, len(units)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(units), self.dtype)
+        first = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        unit = np.empty(2 * len(word), np.int64)
+        unit[0::2], unit[1::2] = key_of[word], tail[word]
+        n = size[unit]
+        ends = np.cumsum(n)
+        ids = flat[np.repeat(first[unit] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], ends))[2 * split.offsets.to_numpy()]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _slices(texts: pa.Array, chars: int = 6_000_000) -> Iterator[list[str | None]]:
+    """Consecutive texts, about ``chars`` characters at a time."""
+    part, size = [], 0
+    for x in texts:
+        t = x.as_py()
+        part.append(t)
+        size += len(t or "")
+        if size >= chars:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str, order_by: list[str]) -> DataFrame:
@@ -101,7 +198,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str, orde
         enc, end = Encoder.of(tokenizer_path, dtype), np.array([end_id], dtype).tobytes()
         for b in batches:
             texts = b.column(b.num_columns - 1)
-            ids = pa.array([enc.ids(t.as_py()) + end for t in texts], pa.binary())
+            ids = pa.array([x + end for part in _slices(texts) for x in enc.texts(part)], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids], [*b.schema.names[:-1], "ids"])
 
     return written(rows.mapInArrow(run, schema), "token-ids")
@@ -113,8 +210,9 @@ def rank_table(tokens: DataFrame, dtype: str, vocabulary: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for b in batches:
-            for x in b.column(0):
-                total += np.bincount(np.frombuffer(x.as_buffer(), dtype), minlength=vocabulary)
+            for k in range(0, b.num_rows, 500):
+                ids = b"".join(b.column(0).slice(k, 500).to_pylist())
+                total += np.bincount(np.frombuffer(ids, dtype), minlength=vocabulary)
         at = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
