@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatstream.llm.common import connected_components, written
+from beatstream.llm.common import written
 
 # fixed values: common words of four languages
 ANCHORS = {
@@ -49,10 +49,11 @@ def signatures(text: Column, chain: int = 2) -> Column:
     spaced = F.concat(F.lit(" "), F.trim(plain), F.lit(" "))
     # anchors are glued to the word after them: "the of cat " -> "the<MARK>of<MARK>cat "
     glued = F.regexp_replace(spaced, f"(?<= )({_anchors()}) ", f"$1{MARK}")
-    word, glue = f"[^ {MARK}]+", f"(?:[^ {MARK}]+{MARK})"
-    chains = F.regexp_extract_all(glued, F.lit(f"(?= ({glue}+{word}(?: {glue}*{word}){{{chain - 1}}}) )"), 1)
-    hashes = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f" {glue}+", " ")))
-    pairs = F.transform(F.regexp_extract_all(spaced, F.lit("(?= ([^ ]+ [^ ]+) )"), 1), lambda c: F.xxhash64(c))
+    # possessive throughout: long rows of anchors must not be matched by recursion
+    word, glue = f"[^ {MARK}]++", f"(?:[^ {MARK}]++{MARK})"
+    chains = F.regexp_extract_all(glued, F.lit(f"(?= ({glue}++{word}(?: {glue}*+{word}){{{chain - 1}}}) )"), 1)
+    hashes = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f" {glue}++", " ")))
+    pairs = F.transform(F.regexp_extract_all(spaced, F.lit("(?= ([^ ]++ [^ ]++) )"), 1), lambda c: F.xxhash64(c))
     whole = (F.when(F.trim(plain) == "", F.array().cast("array<bigint>"))
              .when(F.instr(F.trim(plain), " ") > 0, pairs).otherwise(F.array(F.xxhash64(spaced))))
     return F.array_sort(F.array_distinct(F.when(F.size(hashes) > 0, hashes).otherwise(whole)))
@@ -108,18 +109,19 @@ def edited_fingerprints(docs: DataFrame, chain: int = 2, part: int = 4) -> DataF
     both id and text are one document in that order and keep their number of rows; of one
     id's texts the order is by hash.
     """
-    around = ordered_neighbours(docs)
-    text = F.coalesce("text", F.lit("")).alias("text")
-    cols = ["id", "hash", "prev_id", "prev_hash", "prev_size"]
-    rows = docs.select("doc_id", text, *_keys()[:2]).join(around.select(*cols), ["id", "hash"])
-    heads = (rows.select(F.col("prev_id").alias("id"), F.col("prev_hash").alias("hash"),
-                         F.substring("text", F.lit(1), F.floor(F.col("prev_size") / part).cast("int")).alias("head"),
-                         signatures(F.col("text"), chain).alias("next_sigs"))
+    around = ordered_neighbours(docs).select("id", "hash", "prev_id", "prev_hash", "prev_size")
+    # both uses need the same three columns, so the texts are shuffled once
+    rows = docs.select(*_keys()[:2], F.coalesce("text", F.lit("")).alias("text"))
+    heads = (rows.join(around, ["id", "hash"])
+             .select(F.col("prev_id").alias("id"), F.col("prev_hash").alias("hash"),
+                     F.substring("text", F.lit(1), F.floor(F.col("prev_size") / part).cast("int")).alias("head"),
+                     signatures(F.col("text"), chain).alias("next_sigs"))
              .groupBy("id", "hash").agg(F.min(F.struct("head", "next_sigs")).alias("next")))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / part).cast("int")), F.col("next.head"))
-    out = (rows.select("doc_id", "id", "hash", "text").join(heads, ["id", "hash"])
-           .select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"),
+    doc_id = F.when(F.col("id") != -(1 << 63), F.col("id"))
+    out = (rows.join(heads, ["id", "hash"])
+           .select(doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"),
                    F.col("next.next_sigs").alias("next_sigs"), signatures(F.col("text"), chain).alias("sigs"))
            .withColumn("edited_sigs", signatures(F.col("edited"), chain)))
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
