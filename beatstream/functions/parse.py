@@ -4,7 +4,9 @@ A line is ``event_id,customer_id,track_id,"yyyy-MM-dd HH:mm:ss",ismobile,"zip"``
 Fields may carry spaces after the comma and quotes may be unbalanced; every field is
 trimmed and quotes are removed, as the reference's record mapper does.  Lines the
 reference would crash on (too few fields, a customer id or mobile flag that is not
-an integer) get a ``reject_reason`` instead of failing the batch.
+an integer) get a ``reject_reason`` instead of failing the batch, and so do lines whose
+track id or event time cannot be read: such a play would be null in every later group
+or window.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatstream.functions.timeutil import instant_to_ntz
 from beatstream.schemas import PLAY_TIME_FORMAT
 
 PLAY_FIELDS = 6
@@ -28,9 +31,13 @@ def unquote(c: Column) -> Column:
 
 
 def safe_timestamp(text: Column, fmt: str = PLAY_TIME_FORMAT) -> Column:
-    """Text -> timestamp_ntz; empty or malformed text gives null, never an error."""
-    t = F.nullif(F.trim(text), F.lit(""))
-    return F.try_to_timestamp(t, F.lit(fmt)).cast("timestamp_ntz")
+    """Text -> timestamp_ntz; empty or malformed text gives null, never an error.
+
+    The text is read with an explicit zero offset and taken back as that offset's wall
+    clock: hours that the session's zone skips or repeats parse like any others.
+    """
+    t = F.concat(F.nullif(F.trim(text), F.lit("")), F.lit(" +00:00"))
+    return instant_to_ntz(F.try_to_timestamp(t, F.lit(f"{fmt} XXX")))
 
 
 def to_int(c: Column, type_: str = "int") -> Column:
@@ -50,7 +57,9 @@ def parse_play_columns(value: Column, parts: Column | None = None) -> list[Colum
     zip_code = unquote(_field(parts, 5))
     reason = (F.when(value.isNull() | (n < PLAY_FIELDS), F.lit("too_few_fields"))
                .when(customer_id.isNull(), F.lit("bad_customer_id"))
-               .when(ismobile.isNull(), F.lit("bad_ismobile")))
+               .when(ismobile.isNull(), F.lit("bad_ismobile"))
+               .when(track_id.isNull(), F.lit("bad_track_id"))
+               .when(dt.isNull(), F.lit("bad_event_time")))
     return [event_id.alias("event_id"), customer_id.alias("customer_id"),
             track_id.alias("track_id"), dt.alias("datetime"), ismobile.alias("ismobile"),
             zip_code.alias("listening_zip_code"), reason.alias("reject_reason")]

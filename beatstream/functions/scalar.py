@@ -73,5 +73,6 @@ def hashtags(messages: DataFrame, text_col: str = "text", keep: list[str] | None
 def synth_age(key: Column) -> Column:
     """Deterministic age from a key: a weighted decade plus a year, hashed per key."""
     decades = F.array(*[F.lit(a) for a in AGE_DECADES])
-    decade = F.element_at(decades, (F.pmod(F.xxhash64(key), F.lit(len(AGE_DECADES))) + 1).cast("int"))
-    return (decade + F.pmod(F.xxhash64(key, F.lit(1)), F.lit(10))).cast("int")
+    digest = F.md5(key.cast("string"))
+    number = [F.conv(F.substring(digest, i, 8), 16, 10).cast("long") for i in (1, 9)]
+    return (F.element_at(decades, (number[0] % len(AGE_DECADES) + 1).cast("int")) + number[1] % 10).cast("int")

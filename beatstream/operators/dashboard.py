@@ -121,9 +121,11 @@ def nested_terms(df: DataFrame, outer: str, inner: str, outer_size: int = TERMS_
 
     One scan and one aggregation to (outer, inner) counts, with a missing inner key
     kept as its own row; the outer totals (which count those rows too) are summed
-    from it, so both branches share the aggregate's exchange.  The top outer terms
-    (at most ``outer_size`` rows, a proven bound) are broadcast to filter the
-    pairs, and the inner top-N per outer term is a partial-then-final group limit.
+    from it.  Missing inner keys are ranked last and dropped after the ranking: a
+    filter before it would be pushed below one branch's aggregate, and the branches
+    could no longer share one scan and exchange.  The top outer terms (at most
+    ``outer_size`` rows, a proven bound) are broadcast to filter the pairs, and the
+    inner top-N per outer term is a partial-then-final group limit.
     """
     outer_count = outer_count or f"{outer}_count"
     pairs_all = (df.filter(F.col(outer).isNotNull())
@@ -133,9 +135,10 @@ def nested_terms(df: DataFrame, outer: str, inner: str, outer_size: int = TERMS_
                  # a window without partition is fine here: at most outer_size rows
                  .withColumn(f"{outer}_rank", F.row_number().over(
                      Window.orderBy(F.desc(outer_count), F.asc(outer)))))
-    kept = pairs_all.filter(F.col(inner).isNotNull()).join(F.broadcast(top_outer), outer, "inner")
-    return top_n_per_group(kept, outer, [F.desc(inner_count), F.asc(inner)], inner_size,
-                           rank_col=f"{inner}_rank")
+    kept = pairs_all.join(F.broadcast(top_outer), outer, "inner")
+    ranked = top_n_per_group(kept, outer, [F.col(inner).isNull(), F.desc(inner_count), F.asc(inner)], inner_size,
+                             rank_col=f"{inner}_rank")
+    return ranked.filter(F.col(inner).isNotNull())
 
 
 def top_regions_and_users(plays: DataFrame, n_zip: int = TERMS_SIZE, n_cust: int = TERMS_SIZE) -> DataFrame:
@@ -216,7 +219,8 @@ def demographics(enriched: DataFrame, ts_col: str = "datetime") -> DataFrame:
         F.struct(F.lit("age_group").alias("dimension"),
                  (F.floor(F.col("age") / 10) * 10).cast("string").alias("value")),
         F.struct(F.lit("device").alias("dimension"),
-                 F.when(F.col("ismobile") == 1, F.lit("mobile")).otherwise(F.lit("pc")).alias("value")),
+                 F.when(F.col("ismobile") == 1, F.lit("mobile")).when(F.col("ismobile").isNotNull(), F.lit("pc"))
+                  .alias("value")),
         F.struct(F.lit("hour").alias("dimension"), F.hour(F.col(ts_col)).cast("string").alias("value")),
     )
     counts = (enriched.select(F.inline(pairs))

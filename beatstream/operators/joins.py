@@ -82,17 +82,35 @@ def flag_ad_targets(enriched: DataFrame, predictions: DataFrame, on_missing: str
     return _lookup(enriched, preds, key, ["SendEvent"], on_missing, "prediction", hot_keys, salts)
 
 
-def hot_keys(df: DataFrame, key: str = "customer_id", top: int = 10, min_share: float = 0.01) -> list:
-    """Keys holding at least ``min_share`` of the rows, at most ``top`` of them.
+def enrich_and_flag(plays: DataFrame, customers: DataFrame, predictions: DataFrame, on_missing: str = "null",
+                    ingest_time: bool = False, key: str = "customer_id", hot_keys: list | None = None,
+                    salts: int = DEFAULT_HOT_SALTS) -> DataFrame:
+    """Customer attributes and ``SendEvent`` in one lookup.
 
-    A bounded list (``top`` rows reach the driver) from one aggregation with
-    map-side combine and a take-ordered top-k.
+    Customers and predictions (one row per key each) are joined with each other first, so
+    the plays take part in a single join.  Two lookups in a row on one key would share a
+    partitioning, which AQE then leaves unsplit however hot a customer is.  With ``drop``
+    and ``fail`` a play needs both a customer and a prediction.
+    """
+    known = customers.select(key, *CUSTOMER_ATTRIBUTES)
+    preds = predictions.select(key, F.col("pred").cast("int").alias("SendEvent"))
+    both = known.join(preds, key, "full" if on_missing == "null" else "inner")
+    out = _lookup(plays, both, key, [*CUSTOMER_ATTRIBUTES, "SendEvent"], on_missing,
+                  "customer with a prediction", hot_keys, salts)
+    if ingest_time:
+        out = out.withColumn("@timestamp", F.current_timestamp().cast("timestamp_ntz"))
+    return out
+
+
+def hot_keys(df: DataFrame, key: str = "customer_id", min_share: float = 0.01) -> list:
+    """Every key holding at least ``min_share`` of the rows, the largest first.
+
+    The share bounds the list: at most ``1 / min_share`` rows reach the driver.
     """
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = df.select(F.count(F.lit(1))).scalar()
-    top_rows = (counts.filter(F.col("_n") >= total * F.lit(min_share))
-                      .orderBy(F.desc("_n"), F.asc(key)).limit(top).collect())
-    return [r[key] for r in top_rows]
+    rows = counts.filter(F.col("_n") >= total * F.lit(min_share)).collect()
+    return [r[key] for r in sorted(rows, key=lambda r: (-r["_n"], r[key]))]
 
 
 def label_from_clicks(profiles: DataFrame, click_counts: DataFrame, key: str = "customer_id",
@@ -127,9 +145,13 @@ def enrich_with_track(plays: DataFrame, music: DataFrame, track_key: str = "trac
 
 
 def missing_customers(plays: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:
-    """Customer ids of plays with no customer row, and how many plays each has."""
-    return (plays.join(customers.select(key), key, "left_anti")
-                 .groupBy(key).agg(F.count(F.lit(1)).alias("plays")))
+    """Customer ids of plays with no customer row, and how many plays each has.
+
+    Plays are counted per customer first (combined before the shuffle), so the anti
+    join sees one row for each customer, however often a customer plays.
+    """
+    counts = plays.groupBy(key).agg(F.count(F.lit(1)).alias("plays"))
+    return counts.join(customers.select(key), key, "left_anti")
 
 
 def index_document(enriched: DataFrame, extras: tuple[str, ...] = ("event_id", "datetime")) -> DataFrame:

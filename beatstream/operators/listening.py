@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from beatstream.functions.timeutil import pane_width
 from beatstream.operators.dashboard import since
 from beatstream.operators.profile import DAYPARTS, with_daypart
 from beatstream.operators.windows import kth_previous_gap, top_n_per_group
@@ -53,12 +54,18 @@ def distinct_tracks(plays: DataFrame, mobile_only: bool = False) -> DataFrame:
 
 def access_stats(plays: DataFrame, length: str = "30 minutes", slide: str = "5 minutes",
                  ts_col: str = "datetime") -> DataFrame:
-    """Access statistics of the last ``length`` every ``slide`` (sliding windows)."""
-    w = F.window(F.col(ts_col), length, slide)
-    return (plays.groupBy(w.start.alias("window_start"), w.end.alias("window_end"))
-                 .agg(F.count(F.lit(1)).alias("plays"),
+    """Access statistics of the last ``length`` every ``slide`` (sliding windows).
+
+    Plays are counted per (pane, customer) first, a pane being the longest span that
+    lies whole in the same windows; only those counts are copied to the windows of a pane.
+    """
+    panes = (plays.groupBy(F.window(F.col(ts_col), pane_width(length, slide)).start.alias("_pane"), "customer_id")
+                  .agg(F.count(F.lit(1)).alias("plays"), F.sum("ismobile").alias("mobile_plays")))
+    w = F.window(F.col("_pane"), length, slide)
+    return (panes.groupBy(w.start.alias("window_start"), w.end.alias("window_end"))
+                 .agg(F.sum("plays").alias("plays"),
                       F.countDistinct("customer_id").alias("unique_customers"),
-                      F.sum("ismobile").alias("mobile_plays")))
+                      F.sum("mobile_plays").alias("mobile_plays")))
 
 
 def repeat_listens(plays: DataFrame, min_plays: int = 3, within_seconds: int = 30 * 60,
@@ -67,8 +74,10 @@ def repeat_listens(plays: DataFrame, min_plays: int = 3, within_seconds: int = 3
 
     One row per (customer, track): when it was first detected (time of the play
     that completed the first qualifying run) and how many plays completed a run.
+    Plays without a customer or track belong to no key and are left out.
     """
-    gaps = kth_previous_gap(plays.select("customer_id", "track_id", "event_id", ts_col),
+    known = plays.filter(F.col("customer_id").isNotNull() & F.col("track_id").isNotNull())
+    gaps = kth_previous_gap(known.select("customer_id", "track_id", "event_id", ts_col),
                             ["customer_id", "track_id"], min_plays - 1, within_seconds,
                             ts_col=ts_col, gap_col="gap_seconds")
     hits = gaps.filter(F.col("gap_seconds").isNotNull())

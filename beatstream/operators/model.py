@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatstream.schemas import FEATURE_NAMES
+from beatstream.session import shared_path
+from beatstream.streaming.sinks import set_value
 
 # Fixed values (must equal the reference): 70/30 split with seed 0, 100 iterations,
 # error gate of 10 %, and 0.01 L2 for the second model.
@@ -40,15 +42,20 @@ def assemble(features: DataFrame, cols=FEATURE_NAMES, out: str = "features") ->
 
 def split(df: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED,
           key: str | None = "customer_id") -> tuple[DataFrame, DataFrame]:
-    """Train/test split.  With a key the split is a hash of (key, seed): the same
+    """Train/test split.  With a key the split is a checksum of (key, seed): the same
     rows land on the same side on every run and partitioning; without a key it is
     Spark's ``randomSplit``."""
     if key is None:
         a, b = df.randomSplit([fraction, 1 - fraction], seed)
         return a, b
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
-    cut = int(round(fraction * 10_000))
-    return df.filter(bucket < cut), df.filter(bucket >= cut)
+    return df.filter(in_train(fraction, seed, key)), df.filter(~in_train(fraction, seed, key))
+
+
+def in_train(fraction: float = TRAIN_FRACTION, seed: int = SPLIT_SEED, key: str = "customer_id") -> Column:
+    """True for rows on the train side: a checksum of (key, seed) below the fraction."""
+    text = F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed)))
+    number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return number % 10_000 < int(round(fraction * 10_000))
 
 
 def train_lr(train: DataFrame, setting: str = "lbfgs", features_col: str = "features",
@@ -80,15 +87,21 @@ def accept_model(error: float | None, threshold: float = ACCEPT_ERROR) -> bool:
     return error is not None and error <= threshold
 
 
-def compare_models(train: DataFrame, test: DataFrame, settings=("lbfgs", "l2")) -> list[ModelReport]:
-    """Fit each setting on ``train`` and report its error on ``test``."""
-    n_train = train.count()
-    out = []
-    for s in settings:
-        model = train_lr(train, s)
-        row = error_rate(model.transform(test)).first()
-        out.append(ModelReport(s, n_train, int(row["test_rows"]), row["error"]))
-    return out
+def evaluate(model: LogisticRegressionModel, data: DataFrame, setting: str) -> ModelReport:
+    """Sizes of both sides and the error on the test side, from one aggregate over ``data``."""
+    scored = model.transform(data)
+    wrong = (F.col("label") != F.col("prediction")).cast("double")
+    row = scored.agg(F.count_if(in_train()).alias("train_rows"), F.count_if(~in_train()).alias("test_rows"),
+                     F.avg(F.when(~in_train(), wrong)).alias("error")).first()
+    return ModelReport(setting, int(row["train_rows"]), int(row["test_rows"]), row["error"])
+
+
+def compare_models(data: DataFrame, settings=("lbfgs", "l2")) -> list[ModelReport]:
+    """Fit each setting on the train side of ``data`` and report its error on the test side.
+
+    ``data`` is read several times by each fit: pass a written table, not a plan.
+    """
+    return [evaluate(train_lr(data.filter(in_train()), s), data, s) for s in settings]
 
 
 def score_all(model: LogisticRegressionModel, features: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -105,10 +118,27 @@ def ad_audience(customers: DataFrame, predictions: DataFrame, key: str = "custom
 
 
 def train_and_score(features: DataFrame, setting: str = "lbfgs") -> tuple[DataFrame, ModelReport]:
-    """Split, fit, evaluate and score everyone; the predictions are a DataFrame."""
-    data = assemble(features)
-    train, test = split(data)
-    model = train_lr(train, setting)
-    row = error_rate(model.transform(test)).first()
-    report = ModelReport(setting, train.count(), int(row["test_rows"]), row["error"])
-    return score_all(model, data), report
+    """Split, fit, evaluate and score everyone; the predictions are a DataFrame.
+
+    The features are written once: fitting, evaluation and scoring all read that table.
+    """
+    data = assemble(written_features(features))
+    model = train_lr(data.filter(in_train()), setting)
+    return score_all(model, data), evaluate(model, data, setting)
+
+
+def written_features(features: DataFrame) -> DataFrame:
+    """The features as a table below the shared folder, read back."""
+    path = shared_path(features.sparkSession, "features")
+    features.write.parquet(path)
+    return features.sparkSession.read.parquet(path)
+
+
+def publish_if_accepted(features: DataFrame, path: str, seq: int, threshold: float = ACCEPT_ERROR,
+                        setting: str = "lbfgs") -> ModelReport:
+    """Retrain, measure the hold-out error, and publish the predictions to the keyed table
+    at ``path`` only if the error is at most ``threshold``; else the table stays as it is."""
+    preds, report = train_and_score(features, setting)
+    if accept_model(report.error, threshold):
+        set_value(preds.withColumn("_seq", F.lit(seq)), path, "customer_id", "pred", "_seq")
+    return report

@@ -25,24 +25,18 @@ def with_daypart(plays: DataFrame, ts_col: str = "datetime") -> DataFrame:
                  .withColumn("daypart", daypart(F.col("hour"))))
 
 
-def plays_by_customer(plays: DataFrame, period: str = "1 day", ts_col: str = "datetime",
-                      max_items: int = 10_000) -> DataFrame:
-    """Each customer's plays gathered into time-ordered lists, per period and chunk.
-
-    A list never holds more than about ``max_items`` plays: a (customer, period)
-    with n plays is cut into ceil(n / max_items) chunks by a hash of the play, so
-    a listener holding a third of all plays still becomes many bounded rows.  No
-    play is dropped; each chunk's list is ordered by time and event id.
+def plays_by_customer(plays: DataFrame, period: str = "1 day", ts_col: str = "datetime") -> DataFrame:
+    """Each customer's plays gathered into one time-ordered list per period.
+
+    The fixed ``period`` bounds a list by what one customer can play in that time, whatever
+    the size of the data: a listener holding a third of all plays becomes as many rows as
+    there are periods, spread by the full (customer, period) key.  No play is dropped; the
+    list is ordered by time and event id.
     """
     item = F.struct(F.col(ts_col).alias("datetime"), F.col("event_id"), F.col("track_id"),
                     F.col("ismobile"), F.col("listening_zip_code"))
-    p = plays.withColumn("period_start", F.window(F.col(ts_col), period).start)
-    sizes = (p.groupBy("customer_id", "period_start")
-              .agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).cast("long").alias("_chunks")))
-    chunk = F.pmod(F.xxhash64(F.col("event_id"), F.col(ts_col)), F.col("_chunks"))
-    return (p.join(sizes, ["customer_id", "period_start"])
-             .groupBy("customer_id", "period_start", chunk.alias("chunk"))
-             .agg(F.sort_array(F.collect_list(item)).alias("plays")))
+    return (plays.groupBy("customer_id", F.window(F.col(ts_col), period).start.alias("period_start"))
+                 .agg(F.sort_array(F.collect_list(item)).alias("plays")))
 
 
 def listening_profile(plays: DataFrame, mode: str = "all", ts_col: str = "datetime") -> DataFrame:

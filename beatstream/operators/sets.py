@@ -1,4 +1,4 @@
-"""Set operations: union of sources, distinct values, new members only."""
+"""Set operations: union of sources, new members only."""
 
 from __future__ import annotations
 
@@ -14,10 +14,6 @@ def union_streams(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*cols).distinct()
-
-
 def new_members(candidates: DataFrame, existing: DataFrame, key: str = "customer_id") -> DataFrame:
     """Keys in ``candidates`` that are not yet in ``existing``, each once."""
     return candidates.select(key).distinct().join(existing.select(key), key, "left_anti")

@@ -1,5 +1,5 @@
 """Hashtag counting and ranking (batch form; the sliding stream form is in
-``beatstream.streaming.trending``)."""
+``beatstream.streaming.flows``)."""
 
 from __future__ import annotations
 

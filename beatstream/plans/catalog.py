@@ -134,6 +134,11 @@ def q_missing_customers(spark, sf):
 
 
 def q_flag_ad_targets(spark, sf):
+    return J.enrich_and_flag(T.plays(spark, sf), T.customers(spark, sf), predictions(spark, sf))
+
+
+def q_flag_enriched_plays(spark, sf):
+    """The flag looked up for plays that already carry their customer."""
     return J.flag_ad_targets(enriched(spark, sf), predictions(spark, sf))
 
 
@@ -210,7 +215,11 @@ def q_profile_averages(spark, sf):
 
 
 def q_plays_by_customer(spark, sf):
-    return PR.plays_by_customer(T.plays(spark, sf))
+    """Lists as text, one play after another in time order."""
+    play = F.transform("plays", lambda p: F.concat_ws("/", p["event_id"].cast("string"), p["track_id"].cast("string"),
+                                                      p["ismobile"].cast("string"), p["listening_zip_code"]))
+    out = PR.plays_by_customer(T.plays(spark, sf))
+    return out.select("customer_id", "period_start", F.size("plays").alias("n"), F.array_join(play, ";").alias("plays"))
 
 
 def q_ad_audience(spark, sf):
@@ -315,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "enrich_active_only": q_enrich_active_only,
     "missing_customers": q_missing_customers,
     "flag_ad_targets": q_flag_ad_targets,
+    "flag_enriched_plays": q_flag_enriched_plays,
     "is_member": q_is_member,
     "enrich_tracks": q_enrich_tracks,
     # scalar projections

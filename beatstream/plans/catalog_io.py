@@ -21,10 +21,12 @@ from beatstream.sources import testdata as T
 from beatstream.streaming import flows as FL
 from beatstream.streaming import metrics as MET
 from beatstream.streaming.repeat import repeat_listens_stream
-from beatstream.streaming.sinks import append_table, read_keyed_table, set_value, upsert_by_key
+from beatstream.streaming.sinks import (
+    append_table, read_keyed_table, read_set, set_add, set_value, upsert_by_key, write_batch_output,
+)
 
 AVAILABLE_NOW = {"availableNow": True}
-LINE_FILES = 4  # play-log files written per stream run (one micro-batch each with maxFilesPerTrigger=1)
+FILES_PER_BATCH = 100  # play-log files that a micro-batch of the registered streams takes at most
 
 
 def _write_csv(df: DataFrame, path: str, header: bool) -> None:
@@ -34,7 +36,7 @@ def _write_csv(df: DataFrame, path: str, header: bool) -> None:
 
 def _log_folder(spark: SparkSession, sf: str) -> str:
     """The play log as text files in a fresh folder (what the log collector reads)."""
-    return T.play_log_folder(spark, sf, LINE_FILES)
+    return T.play_log_folder(spark, sf)
 
 
 # --- sources ------------------------------------------------------------------------------
@@ -78,19 +80,19 @@ def q_read_retail_infer(spark, sf):
 
 # --- keyed sinks ---------------------------------------------------------------------------
 
-# Field groups written one after another for each customer, as the loader does.
-CUSTOMER_FIELD_GROUPS = [["name", "gender"], ["age"], ["zip", "Address"], ["SignDate", "Status"],
-                         ["Level", "Campaign"], ["LinkedWithApps"]]
-
-
 def q_upsert_customers(spark, sf):
+    """Customers written by four overlapping sources in an order of arrival that is not their
+    order of time: an old copy with other values comes last, and must not win."""
     path = shared_path(spark, "customer-store")
     cust = T.customers(spark, sf)
-    merged = None
-    for seq, group in enumerate(CUSTOMER_FIELD_GROUPS):
-        upd = cust.select("customer_id", *group, F.lit(seq).alias("_seq"))
-        merged = upsert_by_key(upd, path, "customer_id", "_seq")
-    return merged.drop("_seq")
+    stale = cust.select("customer_id", F.upper("name").alias("name"), F.lit(-1).alias("age"),
+                        F.lit("old").alias("Campaign"), F.lit(1).alias("_seq"))
+    person = cust.select("customer_id", "name", "age", "gender", F.lit("?").alias("Level"), F.lit(20).alias("_seq"))
+    place = cust.select("customer_id", "zip", "Address", "SignDate", F.lit(30).alias("_seq"))
+    contract = cust.select("customer_id", "Status", "Level", "Campaign", "LinkedWithApps", F.lit(25).alias("_seq"))
+    for update in (place, contract, person, stale):
+        merged = upsert_by_key(update, path, "customer_id", "_seq")
+    return merged.select(*cust.columns)
 
 
 def _store_predictions(spark: SparkSession, sf: str) -> str:
@@ -106,40 +108,63 @@ def _store_predictions(spark: SparkSession, sf: str) -> str:
 
 
 def q_set_predictions(spark, sf):
-    return read_keyed_table(spark, _store_predictions(spark, sf)).drop("_seq")
+    return read_keyed_table(spark, _store_predictions(spark, sf))
 
 
 # --- streams -------------------------------------------------------------------------------
 
 def q_stream_parse_lines(spark, sf):
     """Tail the log folder, parse, append to a table (one file per micro-batch)."""
-    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf), max_files_per_trigger=1)
+    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf), max_files_per_trigger=FILES_PER_BATCH)
     out = shared_path(spark, "plays-table")
     append_table(parse_plays(lines), out, trigger=AVAILABLE_NOW).awaitTermination()
     return spark.read.parquet(out)
 
 
-def _ad_flag_run(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """The real-time flow over the play log: customers and predictions are written
-    as tables first (the lookups the stream joins against), then the log folder is
-    processed (one micro-batch here; the tests cover multi-batch runs)."""
+def _flag_stream(spark: SparkSession, sf: str, pred_path: str) -> tuple[str, str]:
+    """The real-time flow over the play log; customers and predictions are keyed tables that
+    every micro-batch looks up anew.  Returns the paths of the records and the audience."""
     cust_path = shared_path(spark, "customers")
-    T.customers(spark, sf).write.parquet(cust_path)
-    pred_path = shared_path(spark, "predictions")
-    predictions(spark, sf).write.parquet(pred_path)
-    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf))
+    upsert_by_key(T.customers(spark, sf).withColumn("_seq", F.lit(1)), cust_path, "customer_id", "_seq")
+    lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf), max_files_per_trigger=FILES_PER_BATCH)
     out, audience = shared_path(spark, "flagged-plays"), shared_path(spark, "audience")
-    # the heaviest listeners (at most 10, each with at least 0.5 % of past plays) get
-    # salted lookups in the stream
-    from beatstream.operators.joins import hot_keys
-    hot = hot_keys(T.plays(spark, sf), "customer_id", top=10, min_share=0.005)
-    q = FL.ad_flag_stream(lines, spark.read.parquet(cust_path), spark.read.parquet(pred_path), out, audience,
-                          hot_customers=hot,
-                          trigger=AVAILABLE_NOW)
-    q.awaitTermination()
+    FL.ad_flag_stream(lines, FL.keyed_table(spark, cust_path), FL.keyed_table(spark, pred_path), out, audience,
+                      trigger=AVAILABLE_NOW).awaitTermination()
     return out, audience
 
 
+def _ad_flag_run(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The flow with the click labels as predictions (they have an SQL form)."""
+    pred_path = shared_path(spark, "predictions")
+    set_value(predictions(spark, sf).withColumn("_seq", F.lit(1)), pred_path, "customer_id", "pred", "_seq")
+    return _flag_stream(spark, sf, pred_path)
+
+
+def _zero_predictions(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """Features, and a keyed prediction table that says 0 for every customer."""
+    feats = M.written_features(PR.build_features(T.plays(spark, sf), T.clicks(spark, sf)))
+    path = shared_path(spark, "predictions")
+    set_value(feats.select("customer_id", F.lit(0).alias("pred"), F.lit(1).alias("_seq")), path, "customer_id",
+              "pred", "_seq")
+    return feats, path
+
+
+def q_stream_model_flags(spark, sf):
+    """Retrain, gate, publish, flag: the plays flagged with the published model's predictions."""
+    feats, path = _zero_predictions(spark, sf)
+    M.publish_if_accepted(feats, path, seq=2, threshold=1.0)  # any hold-out error is accepted here
+    out, _ = _flag_stream(spark, sf, path)
+    return spark.read.parquet(out).drop("@timestamp", "batch_id")
+
+
+def q_rejected_model_changes_nothing(spark, sf):
+    """A model whose error is beyond the gate is not published: all plays keep the old flag."""
+    feats, path = _zero_predictions(spark, sf)
+    M.publish_if_accepted(feats, path, seq=2, threshold=-1.0)  # no error is small enough
+    out, _ = _flag_stream(spark, sf, path)
+    return spark.read.parquet(out).groupBy("SendEvent").agg(F.count(F.lit(1)).alias("plays"))
+
+
 def q_stream_ad_flags(spark, sf):
     out, _ = _ad_flag_run(spark, sf)
     return spark.read.parquet(out).drop("@timestamp", "batch_id")
@@ -163,14 +188,21 @@ def q_compact_index(spark, sf):
 
 def q_stream_audience(spark, sf):
     _, audience = _ad_flag_run(spark, sf)
-    return spark.read.parquet(audience)
+    return read_set(spark, audience)
+
+
+def _closed_events(spark, sf, begin) -> None:
+    """Run a query over the events stream and close the input, so that all windows arrive."""
+    FL.run_closed(T.events_stream(spark, sf), T.table(spark, sf, "events"), "ts", begin)
 
 
 def q_stream_trending_tags(spark, sf):
+    """Rows from the nested result; the user's handler gets the same rows of every batch."""
     out = shared_path(spark, "trending")
-    msgs = T.messages_from_events(T.events_stream(spark, sf))
-    FL.trending_tags_stream(msgs, out, "60 minutes", "20 minutes", 10, "10 minutes",
-                            trigger=AVAILABLE_NOW).awaitTermination()
+    seen = shared_path(spark, "trending-seen")
+    _closed_events(spark, sf, lambda events, ck: FL.trending_tags_stream(
+        T.messages_from_events(events), out, "60 minutes", "20 minutes", 10, "10 minutes", checkpoint=ck,
+        trigger=AVAILABLE_NOW, handler=lambda ranked, batch: write_batch_output(ranked, seen, batch)))
     nested = spark.read.parquet(out)
     return nested.select("window_start", F.col("datetime").alias("window_end"),
                          F.posexplode("hashtags").alias("pos", "item")).select(
@@ -189,29 +221,90 @@ def q_stream_dedup(spark, sf):
 
 def q_stream_tumbling_counts(spark, sf):
     out = shared_path(spark, "tumbling")
-    counts = FL.tumbling_counts(T.events_stream(spark, sf), "1 hour", "ts", "10 minutes", by=["event_type"])
-    append_table(counts, out, trigger=AVAILABLE_NOW).awaitTermination()
+    _closed_events(spark, sf, lambda events, ck: append_table(
+        FL.tumbling_counts(events, "1 hour", "ts", "10 minutes", by=["event_type"]), out, ck, AVAILABLE_NOW))
     return spark.read.parquet(out)
 
 
+def _dense(events: DataFrame) -> DataFrame:
+    """Plays of a few tracks, crowded in time (every day's events within 48 minutes), so that
+    30-minute repeat listens are frequent."""
+    day = F.to_date("ts").cast("timestamp_ntz")
+    crowded = day + F.make_dt_interval(secs=(F.pmod(F.col("event_id") * 7919, F.lit(2880))).cast("decimal(18,6)"))
+    return (T.plays_from_events(events.withColumn("ts", crowded))
+            .withColumn("track_id", F.when(F.col("track_id") % 7 != 0, F.col("track_id") % 2))
+            .withColumn("customer_id", F.col("customer_id") % 50))
+
+
+def q_repeat_listens_dense(spark, sf):
+    """Repeat listens with the production parameters on crowded plays, some without a track."""
+    from beatstream.operators.listening import repeat_listens
+    return repeat_listens(_dense(T.table(spark, sf, "events")), 3, 30 * 60)
+
+
+def q_stream_repeat_listens_dense(spark, sf):
+    """The same on a stream; reported keys are also registered in the interest list, and the
+    list's entries are what is returned with their times."""
+    out, interests = shared_path(spark, "repeat-dense"), shared_path(spark, "interests")
+
+    def begin(events, ck):
+        return append_table(repeat_listens_stream(_dense(events), 3, 30 * 60, "1 day"), out, ck, AVAILABLE_NOW)
+
+    _closed_events(spark, sf, begin)
+    reports = spark.read.parquet(out)
+    set_add(reports, interests, ["customer_id", "track_id"])
+    return read_set(spark, interests).join(reports, ["customer_id", "track_id"])
+
+
 def q_stream_repeat_listens(spark, sf):
-    plays = T.plays_from_events(T.events_stream(spark, sf)).withColumn("track_id", F.col("track_id") % 5)
     out = shared_path(spark, "repeat")
-    rep = repeat_listens_stream(plays, 3, 24 * 3600, "1 day")
-    append_table(rep, out, trigger=AVAILABLE_NOW).awaitTermination()
+
+    def begin(events, ck):
+        plays = T.plays_from_events(events).withColumn("track_id", F.col("track_id") % 5)
+        return append_table(repeat_listens_stream(plays, 3, 24 * 3600, "1 day"), out, ck, AVAILABLE_NOW)
+
+    _closed_events(spark, sf, begin)
     return spark.read.parquet(out)
 
 
+def _progress_log(spark, sf) -> str:
+    """Path of the progress log of a tumbling-count stream over the events."""
+    log = shared_path(spark, "progress")
+    listener = MET.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        counts = FL.tumbling_counts(T.events_stream(spark, sf, max_files_per_trigger=1), "1 hour")
+        FL.start(counts, sink="parquet", path=shared_path(spark, "tumbling-progress"),
+                 trigger=AVAILABLE_NOW).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(listener)
+    return log
+
+
 def q_stream_progress_metrics(spark, sf):
     """Progress of a tumbling-count stream as metric samples, rolled up per minute."""
-    counts = FL.tumbling_counts(T.events_stream(spark, sf, max_files_per_trigger=1), "1 hour")
-    q = FL.start(counts, sink="parquet", path=shared_path(spark, "tumbling-progress"), trigger=AVAILABLE_NOW)
-    q.awaitTermination()
-    return MET.metric_rollup(MET.progress_samples(spark, q), "1 minute")
+    return MET.metric_rollup(MET.progress_samples(spark, _progress_log(spark, sf)), "1 minute")
+
+
+def q_stream_progress_rows(spark, sf):
+    """Input rows that the stream's progress reports add up to."""
+    samples = MET.progress_samples(spark, _progress_log(spark, sf))
+    return (samples.filter((F.col("metric") == "rows") & (F.col("attribute") == "input"))
+            .agg(F.sum("value").cast("long").alias("input_rows")))
 
 
 # --- models --------------------------------------------------------------------------------
 
+def q_model_facts(spark, sf):
+    """What must hold for any trained model: split sizes, one prediction per customer, error in 0..1."""
+    preds, report = M.train_and_score(PR.build_features(T.plays(spark, sf), T.clicks(spark, sf)))
+    return (preds.agg(F.count(F.lit(1)).alias("predictions"), F.countDistinct("customer_id").alias("customers"),
+                      F.count_if(~F.col("pred").isin(0, 1)).alias("odd_predictions"))
+            .withColumns({"train_rows": F.lit(report.train_rows), "test_rows": F.lit(report.test_rows),
+                          "error_in_range": F.lit(0.0 <= report.error <= 1.0)}))
+
+
 def q_train_and_score(spark, sf):
     feats = PR.build_features(T.plays(spark, sf), T.clicks(spark, sf))
     preds, _ = M.train_and_score(feats)
@@ -219,9 +312,8 @@ def q_train_and_score(spark, sf):
 
 
 def q_compare_models(spark, sf):
-    data = M.assemble(PR.build_features(T.plays(spark, sf), T.clicks(spark, sf)))
-    train, test = M.split(data)
-    reports = M.compare_models(train, test)
+    feats = M.written_features(PR.build_features(T.plays(spark, sf), T.clicks(spark, sf)))
+    reports = M.compare_models(M.assemble(feats))
     rows = [(r.setting, r.train_rows, r.test_rows, float(r.error), r.accepted) for r in reports]
     return spark.createDataFrame(rows, "setting string, train_rows long, test_rows long, "
                                        "error double, accepted boolean")
@@ -259,21 +351,44 @@ def q_stream_publish_lines(spark, sf):
 def q_stream_mobile_trend(spark, sf):
     """Hourly mobile connections and approximate unique customers on the play stream."""
     from beatstream.operators.dashboard import approx_users
-    plays = FL.event_time(T.plays_from_events(T.events_stream(spark, sf)), "datetime")
-    trend = approx_users(plays.withWatermark("datetime", "10 minutes"), "1 hour")
     out = shared_path(spark, "mobile-trend")
-    append_table(trend.withColumn("bucket_start", FL.ntz(F.col("bucket_start"))), out,
-                 trigger=AVAILABLE_NOW).awaitTermination()
+
+    def begin(events, ck):
+        plays = FL.event_time(T.plays_from_events(events), "datetime")
+        trend = approx_users(plays.withWatermark("datetime", "10 minutes"), "1 hour")
+        return append_table(trend.withColumn("bucket_start", FL.ntz(F.col("bucket_start"))), out, ck, AVAILABLE_NOW)
+
+    _closed_events(spark, sf, begin)
     return spark.read.parquet(out)
 
 
+def _within(approx: DataFrame, exact: DataFrame, share: float) -> DataFrame:
+    """Exact columns, and whether the approximate count lies within ``share`` of the exact one."""
+    both = exact.join(approx.select("bucket_start", "approx_customers"), "bucket_start", "left")
+    near = F.abs(F.col("approx_customers") - F.col("unique_customers")) <= F.greatest(
+        F.lit(2.0), share * F.col("unique_customers"))
+    return both.withColumn("within", F.coalesce(near, F.lit(False))).drop("approx_customers")
+
+
+def q_approx_users_bound(spark, sf):
+    """Daily users: exact figures, and whether the approximate count is within 10 % of them."""
+    from beatstream.operators.dashboard import approx_users, mobile_trend
+    plays = T.plays(spark, sf)
+    return _within(approx_users(plays, "1 day"), mobile_trend(plays, "1 day"), 0.1)
+
+
+def q_stream_mobile_trend_bound(spark, sf):
+    """The streamed hourly trend against the exact batch figures, within 10 %."""
+    from beatstream.operators.dashboard import mobile_trend
+    return _within(q_stream_mobile_trend(spark, sf), mobile_trend(T.plays(spark, sf), "1 hour"), 0.1)
+
+
 def q_stream_access_stats(spark, sf):
     """Sliding 30-minute access statistics every 5 minutes on the play stream; the
     exact columns are returned (the approximate customer count is checked in tests)."""
-    plays = T.plays_from_events(T.events_stream(spark, sf))
     out = shared_path(spark, "access-stats")
-    append_table(FL.access_stats_stream(plays, "30 minutes", "5 minutes", "10 minutes"), out,
-                 trigger=AVAILABLE_NOW).awaitTermination()
+    _closed_events(spark, sf, lambda events, ck: append_table(FL.access_stats_stream(
+        T.plays_from_events(events), "30 minutes", "5 minutes", "10 minutes"), out, ck, AVAILABLE_NOW))
     return spark.read.parquet(out).select("window_start", "window_end", "plays", "mobile_plays")
 
 
@@ -283,11 +398,10 @@ def q_stream_top_tracks_by_gender(spark, sf):
     from beatstream.operators.joins import enrich_with_customer
     cust_path = shared_path(spark, "customers")
     T.customers(spark, sf).write.parquet(cust_path)
-    plays = T.plays_from_events(T.events_stream(spark, sf))
-    enriched = enrich_with_customer(plays, spark.read.parquet(cust_path))
-    out = shared_path(spark, "top-tracks")
-    FL.top_tracks_by_gender_stream(enriched, out, "30 hours", "1 hour", 10, "10 minutes",
-                                   trigger=AVAILABLE_NOW).awaitTermination()
+    customers, out = spark.read.parquet(cust_path), shared_path(spark, "top-tracks")
+    _closed_events(spark, sf, lambda events, ck: FL.top_tracks_by_gender_stream(
+        enrich_with_customer(T.plays_from_events(events), customers), out, "30 hours", "1 hour", 10, "10 minutes",
+        checkpoint=ck, trigger=AVAILABLE_NOW))
     return spark.read.parquet(out).drop("batch_id")
 
 
@@ -296,14 +410,22 @@ def q_stream_level_gender_trend(spark, sf):
     from beatstream.operators.joins import enrich_with_customer
     cust_path = shared_path(spark, "customers")
     T.customers(spark, sf).write.parquet(cust_path)
-    plays = T.plays_from_events(T.events_stream(spark, sf))
-    enriched = enrich_with_customer(plays, spark.read.parquet(cust_path))
-    out = shared_path(spark, "level-gender")
-    FL.level_gender_trend_stream(enriched, out, "1 hour", 5, "10 minutes", trigger=AVAILABLE_NOW).awaitTermination()
+    customers, out = spark.read.parquet(cust_path), shared_path(spark, "level-gender")
+    _closed_events(spark, sf, lambda events, ck: FL.level_gender_trend_stream(
+        enrich_with_customer(T.plays_from_events(events), customers), out, "1 hour", 5, "10 minutes",
+        checkpoint=ck, trigger=AVAILABLE_NOW))
     return spark.read.parquet(out).drop("batch_id")
 
 
 IO_QUERIES = {
+    "stream_model_flags": q_stream_model_flags,
+    "rejected_model_changes_nothing": q_rejected_model_changes_nothing,
+    "repeat_listens_dense": q_repeat_listens_dense,
+    "stream_repeat_listens_dense": q_stream_repeat_listens_dense,
+    "stream_progress_rows": q_stream_progress_rows,
+    "model_facts": q_model_facts,
+    "approx_users_bound": q_approx_users_bound,
+    "stream_mobile_trend_bound": q_stream_mobile_trend_bound,
     "stream_level_gender_trend": q_stream_level_gender_trend,
     "compact_index": q_compact_index,
     "dashboard_on_index": q_dashboard_on_index,

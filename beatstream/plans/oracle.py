@@ -52,10 +52,13 @@ VIEWS: dict[str, str] = {
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "play_lines": """
   SELECT CASE
-           WHEN event_type = 'error' AND value < 5 THEN head
-           WHEN event_type = 'error' THEN head || 'E,"' || zip || '"'
-           ELSE head || mobile || ',"' || zip || '"' END AS value
-  FROM (SELECT event_type, value,
+           WHEN event_type <> 'error' THEN head || mobile || ',"' || zip || '"'
+           WHEN value < 5 THEN head
+           WHEN value > 90 THEN ids || 'T' || k || ',"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '",0,"' || zip || '"'
+           WHEN value > 80 THEN ids || k || ',"' || strftime(ts, '%Y-%m-%d') || '",0,"' || zip || '"'
+           ELSE head || 'E,"' || zip || '"' END AS value
+  FROM (SELECT event_type, value, ts, json_extract_string(props, '$.k') AS k,
+               CAST(event_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) || ',' AS ids,
                CAST(event_id AS VARCHAR) || ',' || CAST(user_id AS VARCHAR) || ',' ||
                json_extract_string(props, '$.k') || ',"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '",' AS head,
                CASE WHEN event_type IN ('view', 'click') THEN '1' ELSE '0' END AS mobile,
@@ -71,7 +74,10 @@ VIEWS: dict[str, str] = {
          replace(trim(f[6]), '"', '') AS listening_zip_code,
          CASE WHEN value IS NULL OR len(f) < 6 THEN 'too_few_fields'
               WHEN TRY_CAST(replace(trim(f[2]), '"', '') AS BIGINT) IS NULL THEN 'bad_customer_id'
-              WHEN TRY_CAST(trim(f[5]) AS INTEGER) IS NULL THEN 'bad_ismobile' END AS reject_reason
+              WHEN TRY_CAST(trim(f[5]) AS INTEGER) IS NULL THEN 'bad_ismobile'
+              WHEN TRY_CAST(replace(trim(f[3]), '"', '') AS BIGINT) IS NULL THEN 'bad_track_id'
+              WHEN try_strptime(NULLIF(trim(replace(trim(f[4]), '"', '')), ''), '%Y-%m-%d %H:%M:%S') IS NULL
+                THEN 'bad_event_time' END AS reject_reason
   FROM (SELECT value, string_split(value, ',') AS f FROM play_lines)""",
     "profile": """
   SELECT customer_id,

@@ -1,12 +1,15 @@
 """DuckDB statements matching ``beatstream.plans.catalog.QUERIES`` (same names).
 
-Queries left out here have no exact SQL form (approximate counts, hash-derived
-ages, array order, model training); the driver checks those by rows only.
+Queries left out here have no exact SQL form (approximate counts, libSVM rounding, trained
+coefficients, run times); where they have deterministic facts, a query next to them states
+those and has a statement here.
 """
 
 from __future__ import annotations
 
+from beatstream.functions.scalar import AGE_DECADES
 from beatstream.plans.oracle import with_views
+from beatstream.schemas import FEATURE_NAMES
 
 DAYPART_CASE = ("CASE WHEN h < 5 THEN 'night' WHEN h < 12 THEN 'morn' WHEN h < 17 THEN 'aft' "
                 "WHEN h < 22 THEN 'eve' ELSE 'night' END")
@@ -285,10 +288,6 @@ FROM parsed_lines p LEFT JOIN customers c ON p.customer_id = c.customer_id
 LEFT JOIN predictions pr ON p.customer_id = pr.customer_id
 WHERE p.reject_reason IS NULL"""
 
-# A window leaves an append-mode stream once the watermark (newest event time,
-# millisecond precision, minus the delay) has passed its end.
-WATERMARK_10M = "(SELECT date_trunc('millisecond', MAX(ts)) FROM events) - INTERVAL 10 MINUTE"
-
 TAG_ROWS = """
 SELECT ts, regexp_replace(lower(regexp_replace(token, '[,.!?:;]', '', 'g')), '^#', '') AS tag
 FROM (SELECT ts, unnest(regexp_split_to_array(text, '\\s+')) AS token FROM messages)
@@ -315,13 +314,12 @@ c AS (SELECT window_start, window_start + INTERVAL 60 MINUTE AS window_end, tag,
       FROM w GROUP BY 1, 2, 3)
 SELECT window_start, window_end, CAST(ROW_NUMBER() OVER (PARTITION BY window_start ORDER BY amount DESC, tag)
        AS INTEGER) AS rank, tag, amount
-FROM c WHERE window_end <= {WATERMARK_10M}
+FROM c
 QUALIFY rank <= 10"""),
     "stream_dedup": "SELECT DISTINCT event_id, user_id, event_type FROM events",
     "stream_tumbling_counts": f"""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS bucket_start, event_type, COUNT(*) AS events
-FROM events GROUP BY 1, 2
-HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= {WATERMARK_10M}""",
+FROM events GROUP BY 1, 2""",
     "stream_repeat_listens": with_views(["plays"], """
 SELECT customer_id, track_id, first_detected FROM (""" + REPEAT.format(src=COARSE, horizon_us=24 * 3600 * 1_000_000)
                                         + ")"),
@@ -345,8 +343,7 @@ SELECT window_start, window_start + INTERVAL 30 MINUTE AS window_end, COUNT(*) A
        CAST(SUM(ismobile) AS BIGINT) AS mobile_plays
 FROM (SELECT p.*, time_bucket(INTERVAL 5 MINUTE, datetime) - k * INTERVAL 5 MINUTE AS window_start
       FROM plays p, range(0, 6) r(k))
-GROUP BY window_start
-HAVING window_start + INTERVAL 30 MINUTE <= {WATERMARK_10M.replace("MAX(ts)) FROM events", "MAX(datetime)) FROM plays")}""")
+GROUP BY window_start""")
 
 ORACLE["stream_top_tracks_by_gender"] = with_views(["enriched"], f"""
 , w AS (SELECT time_bucket(INTERVAL 1 HOUR, datetime) - k * INTERVAL 1 HOUR AS window_start, gender, track_id
@@ -355,7 +352,7 @@ c AS (SELECT window_start, window_start + INTERVAL 30 HOUR AS window_end, gender
       FROM w GROUP BY 1, 2, 3, 4)
 SELECT window_start, window_end, gender, track_id, plays,
        CAST(ROW_NUMBER() OVER (PARTITION BY window_start, gender ORDER BY plays DESC, track_id) AS INTEGER) AS rank
-FROM c WHERE window_end <= {WATERMARK_10M}
+FROM c
 QUALIFY rank <= 10""")
 
 ORACLE["dashboard_on_index"] = with_views(["parsed_lines", "customers"], f"""
@@ -380,5 +377,54 @@ ORACLE["stream_level_gender_trend"] = with_views(["enriched"], f"""
                Level, gender, COUNT(*) AS plays
         FROM enriched WHERE Level IS NOT NULL AND gender IS NOT NULL GROUP BY 1, 2, 3, 4)
 SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY window_start, Level ORDER BY plays DESC, gender) AS INTEGER) AS rank
-FROM c WHERE window_end <= {WATERMARK_10M}
+FROM c
 QUALIFY rank <= 5""")
+
+
+ORACLE["flag_enriched_plays"] = ORACLE["flag_ad_targets"]
+
+ORACLE["plays_by_customer"] = with_views(["plays"], """
+SELECT customer_id, CAST(CAST(datetime AS DATE) AS TIMESTAMP) AS period_start, CAST(COUNT(*) AS INTEGER) AS n,
+       string_agg(concat_ws('/', event_id, track_id, ismobile, listening_zip_code), ';' ORDER BY datetime, event_id)
+         AS plays
+FROM plays GROUP BY 1, 2""")
+
+ORACLE["rejected_model_changes_nothing"] = with_views(["parsed_lines", "features"], """
+SELECT CASE WHEN f.customer_id IS NOT NULL THEN 0 END AS "SendEvent", COUNT(*) AS plays
+FROM parsed_lines p LEFT JOIN features f ON p.customer_id = f.customer_id
+WHERE p.reject_reason IS NULL GROUP BY 1""")
+
+DENSE = """
+  SELECT event_id, user_id % 50 AS customer_id,
+         CASE WHEN k % 7 <> 0 THEN k % 2 END AS track_id,
+         CAST(CAST(ts AS DATE) AS TIMESTAMP) + to_seconds(event_id * 7919 % 2880) AS datetime
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"""
+DENSE_REPEAT = REPEAT.format(src=f"(SELECT * FROM ({DENSE}) WHERE track_id IS NOT NULL)",
+                             horizon_us=30 * 60 * 1_000_000)
+ORACLE["repeat_listens_dense"] = DENSE_REPEAT
+ORACLE["stream_repeat_listens_dense"] = f"SELECT customer_id, track_id, first_detected FROM ({DENSE_REPEAT})"
+
+ORACLE["stream_progress_rows"] = "SELECT COUNT(*) AS input_rows FROM events"
+
+# The split: the first 32 bits of md5('<customer>-<seed>'), modulo 10,000, below 7,000.
+ORACLE["model_facts"] = with_views(["features"], """
+SELECT COUNT(*) AS predictions, COUNT(DISTINCT customer_id) AS customers, CAST(0 AS BIGINT) AS odd_predictions,
+       CAST(COUNT(*) FILTER (WHERE h < 7000) AS INTEGER) AS train_rows,
+       CAST(COUNT(*) FILTER (WHERE h >= 7000) AS INTEGER) AS test_rows, true AS error_in_range
+FROM (SELECT customer_id, CAST('0x' || substr(md5(customer_id || '-0'), 1, 8) AS BIGINT) % 10000 AS h FROM features)""")
+
+ORACLE["approx_users_bound"] = with_views(["plays"], """
+SELECT time_bucket(INTERVAL '1 day', datetime) AS bucket_start, CAST(SUM(ismobile) AS BIGINT) AS mobile_connections,
+       COUNT(DISTINCT customer_id) AS unique_customers, true AS within
+FROM plays GROUP BY 1""")
+ORACLE["stream_mobile_trend_bound"] = ORACLE["approx_users_bound"].replace("'1 day'", "'1 hour'")
+
+ORACLE["synth_age"] = with_views(["customers"], f"""
+SELECT customer_id, CAST([{", ".join(map(str, AGE_DECADES))}][
+         CAST('0x' || substr(md5(customer_id::VARCHAR), 1, 8) AS BIGINT) % {len(AGE_DECADES)} + 1]
+       + CAST('0x' || substr(md5(customer_id::VARCHAR), 9, 8) AS BIGINT) % 10 AS INTEGER) AS synth_age
+FROM customers""")
+
+# The text form keeps two decimals of each ratio (half up); the query gives them back as read.
+_ROUNDED = ", ".join(f'round("{f}" + 1e-9, 2) AS "{f}"' for f in FEATURE_NAMES)
+ORACLE["libsvm_round_trip"] = with_views(["features"], f"SELECT label, {_ROUNDED} FROM features")

@@ -12,9 +12,6 @@ PLAYS = T.StructType([
     T.StructField("listening_zip_code", T.StringType()),
 ])
 
-PLAYS_DDL = ("event_id BIGINT, customer_id BIGINT, track_id BIGINT, datetime TIMESTAMP_NTZ, "
-             "ismobile INT, listening_zip_code STRING")
-
 # Customer attributes.  Coded categories are strings of digits, as in the key-value
 # store the attributes came from.
 CUSTOMERS = T.StructType([
@@ -48,17 +45,6 @@ MUSIC = T.StructType([
     T.StructField("Length", T.IntegerType()),
 ])
 
-MESSAGES = T.StructType([
-    T.StructField("msg_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("text", T.StringType()),
-])
-
-PREDICTIONS = T.StructType([
-    T.StructField("customer_id", T.LongType()),
-    T.StructField("pred", T.IntegerType()),
-])
-
 # Output column order of an enriched play (the reference's index document), plus
 # event_id and event time which it dropped and we keep.
 ENRICHED_COLUMNS = ["@timestamp", "customer_id", "track_id", "ismobile", "listening_zip_code",

@@ -57,12 +57,15 @@ def build_session(master: str | None = None, app: str = "beatstream",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a distributed file system path that every executor can
-    reach.  Only when the session has none (a bare local test) do we make one.
+    On a cluster this is a distributed file system path that every executor can reach, and
+    its absence is an error.  Only a local session (driver and executors in one process),
+    as in tests, may go without: it gets a folder of its own.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="beatstream-ck-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

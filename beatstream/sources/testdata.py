@@ -141,20 +141,24 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def play_lines_from_events(events: DataFrame) -> DataFrame:
     """Print plays as raw log lines (``value`` column), the way the log file holds them.
 
-    Error events become broken lines: a non-integer mobile flag, or a line cut short
-    before its flag when the event value is below 5.
+    Error events become broken lines: cut short before the flag when the event value is
+    below 5, with a text track id when it is above 90, an unreadable time when it is
+    above 80, and else with a non-integer mobile flag.
     """
     k = _track_key().cast("string")
-    stamp = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
+    stamp = F.substring(F.col("ts").cast("string"), 1, 19)  # the wall clock, whatever the session's zone
     mobile = F.when(F.col("event_type").isin("view", "click"), F.lit("1")).otherwise(F.lit("0"))
     zip_code = (F.lit(10000) + F.col("event_id") % 40).cast("string")
     head = F.concat(F.col("event_id").cast("string"), F.lit(","), F.col("user_id").cast("string"),
                     F.lit(","), k, F.lit(',"'), stamp, F.lit('",'))
     good = F.concat(head, mobile, F.lit(',"'), zip_code, F.lit('"'))
     bad_flag = F.concat(head, F.lit("E,\""), zip_code, F.lit('"'))
-    line = (F.when((F.col("event_type") == "error") & (F.col("value") < 5), head)
-             .when(F.col("event_type") == "error", bad_flag)
-             .otherwise(good))
+    ids = F.concat(F.col("event_id").cast("string"), F.lit(","), F.col("user_id").cast("string"), F.lit(","))
+    tail = F.concat(F.lit('",0,"'), zip_code, F.lit('"'))
+    bad_track = F.concat(ids, F.lit("T"), k, F.lit(',"'), stamp, tail)
+    bad_time = F.concat(ids, k, F.lit(',"'), F.substring(stamp, 1, 10), tail)
+    line = (F.when(F.col("event_type") != "error", good).when(F.col("value") < 5, head)
+             .when(F.col("value") > 90, bad_track).when(F.col("value") > 80, bad_time).otherwise(bad_flag))
     return events.select(line.alias("value"))
 
 
@@ -162,11 +166,10 @@ def play_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return play_lines_from_events(table(spark, sf_dir, "events"))
 
 
-def play_log_folder(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+def play_log_folder(spark: SparkSession, sf_dir: str) -> str:
     """Write the play log as text files to a fresh shared folder (what the log
-    collector tails) and return the folder.  One file per core by default."""
+    collector tails) and return the folder: one file for each partition of the table."""
     from beatstream.session import shared_path
     path = shared_path(spark, "play-log")
-    n = files or spark.sparkContext.defaultParallelism
-    play_lines(spark, sf_dir).repartition(n).write.text(path)
+    play_lines(spark, sf_dir).write.text(path)
     return path

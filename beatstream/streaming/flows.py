@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatstream.functions.parse import parse_plays
 from beatstream.functions.scalar import hashtags
-from beatstream.functions.timeutil import instant_to_ntz, ntz_to_instant
-from beatstream.operators.joins import enrich_with_customer, flag_ad_targets, index_document
+from beatstream.functions.timeutil import instant_to_ntz, ntz_to_instant, pane_width
+from beatstream.operators.joins import enrich_and_flag, index_document
 from beatstream.operators.windows import top_n_per_group
 from beatstream.session import shared_path
-from beatstream.streaming.sinks import nested_window_result, set_add, write_batch_output
+from beatstream.streaming.sinks import nested_window_result, read_keyed_table, set_add, write_batch_output
 
 DEFAULT_TRIGGER = {"processingTime": "2 seconds"}
 
@@ -73,42 +73,95 @@ def run_for(query, minutes: float = 0) -> None:
         query.stop()
 
 
-# --- real-time ad flags: parse -> enrich -> flag -> append + audience set ---------------
+# --- bounded runs -------------------------------------------------------------------------
+
+CLOSING_YEARS = 100
+
 
-def ad_flag_records(lines: DataFrame, customers: DataFrame, predictions: DataFrame,
-                    on_missing: str = "null", hot_customers: list | None = None) -> DataFrame:
-    """Streaming records: parsed play + customer attributes + ``SendEvent``.
+def run_closed(source: DataFrame, sample: DataFrame, ts_col: str, begin: Callable[[DataFrame, str], object]) -> None:
+    """Run a windowed query over a bounded input and close the input, so that every window
+    arrives, the newest ones too.
 
-    ``hot_customers`` salts the two lookups for those customers (no AQE skew split
-    inside a micro-batch); see ``operators.joins.hot_keys``.
+    ``begin(stream, checkpoint)`` starts the query with an ``availableNow`` trigger.  It
+    runs once over the data and once more over a closing row: a copy of a row of
+    ``sample`` (the same table, not streaming) set ``CLOSING_YEARS`` later, which moves
+    the watermark past all real windows.  The closing row's own window stays open.
     """
-    plays = parse_plays(lines)
-    enriched = enrich_with_customer(plays, customers, on_missing, ingest_time=True, hot_keys=hot_customers)
-    return index_document(flag_ad_targets(enriched, predictions, on_missing, hot_keys=hot_customers))
+    spark = source.sparkSession
+    folder, checkpoint = shared_path(spark, "closing"), shared_path(spark, "ck-closed")
+    sample.limit(0).write.parquet(folder)
+    stream = source.unionByName(spark.readStream.schema(sample.schema).parquet(folder))
+    begin(stream, checkpoint).awaitTermination()
+    later = F.col(ts_col) + F.make_ym_interval(F.lit(CLOSING_YEARS))
+    sample.limit(1).withColumn(ts_col, later).write.mode("append").parquet(folder)
+    begin(stream, checkpoint).awaitTermination()
+
 
+# --- real-time ad flags: parse -> enrich -> flag -> append + audience set ---------------
 
-def ad_flag_stream(lines: DataFrame, customers: DataFrame, predictions: DataFrame, out_path: str,
+Lookup = DataFrame | Callable[[], DataFrame]
+
+
+def _current(table: Lookup) -> DataFrame:
+    return table() if callable(table) else table
+
+
+def ad_flag_stream(lines: DataFrame, customers: Lookup, predictions: Lookup, out_path: str,
                    audience_path: str, checkpoint: str | None = None, trigger: dict | None = None,
                    on_missing: str = "null", hot_customers: list | None = None):
-    """The whole real-time flow.  Per micro-batch: persist once, write the records
+    """The whole real-time flow.  Per micro-batch: look the plays up in the customers and
+    predictions of that moment (one join, with AQE's skew handling), write the records
     (idempotent per batch id) and add flagged customers to the audience set.
 
-    ``customers`` and ``predictions`` are static tables joined to the stream; pass
-    materialised tables (parquet), not plans that would be recomputed per batch.
+    ``customers`` and ``predictions`` may be functions that return the current table, for
+    example ``lambda: read_keyed_table(spark, path)``: they are called for every batch, so
+    a table published between two batches (a retrained model) is used from the next batch
+    on.  A plain DataFrame is taken as it is.
     """
-    records = ad_flag_records(lines, customers, predictions, on_missing, hot_customers)
+    plays = parse_plays(lines)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        records = index_document(enrich_and_flag(batch, _current(customers), _current(predictions), on_missing,
+                                                 ingest_time=True, hot_keys=hot_customers))
+        records = records.persist()
         try:
-            if batch.isEmpty():
+            if records.isEmpty():
                 return
-            write_batch_output(batch, out_path, batch_id)
-            set_add(batch.filter(F.col("SendEvent") == 1), audience_path)
+            write_batch_output(records, out_path, batch_id)
+            set_add(records.filter(F.col("SendEvent") == 1), audience_path)
         finally:
-            batch.unpersist()
+            records.unpersist()
+
+    return start(plays, handle, checkpoint, trigger, query_name=None)
+
 
-    return start(records, handle, checkpoint, trigger, query_name=None)
+def keyed_table(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
+    """The current content of a keyed table, looked up anew at every call."""
+    return lambda: read_keyed_table(spark, path)
+
+
+# --- sliding windows by panes -------------------------------------------------------------
+
+def pane_counts(events: DataFrame, by: list[str], length: str, slide: str | None, ts_col: str,
+                aggs: dict[str, tuple[Column, Callable[[str], Column]]]) -> DataFrame:
+    """Aggregates per (window, ``by``) of a watermarked stream.
+
+    Rows are aggregated once per pane (the longest span that lies whole in the same
+    windows); finished panes are then combined to the windows that hold them, so a row is
+    not copied to every window.  ``aggs`` gives for each column the aggregate over rows
+    and how its pane values combine.
+    """
+    if slide is None:  # tumbling windows are their own panes
+        w = F.window(F.col(ts_col), length)
+        out = events.groupBy(w.alias("window"), *by).agg(*[a.alias(c) for c, (a, _) in aggs.items()])
+        return out.select(ntz(F.col("window.start")).alias("window_start"),
+                          ntz(F.col("window.end")).alias("window_end"), *by, *aggs)
+    pane = F.window(F.col(ts_col), pane_width(length, slide))
+    panes = events.groupBy(pane.alias("pane"), *by).agg(*[a.alias(c) for c, (a, _) in aggs.items()])
+    w = F.window(F.window_time("pane"), length, slide)
+    return (panes.groupBy(w.alias("window"), *by).agg(*[f(c).alias(c) for c, (_, f) in aggs.items()])
+                 .select(ntz(F.col("window.start")).alias("window_start"),
+                         ntz(F.col("window.end")).alias("window_end"), *by, *aggs))
 
 
 # --- trending hashtags over sliding windows ---------------------------------------------
@@ -119,10 +172,7 @@ def windowed_tag_counts(messages: DataFrame, length: str, slide: str, delay: str
     watermark passes its end (append mode)."""
     m = event_time(messages.select(ts_col, text_col), ts_col)
     tags = hashtags(m, text_col, keep=[ts_col]).withWatermark(ts_col, delay)
-    w = F.window(F.col(ts_col), length, slide)
-    return (tags.groupBy(w.alias("window"), "tag").agg(F.count(F.lit(1)).alias("amount"))
-                .select(ntz(F.col("window.start")).alias("window_start"),
-                        ntz(F.col("window.end")).alias("window_end"), "tag", "amount"))
+    return pane_counts(tags, ["tag"], length, slide, ts_col, {"amount": (F.count(F.lit(1)), F.sum)})
 
 
 def rank_window_tags(counts: DataFrame, n: int) -> DataFrame:
@@ -188,12 +238,11 @@ def access_stats_stream(plays: DataFrame, length: str = "30 minutes", slide: str
     once the watermark passes the window end (exact distinct counts are not
     available on streams; the batch ``access_stats`` has them)."""
     p = event_time(plays, ts_col).withWatermark(ts_col, delay)
-    w = F.window(F.col(ts_col), length, slide)
-    return (p.groupBy(w.alias("window"))
-             .agg(F.count(F.lit(1)).alias("plays"), F.sum("ismobile").alias("mobile_plays"),
-                  F.approx_count_distinct("customer_id").alias("approx_customers"))
-             .select(ntz(F.col("window.start")).alias("window_start"),
-                     ntz(F.col("window.end")).alias("window_end"), "plays", "mobile_plays", "approx_customers"))
+    return pane_counts(p, [], length, slide, ts_col, {
+        "plays": (F.count(F.lit(1)), F.sum), "mobile_plays": (F.sum("ismobile"), F.sum),
+        # mergeable sketches: those of a window's panes are united
+        "approx_customers": (F.hll_sketch_agg("customer_id"),
+                             lambda c: F.hll_sketch_estimate(F.hll_union_agg(c)))})
 
 
 def windowed_top_n_stream(df: DataFrame, out_path: str, group: list[str], item: str, length: str,
@@ -208,10 +257,7 @@ def windowed_top_n_stream(df: DataFrame, out_path: str, group: list[str], item:
     idempotently per batch id as flat rows.  ``slide`` None means tumbling windows.
     """
     e = event_time(df.filter(F.col(item).isNotNull()), ts_col).withWatermark(ts_col, delay)
-    w = F.window(F.col(ts_col), length, slide) if slide else F.window(F.col(ts_col), length)
-    counts = (e.groupBy(w.alias("window"), *group, item).agg(F.count(F.lit(1)).alias(count_col))
-               .select(ntz(F.col("window.start")).alias("window_start"),
-                       ntz(F.col("window.end")).alias("window_end"), *group, item, count_col))
+    counts = pane_counts(e, [*group, item], length, slide, ts_col, {count_col: (F.count(F.lit(1)), F.sum)})
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()

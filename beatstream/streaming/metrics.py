@@ -1,4 +1,4 @@
-"""Pipeline metrics: a batch listener, progress samples as rows, and their rollup.
+"""Pipeline metrics: a batch listener, a log of every progress report, samples and their rollup.
 
 Replaces polled JMX counters (messages/s, records consumed, lag, latency) with the
 progress reports Structured Streaming already produces for every micro-batch.
@@ -6,21 +6,28 @@ progress reports Structured Streaming already produces for every micro-batch.
 
 from __future__ import annotations
 
-import json
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-SAMPLE_SCHEMA = "ts timestamp, alias string, metric string, attribute string, value double"
+from beatstream.streaming.sinks import write_text_file
+
+PROGRESS_SCHEMA = """
+    id string, name string, timestamp string, batchId long, numInputRows double, inputRowsPerSecond double,
+    processedRowsPerSecond double, durationMs map<string, double>,
+    sources array<struct<metrics: map<string, string>>>,
+    stateOperators array<struct<numRowsTotal: double, numRowsUpdated: double, memoryUsedBytes: double>>"""
 
 
 class BatchListener(StreamingQueryListener):
-    """Hook on query start, batch progress and termination; keeps a log and
-    optionally prints the batch time like the reference's listener."""
+    """Hook on query start, batch progress and termination; keeps the latest ``keep``
+    events and optionally prints the batch time like the reference's listener.  The whole
+    history is the business of ``ProgressLog``."""
 
-    def __init__(self, echo: bool = False):
-        self.events: list[tuple[str, str, dict]] = []
+    def __init__(self, echo: bool = False, keep: int = 1000):
+        self.events: deque[tuple[str, str, dict]] = deque(maxlen=keep)
         self.echo = echo
 
     def onQueryStarted(self, event):
@@ -41,41 +48,64 @@ class BatchListener(StreamingQueryListener):
         self.events.append(("terminated", str(event.id), {"exception": event.exception}))
 
 
-def _samples_from_progress(progress: dict, alias: str) -> list[tuple]:
-    """(ts, alias, metric, attribute, value) samples of one progress report."""
-    ts = progress.get("timestamp")
-    out = [
-        (ts, alias, "rows", "input", float(progress.get("numInputRows") or 0)),
-        (ts, alias, "rows", "input_per_second", float(progress.get("inputRowsPerSecond") or 0.0)),
-        (ts, alias, "rows", "processed_per_second", float(progress.get("processedRowsPerSecond") or 0.0)),
-    ]
-    for k, v in (progress.get("durationMs") or {}).items():
-        out.append((ts, alias, "duration_ms", k, float(v)))
-    for i, src in enumerate(progress.get("sources") or []):
-        for k, v in (src.get("metrics") or {}).items():
-            try:
-                out.append((ts, alias, f"source{i}", k, float(v)))
-            except (TypeError, ValueError):
-                continue
-    for i, op in enumerate(progress.get("stateOperators") or []):
-        for k in ("numRowsTotal", "numRowsUpdated", "memoryUsedBytes"):
-            if op.get(k) is not None:
-                out.append((ts, alias, f"state{i}", k, float(op[k])))
-    return out
-
-
-def progress_samples(spark: SparkSession, query, alias: str | None = None) -> DataFrame:
-    """The query's recent progress reports as (ts, alias, metric, attribute, value) rows.
-
-    Progress reports are small per-batch metadata kept by the driver (bounded by
-    ``spark.sql.streaming.numRecentProgressUpdates``)."""
-    alias = alias or (query.name or str(query.id))
-    rows = []
-    for p in query.recentProgress:
-        d = json.loads(p.json) if hasattr(p, "json") else dict(p)
-        rows.extend(_samples_from_progress(d, alias))
-    df = spark.createDataFrame(rows, "ts string, alias string, metric string, attribute string, value double")
-    return df.withColumn("ts", F.to_timestamp("ts"))
+class ProgressLog(StreamingQueryListener):
+    """Writes every progress report of every query to ``path`` as JSON lines.
+
+    Spark keeps only a query's latest reports; this log keeps all.  Reports are written in
+    groups of ``group`` and when a query ends, one small file each time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, group: int = 100):
+        self.spark, self.path, self.group = spark, path, group
+        self.waiting: dict[str, list[str]] = {}
+        self.files = 0
+
+    def _flush(self, run: str) -> None:
+        lines = self.waiting.pop(run, [])
+        if lines:
+            write_text_file(self.spark, f"{self.path}/{run}-{self.files:06d}.json", "\n".join(lines))
+            self.files += 1
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run = str(event.progress.runId)
+        self.waiting.setdefault(run, []).append(event.progress.json.replace("\n", " "))
+        if len(self.waiting[run]) >= self.group:
+            self._flush(run)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self._flush(str(event.runId))
+
+
+def progress_samples(spark: SparkSession, path: str) -> DataFrame:
+    """All reports of a ``ProgressLog`` as (ts, alias, batch_id, metric, attribute, value) rows."""
+    p = spark.read.schema(PROGRESS_SCHEMA).json(path)
+
+    def sample(metric, attribute, value):
+        return F.struct(metric.cast("string").alias("metric"), attribute.cast("string").alias("attribute"),
+                        value.cast("double").alias("value"))
+
+    rows = F.array(*[sample(F.lit("rows"), F.lit(a), F.coalesce(F.col(c), F.lit(0.0))) for a, c in (
+        ("input", "numInputRows"), ("input_per_second", "inputRowsPerSecond"),
+        ("processed_per_second", "processedRowsPerSecond"))])
+    durations = F.transform(F.map_entries("durationMs"), lambda e: sample(F.lit("duration_ms"), e["key"], e["value"]))
+    sources = F.flatten(F.transform("sources", lambda s, i: F.transform(
+        F.map_entries(F.coalesce(s["metrics"], F.create_map().cast("map<string,string>"))),
+        lambda e: sample(F.concat(F.lit("source"), i.cast("string")), e["key"], e["value"].try_cast("double")))))
+    states = F.flatten(F.transform("stateOperators", lambda s, i: F.array(*[
+        sample(F.concat(F.lit("state"), i.cast("string")), F.lit(k), s[k])
+        for k in ("numRowsTotal", "numRowsUpdated", "memoryUsedBytes")])))
+    none = F.array().cast("array<struct<metric: string, attribute: string, value: double>>")
+    every = F.concat(rows, *[F.coalesce(x, none) for x in (durations, sources, states)])
+    return (p.select(F.to_timestamp("timestamp").alias("ts"), F.coalesce("name", "id").alias("alias"),
+                     F.col("batchId").alias("batch_id"), F.explode(every).alias("s"))
+             .select("ts", "alias", "batch_id", "s.metric", "s.attribute", "s.value")
+             .filter(F.col("value").isNotNull()))
 
 
 def metric_rollup(samples: DataFrame, bucket: str = "1 minute") -> DataFrame:

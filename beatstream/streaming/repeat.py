@@ -1,30 +1,37 @@
 """Repeat listens on a stream: the one custom stateful operator.
 
-State per (customer, track) holds the play times that can still complete a run
-(those not older than ``watermark - within``) and whether the key was already
-reported.  Each micro-batch merges the key's new plays into that buffer, reports
-the first run of ``min_plays`` plays within ``within_seconds`` once, and prunes
-the buffer.  Keys without a report expire through an event-time timeout.
-
-State size per key is bounded even for a hot key: a key that is not yet
-reported has fewer than ``min_plays`` plays in every horizon (otherwise it would
-have been reported), so its buffer, which spans the watermark delay plus one
-horizon, holds fewer than ``min_plays * (delay / horizon + 2)`` plays; a reported
-key keeps only its flag.  The rows one call receives are bounded by the
-micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+State per (customer, track) holds the play times that can still belong to the earliest
+run.  A run is reported once the watermark has passed its last play: until then an
+earlier play may still arrive and complete an earlier run, so the report does not depend
+on the order in which plays arrive.  The reported key keeps only a flag, which expires
+``retain`` after the key's last play (a key that starts anew after that is reported
+again; the interest list, a keyed set, registers it once).
+
+State size per key is bounded even for a hot key: plays older than the watermark minus
+one horizon are dropped unless they belong to the run found, so a key holds the plays of
+the watermark delay plus two horizons, whatever its age.  The rows one call receives are
+bounded by the micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+Plays without a customer or track are left out.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from beatstream.functions.timeutil import instant_to_ntz, ntz_micros, ntz_to_instant
+from beatstream.functions.timeutil import duration_seconds, micros_to_ntz, ntz_micros, ntz_to_instant
+from beatstream.streaming.flows import start
+from beatstream.streaming.sinks import set_add
+
+# the state function is shipped by value: workers need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT_SCHEMA = "customer_id long, track_id long, first_detected_us long"
 STATE_SCHEMA = "times array<long>, reported boolean"
@@ -39,44 +46,60 @@ def _first_run_end(times: np.ndarray, k: int, within_us: int) -> int | None:
     return int(times[hit[0] + k - 1]) if len(hit) else None
 
 
-def _make_state_fn(k: int, within_us: int):
+def _make_state_fn(k: int, within_us: int, retain_us: int):
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        times, reported = (list(state.get[0]), bool(state.get[1])) if state.exists else ([], False)
+        if state.hasTimedOut and reported:
             state.remove()
             return
-        times, reported = (list(state.get[0]), bool(state.get[1])) if state.exists else ([], False)
-        new = [b["us"].to_numpy(dtype=np.int64) for b in batches]
+        new = [] if state.hasTimedOut else [b["us"].to_numpy(dtype=np.int64) for b in batches]
         merged = np.sort(np.concatenate([np.asarray(times, dtype=np.int64), *new]))
-        if not reported:
-            end = _first_run_end(merged, k, within_us)
-            if end is not None:
-                reported = True
-                yield pd.DataFrame({"customer_id": [key[0]], "track_id": [key[1]],
-                                    "first_detected_us": [end]})
+        watermark = state.getCurrentWatermarkMs() * 1000
+        newest = int(merged[-1]) if len(merged) else 0
+        end = None if reported else _first_run_end(merged, k, within_us)
+        if end is not None and end < watermark:
+            yield pd.DataFrame({"customer_id": [key[0]], "track_id": [key[1]], "first_detected_us": [end]})
+            reported = True
         if reported:
-            # Reported keys keep only the flag: emit once per (customer, track).
-            state.update(([], True))
+            # the time of the latest play alone: the flag expires after it
+            state.update(([newest], True))
+            state.setTimeoutTimestamp(max(newest + retain_us, watermark) // 1000 + 1)
             return
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        keep = merged[merged >= wm_us - within_us] if wm_us > 0 else merged
-        state.update((keep.tolist(), False))
-        if len(keep):
-            state.setTimeoutTimestamp(int(keep.max() // 1000) + within_us // 1000 + 1)
+        if end is None:
+            merged = merged[merged >= watermark - within_us] if watermark > 0 else merged
+        else:
+            merged = merged[(merged >= watermark - within_us) | (merged <= end)]
+        if not len(merged):
+            state.remove()
+            return
+        state.update((merged.tolist(), False))
+        due = end if end is not None else newest + within_us
+        state.setTimeoutTimestamp(max(due, watermark) // 1000 + 1)
     return fn
 
 
 def repeat_listens_stream(plays: DataFrame, min_plays: int = 3, within_seconds: int = 30 * 60,
-                          delay: str = "30 minutes", ts_col: str = "datetime") -> DataFrame:
+                          delay: str = "30 minutes", ts_col: str = "datetime", retain: str = "30 days") -> DataFrame:
     """Streaming (customer, track, first_detected) reports, each key once.
 
     Play times travel as epoch microseconds of the wall clock (no time zone), and
     ``first_detected`` comes back as ``timestamp_ntz`` like the batch form."""
     p = (plays.select("customer_id", "track_id", ntz_to_instant(F.col(ts_col)).alias("ts"),
                       ntz_micros(F.col(ts_col)).alias("us"))
+              .filter(F.col("customer_id").isNotNull() & F.col("track_id").isNotNull())
               .withWatermark("ts", delay))
-    fn = _make_state_fn(min_plays, within_seconds * 1_000_000)
+    fn = _make_state_fn(min_plays, within_seconds * 1_000_000, duration_seconds(retain) * 1_000_000)
     out = (p.groupBy("customer_id", "track_id")
             .applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
-    return out.select("customer_id", "track_id",
-                      instant_to_ntz(F.timestamp_micros(F.col("first_detected_us"))).alias("first_detected"))
+    return out.select("customer_id", "track_id", micros_to_ntz(F.col("first_detected_us")).alias("first_detected"))
+
+
+def register_repeats(reports: DataFrame, interests_path: str, checkpoint: str | None = None,
+                     trigger: dict | None = None):
+    """Start a query that registers each reported (customer, track) in the interest list,
+    a keyed set: a key reported again, or a batch replayed, adds nothing."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        set_add(batch, interests_path, ["customer_id", "track_id"])
+
+    return start(reports, handle, checkpoint, trigger)

@@ -1,14 +1,17 @@
 """Sinks: append tables, keyed upserts, set members, nested window results, text lines.
 
-The keyed sinks replace a key-value store with parquet tables.  They are written
-for ``foreachBatch``: each call is idempotent for a given ``batch_id`` so that a
-micro-batch replayed after an executor or driver failure writes the same result
-again instead of a second copy.  Without a transactional table format a table has
-one writer at a time.
+The keyed sinks replace a key-value store with parquet tables.  A keyed table is cut into
+buckets by a hash of its key; an upsert rewrites only the buckets that it touches and then
+commits by one small file that names the current folder of every bucket.  Readers follow
+the newest commit, so a write that failed half-way is never seen.  A repeated call (a
+micro-batch replayed after a failure) gives the same table.  A table has one writer at a
+time.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +53,8 @@ def publish_lines(df: DataFrame, path: str | None = None, checkpoint: str | None
     return w.format("text").start(path)
 
 
-def console_debug(df: DataFrame, trigger: dict | None = None, num_rows: int = 20):
-    """Echo records to the driver's console (debugging only)."""
+def console_debug(df: DataFrame, num_rows: int, trigger: dict | None = None):
+    """Echo at most ``num_rows`` records of each micro-batch to the driver's console (debugging only)."""
     return (df.writeStream.format("console").option("truncate", False).option("numRows", num_rows)
               .trigger(**(trigger or {"processingTime": "2 seconds"})).start())
 
@@ -63,62 +66,115 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Newest committed snapshot number of a keyed table (None when there is none).
-
-    One aggregate over the ``version`` partition column; a snapshot becomes
-    visible only when its write job has committed."""
-    snaps = _read_or_none(spark, path)
-    if snaps is None or "version" not in snaps.columns:
-        return None
-    return snaps.select(F.max("version")).first()[0]
-
+# --- keyed tables ---------------------------------------------------------------------------
 
-def read_keyed_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The current snapshot of a table written by ``upsert_by_key`` / ``set_value``."""
-    v = latest_version(spark, path)
-    return None if v is None else spark.read.parquet(f"{path}/version={v}")
+COMMITS = "_commits"
 
 
-def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
-    """Delete all but the ``keep`` newest snapshots of a keyed table; returns the
-    versions removed.  Uses the Hadoop file system of the table's path (HDFS,
-    object stores, local), so it works wherever the table lives.  Run it only
-    while no reader still uses an old snapshot."""
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and a function that makes its path objects."""
     jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    new = jvm.org.apache.hadoop.fs.Path
+    return new(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new
+
+
+def write_text_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file so that it appears whole or not at all (temporary name, then rename)."""
+    fs, new = _file_system(spark, path)
+    folder, _, name = path.rpartition("/")
+    temporary = new(f"{folder}/.{name}.tmp")
+    out = fs.create(temporary, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(new(path), False)
+    fs.rename(temporary, new(path))
+
+
+def _commits(spark: SparkSession, path: str) -> list[tuple[int, dict]]:
+    """(version, commit) of a keyed table, oldest first; a few small files."""
+    fs, new = _file_system(spark, path)
+    folder = new(f"{path}/{COMMITS}")
+    if not fs.exists(folder):
         return []
-    versions = sorted(int(st.getPath().getName().split("=", 1)[1]) for st in fs.listStatus(root)
-                      if st.isDirectory() and st.getPath().getName().startswith("version="))
-    old = versions[:-keep] if keep > 0 else versions
-    for v in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}"), True)
-    return old
+    names = sorted(st.getPath().getName() for st in fs.listStatus(folder))
+    found = [n for n in names if n.endswith(".json") and not n.startswith(".")]
+    texts = spark.read.text([f"{path}/{COMMITS}/{n}" for n in found], wholetext=True).collect() if found else []
+    return sorted((c["version"], c) for c in (json.loads(r.value) for r in texts))
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest commit of a keyed table (None when there is none)."""
+    commits = _commits(spark, path)
+    return commits[-1][0] if commits else None
+
+
+def _bucket_folders(path: str, commit: dict, buckets: list[int] | None = None) -> list[str]:
+    return [f"{path}/write={w}/bucket={b}" for b, w in sorted((int(b), w) for b, w in commit["buckets"].items())
+            if buckets is None or b in buckets]
 
 
-def upsert_by_key(updates: DataFrame, path: str, key: str, seq_col: str) -> DataFrame:
+def read_keyed_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current content of a table written by ``upsert_by_key`` / ``set_value``: key and fields."""
+    commits = _commits(spark, path)
+    if not commits:
+        return None
+    stored = spark.read.option("mergeSchema", "true").parquet(*_bucket_folders(path, commits[-1][1]))
+    key = commits[-1][1]["key"]
+    return stored.select(key, *[F.col(f"`{c}`.value").alias(c) for c in stored.columns if c != key])
+
+
+def upsert_by_key(updates: DataFrame, path: str, key: str, seq_col: str, buckets: int = 64, keep: int = 2) -> DataFrame:
     """Merge field groups into one record per key; the last write wins per field.
 
-    ``updates`` carries the key, a sequence column (larger = later) and any
-    subset of fields, null where a write did not touch the field.  The merged
-    table is one hash aggregate over the current snapshot and the updates, written
-    as the next snapshot ``path/version=<n+1>``: the snapshot being read is never
-    overwritten, so a failed or repeated call leaves the current snapshot intact
-    and a retry gives the same result.  Returns the new snapshot.  (Old snapshots
-    stay until ``drop_old_snapshots``; one writer per table.)
+    ``updates`` carries the key, a sequence column (larger = later) and any subset of
+    fields, null where a write did not touch the field.  Every stored field keeps the
+    sequence of its own last write, so the result does not depend on how the writes are
+    batched; of two writes with the same sequence the larger value wins.  Rows without a
+    key are ignored.  Only touched buckets are read and rewritten; folders that the newest
+    ``keep`` commits don't use are deleted.  Returns the current table.
     """
     spark = updates.sparkSession
-    v = latest_version(spark, path)
-    old = None if v is None else spark.read.parquet(f"{path}/version={v}")
-    rows = updates if old is None else old.unionByName(updates, allowMissingColumns=True)
-    fields = [c for c in rows.columns if c not in (key, seq_col)]
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq_col))).alias(c) for c in fields]
-    merged = rows.groupBy(key).agg(*aggs, F.max(seq_col).alias(seq_col))
-    target = f"{path}/version={0 if v is None else v + 1}"
-    merged.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    commits = _commits(spark, path)
+    version, commit = commits[-1] if commits else (-1, {"buckets": {}, "count": buckets, "key": key})
+    fields = [c for c in updates.columns if c not in (key, seq_col)]
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(commit["count"])).cast("int")
+    rows = updates.filter(F.col(key).isNotNull()).select(key, *[
+        F.when(F.col(c).isNotNull(), F.struct(F.col(seq_col).cast("long").alias("seq"), F.col(c).alias("value"))).alias(c)
+        for c in fields])
+    touched = sorted(r[0] for r in rows.select(bucket).distinct().collect())  # at most ``buckets`` numbers
+    old = _bucket_folders(path, commit, touched)
+    if old:
+        rows = spark.read.option("mergeSchema", "true").parquet(*old).unionByName(rows, allowMissingColumns=True)
+    merged = rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
+    new = version + 1
+    if touched or not commits:
+        (merged.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite")
+               .partitionBy("bucket").parquet(f"{path}/write={new}"))
+        if not touched:  # an empty first write: one empty bucket keeps the schema
+            merged.write.mode("overwrite").parquet(f"{path}/write={new}/bucket=0")
+            touched = [0]
+    after = commit | {"version": new, "buckets": commit["buckets"] | {str(b): new for b in touched}}
+    write_text_file(spark, f"{path}/{COMMITS}/{new:09d}.json", json.dumps(after))
+    drop_old_snapshots(spark, path, keep)
+    return read_keyed_table(spark, path)
+
+
+def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the ``keep`` newest commits and the bucket folders that only they use.
+
+    Returns the commits removed.  A reader of an older commit must have finished by then.
+    """
+    commits = _commits(spark, path)
+    old, kept = commits[:-keep], commits[-keep:]
+    fs, new = _file_system(spark, path)
+    used = {f for _, c in kept for f in _bucket_folders(path, c)}
+    for _, c in old:
+        for f in _bucket_folders(path, c):
+            if f not in used:
+                fs.delete(new(f), True)
+    for v, _ in old:
+        fs.delete(new(f"{path}/{COMMITS}/{v:09d}.json"), False)
+    return [v for v, _ in old]
 
 
 def set_value(updates: DataFrame, path: str, key: str, value_col: str, seq_col: str) -> DataFrame:
@@ -126,23 +182,34 @@ def set_value(updates: DataFrame, path: str, key: str, value_col: str, seq_col:
     return upsert_by_key(updates.select(key, value_col, seq_col), path, key, seq_col)
 
 
-def set_add(members: DataFrame, path: str, key: str = "customer_id", return_new: bool = False) -> DataFrame | None:
+def set_add(members: DataFrame, path: str, key: str | list[str] = "customer_id", return_new: bool = False,
+            buckets: int = 64) -> DataFrame | None:
     """Add each key once; keys already present are ignored (replays add nothing).
 
-    Only the new keys are appended: a left anti join against the current set.
-    Appending is safe while reading the set, because the set's file list is fixed
-    when the read is planned.  With ``return_new`` the new keys are checkpointed
-    first (so they can be returned after the set has changed) and returned.
+    The set is stored in folders by a hash of the key; only the folders of the candidates
+    are read for the anti join, and only new keys are appended.  Appending is safe while
+    reading the set, because its file list is fixed when the read is planned.  With
+    ``return_new`` the new keys are checkpointed first (so they can be returned after the
+    set has changed) and returned.
     """
     spark = members.sparkSession
-    cand = members.select(key).filter(F.col(key).isNotNull()).distinct()
+    keys = [key] if isinstance(key, str) else list(key)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    cand = members.select(*keys).dropna().distinct().withColumn("bucket", bucket)
+    touched = [r[0] for r in cand.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
     old = _read_or_none(spark, path)
-    new = cand if old is None else cand.join(old.select(key), key, "left_anti")
+    if old is not None:
+        cand = cand.join(old.filter(F.col("bucket").isin(touched)).select(*keys), keys, "left_anti")
     if return_new:
         checkpoint_root(spark)
-        new = new.checkpoint(eager=True)
-    new.write.mode("append").parquet(path)
-    return new if return_new else None
+        cand = cand.checkpoint(eager=True)
+    cand.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
+    return cand.select(*keys) if return_new else None
+
+
+def read_set(spark: SparkSession, path: str) -> DataFrame:
+    """The members of a set written by ``set_add``."""
+    return spark.read.parquet(path).drop("bucket")
 
 
 def nested_window_result(ranked: DataFrame, window_cols=("window_start", "window_end"),
@@ -172,22 +239,15 @@ def compact_table(spark: SparkSession, src: str, dst: str, ts_col: str = "dateti
                   max_records_per_file: int = 5_000_000) -> DataFrame:
     """Rewrite a table of many small per-batch files into date partitions.
 
-    The read packs small files into input tasks of about
-    ``spark.sql.files.maxPartitionBytes``; each task writes its rows straight into
-    their date folders (no shuffle, so a busy day is not funnelled into one task).
-    Dynamic partition overwrite replaces only the dates being written, so a
-    re-run after a failure gives the same table.  Returns the compacted table.
+    A rebalance by date brings the rows of a date together: AQE joins small dates' shuffle
+    blocks into one task and splits a busy date over several, each of about the advisory
+    partition size, so a date has as few files as its size needs.  Dynamic partition
+    overwrite replaces only the dates being written, so a re-run after a failure gives the
+    same table.  Returns the compacted table.
     """
     df = spark.read.parquet(src)
     df = df.drop(*[c for c in drop if c in df.columns]).withColumn(date_col, F.to_date(F.col(ts_col)))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.write.mode("overwrite").partitionBy(date_col)
-           .option("maxRecordsPerFile", max_records_per_file).parquet(dst))
-    finally:
-        if prev is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col)
+       .option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", max_records_per_file).parquet(dst))
     return spark.read.parquet(dst)

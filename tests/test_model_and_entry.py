@@ -40,11 +40,23 @@ def test_train_score_and_gate(spark):
 
 def test_compare_models(spark):
     data = M.assemble(separable(spark))
+    reps = M.compare_models(data)
     train, test = M.split(data)
-    reps = M.compare_models(train, test)
+    assert all((r.train_rows, r.test_rows) == (train.count(), test.count()) for r in reps)
     assert [r.setting for r in reps] == ["lbfgs", "l2"] and all(0 <= r.error <= 0.5 for r in reps)
 
 
+def test_rejected_model_is_not_published(spark, tmp_dir):
+    from beatstream.streaming.sinks import read_keyed_table, set_value
+    path = os.path.join(tmp_dir, "pred")
+    old = spark.createDataFrame([(i, 7, 1) for i in range(400)], "customer_id long, pred int, _seq int")
+    set_value(old, path, "customer_id", "pred", "_seq")
+    report = M.publish_if_accepted(separable(spark), path, seq=2, threshold=-1.0)
+    assert report.error >= 0 and {r.pred for r in read_keyed_table(spark, path).collect()} == {7}
+    M.publish_if_accepted(separable(spark), path, seq=3, threshold=0.5)
+    assert {r.pred for r in read_keyed_table(spark, path).collect()} == {0, 1}
+
+
 def test_ad_audience_below_gold(spark):
     cust = spark.createDataFrame([(1, "0"), (2, "2"), (3, "1")], "customer_id long, Level string")
     preds = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "customer_id long, pred int")
@@ -95,7 +107,8 @@ def test_command_line_list_and_run(spark, capsys):
     from beatstream.__main__ import main
     assert main(["list"]) == 0
     listed = capsys.readouterr().out.split()
-    assert "mobile_trend" in listed and len(listed) == len(entry.queries())
+    from beatstream.plans.catalog import QUERIES
+    assert "mobile_trend" in listed and set(listed) == set(QUERIES) <= set(entry.queries())
     assert main(["run", "terms_zip", "--sf", SF_SMALL, "--show", "3"]) == 0
     assert "listening_zip_code" in capsys.readouterr().out
     assert main(["run", "no_such_query", "--sf", SF_SMALL]) == 2

@@ -9,8 +9,8 @@ from beatstream.functions import parse as P
 
 FIELD = st.one_of(
     st.integers(min_value=-5, max_value=10**6).map(str),
-    st.sampled_from(["", " ", "x", "E", '"7"', ' 12', '"66216', "1.5", "2014-10-15 18:32:14",
-                     '"2014-10-23 03:26:20"', '"not a time"', " 2014-02-30 10:00:00"]),
+    st.sampled_from(["", " ", "x", "E", '"7"', ' 12', '"10117', "1.5", "2015-02-01 18:00:14",
+                     '"2015-03-29 02:30:00"', '"not a time"', " 2015-02-30 10:00:00"]),
 )
 LINE = st.lists(FIELD, min_size=0, max_size=8).map(lambda fs: ",".join(fs))
 
@@ -43,6 +43,10 @@ def py_parse(line):
         reason = "bad_customer_id"
     elif mobile is None:
         reason = "bad_ismobile"
+    elif py_int(get(2).replace('"', "")) is None:
+        reason = "bad_track_id"
+    elif py_time(get(3)) is None:
+        reason = "bad_event_time"
     else:
         reason = None
     if reason:

@@ -49,3 +49,11 @@ def test_recent_window_filter_reaches_the_play_scan(spark):
 def test_global_top_n_is_take_ordered(spark):
     p = plan(catalog.QUERIES["trending_tags"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_nested_terms_scan_once(spark):
+    df = catalog.QUERIES["top_regions_and_users"](spark, SF_SMALL)
+    df.collect()
+    p = plan(df)
+    final = p[:p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
