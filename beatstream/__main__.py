@@ -2,7 +2,7 @@
 
     python -m beatstream list
     python -m beatstream run mobile_trend --sf /root/testdata/sf0.01 --show 20
-    python -m beatstream run build_features --sf /data --out /shared/features --format parquet
+    python -m beatstream run build_features --sf /data --shared hdfs:///tmp/ck --out /shared/features
     python -m beatstream explain top_regions_and_users --sf /root/testdata/sf0.01
 """
 
@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("query")
         p.add_argument("--sf", required=True, help="folder with the input tables")
         p.add_argument("--master", default=None, help="e.g. local[8]; default: from spark-submit")
+        p.add_argument("--shared", default=None,
+                       help="folder that all executors share (spark.checkpoint.dir); default: the session's")
         if name == "run":
             p.add_argument("--show", type=int, default=20, help="rows to print (0: none)")
             p.add_argument("--out", default=None, help="write the result here instead of printing")
@@ -36,7 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
 
     from beatstream.session import build_session
-    spark = build_session(args.master)
+    spark = build_session(args.master, extra={"spark.checkpoint.dir": args.shared} if args.shared else None)
     df = QUERIES[args.query](spark, args.sf)
     if args.cmd == "explain":
         df.explain(mode="formatted")

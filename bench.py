@@ -1,6 +1,9 @@
 """Benchmark the headline queries.
 
-    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 BENCH_SHARED_DIR=/tmp/bench python bench.py
+
+``BENCH_SHARED_DIR`` is the session's ``spark.checkpoint.dir`` (default: a fresh folder
+below the system's temporary one; the benchmark runs in one process).
 
 Each query runs to completion through the ``noop`` sink (every row computed, none
 collected to the driver).  One warm-up query pays for JVM start.  Every query runs
@@ -14,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,6 +44,15 @@ HEADLINE = [
     "daily_spend",
     "stream_trending_tags",
     "stream_ad_flags",
+    "stream_top_tracks_by_gender",
+    "stream_repeat_listens",
+    "stream_model_flags",
+    "compact_index",
+    "upsert_customers",
+    "train_and_score",
+    "compare_models",
+    "plays_by_customer",
+    "missing_customers",
 ]
 
 
@@ -54,7 +67,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     spark = build_session(f"local[{cpus}]", app="beatstream-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR")
+                                 or tempfile.mkdtemp(prefix="beatstream-bench-")})
     run(spark, "count_docs", sf_dir)  # warm-up
     cold, warm = {}, {}
     for n in names:
