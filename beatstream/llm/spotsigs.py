@@ -43,20 +43,25 @@ def _anchors() -> str:
     return _trie([w for ws in ANCHORS.values() for w in ws.split()])
 
 
-def signatures(text: Column, chain: int = 2) -> Column:
-    """Sorted distinct hashes of the anchored chains of ``chain`` content words."""
+def with_signatures(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame:
+    """Adds column ``name``: the sorted distinct hashes of the anchored chains of ``chain`` content words.
+
+    The steps are columns of their own, so that each is evaluated once for a row.
+    """
+    spaced, chains = f"{name}_spaced", f"{name}_chains"
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")
-    spaced = F.concat(F.lit(" "), F.trim(plain), F.lit(" "))
     # anchors are glued to the word after them: "the of cat " -> "the<MARK>of<MARK>cat "
     glued = F.regexp_replace(spaced, f"(?<= )({_anchors()}) ", f"$1{MARK}")
     # possessive throughout: long rows of anchors must not be matched by recursion
     word, glue = f"[^ {MARK}]++", f"(?:[^ {MARK}]++{MARK})"
-    chains = F.regexp_extract_all(glued, F.lit(f"(?= ({glue}++{word}(?: {glue}*+{word}){{{chain - 1}}}) )"), 1)
+    found = F.regexp_extract_all(glued, F.lit(f"(?= ({glue}++{word}(?: {glue}*+{word}){{{chain - 1}}}) )"), 1)
     hashes = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f" {glue}++", " ")))
     pairs = F.transform(F.regexp_extract_all(spaced, F.lit("(?= ([^ ]++ [^ ]++) )"), 1), lambda c: F.xxhash64(c))
-    whole = (F.when(F.trim(plain) == "", F.array().cast("array<bigint>"))
-             .when(F.instr(F.trim(plain), " ") > 0, pairs).otherwise(F.array(F.xxhash64(spaced))))
-    return F.array_sort(F.array_distinct(F.when(F.size(hashes) > 0, hashes).otherwise(whole)))
+    sigs = (F.when(F.size(chains) > 0, hashes)
+            .when(F.trim(spaced) == "", F.array().cast("array<bigint>"))
+            .when(F.instr(F.trim(spaced), " ") > 0, pairs).otherwise(F.array(F.xxhash64(spaced))))
+    return (df.withColumn(spaced, F.concat(F.lit(" "), F.trim(plain), F.lit(" "))).withColumn(chains, found)
+            .withColumn(name, F.array_sort(F.array_distinct(sigs))).drop(spaced, chains))
 
 
 def fingerprint_text(sigs: Column) -> Column:
@@ -112,18 +117,18 @@ def edited_fingerprints(docs: DataFrame, chain: int = 2, part: int = 4) -> DataF
     around = ordered_neighbours(docs).select("id", "hash", "prev_id", "prev_hash", "prev_size")
     # both uses need the same three columns, so the texts are shuffled once
     rows = docs.select(*_keys()[:2], F.coalesce("text", F.lit("")).alias("text"))
-    heads = (rows.join(around, ["id", "hash"])
+    heads = (with_signatures(rows.join(around, ["id", "hash"]), "text", "next_sigs", chain)
              .select(F.col("prev_id").alias("id"), F.col("prev_hash").alias("hash"),
                      F.substring("text", F.lit(1), F.floor(F.col("prev_size") / part).cast("int")).alias("head"),
-                     signatures(F.col("text"), chain).alias("next_sigs"))
+                     "next_sigs")
              .groupBy("id", "hash").agg(F.min(F.struct("head", "next_sigs")).alias("next")))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / part).cast("int")), F.col("next.head"))
     doc_id = F.when(F.col("id") != -(1 << 63), F.col("id"))
     out = (rows.join(heads, ["id", "hash"])
-           .select(doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), edited.alias("edited"),
-                   F.col("next.next_sigs").alias("next_sigs"), signatures(F.col("text"), chain).alias("sigs"))
-           .withColumn("edited_sigs", signatures(F.col("edited"), chain)))
+           .select(doc_id.alias("doc_id"), n.cast("long").alias("n_chars"), "text", edited.alias("edited"),
+                   F.col("next.next_sigs").alias("next_sigs")))
+    out = with_signatures(with_signatures(out, "text", "sigs", chain), "edited", "edited_sigs", chain)
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                       fingerprint_text(F.col("sigs")).alias("fingerprint"),
                       fingerprint_text(F.col("edited_sigs")).alias("edited_fingerprint"),

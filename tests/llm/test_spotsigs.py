@@ -39,7 +39,7 @@ TEXTS = ["the cat of the dog and bird sat on a mat in the sun", "plain words onl
 
 def test_signatures_equal_brute_force(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, text string")
-    got = {r.i: set(r.s) for r in df.select("i", spotsigs.signatures(F.col("text")).alias("s")).collect()}
+    got = {r.i: set(r.s) for r in spotsigs.with_signatures(df, "text", "s").collect()}
     want = {i: brute(t) for i, t in enumerate(TEXTS)}
     for i in want:
         assert len(got[i]) == len(want[i]), TEXTS[i]
