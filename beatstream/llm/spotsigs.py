@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatstream.llm.common import written
+from beatstream.llm.common import connected_components, written
 
 # fixed values: common words of four languages
 ANCHORS = {
@@ -134,3 +134,64 @@ def edited_fingerprints(docs: DataFrame, chain: int = 2, part: int = 4) -> DataF
                       fingerprint_text(F.col("edited_sigs")).alias("edited_fingerprint"),
                       jaccard(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
                       jaccard(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
+
+
+def near_classes(docs: DataFrame, least: float = 0.8, chain: int = 2) -> DataFrame:
+    """(doc_id, class_id) of every row: classes of texts linked by a likeness of at least ``least``.
+
+    Equal sets are folded first.  Sets meet in buckets of a rare signature and a length
+    class: two sets that are alike enough share one of their ``n - ceil(least n) + 1`` rarest
+    signatures and lie in the same or neighbouring length classes.  In each bucket all sets
+    are compared with one of them; what that leaves in different components of the links
+    found is compared in a second pass, without the pairs inside a bucket's largest
+    component.  So a large group of near copies is linked without forming its pairs, and no
+    link between components is lost.  A class is named by its smallest doc_id.
+    """
+    rows = with_signatures(docs.select("doc_id", "text"), "text", "sigs", chain)
+    rows = written(rows.select("doc_id", F.xxhash64("sigs", F.lit("set")).alias("sid"), "sigs"), "spot-rows")
+    sets = written(rows.groupBy("sid").agg(F.min("sigs").alias("sigs"), F.min("doc_id").alias("first_id"))
+                   .withColumn("n", F.size("sigs")), "spot-sets")
+
+    # prefix of the rarest signatures, in buckets of (signature, length class)
+    spots = sets.select("sid", "n", F.explode("sigs").alias("sig"))
+    often = spots.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("sid").orderBy("often", "sig"))
+    length_class = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / least)) + 1e-9)
+    prefix = (spots.join(often, "sig").withColumn("place", rank)
+              .where(F.col("place") <= F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1)
+              .select("sid", "n", F.explode(F.array(length_class, length_class + 1)).alias("class"), "sig"))
+    prefix = written(prefix, "spot-buckets")
+    bucket = ["sig", "class"]
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs (src, dst) whose sets are alike enough."""
+        a = sets.select(F.col("sid").alias("src"), F.col("sigs").alias("a"))
+        b = sets.select(F.col("sid").alias("dst"), F.col("sigs").alias("b"))
+        both = pairs.distinct().join(a, "src").join(b, "dst")
+        return both.where(jaccard(F.col("a"), F.col("b"), least) >= least - 1e-12).select("src", "dst")
+
+    def bounded(small: Column, large: Column) -> Column:
+        return F.least(small, large) >= F.lit(least) * F.greatest(small, large) - 1e-9
+
+    leaders = prefix.groupBy(*bucket).agg(F.min(F.struct("sid", "n")).alias("leader"), F.count(F.lit(1)).alias("sets"))
+    first = (prefix.join(leaders.where("sets > 1"), bucket)
+             .where((F.col("sid") != F.col("leader.sid")) & bounded(F.col("n"), F.col("leader.n")))
+             .select(F.col("leader.sid").alias("src"), F.col("sid").alias("dst")))
+    links = written(alike(first), "spot-links")
+    found = connected_components(links).toDF("node", "root")
+    members = (prefix.join(found, F.col("sid") == F.col("node"), "left")
+               .select("sid", "n", *bucket, F.coalesce("root", "sid").alias("root")))
+    members = written(members, "spot-members")
+    largest = (members.groupBy(*bucket, "root").agg(F.count(F.lit(1)).alias("k"))
+               .groupBy(*bucket).agg(F.max(F.struct("k", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
+               .where("roots > 1").select(*bucket, F.col("top.root").alias("top")))
+    others = (members.join(largest, bucket).where("root != top")
+              .select(*bucket, F.col("sid").alias("src"), F.col("n").alias("m"), F.col("root").alias("r")))
+    second = (others.join(members, bucket).where((F.col("r") != F.col("root")) & bounded(F.col("m"), F.col("n")))
+              .select(F.least("src", "sid").alias("src"), F.greatest("src", "sid").alias("dst")))
+    comp = connected_components(links.union(alike(second))).toDF("node", "root")
+    named = sets.join(comp, F.col("sid") == F.col("node"), "left").select(
+        "sid", "first_id", F.coalesce("root", "sid").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first_id").alias("class_id"))
+    ids = written(named.join(smallest, "root").select(F.col("sid").alias("s"), "class_id"), "spot-classes")
+    return rows.join(ids, F.col("sid") == F.col("s")).select("doc_id", "class_id")

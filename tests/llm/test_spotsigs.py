@@ -87,3 +87,37 @@ def test_pruned_jaccard(spark):
 def test_no_python_in_the_plan(spark):
     plan = spotsigs.edited_fingerprints(docs(spark, ODD))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapIn", plan)
+
+
+def test_near_classes_equal_brute_force(spark):
+    import random
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    base = [[rnd.choice(["the", "of", "and"]) if i % 2 == 0 else rnd.choice(words) for i in range(90)] for _ in range(5)]
+    rows = []
+    for i in range(160):
+        text = list(base[i % 5])
+        for _ in range(rnd.randint(0, 6)):
+            text[rnd.randrange(len(text))] = rnd.choice(words)
+        if i % 11 == 0:
+            text = text[:rnd.randint(1, 90)]
+        rows.append((i, " ".join(text)))
+    rows += [(1000, rows[0][1]), (1001, None), (1002, ""), (None, rows[0][1])]
+    sigs = [brute(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            union = len(sigs[i] | sigs[j])
+            like = len(sigs[i] & sigs[j]) / union if union else 1.0
+            if like >= 0.8 and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    first = {}
+    for (d, _), x in zip(rows, label):
+        if d is not None:
+            first[x] = min(first.get(x, d), d)
+    want = sorted([(d, first[x]) for (d, _), x in zip(rows, label)], key=str)
+    got = sorted([tuple(r) for r in spotsigs.near_classes(docs(spark, rows)).collect()], key=str)
+    assert got == want
+    assert 5 < len({c for _, c in want}) < 120
+    assert spotsigs.near_classes(docs(spark, [])).count() == 0
