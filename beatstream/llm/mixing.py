@@ -144,7 +144,7 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, block_chars: i
     plan = schedule(docs, weights, block_chars, power)
     p = plan.select(F.col("source").alias("_s"), F.col("key").alias("_k"), F.col("slot").alias("_slot"),
                     F.col("place").alias("_place"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("source").alias("_source"), _key().alias("_key"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col("source").alias("_source"), _key().alias("_key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.join(p, (F.col("_key") == F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")))
             .select("_row", "_slot", "_source", "_place")

@@ -1,7 +1,7 @@
 """Small tables for the operator tests."""
 
-CLASH = ["label", "score", "fp", "key", "id", "hash", "size", "slot", "rank", "held_out", "copies", "part", "pos", "ids"]
-DOC = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASH)
+CLASH = ["dotted.name", "_row", "label", "score", "fp", "key", "id", "hash", "size", "slot", "rank", "held_out", "copies", "part", "pos", "ids"]
+DOC = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH)
 
 
 def docs(spark, rows):

@@ -6,7 +6,7 @@ from beatstream.llm import language
 from tests.llm.helpers import CLASH, docs
 
 WORDS = {"en": "the and that with this from have".split(), "de": "der und nicht auch eine werden".split()}
-PAGE = "page_id long, url string, html string, " + ", ".join(f"{c} string" for c in [*CLASH, "host", "domain", "declared"])
+PAGE = "page_id long, url string, html string, " + ", ".join(f"`{c}` string" for c in [*CLASH, "host", "domain", "declared"])
 
 
 def training(spark):
