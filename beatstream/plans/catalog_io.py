@@ -15,6 +15,7 @@ from beatstream.functions.parse import parse_plays
 from beatstream.operators import model as M
 from beatstream.operators import profile as PR
 from beatstream.plans.derived import predictions
+from beatstream.schemas import FEATURE_NAMES
 from beatstream.session import shared_path
 from beatstream.sources import files as FS
 from beatstream.sources import testdata as T
@@ -339,6 +340,20 @@ def q_parse_libsvm_lines(spark, sf):
     return parsed.select(F.col("p.label").alias("label"), array_to_vector("p.values").alias("features"))
 
 
+def q_parse_libsvm_values(spark, sf):
+    """The parsed lines' values as columns."""
+    from pyspark.ml.functions import vector_to_array
+    values = vector_to_array(F.col("features"))
+    return q_parse_libsvm_lines(spark, sf).select("label", *[values[i].alias(n) for i, n in enumerate(FEATURE_NAMES)])
+
+
+def q_compare_models_facts(spark, sf):
+    """What must hold for the compared models: both sides' sizes, an error in 0..1, the gate's rule."""
+    return q_compare_models(spark, sf).select(
+        "setting", "train_rows", "test_rows", F.col("error").between(0, 1).alias("error_in_range"),
+        (F.col("accepted") == (F.col("error") <= M.ACCEPT_ERROR)).alias("gate_followed"))
+
+
 def q_stream_publish_lines(spark, sf):
     """Forward raw log lines unchanged to another sink (a text topic stand-in)."""
     lines = FS.read_play_lines_stream(spark, _log_folder(spark, sf))
@@ -424,6 +439,8 @@ IO_QUERIES = {
     "stream_repeat_listens_dense": q_stream_repeat_listens_dense,
     "stream_progress_rows": q_stream_progress_rows,
     "model_facts": q_model_facts,
+    "compare_models_facts": q_compare_models_facts,
+    "parse_libsvm_values": q_parse_libsvm_values,
     "approx_users_bound": q_approx_users_bound,
     "stream_mobile_trend_bound": q_stream_mobile_trend_bound,
     "stream_level_gender_trend": q_stream_level_gender_trend,

@@ -428,3 +428,11 @@ FROM customers""")
 # The text form keeps two decimals of each ratio (half up); the query gives them back as read.
 _ROUNDED = ", ".join(f'round("{f}" + 1e-9, 2) AS "{f}"' for f in FEATURE_NAMES)
 ORACLE["libsvm_round_trip"] = with_views(["features"], f"SELECT label, {_ROUNDED} FROM features")
+ORACLE["parse_libsvm_values"] = ORACLE["libsvm_round_trip"]
+
+ORACLE["compare_models_facts"] = with_views(["features"], """
+SELECT setting, COUNT(*) FILTER (WHERE h < 7000) AS train_rows, COUNT(*) FILTER (WHERE h >= 7000) AS test_rows,
+       true AS error_in_range, true AS gate_followed
+FROM (SELECT CAST('0x' || substr(md5(customer_id || '-0'), 1, 8) AS BIGINT) % 10000 AS h FROM features),
+     (VALUES ('lbfgs'), ('l2')) s(setting)
+GROUP BY setting""")
