@@ -275,9 +275,10 @@ def _progress_log(spark, sf) -> str:
     spark.streams.addListener(listener)
     try:
         counts = FL.tumbling_counts(T.events_stream(spark, sf, max_files_per_trigger=1), "1 hour")
-        FL.start(counts, sink="parquet", path=shared_path(spark, "tumbling-progress"),
-                 trigger=AVAILABLE_NOW).awaitTermination()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        query = FL.start(counts, sink="parquet", path=shared_path(spark, "tumbling-progress"), trigger=AVAILABLE_NOW)
+        query.awaitTermination()
+        if not listener.wait(query):
+            raise RuntimeError("the stream's progress reports did not arrive")
     finally:
         spark.streams.removeListener(listener)
     return log

@@ -6,6 +6,7 @@ progress reports Structured Streaming already produces for every micro-batch.
 
 from __future__ import annotations
 
+import threading
 from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +60,8 @@ class ProgressLog(StreamingQueryListener):
         self.spark, self.path, self.group = spark, path, group
         self.waiting: dict[str, list[str]] = {}
         self.files = 0
+        self.ended: set[str] = set()
+        self.change = threading.Condition()
 
     def _flush(self, run: str) -> None:
         lines = self.waiting.pop(run, [])
@@ -80,6 +83,14 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         self._flush(str(event.runId))
+        with self.change:
+            self.ended.add(str(event.runId))
+            self.change.notify_all()
+
+    def wait(self, query, seconds: float = 60) -> bool:
+        """Wait until all reports of an ended query are written (events arrive a little later)."""
+        with self.change:
+            return self.change.wait_for(lambda: str(query.runId) in self.ended, seconds)
 
 
 def progress_samples(spark: SparkSession, path: str) -> DataFrame:

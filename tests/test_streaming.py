@@ -211,7 +211,7 @@ def test_progress_listener_and_rollup(spark, tmp_dir):
         q = FL.start(FL.tumbling_counts(stream, "10 minutes", delay="0 seconds"), sink="memory",
                      query_name="t_progress", trigger=NOW, checkpoint=os.path.join(tmp_dir, "ck"))
         q.awaitTermination()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        assert log.wait(q)
         roll = MET.metric_rollup(MET.progress_samples(spark, os.path.join(tmp_dir, "progress")), "1 minute")
         metrics = {(r.metric, r.attribute) for r in roll.collect()}
         assert ("rows", "input") in metrics and ("duration_ms", "addBatch") in metrics
@@ -237,7 +237,7 @@ def test_progress_log_keeps_more_batches_than_spark(spark, tmp_dir):
         stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src + "/*")
         q = FL.start(stream, sink="noop", trigger=NOW, checkpoint=os.path.join(tmp_dir, "ck"))
         q.awaitTermination()
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        assert log.wait(q)
         assert len(q.recentProgress) <= 3
     finally:
         spark.streams.removeListener(log)
