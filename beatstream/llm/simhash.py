@@ -139,8 +139,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
     linked = fps.join(comp, "fp")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     moved = linked.join(smallest, "root").select(F.col("fp").alias("fp2"), F.col("component_id").alias("moved"))
-    ids = fps.join(moved, F.col("fp") == F.col("fp2"), "left").select(
-        F.col("fp").alias("fp3"), F.coalesce("moved", "first_id").alias("component_id"))
+    # a table of its own, so that the join below shuffles both sides and can split a frequent fingerprint
+    ids = written(fps.join(moved, F.col("fp") == F.col("fp2"), "left").select(
+        F.col("fp").alias("fp3"), F.coalesce("moved", "first_id").alias("component_id")), "simhash-components")
     return rows.join(ids, F.col("fp") == F.col("fp3")).select("doc_id", "fp", "component_id")
 
 
@@ -152,7 +153,7 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> Da
     ids = (near_duplicates(docs, shingle_words, max_bits).where("doc_id = component_id")
            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
            .select(F.col("doc_id").alias("kept_id"), "copies"))
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(F.struct("*").alias("_row"))
     kept = rows.join(ids, F.col("_row.doc_id") == F.col("kept_id"))
     once = kept.where("copies = 1").select("_row.*")
     # only ids that occur on several rows: the first by its text
