@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from beatstream.session import checkpoint_root, shared_path
@@ -27,17 +27,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, group: str, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` rows (doc_id, group) of every group, those with the smallest hash of the id.
+
+    ``rows`` has distinct (doc_id, group) without nulls and few groups.  A threshold on the hash
+    from the group's count leaves little more than ``max_rows`` rows before they are ranked, so
+    a large group doesn't meet in one task.
+    """
+    sizes = {r[0]: r.n for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()}
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.lit(0.0)
+    for g, n in sizes.items():
+        # three deviations more than wanted, so that a group is hardly ever short
+        share = F.when(F.col(group) == g, min(1.0, (max_rows + 3 * max_rows ** 0.5 + 10) / n)).otherwise(share)
+    rank = F.row_number().over(Window.partitionBy(group).orderBy("spot", "doc_id"))
+    return (rows.select("doc_id", group, spot.alias("spot")).where(F.col("spot") <= share)
+            .withColumn("rank", rank).where(F.col("rank") <= max_rows).select("doc_id", group))
+
+
 def labelled_sample(labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:
-    """At most ``max_rows_per_class`` training rows of each class as (doc_id, label).
+    """At most ``max_rows_per_class`` training rows of each class as (doc_id, label), never held-out ones.
 
-    Rows are taken in the order of a hash of their id, never held-out ones, so the
-    sample is the same in every run.  Repeated ids count once (their largest label).
+    Repeated ids count once (their largest label).
     """
     rows = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
             .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
-    parts = [rows.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows_per_class)
-             for c in (0, 1)]
-    return parts[0].unionByName(parts[1])
+    return hash_sample(rows.where("label in (0, 1)"), "label", max_rows_per_class)
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:

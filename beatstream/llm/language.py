@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatstream.llm.common import written
+from beatstream.llm.common import hash_sample, written
 from beatstream.llm.urls import url_parts
 
 BUCKETS = 1 << 15       # hashed trigrams
@@ -50,12 +50,11 @@ def trigrams(text: str) -> np.ndarray:
 def fit_text_model(docs: DataFrame, per_language: int = 3_000, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities) from at most ``per_language`` texts of each language.
 
-    The bound is on the training rows only (by the order of a hash of the id, which a partial
-    top-n keeps per task); counts are summed by Spark and one row per language and bucket is read.
+    The bound is on the training rows only (those with the smallest hash of their id); counts are
+    summed by Spark and one row per language and bucket is read.
     """
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sample = (docs.where("lang is not null and doc_id is not null").select("doc_id", "lang")
-              .withColumn("n", first).where(F.col("n") <= per_language).select("doc_id", "lang").distinct())
+    ids = docs.where("lang is not null and doc_id is not null").select("doc_id", "lang").distinct()
+    sample = hash_sample(ids, "lang", per_language)
     rows = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(sample), "doc_id").select("lang", "text"))  # bounded above
 
