@@ -56,7 +56,7 @@ class Terms:
         words = WORD.findall((text or "").lower())
         found: set[int] = set()
         hits = 0
-        if len(self.known) > 500_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         for w, n in Counter(words).items():
             t = self.known.get(w)
@@ -76,14 +76,16 @@ class Terms:
 
 
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class that hold a term: one row for a term and batch."""
+    """Documents of each class that hold a term: one row for a term and part of a batch."""
     for b in batches:
-        count: tuple[Counter, Counter] = (Counter(), Counter())
-        for text, label in zip(b["text"], b["label"], strict=True):
-            count[label].update({t for w in set(WORD.findall(text.lower())) for t in word_terms(w)})
-        terms = list(count[0].keys() | count[1].keys())
-        yield pd.DataFrame({"term": terms, "toxic": [count[1][t] for t in terms],
-                            "clean": [count[0][t] for t in terms]})
+        for k in range(0, len(b), 500):  # few at a time: a batch has millions of terms
+            part = b.iloc[k:k + 500]
+            count: tuple[Counter, Counter] = (Counter(), Counter())
+            for text, label in zip(part["text"], part["label"], strict=True):
+                count[label].update({t for w in set(WORD.findall(text.lower())) for t in word_terms(w)})
+            terms = list(count[0].keys() | count[1].keys())
+            yield pd.DataFrame({"term": terms, "toxic": [count[1][t] for t in terms],
+                                "clean": [count[0][t] for t in terms]})
 
 
 def mine_terms(train: DataFrame, sizes: tuple[int, int], max_terms: int, min_ratio: float = 30.0) -> list[tuple[str, float]]:
