@@ -27,22 +27,28 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def hash_sample(rows: DataFrame, group: str, max_rows: int) -> DataFrame:
-    """At most ``max_rows`` rows (doc_id, group) of every group, those with the smallest hash of the id.
+def hash_sample(rows: DataFrame, group: str, max_rows: int, parts: int = 64) -> DataFrame:
+    """At most ``max_rows`` rows (doc_id, group) of every group, those with the smallest hashes of the id.
 
     ``rows`` has distinct (doc_id, group) without nulls and few groups.  A threshold on the hash
-    from the group's count leaves little more than ``max_rows`` rows before they are ranked, so
-    a large group doesn't meet in one task.
+    from the group's count leaves little more than ``max_rows`` rows; those are ranked within
+    ``parts`` parts of the group, which share the bound equally.  A group of at most ``max_rows``
+    rows is taken whole.
     """
+    parts = min(parts, max_rows)
+    each = max_rows // parts
     sizes = {r[0]: r.n for r in rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()}
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
+    share, whole = F.lit(0.0), F.lit(False)
     for g, n in sizes.items():
-        # three deviations more than wanted, so that a group is hardly ever short
-        share = F.when(F.col(group) == g, min(1.0, (max_rows + 3 * max_rows ** 0.5 + 10) / n)).otherwise(share)
-    rank = F.row_number().over(Window.partitionBy(group).orderBy("spot", "doc_id"))
-    return (rows.select("doc_id", group, spot.alias("spot")).where(F.col("spot") <= share)
-            .withColumn("rank", rank).where(F.col("rank") <= max_rows).select("doc_id", group))
+        # three deviations more than wanted in each part, so that a part is hardly ever short
+        wanted = parts * (each + 3 * each ** 0.5 + 10)
+        share = F.when(F.col(group) == g, min(1.0, wanted / n)).otherwise(share)
+        whole = F.when(F.col(group) == g, n <= max_rows).otherwise(whole)
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts))
+    rank = F.row_number().over(Window.partitionBy(group, "part").orderBy("spot", "doc_id"))
+    near = rows.select("doc_id", group, spot.alias("spot"), part.alias("part")).where(F.col("spot") <= share)
+    return near.withColumn("rank", rank).where(whole | (F.col("rank") <= each)).select("doc_id", group)
 
 
 def labelled_sample(labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:

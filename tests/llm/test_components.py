@@ -21,9 +21,14 @@ def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
-def test_sample_leaves_held_out_rows(spark):
-    rows = [(i, i % 2) for i in range(500)] + [(None, 1), (7, None), (7, 1)]
+def test_sample_is_bounded_and_leaves_held_out_rows(spark):
+    rows = [(i, i % 2) for i in range(5000)] + [(None, 1), (7, None), (7, 1)]
     labels = spark.createDataFrame(rows, "doc_id long, quality int")
-    got = labelled_sample(labels, "quality", 50).withColumn("h", held_out()).collect()
-    assert len(got) == 100 and not any(r.h for r in got)
-    assert {r.label for r in got} == {0, 1}
+    got = labelled_sample(labels, "quality", 640).withColumn("h", held_out()).collect()
+    assert not any(r.h for r in got)
+    for c in (0, 1):
+        assert 600 <= sum(r.label == c for r in got) <= 640
+    whole = labelled_sample(labels, "quality", 5000)
+    assert whole.count() == labels.where("doc_id is not null and quality is not null").where(~held_out()) \
+        .select("doc_id").distinct().count()
+    assert labelled_sample(labels.limit(0), "quality", 10).count() == 0
