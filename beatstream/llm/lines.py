@@ -68,9 +68,11 @@ def repeated_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     mark = F.struct("id", "hash", "spot")
     index = (runs.groupBy("mark").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
              .where("low != high").select("mark"))
-    candidates = runs.join(index, "mark", "left_semi")
+    # tables of their own: a join with one shuffles both sides, and can split a frequent run
+    candidates = written(runs.join(written(index, "line-marks"), "mark", "left_semi"), "line-candidates")
     firsts = (candidates.groupBy("k1", "k2").agg(F.min(place).alias("origin"), F.max(place).alias("latest"))
               .where("origin != latest").select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), "origin"))
+    firsts = written(firsts, "line-firsts")
     o = F.col("origin")
     same = (o["id"] == F.col("id")) & (o["hash"] == F.col("hash"))
     later = (candidates.join(firsts, (F.col("k1") == F.col("o1")) & (F.col("k2") == F.col("o2")))
