@@ -148,19 +148,25 @@ class Encoder:
         key_plain[key_of[is_plain]] = True
         # a lower-case word may also stand as a whole piece: its ids are the same
         units = self.distinct(key.dictionary.to_pylist(), key_plain)
-        # closing marks are units of their own, after the one without ids
-        marked = np.nonzero(is_plain & (pc.not_equal(core, piece).to_numpy(zero_copy_only=False)))[0]
+        # closing marks are units of their own, after the one without ids; most are one byte
+        cut = (pc.binary_length(piece).to_numpy() - pc.binary_length(core).to_numpy()) * is_plain
         tail = np.full(len(piece), len(units))
         units.append(b"")
-        if len(marked):
-            ends = piece.take(pa.array(marked)).to_pylist()
-            seen: dict[str, int] = {}
-            for i, p in zip(marked.tolist(), ends, strict=True):
-                t = p[len(p.rstrip(self.MARKS)):]
-                if t not in seen:
-                    seen[t] = len(units)
-                    units.append(self._one(t))
-                tail[i] = seen[t]
+        ends = np.frombuffer(piece.buffers()[1], np.int64)[piece.offset:piece.offset + len(piece) + 1]
+        last = np.frombuffer(piece.buffers()[2], np.uint8)
+        one = np.nonzero(cut == 1)[0]
+        marks = last[ends[one + 1] - 1]
+        for m in np.unique(marks).tolist():
+            tail[one[marks == m]] = len(units)
+            units.append(self._one(chr(m)))
+        more = np.nonzero(cut > 1)[0]
+        seen: dict[str, int] = {}
+        for i, p, k in zip(more.tolist(), piece.take(pa.array(more)).to_pylist(), cut[more].tolist(), strict=True):
+            t = p[-k:]
+            if t not in seen:
+                seen[t] = len(units)
+                units.append(self._one(t))
+            tail[i] = seen[t]
         size = np.fromiter(map(len, units), np.int64, len(units)) // self.dtype.itemsize
         flat = np.frombuffer(b"".join(units), self.dtype)
         first = np.cumsum(size) - size
