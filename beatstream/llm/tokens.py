@@ -66,10 +66,10 @@ class Encoder:
     text are those of its white-space-separated pieces in turn.  A piece that is a word with
     closing marks is two pre-tokens.  Pieces are made distinct, split and put together again
     column-wise; words are encoded many at a time (each is one pre-token, whose last token
-    carries the end-of-word mark) and remembered in two generations of about ``LIMIT`` words.
+    carries the end-of-word mark) and remembered in two generations of about ``limit`` words.
     """
 
-    LIMIT = 300_000
+    limit = 300_000
     LONGEST = 40
     SUFFIX = "</w>"
     MARKS = ".,;:!?|&%$#*"
@@ -91,9 +91,11 @@ class Encoder:
         self.last[[i for t, i in vocabulary.items() if t.endswith(self.SUFFIX)]] = True
 
     @classmethod
-    def of(cls, path: str, dtype: str) -> Encoder:
+    def of(cls, path: str, dtype: str, limit: int = limit) -> Encoder:
+        """The worker's encoder; it stays for the next task."""
         if (path, dtype) not in cls.made:
             cls.made[path, dtype] = cls(path, dtype)
+        cls.made[path, dtype].limit = limit
         return cls.made[path, dtype]
 
     def _one(self, piece: str) -> bytes:
@@ -129,7 +131,7 @@ class Encoder:
             words = [keys[i] for i in places]
             for i, k, x in zip(places, words, self._many(words, tokenizer), strict=True):
                 self.young[k] = out[i] = x
-        if len(self.young) > self.LIMIT:
+        if len(self.young) > self.limit:
             self.young, self.old = {}, {k: x for k, x in self.young.items() if len(k) <= self.LONGEST}
         return out
 
@@ -180,7 +182,7 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _slices(texts: pa.Array, chars: int = 6_000_000) -> Iterator[list[str | None]]:
+def _slices(texts: pa.Array, chars: int) -> Iterator[list[str | None]]:
     """Consecutive texts, about ``chars`` characters at a time."""
     part, size = [], 0
     for x in texts:
@@ -194,17 +196,18 @@ def _slices(texts: pa.Array, chars: int = 6_000_000) -> Iterator[list[str | None
         yield part
 
 
-def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str, order_by: list[str]) -> DataFrame:
+def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str, order_by: list[str],
+             remember: int, slice_chars: int) -> DataFrame:
     """Order columns, doc_id and packed little-endian ids of every row, as a written table."""
     keys = [F.col(c).alias(f"key{i}") for i, c in enumerate(order_by)]
     rows = docs.select(*keys, "doc_id", "text")
     schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = Encoder.of(tokenizer_path, dtype), np.array([end_id], dtype).tobytes()
+        enc, end = Encoder.of(tokenizer_path, dtype, remember), np.array([end_id], dtype).tobytes()
         for b in batches:
             texts = b.column(b.num_columns - 1)
-            ids = pa.array([x + end for part in _slices(texts) for x in enc.texts(part)], pa.binary())
+            ids = pa.array([x + end for part in _slices(texts, slice_chars) for x in enc.texts(part)], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], ids], [*b.schema.names[:-1], "ids"])
 
     return written(rows.mapInArrow(run, schema), "token-ids")
@@ -236,14 +239,19 @@ BLOCK_SCHEMA = ("shard int, block int, first_token long, doc_ids array<long>, le
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, order_by: list[str] | None = None,
-                 block_tokens: int = 65_536, shard_tokens: int = 32_000_000) -> None:
-    """Encode every text and write the token files to ``path`` in the order of ``order_by``."""
+                 block_tokens: int = 65_536, shard_tokens: int = 32_000_000, remember: int = 300_000,
+                 slice_chars: int = 6_000_000) -> None:
+    """Encode every text and write the token files to ``path`` in the order of ``order_by``.
+
+    A Python worker remembers about ``2 * remember`` words (some 70 MB per 300,000) and works
+    on ``slice_chars`` characters at a time: more of both saves CPU time, less saves memory.
+    """
     from tokenizers import Tokenizer
     spark = docs.sparkSession
     order_by = order_by or ["doc_id"]
     vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
     dtype = "<u2" if vocabulary <= 0x10000 else "<u4"
-    tokens = tokenise(docs, tokenizer_path, end_id, dtype, order_by)
+    tokens = tokenise(docs, tokenizer_path, end_id, dtype, order_by, remember, slice_chars)
     ranked = rank_table(tokens, dtype, vocabulary)
     spark.createDataFrame([(k, int(i), int(n)) for k, (i, n) in enumerate(ranked)], "rank int, id int, n long") \
         .coalesce(1).write.parquet(f"{path}/ranks")

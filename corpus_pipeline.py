@@ -50,7 +50,9 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     except AnalysisException:
         rows, order = docs.select("doc_id", "text"), ["doc_id"]
     path = shared_path(spark, "pipeline-tokens")
-    tokens.write_tokens(rows, path, public_tokenizers.path(catalog.TOKENIZER), catalog.END_ID, order_by=order)
+    # the workers serve all stages one after another, so this one keeps little
+    tokens.write_tokens(rows, path, public_tokenizers.path(catalog.TOKENIZER), catalog.END_ID, order_by=order,
+                        remember=50_000, slice_chars=1_500_000)
     return catalog.token_digest(spark, path)
 
 

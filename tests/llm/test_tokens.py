@@ -35,7 +35,7 @@ def test_pieces_give_the_tokenizers_ids(texts):
 
 
 def test_generations_forget_without_harm(monkeypatch):
-    monkeypatch.setattr(tokens.Encoder, "LIMIT", 3)
+    monkeypatch.setattr(tokens.Encoder, "limit", 3)
     enc = tokens.Encoder(PATH, "<u2")
     for text in ["a bb ccc dd", "ee ff, gg. <|endoftext|> a", "a bb <|startoftext|>x", "ccc dd ee it's"] * 2:
         assert np.frombuffer(enc.texts([text])[0], "<u2").tolist() == plain_ids(text)
