@@ -51,14 +51,27 @@ def hash_sample(rows: DataFrame, group: str, max_rows: int, parts: int = 64) ->
     return near.withColumn("rank", rank).where(whole | (F.col("rank") <= each)).select("doc_id", group)
 
 
-def labelled_sample(labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:
-    """At most ``max_rows_per_class`` training rows of each class as (doc_id, label), never held-out ones.
+def labelled_rows(labels: DataFrame, label: str) -> DataFrame:
+    """All training rows of both classes as (doc_id, label), never held-out ones.
 
     Repeated ids count once (their largest label).
     """
     rows = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out())
             .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label")))
-    return hash_sample(rows.where("label in (0, 1)"), "label", max_rows_per_class)
+    return rows.where("label in (0, 1)")
+
+
+def labelled_sample(labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:
+    """At most ``max_rows_per_class`` rows of each class of ``labelled_rows``."""
+    return hash_sample(labelled_rows(labels, label), "label", max_rows_per_class)
+
+
+def training_sizes(docs: DataFrame, labels: DataFrame, label: str) -> tuple[int, int]:
+    """Rows of ``docs`` with a training label of class 0 and 1: all of them, not those of a sample."""
+    copies = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r.label: r.n for r in copies.join(labelled_rows(labels, label), "doc_id")
+             .groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    return sizes.get(0, 0), sizes.get(1, 0)
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows_per_class: int) -> DataFrame:

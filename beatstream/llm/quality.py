@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatstream.llm.common import held_out, training_texts
+from beatstream.llm.common import held_out, training_sizes, training_texts
 
 # character classes
 LOWER, UPPER, DIGIT, SPACE, STOP, BAR, BANG, SYMBOL, OTHER = range(9)
@@ -117,6 +117,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
                 to_pooled: float = 0.1, to_diagonal: float = 0.05, temper: float = 0.5) -> QualityModel:
     """Fit on at most ``max_rows_per_class`` labelled rows of each class (documented bound).
 
+    The bound holds for means and covariances only: the prior and the classes' parts in the
+    pooled covariance come from all labelled rows, so that they don't change with the bound.
     Only 2 * (d + 1)(d + 2) / 2 sums reach the driver, whatever the input.  ``to_pooled``
     and ``to_diagonal`` are the shrinkage intensities; ``temper`` scales the log-density
     difference, as the statistics are not independent draws.
@@ -128,12 +130,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
     for r in rows:
         m[r.c, r.i, r.j] = m[r.c, r.j, r.i] = r.v
     n = m[:, 0, 0]
-    prior = float(np.log((n[1] + 1) / (n[0] + 1)))
+    size = np.array(training_sizes(docs, labels, label), np.float64)
+    prior = float(np.log((size[1] + 1) / (size[0] + 1)))
     if min(n) < 2:
         return QualityModel(np.zeros((0, SIZE)), np.zeros((0, SIZE, SIZE)), np.zeros(0), prior, temper)
     mean = m[:, 0, 1:] / n[:, None]
     cov = np.array([m[c, 1:, 1:] / n[c] - np.outer(mean[c], mean[c]) for c in (0, 1)])
-    pooled = (n[:, None, None] * cov).sum(0) / n.sum()
+    pooled = (size[:, None, None] * cov).sum(0) / size.sum()
     inverse, logdet = [], []
     for c in (0, 1):
         s = (1 - to_pooled) * cov[c] + to_pooled * pooled

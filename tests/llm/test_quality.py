@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from beatstream.llm import quality
-from beatstream.llm.common import held_out
+from beatstream.llm.common import held_out, labelled_sample
 from tests.llm.helpers import ODD, docs
 
 
@@ -49,6 +49,22 @@ def test_log_odds_equal_the_direct_density(spark):
     assert np.isclose(m.log_odds(probe[None])[0], want, rtol=1e-6)
 
 
+def test_the_bound_of_the_sample_leaves_the_class_ratio(spark):
+    rows, labels = corpus(400)
+    d, lab = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = quality.fit_quality(d, lab)
+    m = quality.fit_quality(d, lab, max_rows_per_class=20, to_pooled=1.0, to_diagonal=0.0)
+    assert whole.log_prior > 0.8 and m.log_prior == whole.log_prior
+    train = {r.doc_id for r in d.where(~held_out()).select("doc_id").collect()}
+    size = [sum(i in train and q == c for i, q, _ in labels) for c in (0, 1)]
+    assert min(size) > 40
+    drawn = {r.doc_id for r in labelled_sample(lab, "quality", 20).collect()}
+    cov = [np.cov(np.array([quality.statistics(t) for i, t in rows if i in drawn and labels[i][1] == c]).T, bias=True)
+           for c in (0, 1)]
+    pooled = (size[0] * cov[0] + size[1] * cov[1]) / sum(size) + 1e-3 * np.eye(quality.SIZE)
+    assert np.allclose(m.inverse[0] @ pooled @ m.inverse[0].T, np.eye(quality.SIZE), atol=1e-6)
+
+
 def test_odd_rows_and_missing_labels(spark):
     d = docs(spark, ODD)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
