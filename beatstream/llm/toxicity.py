@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatstream.llm.common import held_out, training_texts
+from beatstream.llm.common import held_out, training_sizes, training_texts
 
 # fixed values: common English insults, by kind of insult
 LEXICON = {
@@ -88,16 +88,20 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "clean": [count[0][t] for t in terms]})
 
 
-def mine_terms(train: DataFrame, sizes: tuple[int, int], max_terms: int, min_ratio: float = 30.0) -> list[tuple[str, float]]:
+def mine_terms(train: DataFrame, sizes: tuple[int, int], max_terms: int, min_ratio: float = 30.0,
+               weight: tuple[float, float] = (1.0, 1.0)) -> list[tuple[str, float]]:
     """At most ``max_terms`` (term, share of toxic rows among its rows), most frequent first.
 
     A term counts if more of its rows are toxic than not and the likelihood ratio against the
     base rate is beyond what the best of millions of unrelated terms would reach by chance.
+    ``weight`` is how many rows one of ``train`` stands for in each class.  The share is that of
+    the rows stood for; chance is judged by the rows seen.
     """
     base = sizes[1] / sum(sizes)
-    share = (F.col("toxic") + 0.1) / (F.col("toxic") + F.col("clean") + 0.2)
-    ratio = 2 * (F.col("toxic") * F.log(F.col("share") / base)
-                 + F.col("clean") * F.log((1 - F.col("share")) / (1 - base)))
+    toxic, clean = F.col("toxic") + 0.1, F.col("clean") + 0.1
+    share = toxic * weight[1] / (toxic * weight[1] + clean * weight[0])
+    seen = toxic / (toxic + clean)
+    ratio = 2 * (F.col("toxic") * F.log(seen / base) + F.col("clean") * F.log((1 - seen) / (1 - base)))
     rows = (train.mapInPandas(_count_terms, "term string, toxic long, clean long")
             .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
             .withColumn("share", share)
@@ -132,45 +136,52 @@ class LabelModel:
         return _sigmoid(votes @ self.weights + self.bias)
 
 
-def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 20, ridge: float = 0.02) -> LabelModel:
+def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 20, ridge: float = 0.02,
+                    weight: np.ndarray | None = None) -> LabelModel:
     """Expectation-maximisation without labels.
 
     Given the label, votes have class means and a common covariance, whose off-diagonal
     part holds the correlations; the posterior's log odds are linear in the votes.  The
-    share of toxic rows is held at ``prior``.
+    share of toxic rows is held at ``prior``.  A row counts ``weight`` times (once without).
     """
     v = votes.astype(np.float64)
     n, m = v.shape
+    c = np.ones(n) if weight is None else weight * (n / weight.sum())
     p = _sigmoid(2 * v.sum(1))
     weights, bias = np.ones(m), 0.0
     cov = np.eye(m)
     for _ in range(rounds):
-        w1, w0 = p.sum() + 1e-9, (1 - p).sum() + 1e-9
-        mean1, mean0 = p @ v / w1, (1 - p) @ v / w0
+        p1, p0 = c * p, c * (1 - p)
+        mean1, mean0 = p1 @ v / (p1.sum() + 1e-9), p0 @ v / (p0.sum() + 1e-9)
         d1, d0 = v - mean1, v - mean0
-        cov = ((d1 * p[:, None]).T @ d1 + (d0 * (1 - p)[:, None]).T @ d0) / n
+        cov = ((d1 * p1[:, None]).T @ d1 + (d0 * p0[:, None]).T @ d0) / n
         weights = np.linalg.solve(cov + ridge * np.eye(m), mean1 - mean0)
         raw = v @ weights
         low, high = -60.0 - raw.max(initial=0), 60.0 - raw.min(initial=0)
         for _ in range(60):  # the bias that keeps the prior
             bias = (low + high) / 2
-            low, high = (bias, high) if _sigmoid(raw + bias).mean() < prior else (low, bias)
+            low, high = (bias, high) if c @ _sigmoid(raw + bias) / n < prior else (low, bias)
         p = _sigmoid(raw + bias)
-    right = (p @ (v > 0) + (1 - p) @ (v < 0)) / np.maximum(np.abs(v).sum(0), 1e-9)
+    right = ((c * p) @ (v > 0) + (c * (1 - p)) @ (v < 0)) / np.maximum(c @ np.abs(v), 1e-9)
     scale = np.sqrt(np.maximum(np.diag(cov), 1e-9))
     return LabelModel(weights, bias, right, cov / scale[:, None] / scale[None])
 
 
-def fit_logistic(x: np.ndarray, p: np.ndarray, l2: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Weights (the last one the intercept) of a logistic regression on soft labels."""
+def fit_logistic(x: np.ndarray, p: np.ndarray, l2: float = 1.0, rounds: int = 25,
+                 weight: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the last one the intercept) of a logistic regression on soft labels.
+
+    A row counts ``weight`` times (once without).
+    """
+    c = np.ones(len(x)) if weight is None else weight
     z = np.concatenate([x, np.ones((len(x), 1))], 1)
     w = np.zeros(z.shape[1])
     penalty = np.full(z.shape[1], l2)
     penalty[-1] = 1e-6
     for _ in range(rounds):
         s = _sigmoid(z @ w)
-        h = (z * (s * (1 - s))[:, None]).T @ z + np.diag(penalty) + 1e-9 * np.eye(len(w))
-        step = np.linalg.solve(h, z.T @ (s - p) + penalty * w)
+        h = (z * (c * s * (1 - s))[:, None]).T @ z + np.diag(penalty) + 1e-9 * np.eye(len(w))
+        step = np.linalg.solve(h, z.T @ (c * (s - p)) + penalty * w)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -191,6 +202,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
                  max_terms: int = 300, voters: int = 60) -> ToxicityModel:
     """Fit on at most ``max_rows_per_class`` labelled rows of each class (documented bound).
 
+    Each row of the sample stands for as many as its class has for one drawn, so that base
+    rate, shares of terms and intercept are those of all labelled rows, whatever the bound.
     Only counts of at most ``8 * max_terms`` terms and the term numbers of the bounded
     sample reach the driver.
     """
@@ -198,7 +211,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
     train = training_texts(docs, labels, label, max_rows_per_class).select("text", "label")
     count = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = (count.get(0, 0), count.get(1, 0))
-    mined = mine_terms(train, sizes, max_terms) if min(sizes) else []
+    full = training_sizes(docs, labels, label)
+    weight = (full[0] / max(sizes[0], 1), full[1] / max(sizes[1], 1))
+    mined = mine_terms(train, sizes, max_terms, weight=weight) if min(sizes) else []
     number = {t: i for i, t in enumerate([t for t, _ in mined] + [w for w in lexicon if w not in dict(mined)])}
     m = len(number)
     fallback = np.array([2.0] * m + [0.0] * len(PATTERNS) + [-2.0])
@@ -208,12 +223,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms(number)
         for b in batches:
-            yield pd.DataFrame({"found": [terms.features(t) for t in b["text"]]})
+            yield pd.DataFrame({"found": [terms.features(t) for t in b["text"]], "label": b["label"].to_numpy()})
 
-    rows = train.select("text").mapInPandas(features, "found array<int>").collect()
+    rows = train.mapInPandas(features, "found array<int>, label int").collect()
     x = np.zeros((len(rows), m + len(PATTERNS)), np.float32)
     for i, r in enumerate(rows):
         x[i, r.found] = 1
+    counts = np.array([weight[r.label] for r in rows])
     # voters: the most frequent mined terms, kinds of the lexicon, patterns, and the absence of hits
     kinds = [[number[w] for w in ws] for ws in LEXICON.values()]
     strong = list(range(min(voters, len(mined))))
@@ -224,8 +240,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
                       any_mined.astype(np.float32),
                       np.where(any_mined, 0, -1), np.where(any_lexicon, 0, -1),
                       np.where(any_mined | any_lexicon, 0, -1)], 1).astype(np.float32)
-    model = fit_label_model(votes, prior=sizes[1] / sum(sizes))
-    return ToxicityModel(number, fit_logistic(x, model.posterior(votes)), model)
+    model = fit_label_model(votes, prior=full[1] / sum(full), weight=counts)
+    return ToxicityModel(number, fit_logistic(x, model.posterior(votes), weight=counts), model)
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:

@@ -56,6 +56,34 @@ def test_logistic_on_soft_labels():
     assert np.allclose(1 / (1 + np.exp(-(x @ w[:1] + w[1]))), [0.1, 0.1, 0.8, 0.8], atol=1e-3)
 
 
+def test_the_bound_of_the_sample_leaves_terms_and_intercept(spark):
+    rnd = random.Random(8)
+    rows, labels = corpus(1500, seed=4)
+    rows = [(i, t + (" mild" if rnd.random() < (0.9 if i % 5 == 0 else 0.25) else "")) for i, t in rows]
+    d, lab = docs(spark, rows), spark.createDataFrame(labels, LABEL)
+    whole, m = toxicity.fit_toxicity(d, lab), toxicity.fit_toxicity(d, lab, max_rows_per_class=180)
+    for model in (whole, m):  # most rows with "mild" are clean, though it is commoner among toxic ones
+        assert "zqx*" in model.number and not {"mild", "mil*"} & set(model.number)
+    assert abs(m.weights[-1] - whole.weights[-1]) < 0.5
+    scores = [{r.doc_id: r.score for r in toxicity.score_toxicity(d, model).collect()} for model in (whole, m)]
+    clean = [i for i, _, toxic in labels if not toxic]
+    assert abs(np.mean([scores[0][i] - scores[1][i] for i in clean])) < 0.01
+
+
+def test_weighted_rows_count_like_repeated_ones():
+    rng = np.random.default_rng(2)
+    y = rng.random(400) < 0.4
+    votes = np.where(rng.random((400, 3)) < 0.8, y[:, None], ~y[:, None]) * 2.0 - 1
+    counts = np.where(y, 1, 4)
+    one, many = (toxicity.fit_label_model(votes, 0.2, weight=counts.astype(float)),
+                 toxicity.fit_label_model(votes.repeat(counts, 0), 0.2))
+    assert np.allclose(one.weights, many.weights) and np.isclose(one.bias, many.bias)
+    assert np.allclose(one.accuracy, many.accuracy)
+    p = one.posterior(votes)
+    assert np.allclose(toxicity.fit_logistic(votes > 0, p, weight=counts),
+                       toxicity.fit_logistic((votes > 0).repeat(counts, 0), p.repeat(counts)))
+
+
 def test_odd_rows_and_missing_labels(spark):
     d = docs(spark, [*ODD, (50, "You IDIOT, you moron"), (51, "a kind word")])
     for labels in ([], [(1, 1, 0), (None, 1, 1), (2, 1, None)]):
