@@ -131,11 +131,16 @@ def _star_links(crowd: DataFrame, radius: int) -> DataFrame:
             .where("a < b").distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; component_id is the smallest reachable doc_id."""
+def _components(docs: DataFrame, shingle_words: int, max_bits: int, crowded: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, (fp, smallest id) of every fingerprint, (fp, root) of the linked ones."""
     rows = written(docs.select("doc_id", fingerprint_column(F.col("text"), shingle_words).alias("fp")), "simhash")
     fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    comp = connected_components(links(fps.select("fp"), max_bits, crowded)).toDF("fp", "root")
+    return rows, fps, connected_components(links(fps.select("fp"), max_bits, crowded)).toDF("fp", "root")
+
+
+def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; component_id is the smallest reachable doc_id."""
+    rows, fps, comp = _components(docs, shingle_words, max_bits, crowded)
     linked = fps.join(comp, "fp")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     moved = linked.join(smallest, "root").select(F.col("fp").alias("fp2"), F.col("component_id").alias("moved"))
@@ -145,21 +150,36 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
     return rows.join(ids, F.col("fp") == F.col("fp3")).select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row of each component: its smallest doc_id (of rows that repeat the id, the first text).
+def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
+    """One row of each component: that of the smallest (doc_id, fp), of rows that repeat both the first text.
 
-    Rows without an id cannot be told apart and are kept.
+    An id may stand on rows with different texts: each component decides for its own rows.
+    Rows without an id are decided among themselves, one row of each component by a hash of
+    its text, as a row without an id can't stand for one with an id or the reverse.
     """
-    ids = (near_duplicates(docs, shingle_words, max_bits).where("doc_id = component_id")
-           .groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-           .select(F.col("doc_id").alias("kept_id"), "copies"))
-    rows = docs.select(F.struct("*").alias("_row"))
-    kept = rows.join(ids, F.col("_row.doc_id") == F.col("kept_id"))
+    rows, fps, comp = _components(docs, shingle_words, max_bits, crowded)
+    root = F.coalesce("root", "fp").alias("root")
+    firsts = (fps.where("first_id is not null").join(comp, "fp", "left").groupBy(root)
+              .agg(F.min(F.struct("first_id", "fp")).alias("first"))
+              .select(F.col("first.first_id").alias("kept_id"), F.col("first.fp").alias("kept_fp")))
+    copies = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    firsts = written(firsts.join(copies, F.col("kept_id") == F.col("doc_id"))
+                     .select("kept_id", "kept_fp", "copies"), "simhash-first")
+    whole = docs.select(F.struct("*").alias("_row"))
+    fp = fingerprint_column(F.col("_row.text"), shingle_words)
+    first = F.min_by("_row", F.struct("_row.text", F.xxhash64("_row"))).alias("_row")
+
+    kept = whole.join(firsts.select("kept_id", "copies").distinct(), F.col("_row.doc_id") == F.col("kept_id"))
     once = kept.where("copies = 1").select("_row.*")
-    # only ids that occur on several rows: the first by its text
-    again = (kept.where("copies > 1").groupBy("kept_id")
-             .agg(F.min_by("_row", F.struct("_row.text", F.xxhash64("_row"))).alias("_row")).select("_row.*"))
-    return once.unionByName(again).unionByName(docs.where(F.col("doc_id").isNull()))
+    # only ids that occur on several rows: those with the fingerprint, the first by its text
+    pairs = firsts.where("copies > 1").select(F.col("kept_id").alias("id2"), "kept_fp")
+    again = (kept.where("copies > 1").select("_row", "kept_id", fp.alias("row_fp"))
+             .join(pairs, (F.col("kept_id") == F.col("id2")) & (F.col("row_fp") == F.col("kept_fp")))
+             .groupBy("kept_id", "kept_fp").agg(first).select("_row.*"))
+    by_text = F.min_by("_row", F.struct(F.xxhash64("_row.text"), F.xxhash64("_row"))).alias("_row")
+    lost = (whole.where("_row.doc_id is null").groupBy(fp.alias("fp")).agg(by_text)
+            .join(comp, "fp", "left").groupBy(root).agg(by_text).select("_row.*"))
+    return once.unionByName(again).unionByName(lost)
 
 
 def hex_digits(fp: Column) -> Column:

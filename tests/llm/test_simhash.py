@@ -105,6 +105,17 @@ def test_keep_first_keeps_columns_and_null_ids(spark):
     assert sorted([r.doc_id for r in out.collect()], key=str) == [1, 2, 7, None]
 
 
+def test_keep_first_tells_texts_of_one_id_apart(spark):
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue white black")
+    for rows, want in (
+            ([(7, a), (7, b)], [(7, a), (7, b)]),                        # unrelated texts of one id
+            ([(3, b), (7, a), (7, b)], [(3, b), (7, a)]),                # one of them a copy of another row
+            ([(7, a), (7, a), (7, b), (8, a), (9, c)], [(7, a), (7, b), (9, c)]),
+            ([(None, a), (None, a), (None, b), (4, c)], [(None, a), (None, b), (4, c)])):
+        out = [(r.doc_id, r.text) for r in simhash.keep_first(docs(spark, rows)).collect()]
+        assert sorted(out, key=str) == sorted(want, key=str)
+
+
 def test_empty_table(spark):
     assert got(spark, []) == []
     assert simhash.keep_first(docs(spark, [])).count() == 0
