@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatstream.llm import (
-    decontaminate, language, lines, mixing, quality, simhash, spotsigs, tokens, toxicity, urls,
+    decontaminate, language, lexical, lines, merkle, mixing, neighbours, quality, simhash, spotsigs, tokens, toxicity,
+    urls,
 )
 from beatstream.llm.common import table
 from beatstream.llm.oracle import ORACLE as ORACLE
@@ -93,6 +94,25 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.positions(table(spark, sf_dir, "documents"), block_chars=100_000, power=0.5)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20, by largest inner product."""
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proof of every document, folded from a text without line ends where the id's crc32 is even."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed, fanout=3).drop("proof")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 highest-scoring documents of every benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_ids, op2_toxicity, op3_simhash_near_dedup, op4_quality_classifier, op5_language_id,
-    op6_document_fingerprints, op7_benchmark_decontamination, op8_url_filter, op9_line_dedup, op10_source_mixing)}
+    op6_document_fingerprints, op7_benchmark_decontamination, op8_url_filter, op9_line_dedup, op10_source_mixing,
+    op11_nearest_neighbours, op12_merkle_manifest, op13_lexical_search)}

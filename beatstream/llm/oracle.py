@@ -72,4 +72,25 @@ SELECT p.page_id, q.host, q.path, f.best.rule AS rule,
 FROM p JOIN parts q ON q.node = p.node LEFT JOIN fits f ON f.node = p.node LEFT JOIN votes v ON v.x = p.node
 """
 
-ORACLE = {"op8_url_filter": URL_FILTER, "op9_line_dedup": LINE_DEDUP}
+LEXICAL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+lens AS (SELECT r, doc_id, len(t)::bigint AS n FROM d WHERE len(t) > 0),
+stats AS (SELECT count(*)::bigint AS docs, sum(n)::bigint AS total FROM lens),
+tfs AS (SELECT r, term, count(*)::bigint AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+items AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint AS w
+      FROM tfs, stats GROUP BY term, docs),
+p AS (SELECT doc_id, tfs.r, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)) AS p
+      FROM tfs JOIN lens USING (r), stats WHERE doc_id IS NOT NULL),
+s AS (SELECT item_id, doc_id, r, sum(w * p)::bigint AS score FROM items JOIN w USING (term) JOIN p USING (term)
+      GROUP BY item_id, doc_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank, doc_id, score
+FROM s WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+ORACLE = {"op8_url_filter": URL_FILTER, "op9_line_dedup": LINE_DEDUP, "op13_lexical_search": LEXICAL}
