@@ -365,5 +365,7 @@ QUERIES: dict[str, Query] = {
 }
 
 from beatstream.plans.catalog_io import IO_QUERIES  # noqa: E402
+from beatstream.plans.catalog_live import LIVE_QUERIES  # noqa: E402
 
 QUERIES.update(IO_QUERIES)
+QUERIES.update(LIVE_QUERIES)

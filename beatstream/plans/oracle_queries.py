@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from beatstream.functions.scalar import AGE_DECADES
 from beatstream.plans.oracle import with_views
+from beatstream.plans.oracle_live import LIVE_ORACLE
 from beatstream.schemas import FEATURE_NAMES
 
 DAYPART_CASE = ("CASE WHEN h < 5 THEN 'night' WHEN h < 12 THEN 'morn' WHEN h < 17 THEN 'aft' "
@@ -436,3 +437,5 @@ SELECT setting, COUNT(*) FILTER (WHERE h < 7000) AS train_rows, COUNT(*) FILTER
 FROM (SELECT CAST('0x' || substr(md5(customer_id || '-0'), 1, 8) AS BIGINT) % 10000 AS h FROM features),
      (VALUES ('lbfgs'), ('l2')) s(setting)
 GROUP BY setting""")
+
+ORACLE.update(LIVE_ORACLE)

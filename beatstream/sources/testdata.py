@@ -138,8 +138,8 @@ def retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def play_lines_from_events(events: DataFrame) -> DataFrame:
-    """Print plays as raw log lines (``value`` column), the way the log file holds them.
+def play_lines_from_events(events: DataFrame, *keep: str) -> DataFrame:
+    """Print plays as raw log lines (``value`` column, behind the columns to keep), the way the log file holds them.
 
     Error events become broken lines: cut short before the flag when the event value is
     below 5, with a text track id when it is above 90, an unreadable time when it is
@@ -159,7 +159,7 @@ def play_lines_from_events(events: DataFrame) -> DataFrame:
     bad_time = F.concat(ids, k, F.lit(',"'), F.substring(stamp, 1, 10), tail)
     line = (F.when(F.col("event_type") != "error", good).when(F.col("value") < 5, head)
              .when(F.col("value") > 90, bad_track).when(F.col("value") > 80, bad_time).otherwise(bad_flag))
-    return events.select(line.alias("value"))
+    return events.select(*keep, line.alias("value"))
 
 
 def play_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,3 +173,49 @@ def play_log_folder(spark: SparkSession, sf_dir: str) -> str:
     path = shared_path(spark, "play-log")
     play_lines(spark, sf_dir).write.text(path)
     return path
+
+
+LOG_HOSTS = 8  # collectors that write a log file each
+
+
+def grow_play_log(events: DataFrame, folder: str, cut: int = 0) -> None:
+    """Bring the log files of ``folder`` (one per host, ascending by time) to what ``events`` holds.
+
+    A file whose events are a later state of the same log keeps its old bytes and grows behind
+    them.  ``cut`` leaves that many bytes off each file's end: a line half written.  A file is
+    replaced as a whole, so a repeated task gives the same file.
+    """
+    from pyspark import cloudpickle
+    import sys
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    host = F.pmod(F.col("user_id"), F.lit(LOG_HOSTS)).cast("int")
+    line = play_lines_from_events(events.select("*", host.alias("host")), "host", "ts", "event_id")
+    rows = line.repartition(LOG_HOSTS, "host").sortWithinPartitions("host", "ts", "event_id").select("host", "value")
+
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+        fs, base = pafs.FileSystem.from_uri(folder)
+        fs.create_dir(base)
+        here, out, kept = None, None, b""
+
+        def close():
+            if out is not None:
+                if len(kept) > cut:
+                    out.write(kept[:len(kept) - cut])
+                out.close()
+                fs.move(f"{base}/.host-{here}.part", f"{base}/host-{here}.log")
+
+        for b in batches:
+            for h, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if h != here:
+                    close()
+                    here, out, kept = h, fs.open_output_stream(f"{base}/.host-{h}.part"), b""
+                kept += value.encode() + b"\n"
+                if len(kept) > 1 << 20:
+                    out.write(kept[:len(kept) - cut])
+                    kept = kept[len(kept) - cut:]
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32())], ["done"])
+
+    rows.mapInArrow(write, "done int").write.format("noop").mode("overwrite").save()
