@@ -14,6 +14,7 @@ from beatstream.functions.timeutil import micros_to_ntz, ntz_micros
 from beatstream.session import shared_path
 from beatstream.sources import testdata as T
 from beatstream.sources.tail import follow_lines
+from beatstream.streaming.repeat import read_state, repeat_listens_stream
 from beatstream.streaming.sinks import append_table
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -80,7 +81,30 @@ def q_follow_from_time(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+# --- state of a stopped stream ----------------------------------------------------------------
+
+def q_stream_repeat_state(spark: SparkSession, sf: str) -> DataFrame:
+    """What the repeat-listen stream remembers after a stop and a restart with new input, read back
+    from its checkpoint: the latest play of each reported key, and for keys without a run the
+    number of plays that can still be part of one."""
+    events, folder, out, ck = T.table(spark, sf, "events"), shared_path(spark, "events"), shared_path(spark, "repeat"), \
+        shared_path(spark, "ck")
+    middle = moments(events, 2)[0]
+    for part in (_until(events, middle), events.where(F.col("ts") > middle)):
+        part.write.mode("append").parquet(folder)
+        plays = (T.plays_from_events(spark.readStream.schema(events.schema).parquet(folder))
+                 .withColumns({"customer_id": F.col("customer_id") % 200, "track_id": F.col("track_id") % 5}))
+        reports = repeat_listens_stream(plays, 4, 24 * 3600, "1 day", retain="3650 days")
+        append_table(reports, out, ck, AVAILABLE_NOW).awaitTermination()
+    key = ["customer_id", "track_id"]
+    reported = read_state(spark, ck, "reported").select(F.lit("reported").alias("kind"), *key, "us")
+    waiting = (read_state(spark, ck, "plays").join(read_state(spark, ck, "found"), key, "left_anti")
+               .groupBy(*key).agg(F.sum(F.size("times")).alias("us")))
+    return reported.union(waiting.select(F.lit("waiting"), *key, "us")).withColumnRenamed("us", "number")
+
+
 LIVE_QUERIES = {
+    "stream_repeat_state": q_stream_repeat_state,
     "follow_play_log": q_follow_play_log,
     "follow_from_earliest": q_follow_from_earliest,
     "follow_from_latest": q_follow_from_latest,

@@ -29,3 +29,18 @@ starts AS (SELECT host, min((ts, event_id)) AS first_line FROM placed
           WHERE timed AND date_trunc('second', ts) >= {moment(1, 2)} GROUP BY host)
 SELECT value FROM placed JOIN starts USING (host) WHERE (ts, event_id) >= first_line""",
 }
+
+_KEYED = """
+  SELECT user_id % 200 AS customer_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 5 AS track_id, epoch_us(ts) AS us
+  FROM events"""
+_DAY = 24 * 3600 * 1_000_000
+LIVE_ORACLE["stream_repeat_state"] = f"""
+WITH p AS (SELECT * FROM ({_KEYED}) WHERE customer_id IS NOT NULL AND track_id IS NOT NULL),
+mark AS (SELECT max(us) // 1000 - {_DAY // 1000} AS ms FROM p),
+runs AS (SELECT customer_id, track_id, us, us - lag(us, 3) OVER (PARTITION BY customer_id, track_id ORDER BY us) AS gap FROM p),
+keys AS (SELECT customer_id, track_id, max(us) AS newest, min(us) FILTER (WHERE gap <= {_DAY}) AS found
+         FROM runs GROUP BY customer_id, track_id)
+SELECT 'reported' AS kind, customer_id, track_id, newest AS number FROM keys, mark WHERE found // 1000 + 1 <= ms
+UNION ALL
+SELECT 'waiting', customer_id, track_id, count(*) FROM p JOIN keys USING (customer_id, track_id), mark
+WHERE found IS NULL AND (us // {_DAY} + 2) * {_DAY} // 1000 > ms GROUP BY customer_id, track_id"""

@@ -1,17 +1,25 @@
 """Repeat listens on a stream: the one custom stateful operator.
 
-State per (customer, track) holds the play times that can still belong to the earliest
-run.  A run is reported once the watermark has passed its last play: until then an
-earlier play may still arrive and complete an earlier run, so the report does not depend
-on the order in which plays arrive.  The reported key keeps only a flag, which expires
-``retain`` after the key's last play (a key that starts anew after that is reported
-again; the interest list, a keyed set, registers it once).
-
-State size per key is bounded even for a hot key: plays older than the watermark minus
-one horizon are dropped unless they belong to the run found, so a key holds the plays of
-the watermark delay plus two horizons, whatever its age.  The rows one call receives are
-bounded by the micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
-Plays without a customer or track are left out.
+State per (customer, track):
+
+- ``plays``, a map from a time bucket one horizon wide to the play times in it.  New plays
+  read and write only their own bucket and its two neighbours: a run lies within two
+  adjacent buckets, and only runs with a new play can be new.
+- ``found``, the end of the earliest run so far, and the latest play since it is known.
+- ``reported``, the time of the latest play, once the key's report is out.
+
+Event-time timers do the rest.  A run's timer reports it when the watermark has passed its
+last play: until then an earlier play may still arrive and complete an earlier run, so the
+report does not depend on the order in which plays arrive.  A bucket's timer drops it when no
+play that is still to come can join it.  A key's timer forgets the report ``retain`` after its
+last play (a key that starts anew after that is reported again; the interest list, a keyed set,
+registers it once).  A state's time to live is no substitute: it counts processing time, which
+Spark doesn't offer next to event-time timers, and a replay would forget at other moments.
+
+State size per key is bounded even for a hot key: it holds the buckets of the watermark delay
+plus two horizons, whatever its age.  The rows one call receives are bounded by the
+micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).  Plays without a
+customer or track are left out.  ``read_state`` reads the state of a checkpoint back.
 """
 
 from __future__ import annotations
@@ -22,19 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from beatstream.functions.timeutil import duration_seconds, micros_to_ntz, ntz_micros, ntz_to_instant
 from beatstream.streaming.flows import start
 from beatstream.streaming.sinks import set_add
 
-# the state function is shipped by value: workers need not have this package on their path
+# the processor is shipped by value: workers need not have this package on their path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT_SCHEMA = "customer_id long, track_id long, first_detected_us long"
-STATE_SCHEMA = "times array<long>, reported boolean"
 
 
 def _first_run_end(times: np.ndarray, k: int, within_us: int) -> int | None:
@@ -46,36 +53,91 @@ def _first_run_end(times: np.ndarray, k: int, within_us: int) -> int | None:
     return int(times[hit[0] + k - 1]) if len(hit) else None
 
 
-def _make_state_fn(k: int, within_us: int, retain_us: int):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, reported = (list(state.get[0]), bool(state.get[1])) if state.exists else ([], False)
-        if state.hasTimedOut and reported:
-            state.remove()
+class RepeatProcessor(StatefulProcessor):
+    """Reports a key once ``k`` of its plays lie within ``within_us`` microseconds."""
+
+    def __init__(self, k: int, within_us: int, retain_us: int):
+        self.k, self.within, self.retain = k, within_us, retain_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.plays = handle.getMapState("plays", "bucket long", "times array<long>")
+        self.found = handle.getValueState("found", "us long, newest long")
+        self.reported = handle.getValueState("reported", "us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = np.sort(np.concatenate([b["us"].to_numpy(dtype=np.int64) for b in rows]))
+        if self.reported.exists():
+            newest, old = int(new[-1]), self.reported.get()[0]
+            if newest > old:
+                self.handle.deleteTimer(self._forget_at(old))
+                self._keep_report(newest)
             return
-        new = [] if state.hasTimedOut else [b["us"].to_numpy(dtype=np.int64) for b in batches]
-        merged = np.sort(np.concatenate([np.asarray(times, dtype=np.int64), *new]))
-        watermark = state.getCurrentWatermarkMs() * 1000
-        newest = int(merged[-1]) if len(merged) else 0
-        end = None if reported else _first_run_end(merged, k, within_us)
-        if end is not None and end < watermark:
-            yield pd.DataFrame({"customer_id": [key[0]], "track_id": [key[1]], "first_detected_us": [end]})
-            reported = True
-        if reported:
-            # the time of the latest play alone: the flag expires after it
-            state.update(([newest], True))
-            state.setTimeoutTimestamp(max(newest + retain_us, watermark) // 1000 + 1)
+        best, newest = self.found.get() if self.found.exists() else (None, int(new[-1]))
+        first = (best, newest)
+        newest = max(newest, int(new[-1]))
+        buckets, begins = np.unique(new // self.within, return_index=True)
+        held: dict[int, np.ndarray] = {}
+
+        def times(bucket: int) -> np.ndarray:
+            if bucket not in held:
+                at = (bucket,)
+                got = self.plays.getValue(at)[0] if self.plays.containsKey(at) else []
+                held[bucket] = np.asarray(got, dtype=np.int64)
+            return held[bucket]
+
+        for b, part in zip(buckets.tolist(), np.split(new, begins[1:]), strict=True):
+            if best is not None and b * self.within > best:
+                continue  # behind the run found: it can't end an earlier one
+            before = times(b)
+            held[b] = np.sort(np.concatenate([before, part]))
+            self.plays.updateValue((b,), (held[b].tolist(),))
+            if not len(before):
+                self.handle.registerTimer(self._drop_at(b))
+        for b in buckets.tolist():
+            if best is not None and b * self.within > best:
+                continue
+            end = _first_run_end(np.concatenate([times(b - 1), times(b), times(b + 1)]), self.k, self.within)
+            best = end if best is None else min(best, end if end is not None else best)
+        if best is not None and (best, newest) != first:
+            self.found.update((best, newest))
+            if best != first[0]:
+                self.handle.registerTimer(best // 1000 + 1)
+        return
+        yield  # reports come from timers only
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if self.reported.exists():
+            if self._forget_at(self.reported.get()[0]) <= now:
+                self.reported.clear()
             return
-        if end is None:
-            merged = merged[merged >= watermark - within_us] if watermark > 0 else merged
-        else:
-            merged = merged[(merged >= watermark - within_us) | (merged <= end)]
-        if not len(merged):
-            state.remove()
+        end, newest = self.found.get() if self.found.exists() else (None, None)
+        if end is not None and end // 1000 + 1 <= now:
+            for _, (times,) in self.plays.iterator():
+                newest = max(newest, times[-1])
+            self.plays.clear()
+            self.found.clear()
+            self._keep_report(newest)
+            yield pd.DataFrame({"customer_id": [key[0]], "track_id": [key[1]], "first_detected_us": [end]})
             return
-        state.update((merged.tolist(), False))
-        due = end if end is not None else newest + within_us
-        state.setTimeoutTimestamp(max(due, watermark) // 1000 + 1)
-    return fn
+        bucket = now * 1000 // self.within - 2
+        if end is None and self.plays.containsKey((bucket,)):
+            self.plays.removeKey((bucket,))
+
+    def close(self) -> None:
+        pass
+
+    def _drop_at(self, bucket: int) -> int:
+        """When plays of the bucket can't meet a coming one: a horizon behind the bucket's end, in ms."""
+        return -(-(bucket + 2) * self.within // 1000)
+
+    def _forget_at(self, us: int) -> int:
+        return (us + self.retain) // 1000 + 1
+
+    def _keep_report(self, newest: int) -> None:
+        self.reported.update((newest,))
+        self.handle.registerTimer(self._forget_at(newest))
 
 
 def repeat_listens_stream(plays: DataFrame, min_plays: int = 3, within_seconds: int = 30 * 60,
@@ -88,13 +150,20 @@ def repeat_listens_stream(plays: DataFrame, min_plays: int = 3, within_seconds:
                       ntz_micros(F.col(ts_col)).alias("us"))
               .filter(F.col("customer_id").isNotNull() & F.col("track_id").isNotNull())
               .withWatermark("ts", delay))
-    fn = _make_state_fn(min_plays, within_seconds * 1_000_000, duration_seconds(retain) * 1_000_000)
-    out = (p.groupBy("customer_id", "track_id")
-            .applyInPandasWithState(fn, OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    processor = RepeatProcessor(min_plays, within_seconds * 1_000_000, duration_seconds(retain) * 1_000_000)
+    out = p.groupBy("customer_id", "track_id").transformWithStateInPandas(
+        processor, OUTPUT_SCHEMA, outputMode="Append", timeMode="EventTime")
     return out.select("customer_id", "track_id", micros_to_ntz(F.col("first_detected_us")).alias("first_detected"))
 
 
+def read_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """What a checkpoint of the stream holds in ``plays``, ``found`` or ``reported``: (customer_id, track_id, ...)."""
+    state = spark.read.format("statestore").option("stateVarName", variable).load(checkpoint)
+    if variable == "plays":
+        return state.select("key.*", "user_map_key.bucket", "user_map_value.times")
+    return state.select("key.*", "value.*")
+
+
 def register_repeats(reports: DataFrame, interests_path: str, checkpoint: str | None = None,
                      trigger: dict | None = None):
     """Start a query that registers each reported (customer, track) in the interest list,
