@@ -151,35 +151,45 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4,
 
 
 def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
-    """One row of each component: that of the smallest (doc_id, fp), of rows that repeat both the first text.
+    """One row of each component: that of the smallest (doc_id, fp); of rows that repeat both, one text by its hash.
 
     An id may stand on rows with different texts: each component decides for its own rows.
     Rows without an id are decided among themselves, one row of each component by a hash of
     its text, as a row without an id can't stand for one with an id or the reverse.
+
+    All is decided on a narrow table of ids, fingerprints and text hashes.  The texts are
+    fingerprinted once and shuffled once, to meet the decisions.
     """
-    rows, fps, comp = _components(docs, shingle_words, max_bits, crowded)
-    root = F.coalesce("root", "fp").alias("root")
-    firsts = (fps.where("first_id is not null").join(comp, "fp", "left").groupBy(root)
-              .agg(F.min(F.struct("first_id", "fp")).alias("first"))
-              .select(F.col("first.first_id").alias("kept_id"), F.col("first.fp").alias("kept_fp")))
-    copies = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    firsts = written(firsts.join(copies, F.col("kept_id") == F.col("doc_id"))
-                     .select("kept_id", "kept_fp", "copies"), "simhash-first")
-    whole = docs.select(F.struct("*").alias("_row"))
-    fp = fingerprint_column(F.col("_row.text"), shingle_words)
-    first = F.min_by("_row", F.struct("_row.text", F.xxhash64("_row"))).alias("_row")
-
-    kept = whole.join(firsts.select("kept_id", "copies").distinct(), F.col("_row.doc_id") == F.col("kept_id"))
-    once = kept.where("copies = 1").select("_row.*")
-    # only ids that occur on several rows: those with the fingerprint, the first by its text
-    pairs = firsts.where("copies > 1").select(F.col("kept_id").alias("id2"), "kept_fp")
-    again = (kept.where("copies > 1").select("_row", "kept_id", fp.alias("row_fp"))
-             .join(pairs, (F.col("kept_id") == F.col("id2")) & (F.col("row_fp") == F.col("kept_fp")))
-             .groupBy("kept_id", "kept_fp").agg(first).select("_row.*"))
-    by_text = F.min_by("_row", F.struct(F.xxhash64("_row.text"), F.xxhash64("_row"))).alias("_row")
-    lost = (whole.where("_row.doc_id is null").groupBy(fp.alias("fp")).agg(by_text)
-            .join(comp, "fp", "left").groupBy(root).agg(by_text).select("_row.*"))
-    return once.unionByName(again).unionByName(lost)
+    texts = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
+    rows = written(docs.select("doc_id", fingerprint_column(F.col("text"), shingle_words).alias("fp"), *texts), "simhash")
+    # rows that are equal in id and text, counted; then the first of each fingerprint, with and without an id
+    rows = rows.groupBy("fp", "doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("copies"))
+    row = F.struct("doc_id", "fp", "t1", "t2", "copies")
+    named = F.min(F.when(F.col("doc_id").isNotNull(), row)).alias("named")
+    lost = F.min(F.when(F.col("doc_id").isNull(), F.struct("t1", "t2", "fp", "copies"))).alias("lost")
+    fps = written(rows.groupBy("fp").agg(named, lost), "simhash-distinct")
+    comp = connected_components(links(fps.select("fp"), max_bits, crowded)).toDF("fp2", "root")
+    firsts = (fps.join(comp, F.col("fp") == F.col("fp2"), "left").groupBy(F.coalesce("root", "fp").alias("root"))
+              .agg(F.min("named").alias("named"), F.min("lost").alias("lost")))
+    decided = [F.col(f"{which}.{c}").alias(f"kept_{c}") for which in ("named", "lost") for c in ("t1", "t2", "copies")]
+    firsts = written(
+        firsts.where("named is not null").select(F.col("named.doc_id").alias("kept_id"), *decided[:3])
+        .union(firsts.where("lost is not null").select(F.lit(None), *decided[3:])), "simhash-first")
+
+    whole = docs.select(F.struct("*").alias("_row")).select(
+        "_row", F.xxhash64("_row.text").alias("_t1"), F.xxhash64(F.lit(1), "_row.text").alias("_t2"))
+
+    def meets(kept: DataFrame) -> DataFrame:
+        return whole.join(kept, (F.col("_t1") == F.col("kept_t1")) & (F.col("_t2") == F.col("kept_t2"))
+                          & F.col("_row.doc_id").eqNullSafe(F.col("kept_id")))
+
+    # one strategy at every size: the narrow side is hashed, the texts aren't sorted
+    out = meets(firsts.where("kept_copies = 1").hint("shuffle_hash")).select("_row.*")
+    again = firsts.where("kept_copies > 1")
+    if again.head(1):  # rows that repeat id and text
+        out = out.unionByName(meets(again).groupBy("kept_id", "kept_t1", "kept_t2")
+                              .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*"))
+    return out
 
 
 def hex_digits(fp: Column) -> Column:
