@@ -39,37 +39,77 @@ _RULES = """(VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('a
 
 _PARTS = r"""regexp_extract(substr({u}, strpos({u}, '://') + 3), '^[^/?#]*')"""
 
-# Aliases: urls without tracking parameters, canonical, og:url and refresh links.
+# Aliases: urls without tracking parameters, canonical, og:url and refresh links of all forms.
+_LOWER = "translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ORIGIN = "regexp_extract({u}, '^[^:/?#]+://[^/?#]*')"
+
+
+def _node(u: str) -> str:
+    """The url without fragment, scheme and host in lower case."""
+    u = f"regexp_replace({u}, '(?s)#.*$', '')"
+    origin = _ORIGIN.format(u=u)
+    return f"({_LOWER.format(c=origin)} || substr({u}, length({origin}) + 1))"
+
+
+def _decoded(t: str) -> str:
+    for pattern, char in (("&quot;|&#34;|&#[xX]22;", '"'), ("&apos;|&#39;|&#[xX]27;", "''"), ("&lt;|&#60;|&#[xX]3[cC];", "<"),
+                          ("&gt;|&#62;|&#[xX]3[eE];", ">"), ("&#47;|&#[xX]2[fF];", "/"), ("&amp;|&#38;|&#[xX]26;", "&")):
+        t = f"regexp_replace({t}, '{pattern}', '{char}', 'g')"
+    return t
+
+
+def _tags(tag: str, wanted: str, attribute: str) -> list[str]:
+    value = rf"""\b{attribute}\s*=\s*["'']?([^"''>\s]+)"""
+    return [rf"regexp_extract_all(html, '(?is)<{tag}\b[^>]*{wanted}[^>]*?{value}', 1)",
+            rf"regexp_extract_all(html, '(?is)<{tag}\b[^>]*?{value}[^>]*{wanted}', 1)"]
+
+
+_LINKS = " || ".join([*_tags("link", r"""rel\s*=\s*["'']?canonical""", "href"),
+                      *_tags("meta", r"""property\s*=\s*["'']?og:url""", "content"),
+                      r"""regexp_extract_all(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*?url\s*=\s*([^"''>\s]+)', 1)"""])
+
 URL_FILTER = rf"""
 WITH RECURSIVE p AS (
-  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, regexp_replace(coalesce(url, ''), '(?s)#.*$', '') AS node
-  FROM pages),
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, {_node("coalesce(url, '')")} AS node FROM pages),
+d AS (
+  SELECT DISTINCT url, node, {_ORIGIN.format(u="url")} AS origin,
+         regexp_extract(substr(url, length({_ORIGIN.format(u="url")}) + 1), '^[^?#]*') AS path,
+         {_decoded("target")} AS target
+  FROM (SELECT url, node, unnest({_LINKS}) AS target FROM p WHERE url <> '')),
+f AS (
+  SELECT *, CASE WHEN starts_with(target, '/') THEN target
+                 ELSE (CASE WHEN contains(path, '/') THEN regexp_extract(path, '(?s)^.*/') ELSE '/' END) || target END AS whole
+  FROM d),
+w AS (
+  SELECT *, string_split(regexp_replace(whole, '(?s)\?.*$', ''), '/') AS steps, regexp_extract(whole, '(?s)\?.*$') AS tail FROM f),
 t AS (
-  SELECT node, regexp_extract(url, '^[^:/?#]+://[^/?#]*') AS origin, unnest([
-    nullif(regexp_extract(html, '(?is)<link\b[^>]*rel\s*=\s*["'']?canonical[^>]*?\bhref\s*=\s*["'']?([^"''>\s]+)', 1), ''),
-    nullif(regexp_extract(html, '(?is)<link\b[^>]*?\bhref\s*=\s*["'']?([^"''>\s]+)[^>]*rel\s*=\s*["'']?canonical', 1), ''),
-    nullif(regexp_extract(html, '(?is)<meta\b[^>]*property\s*=\s*["'']?og:url[^>]*?\bcontent\s*=\s*["'']?([^"''>\s]+)', 1), ''),
-    nullif(regexp_extract(html, '(?is)<meta\b[^>]*http-equiv\s*=\s*["'']?refresh[^>]*?url\s*=\s*([^"''>\s]+)', 1), ''),
-    regexp_replace(regexp_replace(node, '([?&])(?:(?:utm_[a-z]+|ref|fbclid|gclid|mc_eid)=[^&]*(?:&|$))+', '\1', 'g'), '[?&]$', '')
-  ]) AS target FROM p WHERE url <> ''),
+  SELECT node, CASE
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target
+    WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') OR target = '' OR starts_with(target, '#') OR origin = '' THEN NULL
+    WHEN starts_with(target, '//') THEN regexp_extract(origin, '^[^:]+:') || target
+    WHEN starts_with(target, '?') THEN origin || path || target
+    ELSE origin || array_to_string(list_reduce(list_prepend([]::varchar[], list_transform(steps, lambda x: [x])),
+           lambda a, x: CASE x[1] WHEN '.' THEN a WHEN '..' THEN a[1:greatest(len(a) - 1, 1)] ELSE a || x END), '/')
+         || CASE WHEN steps[-1] IN ('.', '..') THEN '/' ELSE '' END || tail END AS target
+  FROM w),
 e AS (
-  SELECT DISTINCT node AS a, regexp_replace(CASE WHEN target LIKE '/%' AND target NOT LIKE '//%' THEN origin || target
-                                            ELSE target END, '(?s)#.*$', '') AS b
-  FROM t WHERE target IS NOT NULL),
+  SELECT node AS a, {_node("target")} AS b FROM t WHERE target IS NOT NULL
+  UNION
+  SELECT node, regexp_replace(regexp_replace(node, '([?&])(?:(?:utm_[a-z]+|ref|fbclid|gclid|mc_eid)=[^&]*(?:&|$))+', '\1', 'g'),
+                              '[?&]$', '') FROM p WHERE url <> ''),
 links AS (SELECT a, b FROM e WHERE a <> b AND contains(b, '://') UNION SELECT b, a FROM e WHERE a <> b AND contains(b, '://')),
 reach AS (SELECT DISTINCT a AS x, a AS y FROM links UNION SELECT r.x, l.b FROM reach r JOIN links l ON r.y = l.a),
-urls AS (SELECT DISTINCT node FROM p UNION SELECT a FROM links),
-parts AS (SELECT node, CASE WHEN contains(node, '://') THEN translate({_PARTS.format(u='node')},
-                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
-                 CASE WHEN contains(node, '://') THEN regexp_extract(substr(substr(node, strpos(node, '://') + 3),
-                 length({_PARTS.format(u='node')}) + 1), '^[^?#]*') ELSE '' END AS path FROM urls),
-fits AS (SELECT node, max({{'n': length(r.host) + length(r.path), 'a': (r.action = 'allow')::int, 'rule': r.host || r.path}}) AS best
+urls AS (SELECT url FROM p UNION SELECT a FROM links),
+parts AS (SELECT url, CASE WHEN contains(url, '://') THEN {_LOWER.format(c=_PARTS.format(u='url'))} ELSE '' END AS host,
+                 CASE WHEN contains(url, '://') THEN regexp_extract(substr(substr(url, strpos(url, '://') + 3),
+                 length({_PARTS.format(u='url')}) + 1), '^[^?#]*') ELSE '' END AS path FROM urls),
+fits AS (SELECT url, max({{'n': length(r.host) + length(r.path), 'a': (r.action = 'allow')::int, 'rule': r.host || r.path}}) AS best
          FROM parts JOIN {_RULES} ON parts.host <> '' AND (parts.host = r.host OR ends_with(parts.host, '.' || r.host))
-         AND starts_with(parts.path, r.path) GROUP BY node),
-votes AS (SELECT x, max(f.best.a) AS allowed FROM reach JOIN fits f ON f.node = reach.y GROUP BY x)
+         AND starts_with(parts.path, r.path) GROUP BY url),
+votes AS (SELECT x, max(f.best.a) AS allowed FROM reach JOIN fits f ON f.url = reach.y GROUP BY x)
 SELECT p.page_id, q.host, q.path, f.best.rule AS rule,
        CASE coalesce(f.best.a, v.allowed, 1) WHEN 1 THEN 'allow' ELSE 'block' END AS verdict
-FROM p JOIN parts q ON q.node = p.node LEFT JOIN fits f ON f.node = p.node LEFT JOIN votes v ON v.x = p.node
+FROM p JOIN parts q ON q.url = p.url LEFT JOIN fits f ON f.url = p.url LEFT JOIN votes v ON v.x = p.node
 """
 
 LEXICAL = r"""

@@ -8,10 +8,15 @@ removed tracking parameters are edges between urls, whose connected components a
 in Spark.  An explicit allow anywhere in a component outweighs its blocks.  Without any
 decision the verdict is ``default``.
 
+A page's rule comes from its whole url.  As an alias a url is known without its fragment, with
+scheme and host in lower case.  All links of a page count; character references in them are
+decoded, and targets without a scheme (``//host/path``, ``/path``, ``?query``, ``path``,
+``../path``) are taken from the page's url.
+
 Null urls and urls without ``://`` have empty host and path, no rule and the default (or
-their aliases') verdict.  Fragments never tell urls apart.  Repeated rows are judged once
-each; null html has no links.  Extra columns are ignored.  An empty table gives an empty
-result, an empty rule table judges everything by default.
+their aliases') verdict.  Urls and pages of any length are read whole.  Repeated rows are
+judged once each; null html has no links.  Extra columns are ignored.  An empty table gives an
+empty result, an empty rule table judges everything by default.
 """
 
 from __future__ import annotations
@@ -38,9 +43,25 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
+def _lowered(c: Column) -> Column:
+    return F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def _origin(url: Column) -> Column:
+    """Scheme and host of a url; empty without ``://``."""
+    return F.regexp_extract(url, "^[^:/?#]+://[^/?#]*", 0)
+
+
 def _node(url: Column) -> Column:
-    """A url as a graph node: without its fragment."""
-    return F.regexp_replace(url, "(?s)#.*$", "")
+    """A url as a graph node: without its fragment, scheme and host in lower case."""
+    url = F.regexp_replace(url, "(?s)#.*$", "")
+    origin = _origin(url)
+    return F.concat(_lowered(origin), F.substring(url, F.length(origin) + 1, F.length(url)))
+
+
+def _name(node: Column) -> Column:
+    """A node's key: 16 bytes, so that no two of very many urls share one by chance."""
+    return F.unhex(F.md5(node))
 
 
 def _untracked(url: Column) -> Column:
@@ -50,26 +71,55 @@ def _untracked(url: Column) -> Column:
     return F.regexp_replace(out, "[?&]$", "")
 
 
-def _attribute(html: Column, tag: str, wanted: str, attribute: str) -> Column:
-    """Value of ``attribute`` in the first ``tag`` whose text holds ``wanted`` (either order)."""
-    found = F.regexp_extract(html, rf"(?is)<{tag}\b(?=[^>]*{wanted})[^>]*?\b{attribute}\s*=\s*[\"']?([^\"'>\s]+)", 1)
-    return F.when(found != "", found)
+def _attributes(html: Column, tag: str, wanted: str, attribute: str) -> Column:
+    """Values of ``attribute`` in the ``tag``s whose text holds ``wanted`` (either order)."""
+    return F.regexp_extract_all(
+        html, F.lit(rf"(?is)<{tag}\b(?=[^>]*{wanted})[^>]*?\b{attribute}\s*=\s*[\"']?([^\"'>\s]+)"), 1)
+
+
+# fixed values: the character references that urls in attributes hold
+REFERENCES = [("&quot;|&#34;|&#[xX]22;", '"'), ("&apos;|&#39;|&#[xX]27;", "'"), ("&lt;|&#60;|&#[xX]3[cC];", "<"),
+              ("&gt;|&#62;|&#[xX]3[eE];", ">"), ("&#47;|&#[xX]2[fF];", "/"), ("&amp;|&#38;|&#[xX]26;", "&")]
+
+
+def _resolved(target: Column, url: Column) -> Column:
+    """A link's target as an absolute url; null if it has another kind of scheme (``mailto:``) or is empty."""
+    for pattern, char in REFERENCES:
+        target = F.regexp_replace(target, pattern, char)
+    origin = _origin(url)
+    path = F.regexp_extract(F.substring(url, F.length(origin) + 1, F.length(url)), "^[^?#]*", 0)
+    full = F.when(target.startswith("/"), target).otherwise(
+        F.concat(F.when(path.contains("/"), F.regexp_extract(path, "(?s)^.*/", 0)).otherwise(F.lit("/")), target))
+    tail = F.regexp_extract(full, r"(?s)\?.*$", 0)
+    steps = F.split(F.regexp_replace(full, r"(?s)\?.*$", ""), "/")
+    # "." stays where it is, ".." goes up; at the end both leave the folder's slash
+    walked = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: (
+        F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(x)))))
+    last = F.element_at(steps, -1)
+    joined = F.concat(F.array_join(walked, "/"), F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit("")), tail)
+    return (F.when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+            .when(target.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (target == "") | target.startswith("#") | (origin == ""),
+                  F.lit(None).cast("string"))
+            .when(target.startswith("//"), F.concat(F.regexp_extract(origin, "^[^:]+:", 0), target))
+            .when(target.startswith("?"), F.concat(origin, path, target))
+            .otherwise(F.concat(origin, joined)))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(url, target) of every declared or implied alias, both without fragment."""
+    """(url, target) of every declared or implied alias, both as nodes."""
     url, html = F.col("url"), F.coalesce(F.col("html"), F.lit(""))
-    origin = F.regexp_extract(url, "^[^:/?#]+://[^/?#]*", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh)[^>]*?url\s*=\s*([^\"'>\s]+)", 1)
-    targets = F.array_compact(F.array(
-        _attribute(html, "link", r"rel\s*=\s*[\"']?canonical", "href"),
-        _attribute(html, "meta", r"property\s*=\s*[\"']?og:url", "content"),
-        F.when(refresh != "", refresh), _untracked(_node(url))))
-    edges = pages.where("url is not null").select(_node(url).alias("url"), origin.alias("origin"),
-                                                  F.explode(targets).alias("target"))
-    target = F.when(F.col("target").startswith("/") & ~F.col("target").startswith("//"),
-                    F.concat("origin", "target")).otherwise(F.col("target"))
-    return (edges.select("url", _node(target).alias("target"))
+    refresh = r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh)[^>]*?url\s*=\s*([^\"'>\s]+)"
+    targets = F.concat(
+        _attributes(html, "link", r"rel\s*=\s*[\"']?canonical", "href"),
+        _attributes(html, "meta", r"property\s*=\s*[\"']?og:url", "content"),
+        F.regexp_extract_all(html, F.lit(refresh), 1))
+    implied = F.struct(_untracked(_node(url)).alias("target"), F.lit(False).alias("declared"))
+    declared = F.transform(targets, lambda t: F.struct(t.alias("target"), F.lit(True).alias("declared")))
+    edges = (pages.where("url is not null").select("url", F.explode(F.concat(declared, F.array(implied))).alias("link"))
+             .select("url", "link.*"))
+    target = F.when(F.col("declared"), _node(_resolved(F.col("target"), url))).otherwise(F.col("target"))
+    return (edges.select(_node(url).alias("url"), target.alias("target"))
             .where((F.col("target") != F.col("url")) & F.col("target").contains("://")))
 
 
@@ -97,21 +147,27 @@ def rule_of(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """(page_id, url, host, path, rule, verdict) of every page; rules has (action, host, path)."""
     host, path = url_parts(F.col("url"))
-    rows = written(pages.select("page_id", "url", F.xxhash64(_node(F.col("url"))).alias("key"),
+    rows = written(pages.select("page_id", "url", _name(_node(F.col("url"))).alias("key"),
                                 host.alias("host"), path.alias("path")), "url-rows")
-    edges = written(alias_edges(pages).select(
-        F.xxhash64("url").alias("src"), F.xxhash64("target").alias("dst"), "target").distinct(), "url-edges")
-    t_host, t_path = url_parts(F.col("target"))
-    nodes = (rows.select("key", "host", "path")
-             .unionByName(edges.select(F.col("dst").alias("key"), t_host.alias("host"), t_path.alias("path")))
-             .distinct())
-    decided = written(rule_of(nodes, rules), "url-rules")
+    edges = written(alias_edges(pages).distinct(), "url-edges")
+    nodes = edges.select("url").union(edges.select("target")).distinct()
+    n_host, n_path = url_parts(F.col("url"))
+    nodes = written(nodes.select(_name(F.col("url")).alias("node_key"), n_host.alias("host"), n_path.alias("path")), "url-nodes")
+
+    # every host and path once: that of a page from its whole url, that of an alias from the node
+    place = F.struct("host", "path").alias("key")
+    places = rows.select("host", "path").union(nodes.select("host", "path")).distinct()
+    decided = written(rule_of(places.select(place, "host", "path"), rules)
+                      .select(F.col("key.host").alias("r_host"), F.col("key.path").alias("r_path"), "rule", "action"), "url-rules")
+
+    def with_rule(df: DataFrame, how: str) -> DataFrame:
+        return df.join(decided, (df["host"] == F.col("r_host")) & (df["path"] == F.col("r_path")), how)
 
     # decisions of a component: an allow outweighs its blocks
-    members = connected_components(edges.select("src", "dst"))
-    votes = (members.join(decided, members["node"] == decided["key"])
+    members = connected_components(edges.select(_name(F.col("url")).alias("src"), _name(F.col("target")).alias("dst")))
+    votes = (members.join(with_rule(nodes, "inner"), F.col("node") == F.col("node_key"))
              .groupBy("component").agg(F.min("action").alias("alias_action")))  # 'allow' < 'block'
-    by_alias = members.join(votes, "component").select(F.col("node").alias("key"), "alias_action")
-    return (rows.join(decided, "key", "left").join(by_alias, "key", "left")
+    by_alias = members.join(votes, "component").select(F.col("node").alias("member"), "alias_action")
+    return (with_rule(rows, "left").join(by_alias, F.col("key") == F.col("member"), "left")
             .select("page_id", "url", "host", "path", "rule",
                     F.coalesce("action", "alias_action", F.lit(default)).alias("verdict")))

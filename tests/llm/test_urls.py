@@ -62,3 +62,52 @@ def test_ties_empty_rules_and_empty_pages(spark):
     assert urls.judge(pages, spark.createDataFrame(URL_RULES, RULES)).count() == 0
     none = urls.judge(spark.createDataFrame([(1, "http://x.net/es/", "", "", "", "", "")], PAGE), spark.createDataFrame([], RULES))
     assert [r.verdict for r in none.collect()] == ["allow"]
+
+
+def test_a_fragment_tells_pages_apart_only_for_their_own_rule(spark):
+    got = judged(spark, [(1, "foo#http://net/es/x", None), (2, "foo#bar", None), (3, "foo", None)])
+    assert got == {1: ("net", "/es/x", "net/es/", "block"), 2: ("", "", None, "allow"), 3: ("", "", None, "allow")}
+
+
+def link(target, tag="<link rel=canonical href='{}'>"):
+    return tag.format(target)
+
+
+def test_targets_without_scheme_references_and_letter_case(spark):
+    blocked = [
+        ("http://a.org/x/y?q", "//net/es/q"), ("http://a.org/x/y?q", "HTTP://B.NET/es/"), ("http://b.net/fr/x/y", "../z?k=/..#f"),
+        ("http://b.net/fr/x/y", "z"), ("http://b.net/fr/x/y", "./z"), ("http://b.net/fr/x/y", ".."), ("http://b.net/fr/x", "?r=1"),
+        ("http://a.org/", "http://net/es/?a=1&amp;b=2"), ("http://a.org/", "http:&#x2F;&#47;net/es/")]
+    for k, (page, target) in enumerate(blocked):
+        want = {"../z?k=/..#f": "http://b.net/fr/z?k=/..", "z": "http://b.net/fr/x/z", "./z": "http://b.net/fr/x/z",
+                "..": "http://b.net/fr/", "?r=1": "http://b.net/fr/x?r=1", "//net/es/q": "http://net/es/q",
+                "HTTP://B.NET/es/": "http://b.net/es/", "http://net/es/?a=1&amp;b=2": "http://net/es/?a=1&b=2",
+                "http:&#x2F;&#47;net/es/": "http://net/es/"}[target]
+        pages = spark.createDataFrame([(k, page, link(target), "x", "x", "x", "x")], PAGE)
+        assert [r.target for r in urls.alias_edges(pages).collect()] == [want], target
+    rows = [(1, "http://a.org/1", link("//net/es/q")), (2, "HTTP://A.ORG/1", None),
+            (3, "http://c.org/3", link("http://d.org/?a=1&amp;b=2") + link("http://net/es/3")), (4, "http://d.org/?a=1&b=2", None),
+            (5, "http://e.org/5", link("mailto:x@net") + link("#top") + link("javascript:1"))]
+    assert {k: v[3] for k, v in judged(spark, rows).items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_very_long_urls_and_pages(spark):
+    long = "http://net/es/" + "a/" * 20_000
+    got = judged(spark, [(1, long, "<p>" * 200_000 + link("http://z.org/")), (2, "http://z.org/", None)])
+    assert got[1][2:] == ("net/es/", "block") and got[2][3] == "block"
+
+
+def test_sql_gives_the_same_aliases(spark):
+    import duckdb
+    from beatstream.llm.oracle import URL_FILTER
+    both = "<meta content='http://www.example.com/en/' property='og:url'>"
+    rows = [(1, "foo#http://net/es/x", None), (2, "foo#bar", None), (3, "http://a.org/x/y?q", link("//net/es/q")),
+            (4, "HTTP://A.ORG/x/y?q", None), (5, "http://b.net/fr/x/y", link("../z?k=/..#f")), (6, "http://b.net/fr/z?k=/..", None),
+            (7, "http://c.org/a/b", link("./.././../net")), (8, "http://c.org/net", link("http://net/es/?a=1&amp;b=2")),
+            (9, "http://c.org", link("q/.")), (10, "http://c.org/q/", both), (11, "http://e.org/?utm_a=1&x=2", link("mailto:x") + link("#t")),
+            (12, "http://e.org/?x=2", link("?y=1") + "<meta http-equiv=refresh content='0;url=http://z.net/fr/q'>"),
+            (13, "http://e.org/?y=1", None), (14, None, "x"), (15, "http://h.org/d/..", link("..")), (16, "http://h.org/", link("http://w.net/es/#x"))]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", [list(r) for r in rows])
+    assert {r[0]: r[1:] for r in con.execute(URL_FILTER).fetchall()} == judged(spark, rows)
