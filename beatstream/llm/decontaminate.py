@@ -6,9 +6,14 @@ minus item position).  Shared q-grams are counted in bands of 2(e + 1) diagonals
 overlap by half, so every such run of diagonals lies whole in one band; bands that reach
 the bound are kept and verified by a banded alignment of the item against that region.
 
+The budget e is the item's length times the edit rate, rounded down, for every item.  Where
+the bound would fall below one (short items), the item is looked up by 4-grams instead, and
+where even these promise nothing it is aligned with the whole text.
+
 Texts and items are compared in lower case with runs of white space as one blank; spans
-are positions in that form of the text.  Null and empty texts and items match nothing, nor
-do items of fewer than q characters.  Items with the same text are reported each.
+are positions in that form of the text.  Texts of any length are searched whole.  Null and
+empty texts and items match nothing, nor do items of fewer than q characters.  Items with the
+same text are reported each.
 Repeated rows give repeated results.  Extra columns are ignored by ``matches`` and kept by
 ``drop_contaminated``.  Empty tables give an empty result (or all documents).
 
@@ -77,20 +82,17 @@ def align(item: np.ndarray, region: np.ndarray, first: int, width: int) -> tuple
     return int(row[best]), best + first + len(item)
 
 
-class Index:
-    """Q-grams of some items, and the search of one text for them."""
+class Grams:
+    """The q-grams of some items; ``numbers`` are the items' places in the lists given."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = 8, edit_rate: float = 0.1) -> None:
+    def __init__(self, numbers: list[int], codes: list[np.ndarray], edits: np.ndarray, q: int) -> None:
         self.q = q
-        self.items = [(i, plain(t)) for i, t in items]
-        self.items = [(i, t) for i, t in self.items if len(t) >= q]
-        self.codes = [_codes(t) for _, t in self.items]
-        size = np.array([len(c) for c in self.codes], np.int64)
-        self.edits = np.maximum(np.minimum((size * edit_rate).astype(np.int64), (size - q) // q), 0)
-        self.least = size - q + 1 - q * self.edits
-        grams = [_grams(c, q) for c in self.codes]
+        self.edits, self.least = edits, np.full(len(codes), 1 << 40)
+        size = np.array([len(codes[k]) for k in numbers], np.int64)
+        self.least[numbers] = size - q + 1 - q * edits[numbers]
+        grams = [_grams(codes[k], q) for k in numbers]
         hashes = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+        owner = np.repeat(np.array(numbers, np.int64), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
         order = np.argsort(hashes, kind="stable")
         self.owner, self.place = owner[order], place[order]
@@ -115,7 +117,7 @@ class Index:
         slot = np.repeat(self.first[where] - (ends - many), many) + np.arange(ends[-1])
         item, place = self.owner[slot], self.place[slot]
         diagonal = np.repeat(at, many) - place
-        enough = np.bincount(item, minlength=len(self.items)) >= self.least  # over the whole text first
+        enough = np.bincount(item, minlength=len(self.least)) >= self.least  # over the whole text first
         keep = enough[item]
         if not keep.any():
             return []
@@ -131,13 +133,46 @@ class Index:
         full = keys[count >= self.least[keys // span]]
         return [(int(k // span), int(k % span) + low) for k in full]
 
+
+class Index:
+    """Q-grams of some items, and the search of one text for them."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int = 8, edit_rate: float = 0.1) -> None:
+        self.q = q
+        self.items = [(i, plain(t)) for i, t in items]
+        self.items = [(i, t) for i, t in self.items if len(t) >= q]
+        self.codes = [_codes(t) for _, t in self.items]
+        size = np.array([len(c) for c in self.codes], np.int64)
+        self.edits = np.floor(size * edit_rate + 1e-9).astype(np.int64)
+        by: dict[int, list[int]] = {}
+        for k, (n, e) in enumerate(zip(size.tolist(), self.edits.tolist(), strict=True)):
+            by.setdefault(next((x for x in (q, 4) if x <= q and n - x + 1 - x * e >= 1), 0), []).append(k)
+        self.whole = by.pop(0, [])  # items without a q-gram bound
+        self.grams = [Grams(numbers, self.codes, self.edits, x) for x, numbers in sorted(by.items(), reverse=True)]
+
+    def regions(self, codes: np.ndarray) -> list[tuple[int, int]]:
+        """(item, band) pairs that reach the q-gram bound."""
+        return [r for g in self.grams for r in g.regions(codes)]
+
+    def _everywhere(self, k: int, codes: np.ndarray, at: int) -> Iterator[tuple[int, int, int]]:
+        """(edits, start, end) of item ``k`` in a part of the text that starts at ``at``: the best, then beside it."""
+        item, size = self.codes[k], len(self.codes[k])
+        if len(codes) + self.edits[k] < size:
+            return
+        cost, end = align(item, codes, -size, size + len(codes) + 1)
+        if cost <= self.edits[k]:
+            _, length = align(item[::-1], codes[:end][::-1], -int(self.edits[k]) - 1, 2 * int(self.edits[k]) + 3)
+            yield cost, at + end - length, at + end
+            yield from self._everywhere(k, codes[:end - length], at)
+            yield from self._everywhere(k, codes[end:], at + end)
+
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item_id, start, end, edits) of the occurrences, one for overlapping finds of an item."""
         t = plain(text)
         if len(t) < self.q or not self.items:
             return []
         codes = _codes(t)
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        found: dict[int, list[tuple[int, int, int]]] = {k: f for k in self.whole if (f := list(self._everywhere(k, codes, 0)))}
         for k, band in self.regions(codes):
             wide, item, size = int(self.edits[k]) + 1, self.items[k][1], len(self.codes[k])
             lo = max(band * wide, 0)

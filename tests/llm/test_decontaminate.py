@@ -88,3 +88,31 @@ def test_empty_tables(spark):
 def test_repeated_words_are_not_an_occurrence():
     index = Index([(1, BENCH[0][1])])
     assert index.find("the lazy dog " * 4000) == []
+
+
+def test_short_items_have_the_whole_budget():
+    """A tenth of the length, rounded down, against Sellers' algorithm; the rate 0.3 leaves some without a q-gram bound."""
+    rnd = random.Random(17)
+    for rate in (0.1, 0.3):
+        missed = set()
+        for m in range(8, 41):
+            for _ in range(12):
+                item = "".join(rnd.choice("abcdefgh ijklmnop") for _ in range(m + 4)).strip()[:m].replace("  ", "xy")
+                item = plain(item).ljust(m, "q")
+                index = Index([(1, item)], edit_rate=rate)
+                budget = int(m * rate + 1e-9)
+                around = ["".join(rnd.choice("abcxyz") for _ in range(rnd.randint(0, 50))) for _ in range(2)]
+                text = plain(around[0] + edited(item, rnd.randint(0, budget + 1), rnd) + around[1])
+                cost = sellers(item, text)
+                got = index.find(text)
+                assert bool(got) == (cost <= budget), (m, rate, item, text, cost)
+                for _, a, b, edits in got:
+                    assert sellers(item, text[a:b]) <= edits <= budget
+                missed.add(cost > budget)
+        assert missed == {True, False}
+
+
+def test_a_short_item_is_found_at_every_place():
+    assert [m[1:] for m in Index([(1, "abcdefghij")]).find("abcdefghij .. abcdefghij")] == [(0, 10, 0), (14, 24, 0)]
+    twice = Index([(1, "abcdefghij")], edit_rate=0.3).find("abcdefghij ..... abcxefghij")
+    assert [m[3] for m in twice] == [0, 1]
