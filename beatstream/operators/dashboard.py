@@ -150,12 +150,16 @@ def top_regions_and_users(plays: DataFrame, n_zip: int = TERMS_SIZE, n_cust: int
 def level_gender_trend(enriched: DataFrame, bucket: str = "1 hour", ts_col: str = "datetime",
                        size: int = TERMS_SIZE) -> DataFrame:
     """Count by membership level (top terms), time bucket and gender (top terms per level+bucket)."""
-    # One aggregation; level totals (which include plays without a gender) are
-    # summed from it, and the top levels (at most ``size`` rows) filter it.
-    all_counts = (enriched.filter(F.col("Level").isNotNull())
-                          .groupBy(F.col("Level"), F.window(F.col(ts_col), bucket).start.alias("bucket_start"),
-                                   F.col("gender"))
-                          .agg(F.count(F.lit(1)).alias("plays")))
+    return level_gender_from_counts(
+        enriched.groupBy(F.col("Level"), F.window(F.col(ts_col), bucket).start.alias("bucket_start"), F.col("gender"))
+                .agg(F.count(F.lit(1)).alias("plays")), size)
+
+
+def level_gender_from_counts(counts: DataFrame, size: int = TERMS_SIZE) -> DataFrame:
+    """``level_gender_trend`` from its counts (Level, bucket_start, gender, plays)."""
+    # Level totals (which include plays without a gender) are summed from the counts,
+    # and the top levels (at most ``size`` rows) filter them.
+    all_counts = counts.filter(F.col("Level").isNotNull())
     totals = all_counts.groupBy("Level").agg(F.sum("plays").alias("level_count"))
     top_levels = totals.orderBy(F.desc("level_count"), F.asc("Level")).limit(size).select("Level")
     counts = (all_counts.filter(F.col("gender").isNotNull())
@@ -193,9 +197,18 @@ def range_bucket(df: DataFrame, col: str, ranges: Sequence[tuple[int | None, int
 
 def range_terms(df: DataFrame, range_col: str, ranges, term: str, size: int = TERMS_SIZE) -> DataFrame:
     """Count by age range x term, top ``size`` terms per range."""
-    counts = (range_bucket(df.filter(F.col(term).isNotNull()), range_col, ranges, "age_range")
-              .groupBy("age_range", "age_range_from", "age_range_to", term)
-              .agg(F.count(F.lit(1)).alias("plays")))
+    return range_terms_from_counts(range_term_counts(df, range_col, ranges, term), term, size)
+
+
+def range_term_counts(df: DataFrame, range_col: str, ranges, term: str) -> DataFrame:
+    """Plays per age range and term (also valid on streams)."""
+    return (range_bucket(df.filter(F.col(term).isNotNull()), range_col, ranges, "age_range")
+            .groupBy("age_range", "age_range_from", "age_range_to", term)
+            .agg(F.count(F.lit(1)).alias("plays")))
+
+
+def range_terms_from_counts(counts: DataFrame, term: str, size: int = TERMS_SIZE) -> DataFrame:
+    """``range_terms`` from its counts."""
     return top_n_per_group(counts, "age_range", [F.desc("plays"), F.asc(term)], size,
                            rank_col=f"{term}_rank")
 

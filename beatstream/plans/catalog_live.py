@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from beatstream.functions.parse import parse_plays
 from beatstream.functions.timeutil import micros_to_ntz, ntz_micros
+from beatstream.operators.dashboard import mobile_trend
+from beatstream.operators.joins import enrich_with_customer
+from beatstream.operators.rollup import append_rollup, read_rollup, trend_auto, trend_from_rollup
 from beatstream.session import shared_path
 from beatstream.sources import testdata as T
 from beatstream.sources.tail import follow_lines
+from beatstream.streaming import live
 from beatstream.streaming.repeat import read_state, repeat_listens_stream
 from beatstream.streaming.sinks import append_table
 
@@ -103,7 +107,98 @@ def q_stream_repeat_state(spark: SparkSession, sf: str) -> DataFrame:
     return reported.union(waiting.select(F.lit("waiting"), *key, "us")).withColumnRenamed("us", "number")
 
 
+# --- results kept up to date --------------------------------------------------------------------
+
+def _grow(spark: SparkSession, sf: str, folder: str, parts: int = 3):
+    """Write the events to ``folder`` in portions by time, one after another."""
+    events = T.table(spark, sf, "events")
+    edges = [None, *moments(events, parts), None]
+    for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = events if high is None else events.where(F.col("ts") <= high)
+        (part if low is None else part.where(F.col("ts") > low)).write.mode("append").parquet(folder)
+        yield i
+
+
+def _live(spark: SparkSession, sf: str, begin) -> str:
+    """Run ``begin(enriched plays, table, checkpoint)`` after each portion; the table's path."""
+    folder, path, ck, cust = (shared_path(spark, n) for n in ("events", "live", "ck", "customers"))
+    T.customers(spark, sf).write.parquet(cust)
+    schema = T.table(spark, sf, "events").schema
+    for _ in _grow(spark, sf, folder):
+        events = spark.readStream.schema(schema).parquet(folder)
+        begin(enrich_with_customer(T.plays_from_events(events), spark.read.parquet(cust)), path, ck).awaitTermination()
+    return path
+
+
+def q_live_level_gender(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays per level, day and gender from a table that was right after each of three portions,
+    the newest day, still open, included."""
+    path = _live(spark, sf, lambda enriched, path, ck: live.live_level_gender(
+        enriched, path, "1 day", "1 hour", checkpoint=ck, trigger=AVAILABLE_NOW))
+    return live.read_level_gender(spark, path)
+
+
+def q_live_applink_by_age(spark: SparkSession, sf: str) -> DataFrame:
+    path = _live(spark, sf, lambda enriched, path, ck: live.live_applink_by_age(
+        enriched, path, checkpoint=ck, trigger=AVAILABLE_NOW))
+    return live.read_by_age(spark, path, "LinkedWithApps")
+
+
+def q_live_level_by_age(spark: SparkSession, sf: str) -> DataFrame:
+    path = _live(spark, sf, lambda enriched, path, ck: live.live_level_by_age(
+        enriched, path, checkpoint=ck, trigger=AVAILABLE_NOW))
+    return live.read_by_age(spark, path, "Level")
+
+
+def q_live_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features from profiles and clicks that were kept over three portions."""
+    folder, path, ck = (shared_path(spark, n) for n in ("events", "profiles", "ck"))
+    schema = T.table(spark, sf, "events").schema
+    for _ in _grow(spark, sf, folder):
+        events = spark.readStream.schema(schema).parquet(folder)
+        queries = live.keep_profiles(T.plays_from_events(events), path, ck, AVAILABLE_NOW)
+        for query in [*queries, live.keep_clicks(T.clicks_from_events(events), path, ck, AVAILABLE_NOW)]:
+            query.awaitTermination()
+    return live.read_features(spark, path)
+
+
+# --- dashboards from a rollup -------------------------------------------------------------------
+
+def q_rollup_mobile_trend(spark: SparkSession, sf: str) -> DataFrame:
+    """Trends of three widths from an hourly rollup that was written in three portions: exact
+    counts, and whether the sketches' users are within 5 % of the exact ones."""
+    path = shared_path(spark, "rollup")
+    events = T.table(spark, sf, "events")
+    edges = [None, *moments(events, 3), None]
+    for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+        part = events if high is None else events.where(F.col("ts") <= high)
+        append_rollup(T.plays_from_events(part if low is None else part.where(F.col("ts") > low)), path, i)
+    out = None
+    for width in ("1 hour", "6 hours", "1 day"):
+        near = trend_from_rollup(read_rollup(spark, path), width)
+        exact = mobile_trend(T.plays(spark, sf), width).select("bucket_start", "unique_customers")
+        within = F.abs(F.col("approx_customers") - F.col("unique_customers")) <= F.greatest(
+            F.lit(1.0), 0.05 * F.col("unique_customers"))
+        one = near.join(exact, "bucket_start").select(F.lit(width).alias("width"), "bucket_start", "plays",
+                                                      "mobile_connections", "unique_customers", within.alias("within"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def q_rollup_trend_auto(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend with an automatic interval, from the rollup alone."""
+    path = shared_path(spark, "rollup")
+    append_rollup(T.plays(spark, sf), path, 0)
+    return trend_auto(read_rollup(spark, path), 50).drop("approx_customers")
+
+
 LIVE_QUERIES = {
+    "live_level_gender": q_live_level_gender,
+    "live_applink_by_age": q_live_applink_by_age,
+    "live_level_by_age": q_live_level_by_age,
+    "live_features": q_live_features,
+    "rollup_mobile_trend": q_rollup_mobile_trend,
+    "rollup_trend_auto": q_rollup_trend_auto,
     "stream_repeat_state": q_stream_repeat_state,
     "follow_play_log": q_follow_play_log,
     "follow_from_earliest": q_follow_from_earliest,

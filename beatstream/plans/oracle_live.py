@@ -44,3 +44,19 @@ SELECT 'reported' AS kind, customer_id, track_id, newest AS number FROM keys, ma
 UNION ALL
 SELECT 'waiting', customer_id, track_id, count(*) FROM p JOIN keys USING (customer_id, track_id), mark
 WHERE found IS NULL AND (us // {_DAY} + 2) * {_DAY} // 1000 > ms GROUP BY customer_id, track_id"""
+
+_WIDTHS = ("1 hour", "6 hours", "1 day")
+LIVE_ORACLE["rollup_mobile_trend"] = with_views(["plays"], "\nUNION ALL\n".join(f"""
+SELECT '{w}' AS width, time_bucket(INTERVAL '{w}', datetime) AS bucket_start, COUNT(*) AS plays,
+       CAST(SUM(ismobile) AS BIGINT) AS mobile_connections, COUNT(DISTINCT customer_id) AS unique_customers, true AS within
+FROM plays GROUP BY 2""" for w in _WIDTHS))
+
+# the narrowest of these widths (seconds) with at most 50 buckets
+LIVE_ORACLE["rollup_trend_auto"] = with_views(["plays"], """
+, ends AS (SELECT min(epoch(date_trunc('hour', datetime)))::bigint AS a, max(epoch(date_trunc('hour', datetime)))::bigint AS b
+           FROM plays),
+width AS (SELECT coalesce(min(w), 604800) AS w FROM (VALUES (3600), (10800), (43200), (86400), (604800)) t(w), ends
+          WHERE b - a + 3600 <= w * 50)
+SELECT make_timestamp(epoch(datetime)::bigint // w * w * 1000000) AS bucket_start, COUNT(*) AS plays,
+       CAST(SUM(ismobile) AS BIGINT) AS mobile_connections
+FROM plays, width GROUP BY 1""")

@@ -439,3 +439,7 @@ FROM (SELECT CAST('0x' || substr(md5(customer_id || '-0'), 1, 8) AS BIGINT) % 10
 GROUP BY setting""")
 
 ORACLE.update(LIVE_ORACLE)
+ORACLE["live_level_gender"] = ORACLE["level_gender_trend"]
+ORACLE["live_applink_by_age"] = ORACLE["applink_by_age"]
+ORACLE["live_level_by_age"] = ORACLE["level_by_age"]
+ORACLE["live_features"] = ORACLE["build_features"]

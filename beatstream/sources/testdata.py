@@ -93,8 +93,12 @@ def active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") == "click")
-    return e.select(
+    return clicks_from_events(table(spark, sf_dir, "events"))
+
+
+def clicks_from_events(events: DataFrame) -> DataFrame:
+    """Works for batch and streaming events."""
+    return events.filter(F.col("event_type") == "click").select(
         F.col("event_id").alias("EventID"),
         F.col("user_id").alias("CustID"),
         F.when(_track_key() % 5 == 0, F.lit("ADV_REDUCED_1DAY"))

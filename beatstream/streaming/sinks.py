@@ -206,19 +206,20 @@ def read_keyed_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_by_key(updates: DataFrame, path: str, key: str | list[str], seq_col: str, buckets: int = 64, keep: int = 2,
-                  keep_seconds: float = 0) -> DataFrame:
+                  keep_seconds: float = 0, null_keys: bool = False) -> DataFrame:
     """Merge field groups into one record per key; the last write wins per field.
 
     ``updates`` carries the key (or keys), a sequence column (larger = later) and any subset
     of fields, null where a write did not touch the field.  Every stored field keeps the
     sequence of its own last write, so the result does not depend on how the writes are
     batched; of two writes with the same sequence the larger value wins.  Rows without a
-    key are ignored.  Folders that neither the newest ``keep`` commits use nor those of the
+    key are ignored, unless ``null_keys`` makes null a key.  Folders that neither the newest ``keep`` commits use nor those of the
     last ``keep_seconds`` are deleted.  Returns the current table.
     """
     keys = [key] if isinstance(key, str) else list(key)
     fields = [c for c in updates.columns if c not in (*keys, seq_col)]
-    rows = updates.dropna(subset=keys).select(*keys, *[
+    rows = updates if null_keys else updates.dropna(subset=keys)
+    rows = rows.select(*keys, *[
         F.when(F.col(c).isNotNull(), F.struct(F.col(seq_col).cast("long").alias("seq"), F.col(c).alias("value"))).alias(c)
         for c in fields])
     _add(rows, path, keys, "last", buckets, keep, keep_seconds)
