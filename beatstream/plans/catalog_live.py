@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from beatstream.functions.parse import parse_plays
-from beatstream.functions.timeutil import micros_to_ntz, ntz_micros
-from beatstream.operators.dashboard import mobile_trend
+from beatstream.functions.timeutil import instant_to_ntz, micros_to_ntz, ntz_micros, ntz_to_instant
+from beatstream.operators.dashboard import mobile_trend, top_regions_and_users
 from beatstream.operators.joins import enrich_with_customer
 from beatstream.operators.rollup import append_rollup, read_rollup, trend_auto, trend_from_rollup
+from beatstream.plans.derived import predictions
 from beatstream.session import shared_path
 from beatstream.sources import testdata as T
+from beatstream.sources.files import read_play_lines_stream
 from beatstream.sources.tail import follow_lines
+from beatstream.streaming import flows as FL
 from beatstream.streaming import live
+from beatstream.streaming import metrics as MET
+from beatstream.streaming import topterms as TT
 from beatstream.streaming.repeat import read_state, repeat_listens_stream
 from beatstream.streaming.sinks import append_table
 
@@ -192,7 +197,81 @@ def q_rollup_trend_auto(spark: SparkSession, sf: str) -> DataFrame:
     return trend_auto(read_rollup(spark, path), 50).drop("approx_customers")
 
 
+# --- bounded summaries, late customers, observed metrics ------------------------------------------
+
+def q_stream_top_regions_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact top regions and users, and whether the bounds that a stream's summaries give for
+    each hold (a term outside a summary has at most its floor)."""
+    folder, path, ck = (shared_path(spark, n) for n in ("events", "top", "ck"))
+    schema = T.table(spark, sf, "events").schema
+    groups = {"zip": ["listening_zip_code"], "pair": ["listening_zip_code", "customer_id"]}
+    for _ in _grow(spark, sf, folder):
+        plays = T.plays_from_events(spark.readStream.schema(schema).parquet(folder))
+        TT.keep_top_terms(plays, path, groups, capacity=1000, checkpoint=ck, trigger=AVAILABLE_NOW).awaitTermination()
+    exact = top_regions_and_users(T.plays(spark, sf))
+    for name, by, count in (("zip", groups["zip"], "zip_count"), ("pair", groups["pair"], "plays")):
+        summary = TT.read_summary(spark, path, name)
+        floor = summary.select(F.max("floor")).scalar()
+        exact = exact.join(summary.select(*by, F.col("lower").alias("lo"), F.col("upper").alias("hi")), by, "left").withColumn(
+            f"{name}_within", F.col(count).between(F.coalesce("lo", F.lit(0)), F.coalesce("hi", floor))).drop("lo", "hi")
+    return exact
+
+
+def q_stream_wait_for_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Plays whose customers become known up to two days after the first event; a play waits twelve hours."""
+    plays_in, cust_in, out, ck = (shared_path(spark, n) for n in ("events", "customers", "waited", "ck"))
+    events, cust = T.table(spark, sf, "events"), T.customers(spark, sf)
+    begin = events.select(F.min("ts")).first()[0]
+    since = F.lit(begin) + F.make_dt_interval(hours=F.pmod(F.col("customer_id"), F.lit(49)).cast("int"))
+    cust = cust.withColumn("known_since", since)
+    middle = F.lit(begin) + F.expr("INTERVAL 30 HOURS")
+    late = F.lit(begin) + F.expr("INTERVAL 100 YEARS")
+    closing = (events.limit(1).withColumns({"ts": late, "user_id": F.lit(None).cast("long")}),
+               cust.limit(1).withColumns({"known_since": late, "customer_id": F.lit(None).cast("long")}))
+    for part, known in ((events.where(F.col("ts") <= middle), cust.where(F.col("known_since") <= middle)),
+                        (events.where(F.col("ts") > middle), cust.where(F.col("known_since") > middle)), closing):
+        part.write.mode("append").parquet(plays_in)
+        known.write.mode("append").parquet(cust_in)
+        plays = T.plays_from_events(spark.readStream.schema(events.schema).parquet(plays_in))
+        stream = FL.enrich_waiting(plays, spark.readStream.schema(cust.schema).parquet(cust_in), "12 HOURS", "10 minutes")
+        append_table(stream, out, ck, AVAILABLE_NOW).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def q_stream_observed_flow(spark: SparkSession, sf: str) -> DataFrame:
+    """What the real-time flow observed, summed over its batches' progress reports."""
+    log, cust, preds = (shared_path(spark, n) for n in ("progress", "customers", "predictions"))
+    T.active_customers(spark, sf).write.parquet(cust)
+    predictions(spark, sf).write.parquet(preds)
+    listener = MET.ProgressLog(spark, log)
+    spark.streams.addListener(listener)
+    try:
+        lines = read_play_lines_stream(spark, T.play_log_folder(spark, sf))
+        flow = FL.observed_flags(lines, spark.read.parquet(cust), spark.read.parquet(preds))
+        query = append_table(flow, shared_path(spark, "flagged"), trigger=AVAILABLE_NOW)
+        query.awaitTermination()
+        if not listener.wait(query):
+            raise RuntimeError("the stream's progress reports did not arrive")
+    finally:
+        spark.streams.removeListener(listener)
+    return (MET.progress_samples(spark, log).where(F.col("metric").startswith("flow_") & (F.col("attribute") != "event_lag_seconds"))
+            .groupBy("metric", "attribute").agg(F.sum("value").cast("long").alias("total")))
+
+
+def q_metric_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly average and maximum of fixed samples, one per event."""
+    samples = T.table(spark, sf, "events").select(
+        ntz_to_instant(F.col("ts")).alias("ts"), F.col("event_type").alias("alias"), F.lit("events").alias("metric"),
+        F.concat(F.lit("user"), F.col("user_id") % 3).alias("attribute"), (F.col("event_id") % 97).cast("double").alias("value"))
+    rolled = MET.metric_rollup(samples, "1 hour")
+    return rolled.withColumn("bucket_start", instant_to_ntz(F.col("bucket_start")))
+
+
 LIVE_QUERIES = {
+    "stream_top_regions_bounds": q_stream_top_regions_bounds,
+    "stream_wait_for_customers": q_stream_wait_for_customers,
+    "stream_observed_flow": q_stream_observed_flow,
+    "metric_rollup": q_metric_rollup,
     "live_level_gender": q_live_level_gender,
     "live_applink_by_age": q_live_applink_by_age,
     "live_level_by_age": q_live_level_by_age,

@@ -60,3 +60,25 @@ width AS (SELECT coalesce(min(w), 604800) AS w FROM (VALUES (3600), (10800), (43
 SELECT make_timestamp(epoch(datetime)::bigint // w * w * 1000000) AS bucket_start, COUNT(*) AS plays,
        CAST(SUM(ismobile) AS BIGINT) AS mobile_connections
 FROM plays, width GROUP BY 1""")
+
+LIVE_ORACLE["stream_wait_for_customers"] = with_views(["plays", "customers"], """
+, begin AS (SELECT min(ts) AS t FROM events)
+SELECT p.*, c.name, c.age, c.gender, c.zip, c.Address, c.SignDate, c.Status, c.Level, c.Campaign, c.LinkedWithApps
+FROM plays p CROSS JOIN begin LEFT JOIN customers c
+  ON p.customer_id = c.customer_id AND t + to_hours(c.customer_id % 49) <= p.datetime + INTERVAL 12 HOURS""")
+
+LIVE_ORACLE["stream_observed_flow"] = with_views(["parsed_lines", "customers", "predictions"], """
+, seen AS (SELECT l.reject_reason, c.name, pr.pred FROM parsed_lines l
+           LEFT JOIN (SELECT * FROM customers WHERE Status = '1') c ON l.customer_id = c.customer_id
+           LEFT JOIN predictions pr ON l.customer_id = pr.customer_id)
+SELECT 'flow_lines' AS metric, 'lines' AS attribute, COUNT(*) AS total FROM seen
+UNION ALL SELECT 'flow_lines', 'quarantined', COUNT(*) FILTER (WHERE reject_reason IS NOT NULL) FROM seen
+UNION ALL SELECT 'flow_plays', 'plays', COUNT(*) FILTER (WHERE reject_reason IS NULL) FROM seen
+UNION ALL SELECT 'flow_plays', 'missing_customers', COUNT(*) FILTER (WHERE reject_reason IS NULL AND name IS NULL) FROM seen
+UNION ALL SELECT 'flow_plays', 'flagged', COUNT(*) FILTER (WHERE reject_reason IS NULL AND pred = 1) FROM seen""")
+
+LIVE_ORACLE["metric_rollup"] = """
+SELECT event_type AS alias, 'events' AS metric, 'user' || (user_id % 3) AS attribute,
+       time_bucket(INTERVAL '1 hour', ts) AS bucket_start, avg(CAST(event_id % 97 AS DOUBLE)) AS avg_value,
+       max(CAST(event_id % 97 AS DOUBLE)) AS max_value, COUNT(*) AS samples
+FROM events GROUP BY 1, 2, 3, 4"""

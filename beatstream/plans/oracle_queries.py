@@ -442,4 +442,6 @@ ORACLE.update(LIVE_ORACLE)
 ORACLE["live_level_gender"] = ORACLE["level_gender_trend"]
 ORACLE["live_applink_by_age"] = ORACLE["applink_by_age"]
 ORACLE["live_level_by_age"] = ORACLE["level_by_age"]
+ORACLE["stream_top_regions_bounds"] = (
+    f"SELECT *, true AS zip_within, true AS pair_within FROM ({ORACLE['top_regions_and_users']})")
 ORACLE["live_features"] = ORACLE["build_features"]

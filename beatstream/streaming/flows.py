@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatstream.functions.parse import parse_plays
+from beatstream.functions.parse import parse_lines, parse_plays
 from beatstream.functions.scalar import hashtags
-from beatstream.functions.timeutil import instant_to_ntz, ntz_to_instant, pane_width
-from beatstream.operators.joins import enrich_and_flag, index_document
+from beatstream.functions.timeutil import instant_to_ntz, ntz_micros, ntz_to_instant, pane_width
+from beatstream.operators.joins import CUSTOMER_ATTRIBUTES, enrich_and_flag, index_document
 from beatstream.operators.windows import top_n_per_group
 from beatstream.session import shared_path
 from beatstream.streaming.sinks import nested_window_result, read_keyed_table, set_add, write_batch_output
@@ -135,6 +135,40 @@ def ad_flag_stream(lines: DataFrame, customers: Lookup, predictions: Lookup, out
     return start(plays, handle, checkpoint, trigger, query_name=None)
 
 
+def enrich_waiting(plays: DataFrame, customers: DataFrame, wait: str = "1 hour", delay: str = "10 minutes",
+                   ts_col: str = "datetime", since_col: str = "known_since", key: str = "customer_id") -> DataFrame:
+    """Customer attributes for each play of a stream, waiting for customers that arrive after their plays.
+
+    Both inputs are streams; ``customers`` has one row per customer, known from ``since_col``
+    on.  A play waits in the state until its customer arrives.  Once the watermark says that
+    no customer known within ``wait`` of the play can still come, the play goes out with null
+    attributes.  Customers stay in the state, as any later play may need them; plays leave it
+    when matched or expired.  The watermark is that of the slower input: while one stands
+    still, plays wait.  Plays without a customer id come out with nulls.
+    """
+    p = event_time(plays, ts_col, "_at").withWatermark("_at", delay)
+    c = event_time(customers.select(F.col(key).alias("_key"), *CUSTOMER_ATTRIBUTES, since_col), since_col, "_since")
+    c = c.drop(since_col).withWatermark("_since", delay)
+    known = (F.col(key) == F.col("_key")) & (F.col("_since") <= F.col("_at") + F.expr(f"INTERVAL {wait}"))
+    return p.join(c, known, "leftOuter").drop("_key", "_since", "_at")
+
+
+def observed_flags(lines: DataFrame, customers: DataFrame, predictions: DataFrame, name: str = "flow") -> DataFrame:
+    """The real-time flow as one plan that reports what it saw in every progress report.
+
+    Observed metrics, computed while the rows pass (no extra job): ``<name>_lines`` counts
+    lines and quarantined ones, ``<name>_plays`` plays, those without a customer, flagged ones
+    and the largest lag between event time and now in seconds.
+    """
+    parsed = parse_lines(lines).observe(
+        f"{name}_lines", F.count(F.lit(1)).alias("lines"), F.count_if(F.col("reject_reason").isNotNull()).alias("quarantined"))
+    plays = parsed.filter(F.col("reject_reason").isNull()).drop("raw", "reject_reason")
+    lag = F.unix_micros(F.current_timestamp()) / 1e6 - ntz_micros(F.col("datetime")) / 1e6
+    return enrich_and_flag(plays, customers, predictions).observe(
+        f"{name}_plays", F.count(F.lit(1)).alias("plays"), F.count_if(F.col("name").isNull()).alias("missing_customers"),
+        F.count_if(F.col("SendEvent") == 1).alias("flagged"), F.max(lag).alias("event_lag_seconds"))
+
+
 def keyed_table(spark: SparkSession, path: str) -> Callable[[], DataFrame]:
     """The current content of a keyed table, looked up anew at every call."""
     return lambda: read_keyed_table(spark, path)

@@ -19,7 +19,8 @@ PROGRESS_SCHEMA = """
     id string, name string, timestamp string, batchId long, numInputRows double, inputRowsPerSecond double,
     processedRowsPerSecond double, durationMs map<string, double>,
     sources array<struct<metrics: map<string, string>>>,
-    stateOperators array<struct<numRowsTotal: double, numRowsUpdated: double, memoryUsedBytes: double>>"""
+    stateOperators array<struct<numRowsTotal: double, numRowsUpdated: double, memoryUsedBytes: double>>,
+    observedMetrics map<string, map<string, double>>"""
 
 
 class BatchListener(StreamingQueryListener):
@@ -94,7 +95,9 @@ class ProgressLog(StreamingQueryListener):
 
 
 def progress_samples(spark: SparkSession, path: str) -> DataFrame:
-    """All reports of a ``ProgressLog`` as (ts, alias, batch_id, metric, attribute, value) rows."""
+    """All reports of a ``ProgressLog`` as (ts, alias, batch_id, metric, attribute, value) rows.
+
+    Metrics that a plan observes (``Dataset.observe``) appear under the observation's name."""
     p = spark.read.schema(PROGRESS_SCHEMA).json(path)
 
     def sample(metric, attribute, value):
@@ -111,8 +114,10 @@ def progress_samples(spark: SparkSession, path: str) -> DataFrame:
     states = F.flatten(F.transform("stateOperators", lambda s, i: F.array(*[
         sample(F.concat(F.lit("state"), i.cast("string")), F.lit(k), s[k])
         for k in ("numRowsTotal", "numRowsUpdated", "memoryUsedBytes")])))
+    observed = F.flatten(F.transform(F.map_entries("observedMetrics"), lambda m: F.transform(
+        F.map_entries(m["value"]), lambda e: sample(m["key"], e["key"], e["value"]))))
     none = F.array().cast("array<struct<metric: string, attribute: string, value: double>>")
-    every = F.concat(rows, *[F.coalesce(x, none) for x in (durations, sources, states)])
+    every = F.concat(rows, *[F.coalesce(x, none) for x in (durations, sources, states, observed)])
     return (p.select(F.to_timestamp("timestamp").alias("ts"), F.coalesce("name", "id").alias("alias"),
                      F.col("batchId").alias("batch_id"), F.explode(every).alias("s"))
              .select("ts", "alias", "batch_id", "s.metric", "s.attribute", "s.value")
