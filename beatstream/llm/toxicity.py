@@ -1,16 +1,20 @@
 """Toxicity by weak supervision.
 
-Voters: a fixed lexicon, words and word beginnings found by their share of toxic rows in
-the labelled training rows, patterns over several hits, and voters for the absence of any
-hit.  A generative label model (expectation-maximisation over the votes, without labels)
-estimates each voter's accuracy and the correlations between voters, so that voters which
-say the same thing don't count twice.  Its posteriors are the labels of a regularised
-logistic regression over the terms of a text, which scores every document.
-
-Null and empty texts have no terms and get the score of a text without hits.  Repeated
-rows are scored once each.  Columns other than ``doc_id`` and ``text`` are ignored.  With
-no labelled row, or none of one class, only the fixed lexicon votes.  An empty table gives
-an empty result.
+Voters of four kinds: fixed lexicons of insults in several languages, by kind of insult; words
+and word beginnings found by their share of toxic rows among the labelled training rows, once
+and twice in a text (``beginning*`` and ``beginning*+``); patterns over hits (several, dense,
+disguised by look-alike characters or separators, addressed to the reader, shouted); and
+the absence of any hit.  A generative label model (expectation-maximisation over the votes,
+without labels) estimates each voter's accuracy and the correlations between voters, so that
+voters which say the same thing don't count twice; voters that never vote, or that it finds
+wrong more often than right, are dropped and the model is fitted again.  Its posteriors are the
+labels of a regularised logistic regression over the terms of a text, which scores every
+document.
+
+Null and empty texts have no terms and get the score of a text without hits.  Texts of any
+length are read whole.  Repeated rows are scored once each.  Columns other than ``doc_id`` and
+``text`` are ignored.  With no labelled row, or none of one class, only the fixed lexicon
+votes.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,16 +31,25 @@ from pyspark.sql import functions as F
 
 from beatstream.llm.common import held_out, training_sizes, training_texts
 
-# fixed values: common English insults, by kind of insult
+# fixed values: common insults in English, Spanish, French and German, by kind of insult
 LEXICON = {
-    "stupidity": ["idiot", "idiots", "moron", "morons", "stupid", "imbecile", "dumb", "fool"],
-    "contempt": ["pathetic", "worthless", "loser", "losers", "clown", "useless"],
-    "disgust": ["disgusting", "trash", "garbage", "filth", "filthy", "scum", "vermin"],
-    "hostility": ["hate", "kill", "bastard", "bitch", "damn", "hell", "jerk"],
+    "stupidity": ["idiot", "idiots", "moron", "morons", "stupid", "imbecile", "dumb", "fool", "idiota", "imbécil", "estúpido",
+                  "tonto", "idiote", "imbécile", "débile", "crétin", "dummkopf", "blödmann", "trottel"],
+    "contempt": ["pathetic", "worthless", "loser", "losers", "clown", "useless", "patético", "inútil", "payaso", "minable",
+                 "pitoyable", "versager", "erbärmlich", "wertlos"],
+    "disgust": ["disgusting", "trash", "garbage", "filth", "filthy", "scum", "vermin", "asqueroso", "basura", "escoria",
+                "ordure", "dégoûtant", "raclure", "abschaum", "dreckig", "ekelhaft"],
+    "hostility": ["hate", "kill", "bastard", "bitch", "damn", "hell", "jerk", "cabrón", "bastardo", "salaud", "connard",
+                  "arschloch", "mistkerl"],
 }
+INSULTS = frozenset(w for ws in LEXICON.values() for w in ws)
+# fixed values: words that address the reader, and characters that stand in for letters
+ADDRESS = frozenset(["you", "your", "youre", "u", "ur", "tú", "eres", "usted", "vous", "tu", "du", "bist", "ihr"])
+LOOK_ALIKE = str.maketrans("@4831!0$57", "aabeiiosst")
 WORD = re.compile(r"[^\W\d_]+")
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][.*_-]){2,}[^\W\d_](?![^\W_])")
 BEGINNINGS = range(3, 8)
-PATTERNS = ["two_terms", "three_hits", "hit_every_hundred_words"]
+PATTERNS = ["two_terms", "three_hits", "hit_every_hundred_words", "disguised", "addressed", "shouted"]
 
 
 def word_terms(word: str) -> list[str]:
@@ -44,6 +57,16 @@ def word_terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if n <= len(word))]
 
 
+def disguised(text: str) -> bool:
+    """True if a lower-case text holds an insult written with look-alike characters or separated letters."""
+    if any(re.sub(r"[.*_-]", "", m) in INSULTS for m in SPACED.findall(text)):
+        return True
+    if not any(c in text for c in "@4831!0$57"):
+        return False
+    plain = Counter(WORD.findall(text))
+    return any(n > plain[w] for w, n in Counter(WORD.findall(text.translate(LOOK_ALIKE))).items() if w in INSULTS)
+
+
 @dataclass
 class Terms:
     """Term -> number, and what a text says in those terms."""
@@ -51,38 +74,54 @@ class Terms:
     number: dict[str, int]
     known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
-    def of(self, text: str | None) -> tuple[set[int], int, int]:
-        """(terms of the text, words with a term, words)."""
-        words = WORD.findall((text or "").lower())
-        found: set[int] = set()
+    def of(self, words: list[str]) -> tuple[set[int], int]:
+        """(terms of the words, how many words have one)."""
+        counts: Counter = Counter()
         hits = 0
         if len(self.known) > 100_000:
             self.known.clear()
         for w, n in Counter(words).items():
             t = self.known.get(w)
             if t is None:
-                t = self.known[w] = tuple(self.number[x] for x in word_terms(w) if x in self.number)
+                t = self.known[w] = tuple(x for x in word_terms(w) if x in self.number or x + "+" in self.number)
+            for x in t:
+                counts[x] += n
             if t:
-                found.update(t)
                 hits += n
-        return found, hits, len(words)
+        found = {self.number[x] for x in counts if x in self.number}
+        found.update(self.number[x + "+"] for x, n in counts.items() if n >= 2 and x + "+" in self.number)
+        return found, hits
 
     def features(self, text: str | None) -> list[int]:
         """Numbers of the terms, then those of the patterns that hold."""
-        found, hits, words = self.of(text)
+        raw = text or ""
+        lower = raw.lower()
+        words = WORD.findall(lower)
+        found, hits = self.of(words)
         m = len(self.number)
-        holds = [len(found) >= 2, hits >= 3, hits * 100 >= words > 0]
+        addressed = shouted = False
+        if not INSULTS.isdisjoint(words):
+            at = [i for i, w in enumerate(words) if w in INSULTS]
+            addressed = any(not ADDRESS.isdisjoint(words[max(i - 4, 0):i]) for i in at)
+            cased = WORD.findall(raw)
+            shouted = len(cased) == len(words) and any(cased[i].isupper() for i in at)
+        holds = [len(found) >= 2, hits >= 3, hits * 100 >= len(words) > 0, disguised(lower), addressed, shouted]
         return sorted(found) + [m + i for i, h in enumerate(holds) if h]
 
 
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class that hold a term: one row for a term and part of a batch."""
+    """Documents of each class that hold a term, or hold it twice: one row for a term and part of a batch."""
     for b in batches:
-        for k in range(0, len(b), 500):  # few at a time: a batch has millions of terms
-            part = b.iloc[k:k + 500]
+        for k in range(0, len(b), 250):  # few at a time: a batch has millions of terms
+            part = b.iloc[k:k + 250]
             count: tuple[Counter, Counter] = (Counter(), Counter())
             for text, label in zip(part["text"], part["label"], strict=True):
-                count[label].update({t for w in set(WORD.findall(text.lower())) for t in word_terms(w)})
+                own: Counter = Counter()
+                for w, n in Counter(WORD.findall(text.lower())).items():
+                    for t in word_terms(w):
+                        own[t] += n
+                count[label].update(own.keys())
+                count[label].update([t + "+" for t, n in own.items() if n >= 2])
             terms = list(count[0].keys() | count[1].keys())
             yield pd.DataFrame({"term": terms, "toxic": [count[1][t] for t in terms],
                                 "clean": [count[0][t] for t in terms]})
@@ -109,9 +148,10 @@ def mine_terms(train: DataFrame, sizes: tuple[int, int], max_terms: int, min_rat
             .orderBy(F.desc("toxic"), F.length("term"), "term").limit(8 * max_terms).collect())
     chosen: dict[str, tuple[int, float]] = {}
     for r in rows:
-        stem = r.term.rstrip("*")
+        stem, twice = r.term.rstrip("*+"), r.term.endswith("+")
         # a term that a chosen beginning already covers, or almost, says nothing new
-        if any(stem[:n] + "*" in chosen and r.share <= chosen[stem[:n] + "*"][1] + 0.02 for n in BEGINNINGS):
+        wider = [stem[:n] + "*" for n in BEGINNINGS] + [r.term[:-1]]
+        if any(x in chosen and r.share <= chosen[x][1] + 0.02 for x in (wider + [w + "+" for w in wider] if twice else wider)):
             continue
         chosen[r.term] = (r.toxic, r.share)
         if len(chosen) == max_terms:
@@ -199,13 +239,14 @@ class ToxicityModel:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows_per_class: int = 20_000,
-                 max_terms: int = 300, voters: int = 60) -> ToxicityModel:
+                 max_terms: int = 1000) -> ToxicityModel:
     """Fit on at most ``max_rows_per_class`` labelled rows of each class (documented bound).
 
     Each row of the sample stands for as many as its class has for one drawn, so that base
     rate, shares of terms and intercept are those of all labelled rows, whatever the bound.
-    Only counts of at most ``8 * max_terms`` terms and the term numbers of the bounded
-    sample reach the driver.
+    The driver gets counts of at most ``8 * max_terms`` terms and the term numbers of the
+    sample's rows.  Terms that pass the test of chance beyond ``max_terms`` (the documented
+    bound of the model, the most frequent first) have no say.
     """
     lexicon = {w: kind for kind, ws in LEXICON.items() for w in ws}
     train = training_texts(docs, labels, label, max_rows_per_class).select("text", "label")
@@ -230,17 +271,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
     for i, r in enumerate(rows):
         x[i, r.found] = 1
     counts = np.array([weight[r.label] for r in rows])
-    # voters: the most frequent mined terms, kinds of the lexicon, patterns, and the absence of hits
+    # voters: all mined terms, kinds of the lexicon, patterns, and the absence of hits
     kinds = [[number[w] for w in ws] for ws in LEXICON.values()]
-    strong = list(range(min(voters, len(mined))))
     any_mined = x[:, :len(mined)].any(1)
     any_lexicon = x[:, [number[w] for w in lexicon]].any(1)
-    votes = np.stack([*(x[:, i] for i in strong), *(x[:, k].max(1) for k in kinds),
+    votes = np.stack([*(x[:, i] for i in range(len(mined))), *(x[:, k].max(1) for k in kinds),
                       *(x[:, m + i] for i in range(len(PATTERNS))),
                       any_mined.astype(np.float32),
                       np.where(any_mined, 0, -1), np.where(any_lexicon, 0, -1),
                       np.where(any_mined | any_lexicon, 0, -1)], 1).astype(np.float32)
-    model = fit_label_model(votes, prior=full[1] / sum(full), weight=counts)
+    prior = full[1] / sum(full)
+    # voters without a vote, or wrong more often than right, have no say
+    votes = votes[:, np.abs(votes).any(0)]
+    votes = votes[:, fit_label_model(votes, prior, weight=counts).accuracy >= 0.5]
+    model = fit_label_model(votes, prior, weight=counts)
     return ToxicityModel(number, fit_logistic(x, model.posterior(votes), weight=counts), model)
 
 

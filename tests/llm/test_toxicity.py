@@ -98,3 +98,30 @@ def test_empty_table(spark):
     d = docs(spark, [])
     model = toxicity.fit_toxicity(d, spark.createDataFrame([(1, 1, 1)], LABEL))
     assert toxicity.score_toxicity(d, model).count() == 0
+
+
+def test_held_out_recall_and_precision(spark):
+    from beatstream.llm.common import table
+    sf = "/root/testdata/sf0.1"
+    d, lab = table(spark, sf, "documents"), table(spark, sf, "labels")
+    rows = (toxicity.score_toxicity(d, toxicity.fit_toxicity(d, lab)).where("held_out").join(lab, "doc_id")
+            .select("predicted", "toxic").collect())
+    hits = sum(r.predicted and r.toxic for r in rows)
+    assert hits >= 0.9 * sum(r.toxic for r in rows) and hits >= 0.95 * sum(r.predicted for r in rows)
+
+
+def test_patterns():
+    terms = toxicity.Terms({"idiot": 0, "zq*": 1, "zq*+": 2})
+    hold = lambda text: {toxicity.PATTERNS[i - 3] for i in terms.features(text) if i >= 3}
+    assert terms.features("zqab x x x " * 1 + "w " * 200) == [1] and terms.features("zqab zqcd " + "w " * 300)[:2] == [1, 2]
+    assert "disguised" in hold("an 1d1ot here " + "w " * 200) and "disguised" in hold("an i.d.i.o.t " + "w " * 200)
+    assert "disguised" not in hold("an idiot of 1980 with $5 " + "w " * 200)
+    assert "addressed" in hold("you are an idiot") and "addressed" not in hold("an idiot, they said to you")
+    assert "shouted" in hold("what an IDIOT") and "shouted" not in hold("what an idiot, SAID he")
+    assert hold(None) == hold("") == set()
+
+
+def test_voters_without_a_vote_are_dropped(spark):
+    rows, labels = corpus(400)
+    model = toxicity.fit_toxicity(docs(spark, rows), spark.createDataFrame(labels, LABEL))
+    assert (model.label_model.accuracy >= 0.45).all()
