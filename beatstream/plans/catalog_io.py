@@ -194,7 +194,7 @@ def q_stream_audience(spark, sf):
 
 def _closed_events(spark, sf, begin) -> None:
     """Run a query over the events stream and close the input, so that all windows arrive."""
-    FL.run_closed(T.events_stream(spark, sf), T.table(spark, sf, "events"), "ts", begin)
+    FL.run_closed(T.events_stream(spark, sf), T.table(spark, sf, "events"), "ts", begin, at_once=True)
 
 
 def q_stream_trending_tags(spark, sf):

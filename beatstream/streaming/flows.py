@@ -78,23 +78,28 @@ def run_for(query, minutes: float = 0) -> None:
 CLOSING_YEARS = 100
 
 
-def run_closed(source: DataFrame, sample: DataFrame, ts_col: str, begin: Callable[[DataFrame, str], object]) -> None:
+def run_closed(source: DataFrame, sample: DataFrame, ts_col: str, begin: Callable[[DataFrame, str], object],
+               at_once: bool = False) -> None:
     """Run a windowed query over a bounded input and close the input, so that every window
     arrives, the newest ones too.
 
-    ``begin(stream, checkpoint)`` starts the query with an ``availableNow`` trigger.  It
-    runs once over the data and once more over a closing row: a copy of a row of
-    ``sample`` (the same table, not streaming) set ``CLOSING_YEARS`` later, which moves
-    the watermark past all real windows.  The closing row's own window stays open.
+    ``begin(stream, checkpoint)`` starts the query with an ``availableNow`` trigger.  A closing
+    row, a copy of a row of ``sample`` (the same table, not streaming) set ``CLOSING_YEARS``
+    later, moves the watermark past all real windows; its own window stays open.  The query
+    runs once over the data and once more over the closing row.  ``at_once`` gives it both in
+    one run: for a source without a rate limit, whose data is one batch (the watermark moves
+    behind it; a later batch would find its rows too late).
     """
     spark = source.sparkSession
     folder, checkpoint = shared_path(spark, "closing"), shared_path(spark, "ck-closed")
-    sample.limit(0).write.parquet(folder)
-    stream = source.unionByName(spark.readStream.schema(sample.schema).parquet(folder))
-    begin(stream, checkpoint).awaitTermination()
     later = F.col(ts_col) + F.make_ym_interval(F.lit(CLOSING_YEARS))
-    sample.limit(1).withColumn(ts_col, later).write.mode("append").parquet(folder)
+    closing = sample.limit(1).withColumn(ts_col, later)
+    (closing if at_once else sample.limit(0)).write.parquet(folder)
+    stream = source.unionByName(spark.readStream.schema(sample.schema).parquet(folder))
     begin(stream, checkpoint).awaitTermination()
+    if not at_once:
+        closing.write.mode("append").parquet(folder)
+        begin(stream, checkpoint).awaitTermination()
 
 
 # --- real-time ad flags: parse -> enrich -> flag -> append + audience set ---------------
