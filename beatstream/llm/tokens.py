@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -287,6 +288,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
      .mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{path}/blocks"))
 
 
+def in_file_order(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(rows, order): doc_id and text with the place of each row in the files that ``docs`` was read from.
+
+    Files count by the number of the task that wrote them.  Rows that don't come from files are
+    taken by ascending doc_id.
+    """
+    try:
+        docs.select("_metadata.row_index").schema  # noqa: B018
+    except AnalysisException:
+        return docs.select("doc_id", "text"), ["doc_id"]
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+    rows = docs.select("doc_id", "text", F.when(number != "", number).cast("long").alias("part"),
+                       F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows, ["part", "file", "row"]
+
+
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) from the files; ids are little-endian unsigned 32-bit integers.
 
