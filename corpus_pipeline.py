@@ -6,9 +6,7 @@ returns a DataFrame, which is written as Parquet and read again as the next one'
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from beatstream.llm import catalog, decontaminate, mixing, quality, simhash, tokens
 from beatstream.llm.common import table, written
@@ -37,18 +35,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files in the order of the rows of ``docs`` (of their files), digested per document.
-
-    Rows that don't come from files are taken by ascending doc_id.
-    """
+    """Token files in the order of the rows of ``docs`` (of their files), digested per document."""
     import public_tokenizers
-    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
-    try:
-        rows = docs.select("doc_id", "text", F.when(number != "", number).cast("long").alias("part"),
-                           F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
-        order = ["part", "file", "row"]
-    except AnalysisException:
-        rows, order = docs.select("doc_id", "text"), ["doc_id"]
+    rows, order = tokens.in_file_order(docs)
     path = shared_path(spark, "pipeline-tokens")
     # the workers serve all stages one after another, so this one keeps little
     tokens.write_tokens(rows, path, public_tokenizers.path(catalog.TOKENIZER), catalog.END_ID, order_by=order,
