@@ -129,3 +129,36 @@ def test_closed_at_once_equals_closed_in_two_runs(spark, tmp_dir):
             FL.tumbling_counts(s, "1 hour", by=["kind"]), checkpoint=ck, path=out, trigger=NOW), at_once)
         got.append(rows_of(spark.read.parquet(out)))
     assert got[0] == got[1] and sum(r[-1] for r in got[0]) == 30
+
+
+def test_batch_listener_keeps_the_latest_events(spark, tmp_dir, capsys):
+    spark.createDataFrame([("one",), ("two",)], "value string").write.text(os.path.join(tmp_dir, "in"))
+    listener, log = MET.BatchListener(echo=True, keep=50), MET.ProgressLog(spark, os.path.join(tmp_dir, "log"))
+    spark.streams.addListener(listener)
+    spark.streams.addListener(log)
+    try:
+        query = FL.start(spark.readStream.format("text").load(os.path.join(tmp_dir, "in")), path=os.path.join(tmp_dir, "out"),
+                         trigger=NOW, query_name="echoed")
+        query.awaitTermination()
+        assert log.wait(query)
+        until = time.time() + 30
+        while not any(e[0] == "terminated" for e in listener.events) and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+        spark.streams.removeListener(log)
+    mine = [e for e in listener.events if e[1] == str(query.id)]
+    assert mine[0][0] == "started" and mine[0][2] == {"name": "echoed"} and mine[-1][0] == "terminated"
+    assert sum(e[2]["rows"] for e in mine if e[0] == "progress") == 2
+    assert "[batchCompleted] 0" in capsys.readouterr().out
+
+
+def test_ingest_time_is_now(spark):
+    from beatstream.operators.joins import enrich_with_customer
+    customers = spark.createDataFrame([(1, "n", 30, "0", "z", "a", "d", "1", "2", "c", "1")], CUSTOMER.rsplit(",", 1)[0])
+    plays = spark.createDataFrame([(1, 1, 1, T0, 0, "z"), (2, 9, 1, T0, 0, "z")], PLAYS)
+    before = dt.datetime.now(dt.UTC).replace(tzinfo=None) - dt.timedelta(seconds=1)
+    rows = enrich_with_customer(plays, customers, ingest_time=True).collect()
+    after = dt.datetime.now(dt.UTC).replace(tzinfo=None) + dt.timedelta(seconds=1)
+    assert len(rows) == 2 and all(before <= r["@timestamp"] <= after for r in rows)
+    assert "@timestamp" not in enrich_with_customer(plays, customers).columns
