@@ -190,11 +190,11 @@ def fit_label_model(votes: np.ndarray, prior: float, rounds: int = 20, ridge: fl
     p = _sigmoid(2 * v.sum(1))
     weights, bias = np.ones(m), 0.0
     cov = np.eye(m)
+    square = (v * c[:, None]).T @ v  # both classes' second moments together never change
     for _ in range(rounds):
         p1, p0 = c * p, c * (1 - p)
         mean1, mean0 = p1 @ v / (p1.sum() + 1e-9), p0 @ v / (p0.sum() + 1e-9)
-        d1, d0 = v - mean1, v - mean0
-        cov = ((d1 * p1[:, None]).T @ d1 + (d0 * p0[:, None]).T @ d0) / n
+        cov = (square - p1.sum() * np.outer(mean1, mean1) - p0.sum() * np.outer(mean0, mean0)) / n
         weights = np.linalg.solve(cov + ridge * np.eye(m), mean1 - mean0)
         raw = v @ weights
         low, high = -60.0 - raw.max(initial=0), 60.0 - raw.min(initial=0)
@@ -239,7 +239,7 @@ class ToxicityModel:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows_per_class: int = 20_000,
-                 max_terms: int = 1000) -> ToxicityModel:
+                 max_terms: int = 400) -> ToxicityModel:
     """Fit on at most ``max_rows_per_class`` labelled rows of each class (documented bound).
 
     Each row of the sample stands for as many as its class has for one drawn, so that base
@@ -266,11 +266,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_r
         for b in batches:
             yield pd.DataFrame({"found": [terms.features(t) for t in b["text"]], "label": b["label"].to_numpy()})
 
-    rows = train.mapInPandas(features, "found array<int>, label int").collect()
-    x = np.zeros((len(rows), m + len(PATTERNS)), np.float32)
-    for i, r in enumerate(rows):
-        x[i, r.found] = 1
-    counts = np.array([weight[r.label] for r in rows])
+    # rows that say the same are one: most clean rows hold no term at all
+    said: dict[tuple[int, ...], float] = {}
+    for r in train.mapInPandas(features, "found array<int>, label int").groupBy("found", "label").count().collect():
+        key = tuple(r.found)
+        said[key] = said.get(key, 0.0) + weight[r.label] * r["count"]
+    x = np.zeros((len(said), m + len(PATTERNS)), np.float32)
+    for i, found in enumerate(said):
+        x[i, list(found)] = 1
+    counts = np.array(list(said.values()))
     # voters: all mined terms, kinds of the lexicon, patterns, and the absence of hits
     kinds = [[number[w] for w in ws] for ws in LEXICON.values()]
     any_mined = x[:, :len(mined)].any(1)

@@ -111,9 +111,9 @@ def test_held_out_recall_and_precision(spark):
 
 
 def test_patterns():
-    terms = toxicity.Terms({"idiot": 0, "zq*": 1, "zq*+": 2})
+    terms = toxicity.Terms({"idiot": 0, "zqa*": 1, "zqa*+": 2})
     hold = lambda text: {toxicity.PATTERNS[i - 3] for i in terms.features(text) if i >= 3}
-    assert terms.features("zqab x x x " * 1 + "w " * 200) == [1] and terms.features("zqab zqcd " + "w " * 300)[:2] == [1, 2]
+    assert terms.features("zqab x " + "w " * 200) == [1] and terms.features("zqab zqac " + "w " * 300)[:2] == [1, 2]
     assert "disguised" in hold("an 1d1ot here " + "w " * 200) and "disguised" in hold("an i.d.i.o.t " + "w " * 200)
     assert "disguised" not in hold("an idiot of 1980 with $5 " + "w " * 200)
     assert "addressed" in hold("you are an idiot") and "addressed" not in hold("an idiot, they said to you")
