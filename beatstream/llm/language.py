@@ -7,9 +7,9 @@ themselves: grouped sums of the text posteriors give P(declared | language) and
 P(suffix | language).  Host priors are smoothed along global -> domain -> host, each level
 a grouped sum with the level above as its Dirichlet prior, and without the page's own vote.
 
-Pages with null or empty text, markup or url lose only that evidence: the missing value is
-a value of its own.  Repeated rows are judged once each, ties go to the first language in
-alphabetical order.  Extra columns are ignored.  Without training texts, or without pages,
+Pages of any length are read whole.  Pages with null or empty text, markup or url lose only
+that evidence: the missing value is a value of its own.  Repeated rows are judged once each,
+ties go to the first language in alphabetical order.  Extra columns are ignored.  Without training texts, or without pages,
 the result is empty.
 """
 

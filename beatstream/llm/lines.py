@@ -12,9 +12,9 @@ that holds the same lines.  A match is extended both ways by the matches next to
 windows that start in a run and the windows that end in it together cover the whole run.
 Every step is a grouped minimum or a join to one first place, never pairs of places.
 
-Null and empty texts have one empty line and stay.  Rows that repeat both id and text are
-one document and get the same result; of one id's texts the order is by hash; null ids come
-first.  Extra columns are ignored.  An empty table gives an empty result.
+Null and empty texts have one empty line and stay; texts and lines may have any length.  Rows
+that repeat both id and text are one document and get the same result; of one id's texts the
+order is by hash; null ids come first.  Extra columns are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

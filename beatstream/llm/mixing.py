@@ -27,6 +27,8 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from beatstream.llm.common import written
+
 BUCKETS = 4096      # parts of a source that are ordered independently
 MAX_SOURCES = 1000  # a mixture is a configuration, not a data-sized list
 
@@ -97,6 +99,7 @@ def schedule(docs: DataFrame, weights: dict[str, int] | None = None, block_chars
     units = (docs.select("source", _key().alias("key"), (F.length(F.coalesce("text", F.lit(""))) + 1).alias("size"))
              .groupBy("source", "key").agg(F.sum("size").alias("size"))
              .withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int")))
+    units = written(units, "mixing-units")  # one scan of the documents for all that follows
     # two-level running sum: buckets of a source, then rows of a bucket
     parts = units.groupBy("source", "bucket").agg(F.sum("size").alias("total"))
     before = F.coalesce(F.sum("total").over(Window.partitionBy("source").orderBy("bucket")

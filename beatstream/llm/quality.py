@@ -5,7 +5,7 @@ covariances come from summed moments of the labelled rows; each covariance is
 shrunk towards the pooled one and towards its diagonal, and its Cholesky factor is
 kept, so that a score is the difference of two Mahalanobis log densities.
 
-Null and empty texts get the statistics of an empty text (all zero counts) and a
+Very long texts are measured whole.  Null and empty texts get the statistics of an empty text (all zero counts) and a
 score like any other row.  Repeated rows are scored once each.  Columns other than
 ``doc_id`` and ``text`` are ignored by scoring.  With no training row of one class
 the score is the prior (0.5 without any label).  An empty table gives an empty result.

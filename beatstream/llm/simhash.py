@@ -13,10 +13,10 @@ of them are within ``max_bits`` bits if and only if some point lies within ``max
 bits of both, so each is spread over those points and every point links its members to
 the smallest one.  That work grows with the number of fingerprints, however they cluster.
 
-Null and empty texts have fingerprint zero and are linked like any other.  Repeated rows
-and equal texts share a fingerprint, hence a component.  Rows with a null id keep their
-fingerprint but cannot name a component (a component of null ids only has a null id).
-Extra columns are ignored.  An empty table gives an empty result.
+Null and empty texts have fingerprint zero and are linked like any other; very long texts
+count with all their shingles.  Repeated rows and equal texts share a fingerprint, hence a
+component.  Rows with a null id keep their fingerprint but cannot name a component (a component
+of null ids only has a null id).  Extra columns are ignored.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

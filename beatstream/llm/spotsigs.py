@@ -7,7 +7,7 @@ are as alike as the Jaccard coefficient of their sets.  Sets whose lengths diffe
 for a wanted likeness are never compared: the set length bounds the coefficient.
 
 A text without any whole chain has its pairs of neighbouring words as signatures (one word:
-that word); null and empty texts and texts without words have the empty set.  Two empty sets are alike (1.0), an
+that word); texts of any length are read whole; null and empty texts and texts without words have the empty set.  Two empty sets are alike (1.0), an
 empty and another set are not (0.0).  Equal texts have equal fingerprints.
 """
 

@@ -10,7 +10,8 @@ shard, ids and lengths of its documents, number of values, control bytes, data b
 ``<path>/ranks`` (rank, token id, count).  Shards hold consecutive ranges of the order,
 written by Spark's committer, so a lost or repeated task leaves no half-written shard.
 
-Null and empty texts give one document with the end id only.  Documents with equal order
+Null and empty texts give one document with the end id only; texts of any
+length are encoded whole.  Documents with equal order
 keys (repeated rows) follow each other in the order of their ids' bytes.  Rows with a null
 order key come first.  An empty table gives files without rows.  Extra columns are ignored.
 """
