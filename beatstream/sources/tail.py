@@ -20,6 +20,7 @@ not before it.  For the latter each file's lines must ascend by time; lines with
 time are passed over in the search.
 
 Two files that start with the same line (a header) are told apart by their names alone.
+An offset names every file of the folder, so finished files should be moved away in time.
 Files whose names start with a dot or underscore are left out.  Empty lines are rows; bytes
 that aren't UTF-8 are replaced.  The folder must be reachable from the driver and the
 executors: a shared mount, or any file system that Arrow reads by its URI.
@@ -32,6 +33,7 @@ import hashlib
 import re
 import sys
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -47,6 +49,7 @@ FORMAT = "growing_log"
 SCHEMA = "value string, file string, position long"
 HEAD = 1 << 16         # bytes of a first line that count
 CHUNK = 1 << 20
+MISSES = 20            # listings in a row that may miss a file before its place in it is forgotten
 TIME = re.compile(rb"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")
 
 
@@ -72,6 +75,7 @@ class LogFolder:
             pattern += "*"  # with the names it is rotated to
         self.pattern = pattern
         self.seen: dict[str, tuple[tuple, list]] = {}
+        self.known: dict[str, tuple[list, int]] = {}
 
     def names(self) -> list[pafs.FileInfo]:
         infos = self.fs.get_file_info(pafs.FileSelector(self.base, allow_not_found=True))
@@ -80,20 +84,29 @@ class LogFolder:
 
     def snapshot(self) -> dict[str, list]:
         """{name: [hash of the first line, end of the last complete line]} of files with a complete line."""
-        found, seen = {}, {}
-        for info in self.names():
-            mark = (info.size, info.mtime_ns)
-            known = self.seen.get(info.base_name)
-            if known is None or known[0] != mark:
-                known = (mark, self._measure(info))
-            seen[info.base_name] = known
-            if known[1]:
-                found[info.base_name] = known[1]
+        infos = {i.base_name: i for i in self.names()}
+        seen = {n: self.seen[n] for n, i in infos.items() if n in self.seen and self.seen[n][0] == (i.size, i.mtime_ns)}
+        changed = [i for n, i in infos.items() if n not in seen]  # only these are opened, several at a time
+        with ThreadPoolExecutor(16) as pool:
+            for info, known in zip(changed, pool.map(self._measure, changed), strict=True):
+                seen[info.base_name] = ((info.size, info.mtime_ns), known)
         self.seen = seen
-        return found
+        found = {n: known for n, (_, known) in sorted(seen.items()) if known}
+        # a file that a rename hides from this listing isn't forgotten at once: it would be read again
+        heads = {head for head, _ in found.values()}
+        absent = {}
+        for name, (entry, times) in self.known.items():
+            if entry[0] not in heads and times < MISSES:
+                absent[name if name not in found else f"{name.split('~')[0]}~{entry[0]}"] = (entry, times + 1)
+        self.known = {n: (e, 0) for n, e in found.items()} | absent
+        return found | {n: e for n, (e, _) in absent.items()}
 
     def _measure(self, info: pafs.FileInfo) -> list | None:
-        with self.open(info.base_name) as f:
+        try:
+            f = self.open(info.base_name)
+        except FileNotFoundError:  # renamed since the listing: the next snapshot has it
+            return None
+        with f:
             size = min(info.size, f.size())
             head = self.head(f)
             end = size

@@ -109,6 +109,27 @@ def test_ranges_between_snapshots():
     assert ranges({"a": ["h", 10], "b": ["h", 20]}, {"a": ["h", 15], "b": ["h", 21]}) == [("a", "h", 10, 15), ("b", "h", 20, 21)]
 
 
+def test_a_rename_during_the_listing_repeats_nothing(tmp_dir, monkeypatch):
+    put(tmp_dir, "a.log", "one\ntwo\n")
+    reader = GrowingLogReader({"path": tmp_dir})
+    offsets = [reader.initialOffset(), reader.latestOffset()]
+    names = LogFolder.names
+    os.rename(os.path.join(tmp_dir, "a.log"), os.path.join(tmp_dir, "a.log.1"))
+    put(tmp_dir, "a.log", "new\n")
+    monkeypatch.setattr(LogFolder, "names", lambda self: [i for i in names(self) if i.base_name == "a.log"])
+    offsets.append(reader.latestOffset())  # sees the new file, misses the renamed one
+    monkeypatch.setattr(LogFolder, "names", names)
+    put(tmp_dir, "a.log.1", "three\n")
+    offsets.append(reader.latestOffset())
+    got = [[v for p in reader.partitions(a, b) for r in reader.read(p) for v in r.column(0).to_pylist()]
+           for a, b in zip(offsets, offsets[1:], strict=False)]
+    assert got == [["one", "two"], ["new"], ["three"]]
+    os.remove(os.path.join(tmp_dir, "a.log.1"))
+    for _ in range(30):
+        last = reader.latestOffset()
+    assert list(last["files"]) == ["a.log"]
+
+
 def test_start_positions(log):
     folder, run = log
     times = [f"2024-01-01 00:00:{s:02d}" for s in (1, 3, 3, 5, 8)]
