@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,16 +15,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_tables: list[str] = []  # paths of the tables that ``written`` made, in order
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
-    Cuts the lineage: a lost executor costs only the tasks that read the files.
+    Cuts the lineage: a lost executor costs only the tasks that read the files.  The table stays
+    until the cluster clears the folder, or until the end of a ``scratch`` block around the call.
     """
     path = shared_path(df.sparkSession, name)
+    _tables.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables written inside the block at its end, when its results are saved elsewhere."""
+    first = len(_tables)
+    try:
+        yield
+    finally:
+        for path in _tables[first:]:
+            deleted(spark, path)
+        del _tables[first:]
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its own file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for rows whose crc32 of the id's text is divisible by five (null id: false)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -32,3 +32,14 @@ def test_sample_is_bounded_and_leaves_held_out_rows(spark):
     assert whole.count() == labels.where("doc_id is not null and quality is not null").where(~held_out()) \
         .select("doc_id").distinct().count()
     assert labelled_sample(labels.limit(0), "quality", 10).count() == 0
+
+
+def test_scratch_deletes_its_own_tables_only(spark):
+    from beatstream.llm import common
+    kept = common.written(spark.range(3), "kept")
+    with common.scratch(spark):
+        inner = common.written(spark.range(5), "inner")
+        assert inner.count() == 5
+        path = common._tables[-1]
+    from pathlib import Path
+    assert not Path(path).exists() and kept.count() == 3
