@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from beatstream.llm import catalog, decontaminate, mixing, quality, simhash, tokens
-from beatstream.llm.common import table, written
+from beatstream.llm.common import deleted, scratch, table
 from beatstream.session import shared_path
 
 
@@ -59,7 +59,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "pipeline-" + name.split()[0].lower())
+        path = shared_path(spark, "pipeline-" + name.split()[0].lower())
+        with scratch(spark):  # a stage's own tables go once its rows are written
+            out = stage(spark, docs, sf_dir)
+            out.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            deleted(spark, before)
+        before = path
     return docs
