@@ -47,6 +47,9 @@ INSULTS = frozenset(w for ws in LEXICON.values() for w in ws)
 ADDRESS = frozenset(["you", "your", "youre", "u", "ur", "tú", "eres", "usted", "vous", "tu", "du", "bist", "ihr"])
 LOOK_ALIKE = str.maketrans("@4831!0$57", "aabeiiosst")
 WORD = re.compile(r"[^\W\d_]+")
+# what a disguised insult must hold somewhere: cheap to look for
+INSIDE = re.compile(r"[@4831!0$57][^\W\d_]")
+BETWEEN = re.compile(r"[.*_-][^\W\d_][.*_-]")
 SPACED = re.compile(r"(?<![^\W_])(?:[^\W\d_][.*_-]){2,}[^\W\d_](?![^\W_])")
 BEGINNINGS = range(3, 8)
 PATTERNS = ["two_terms", "three_hits", "hit_every_hundred_words", "disguised", "addressed", "shouted"]
@@ -59,9 +62,9 @@ def word_terms(word: str) -> list[str]:
 
 def disguised(text: str) -> bool:
     """True if a lower-case text holds an insult written with look-alike characters or separated letters."""
-    if any(re.sub(r"[.*_-]", "", m) in INSULTS for m in SPACED.findall(text)):
+    if BETWEEN.search(text) and any(re.sub(r"[.*_-]", "", m) in INSULTS for m in SPACED.findall(text)):
         return True
-    if not any(c in text for c in "@4831!0$57"):
+    if not INSIDE.search(text):
         return False
     plain = Counter(WORD.findall(text))
     return any(n > plain[w] for w, n in Counter(WORD.findall(text.translate(LOOK_ALIKE))).items() if w in INSULTS)
@@ -72,7 +75,11 @@ class Terms:
     """Term -> number, and what a text says in those terms."""
 
     number: dict[str, int]
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    known: dict[str, tuple[str, ...]] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.base = {t.rstrip("+") for t in self.number}
+        self.starts = {t.rstrip("*")[:3] for t in self.base}  # most words start like no term
 
     def of(self, words: list[str]) -> tuple[set[int], int]:
         """(terms of the words, how many words have one)."""
@@ -81,9 +88,11 @@ class Terms:
         if len(self.known) > 100_000:
             self.known.clear()
         for w, n in Counter(words).items():
+            if w[:3] not in self.starts:
+                continue
             t = self.known.get(w)
             if t is None:
-                t = self.known[w] = tuple(x for x in word_terms(w) if x in self.number or x + "+" in self.number)
+                t = self.known[w] = tuple(x for x in word_terms(w) if x in self.base)
             for x in t:
                 counts[x] += n
             if t:
@@ -116,12 +125,14 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = b.iloc[k:k + 250]
             count: tuple[Counter, Counter] = (Counter(), Counter())
             for text, label in zip(part["text"], part["label"], strict=True):
-                own: Counter = Counter()
+                once: set[str] = set()
+                twice: set[str] = set()
                 for w, n in Counter(WORD.findall(text.lower())).items():
-                    for t in word_terms(w):
-                        own[t] += n
-                count[label].update(own.keys())
-                count[label].update([t + "+" for t, n in own.items() if n >= 2])
+                    own = word_terms(w)
+                    twice.update(own if n > 1 else once.intersection(own))
+                    once.update(own)
+                count[label].update(once)
+                count[label].update([t + "+" for t in twice])
             terms = list(count[0].keys() | count[1].keys())
             yield pd.DataFrame({"term": terms, "toxic": [count[1][t] for t in terms],
                                 "clean": [count[0][t] for t in terms]})
