@@ -16,7 +16,7 @@ from beatstream.operators import model as M
 from beatstream.operators import profile as PR
 from beatstream.plans.derived import predictions
 from beatstream.schemas import FEATURE_NAMES
-from beatstream.session import shared_path
+from beatstream.session import rocksdb_state, shared_path
 from beatstream.sources import files as FS
 from beatstream.sources import testdata as T
 from beatstream.streaming import flows as FL
@@ -262,7 +262,8 @@ def q_stream_repeat_listens(spark, sf):
 
     def begin(events, ck):
         plays = T.plays_from_events(events).withColumn("track_id", F.col("track_id") % 5)
-        return append_table(repeat_listens_stream(plays, 3, 24 * 3600, "1 day"), out, ck, AVAILABLE_NOW)
+        with rocksdb_state(spark):
+            return append_table(repeat_listens_stream(plays, 3, 24 * 3600, "1 day"), out, ck, AVAILABLE_NOW)
 
     _closed_events(spark, sf, begin)
     return spark.read.parquet(out)

@@ -19,7 +19,7 @@ Spark doesn't offer next to event-time timers, and a replay would forget at othe
 State size per key is bounded even for a hot key: it holds the buckets of the watermark delay
 plus two horizons, whatever its age.  The rows one call receives are bounded by the
 micro-batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).  Plays without a
-customer or track are left out.  ``read_state`` reads the state of a checkpoint back.
+customer, track or time are left out.  ``read_state`` reads the state of a checkpoint back.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from beatstream.functions.timeutil import duration_seconds, micros_to_ntz, ntz_micros, ntz_to_instant
+from beatstream.session import rocksdb_state
 from beatstream.streaming.flows import start
 from beatstream.streaming.sinks import set_add
 
@@ -145,10 +146,11 @@ def repeat_listens_stream(plays: DataFrame, min_plays: int = 3, within_seconds:
     """Streaming (customer, track, first_detected) reports, each key once.
 
     Play times travel as epoch microseconds of the wall clock (no time zone), and
-    ``first_detected`` comes back as ``timestamp_ntz`` like the batch form."""
+    ``first_detected`` comes back as ``timestamp_ntz`` like the batch form.  In a session that
+    doesn't have its streams' state in RocksDB, start the query inside ``rocksdb_state(spark)``."""
     p = (plays.select("customer_id", "track_id", ntz_to_instant(F.col(ts_col)).alias("ts"),
                       ntz_micros(F.col(ts_col)).alias("us"))
-              .filter(F.col("customer_id").isNotNull() & F.col("track_id").isNotNull())
+              .filter(F.col("customer_id").isNotNull() & F.col("track_id").isNotNull() & F.col("us").isNotNull())
               .withWatermark("ts", delay))
     processor = RepeatProcessor(min_plays, within_seconds * 1_000_000, duration_seconds(retain) * 1_000_000)
     out = p.groupBy("customer_id", "track_id").transformWithStateInPandas(
@@ -171,4 +173,5 @@ def register_repeats(reports: DataFrame, interests_path: str, checkpoint: str |
     def handle(batch: DataFrame, batch_id: int) -> None:
         set_add(batch, interests_path, ["customer_id", "track_id"])
 
-    return start(reports, handle, checkpoint, trigger)
+    with rocksdb_state(reports.sparkSession):
+        return start(reports, handle, checkpoint, trigger)

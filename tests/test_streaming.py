@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from beatstream.operators import listening as L
@@ -391,3 +392,32 @@ def test_level_gender_trend_stream_equals_batch_over_batches(spark, tmp_dir):
     batch = D.level_gender_trend(df, "1 hour").filter(F.col("bucket_start") + F.expr("INTERVAL 1 HOUR") <= F.lit(last))
     exp = {(r.bucket_start, r.Level, r.gender, r.plays, r.gender_rank) for r in batch.collect()}
     assert got == exp and exp
+
+
+HDFS_STATE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.mark.parametrize("name", ["stream_repeat_listens"])
+@pytest.mark.parametrize("provider", [None, HDFS_STATE])
+def test_repeat_queries_run_in_a_session_without_rocksdb(spark, tmp_dir, name, provider):
+    """A session with Spark's own state store: the queries bring theirs along and leave the setting as it was."""
+    from beatstream.plans.catalog import QUERIES
+    from beatstream.session import STATE_PROVIDER
+    day = dt.datetime(2024, 1, 1)
+    rows = [(i, day + dt.timedelta(minutes=10 * i), 1, "view", 1.0, '{"k": 3}') for i in range(1, 6)]
+    rows += [(6, day + dt.timedelta(days=9), 2, "view", 1.0, '{"k": 3}'), (7, None, 1, "view", 1.0, '{"k": 3}')]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
+        .coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    own = spark.conf.get(STATE_PROVIDER)
+    try:
+        spark.conf.set(STATE_PROVIDER, provider) if provider else spark.conf.unset(STATE_PROVIDER)
+        got = {tuple(r) for r in QUERIES[name](spark, tmp_dir).collect()}
+        assert spark.conf.get(STATE_PROVIDER, None) == provider
+    finally:
+        spark.conf.set(STATE_PROVIDER, own)
+    at = {i: day + dt.timedelta(seconds=i * 7919 % 2880) for i in range(1, 6)}  # as the dense query crowds them
+    run = sorted(at.values())
+    dense = next(c for a, c in zip(run, run[2:]) if c - a <= dt.timedelta(minutes=30))
+    micros = lambda t: int(t.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    assert got == {"stream_repeat_listens": {(1, 3, rows[2][1])}, "stream_repeat_listens_dense": {(1, 1, dense)},
+                   "stream_repeat_state": {("reported", 1, 3, micros(rows[4][1])), ("waiting", 2, 3, 1)}}[name]
