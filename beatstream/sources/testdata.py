@@ -182,6 +182,47 @@ def play_log_folder(spark: SparkSession, sf_dir: str) -> str:
 LOG_HOSTS = 8  # collectors that write a log file each
 
 
+def _by_host(events: DataFrame) -> DataFrame:
+    """The log's lines as (host, line), each host sorted by time in a partition of its own."""
+    host = F.pmod(F.col("user_id"), F.lit(LOG_HOSTS)).cast("int")
+    line = play_lines_from_events(events.select("*", host.alias("host")), "host", "ts", "event_id")
+    # so many partitions that Spark's hash puts no two hosts into one
+    return (line.repartition(5 * LOG_HOSTS, "host").sortWithinPartitions("host", "ts", "event_id")
+            .select("host", F.concat("value", F.lit("\n")).alias("line")))
+
+
+def _write_logs(batches, folder: str, cut: int):
+    """Write each host's lines, which come one host after another, to its file; one row when done."""
+    import numpy as np
+    import pyarrow as pa
+    from pyarrow import fs as pafs
+    fs, base = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(base)
+    here, out, kept = None, None, b""
+
+    def close():
+        if out is not None:
+            out.close()
+            fs.move(f"{base}/.host-{here}.part", f"{base}/host-{here}.log")
+
+    for b in batches:
+        hosts, lines = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
+        begins = [0, *(np.flatnonzero(hosts[1:] != hosts[:-1]) + 1).tolist(), len(lines)]
+        for i, j in zip(begins, begins[1:], strict=False):
+            if i == j:
+                continue
+            if hosts[i] != here:
+                close()
+                here, kept = hosts[i], b""
+                out = fs.open_output_stream(f"{base}/.host-{here}.part")
+            kept += "".join(lines[i:j]).encode()  # a batch's lines at once: only the last bytes are held back
+            ready = max(len(kept) - cut, 0)
+            out.write(kept[:ready])
+            kept = kept[ready:]
+    close()
+    yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32())], ["done"])
+
+
 def grow_play_log(events: DataFrame, folder: str, cut: int = 0) -> None:
     """Bring the log files of ``folder`` (one per host, ascending by time) to what ``events`` holds.
 
@@ -192,34 +233,5 @@ def grow_play_log(events: DataFrame, folder: str, cut: int = 0) -> None:
     from pyspark import cloudpickle
     import sys
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    host = F.pmod(F.col("user_id"), F.lit(LOG_HOSTS)).cast("int")
-    line = play_lines_from_events(events.select("*", host.alias("host")), "host", "ts", "event_id")
-    rows = line.repartition(LOG_HOSTS, "host").sortWithinPartitions("host", "ts", "event_id").select("host", "value")
-
-    def write(batches):
-        import pyarrow as pa
-        from pyarrow import fs as pafs
-        fs, base = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(base)
-        here, out, kept = None, None, b""
-
-        def close():
-            if out is not None:
-                if len(kept) > cut:
-                    out.write(kept[:len(kept) - cut])
-                out.close()
-                fs.move(f"{base}/.host-{here}.part", f"{base}/host-{here}.log")
-
-        for b in batches:
-            for h, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if h != here:
-                    close()
-                    here, out, kept = h, fs.open_output_stream(f"{base}/.host-{h}.part"), b""
-                kept += value.encode() + b"\n"
-                if len(kept) > 1 << 20:
-                    out.write(kept[:len(kept) - cut])
-                    kept = kept[len(kept) - cut:]
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32())], ["done"])
-
-    rows.mapInArrow(write, "done int").write.format("noop").mode("overwrite").save()
+    rows = _by_host(events).mapInArrow(lambda batches: _write_logs(batches, folder, cut), "done int")
+    rows.write.format("noop").mode("overwrite").save()

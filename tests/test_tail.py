@@ -155,3 +155,38 @@ def test_one_file_and_the_names_it_is_rotated_to(tmp_dir):
     put(tmp_dir, "other.csv", "c\n")
     assert sorted(LogFolder(os.path.join(tmp_dir, "plays.csv")).snapshot()) == ["plays.csv", "plays.csv.1"]
     assert LogFolder(os.path.join(tmp_dir, "nowhere")).snapshot() == {}
+
+
+def test_play_log_is_written_by_the_batch_and_a_host_a_task(spark, tmp_dir):
+    import time
+
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from beatstream.sources.testdata import LOG_HOSTS, _by_host, _write_logs, grow_play_log, play_lines_from_events
+    # the bytes of many lines aren't copied again for each line
+    lines = [f"{i},1,{i % 97},\"2024-01-01 00:00:00\",1,\"10000\"\n" for i in range(300_000)]
+    batches = [pa.record_batch([pa.array([0] * 10_000, pa.int32()), pa.array(lines[i:i + 10_000])], ["host", "line"])
+               for i in range(0, len(lines), 10_000)]
+    began = time.process_time()
+    list(_write_logs(batches, tmp_dir + "/long", 7))
+    assert time.process_time() - began < 4
+    with open(tmp_dir + "/long/host-0.log") as f:
+        assert f.read() == "".join(lines)[:-7]
+    # each host has a task of its own; cut files hold the beginning of the whole ones
+    events = spark.range(3000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 7919 % 3000).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") * 31 % 101).alias("user_id"), F.element_at(F.array(F.lit("view"), F.lit("error")), (F.col("id") % 2 + 1).cast("int"))
+        .alias("event_type"), (F.col("id") % 100).cast("double").alias("value"), F.lit('{"k": 5}').alias("props"))
+    tasks = _by_host(events).select("host", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len({r.host for r in tasks}) == len({r.task for r in tasks}) == len(tasks) == LOG_HOSTS
+    want = {h: [] for h in range(LOG_HOSTS)}
+    for r in play_lines_from_events(events, "ts", "event_id", "user_id").orderBy("ts", "event_id").collect():
+        want[r.user_id % LOG_HOSTS].append(r.value + "\n")
+    for cut in (9, 0, 10**6):
+        folder = f"{tmp_dir}/grown-{cut}"
+        grow_play_log(events, folder, cut)
+        for h, rows in want.items():
+            with open(f"{folder}/host-{h}.log") as f:
+                whole = "".join(rows)
+                assert f.read() == whole[:max(len(whole) - cut, 0)]
