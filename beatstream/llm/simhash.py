@@ -5,7 +5,9 @@ Two fingerprints that differ in at most ``max_bits`` bits are linked.  A fingerp
 cut into ``max_bits // 2 + 1`` segments, so that of two linked ones at least one segment
 differs by at most one bit.  Every segment is indexed as it is and once with each bit
 masked (one wildcard); equal variants are joined and the whole distance is verified in
-the join.  Exact repeats are folded first, so copies never meet in pairs.
+the join.  Exact repeats are folded first, so copies never meet in pairs.  Joins of
+fingerprints are sort-merge joins at every size: Spark takes a written table for as large
+as its compressed file, and an explode of one for no larger, and would broadcast it.
 
 Segment values shared by more than ``crowded`` fingerprints would still give a square of
 pairs.  Fingerprints holding or adjoining such a value are linked another exact way: two
@@ -102,7 +104,7 @@ def links(fps: DataFrame, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
     # equal segments
     far = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     left, right = values.toDF("a", "seg", "value"), values.toDF("b", "seg2", "value2")
-    equal = left.join(right, (F.col("seg") == F.col("seg2")) & (F.col("value") == F.col("value2"))
+    equal = left.join(right.hint("merge"), (F.col("seg") == F.col("seg2")) & (F.col("value") == F.col("value2"))
                       & (F.col("a") < F.col("b")) & far).select("a", "b")
     # segments that differ in the masked bit: one side has it clear, the other set
     masks = F.element_at(F.array(*[F.array(*[F.lit(1 << i) for i in range(w)]) for _, w in segs]), F.col("seg") + 1)
@@ -113,7 +115,7 @@ def links(fps: DataFrame, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
                              (F.col("value").bitwiseAND(F.col("bit")) != 0).alias("on"))
     off = variant.where(~F.col("on")).select(F.col("fp").alias("a"), F.col("key").alias("ka"))
     on = variant.where("on").select(F.col("fp").alias("b"), F.col("key").alias("kb"))
-    one = off.join(on, (F.col("ka") == F.col("kb")) & far).select("a", "b")
+    one = off.join(on.hint("merge"), (F.col("ka") == F.col("kb")) & far).select("a", "b")
 
     return equal.union(one).union(_star_links(crowd, max_bits // 2)).toDF("src", "dst")
 
@@ -141,13 +143,13 @@ def _components(docs: DataFrame, shingle_words: int, max_bits: int, crowded: int
 def near_duplicates(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest reachable doc_id."""
     rows, fps, comp = _components(docs, shingle_words, max_bits, crowded)
-    linked = fps.join(comp, "fp")
+    linked = fps.join(comp.hint("merge"), "fp")
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    moved = linked.join(smallest, "root").select(F.col("fp").alias("fp2"), F.col("component_id").alias("moved"))
+    moved = linked.join(smallest.hint("merge"), "root").select(F.col("fp").alias("fp2"), F.col("component_id").alias("moved"))
     # a table of its own, so that the join below shuffles both sides and can split a frequent fingerprint
-    ids = written(fps.join(moved, F.col("fp") == F.col("fp2"), "left").select(
+    ids = written(fps.join(moved.hint("merge"), F.col("fp") == F.col("fp2"), "left").select(
         F.col("fp").alias("fp3"), F.coalesce("moved", "first_id").alias("component_id")), "simhash-components")
-    return rows.join(ids, F.col("fp") == F.col("fp3")).select("doc_id", "fp", "component_id")
+    return rows.join(ids.hint("merge"), F.col("fp") == F.col("fp3")).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowded: int = 2048) -> DataFrame:
@@ -169,7 +171,7 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowd
     lost = F.min(F.when(F.col("doc_id").isNull(), F.struct("t1", "t2", "fp", "copies"))).alias("lost")
     fps = written(rows.groupBy("fp").agg(named, lost), "simhash-distinct")
     comp = connected_components(links(fps.select("fp"), max_bits, crowded)).toDF("fp2", "root")
-    firsts = (fps.join(comp, F.col("fp") == F.col("fp2"), "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    firsts = (fps.join(comp.hint("merge"), F.col("fp") == F.col("fp2"), "left").groupBy(F.coalesce("root", "fp").alias("root"))
               .agg(F.min("named").alias("named"), F.min("lost").alias("lost")))
     decided = [F.col(f"{which}.{c}").alias(f"kept_{c}") for which in ("named", "lost") for c in ("t1", "t2", "copies")]
     firsts = written(
@@ -185,7 +187,7 @@ def keep_first(docs: DataFrame, shingle_words: int = 4, max_bits: int = 4, crowd
 
     # one strategy at every size: the narrow side is hashed, the texts aren't sorted
     out = meets(firsts.where("kept_copies = 1").hint("shuffle_hash")).select("_row.*")
-    again = firsts.where("kept_copies > 1")
+    again = firsts.where("kept_copies > 1").hint("merge")
     if again.head(1):  # rows that repeat id and text
         out = out.unionByName(meets(again).groupBy("kept_id", "kept_t1", "kept_t2")
                               .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*"))

@@ -91,6 +91,17 @@ def test_links_at_every_distance(spark, crowded):
     assert groups(lambda f: comp.get(f, f"own{f}")) == groups(lambda f: label[f])
 
 
+def test_fingerprints_are_not_broadcast_by_the_size_of_their_file(spark):
+    # the file of a written table says little of its rows, and nothing of those of an explode
+    fps = simhash.written(spark.range(300).selectExpr("xxhash64(id) AS fp"), "simhash-test")
+    some = docs(spark, [(i, f"w{i} x{i} y{i} z{i} {'same' if i % 2 else i}") for i in range(40)] * 2)
+    for df in (simhash.links(fps), simhash.near_duplicates(some), simhash.keep_first(some)):
+        joins = re.findall(r"\w*Join\w* .*", df._jdf.queryExecution().sparkPlan().toString())
+        # those against the few crowded segment values (semi, anti) may be broadcast
+        wide = [j for j in joins if not re.search(r"LeftSemi|LeftAnti", j)]
+        assert wide and not [j for j in wide if j.startswith("Broadcast")], joins
+
+
 def test_segments_allow_one_bit():
     assert simhash.segments(4) == [(0, 21), (21, 21), (42, 22)]
     with pytest.raises(ValueError):
