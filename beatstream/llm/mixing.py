@@ -16,7 +16,9 @@ The order within a source is by (hash bucket of the key, key), where the key is
 a hash of the text where the id is null.  Rows that repeat a key within a source share one
 place.  A null source is a source of its own; empty and null texts have size one.  Extra
 columns are ignored by ``schedule`` and kept by ``mixed``.  An empty table gives an empty
-result.  A document longer than a block spans several block numbers.
+result.  A document longer than a block spans several block numbers.  The schedule has a
+row per document and meets them in a sort-merge join at every size: a small one would be
+broadcast, and its hashed relation takes three times the size of its rows on the driver.
 """
 
 from __future__ import annotations
@@ -137,7 +139,7 @@ def positions(docs: DataFrame, weights: dict[str, int] | None = None, block_char
     plan = schedule(docs, weights, block_chars, power)
     rows = docs.select("doc_id", "source", _key().alias("key")).alias("d")
     p = plan.select(F.col("source").alias("s"), F.col("key").alias("k"), "block", "slot", "place")
-    return (rows.join(p, (F.col("key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s")))
+    return (rows.join(p.hint("merge"), (F.col("key") == F.col("k")) & F.col("source").eqNullSafe(F.col("s")))
             .select("doc_id", "source", "block", "slot", "place"))
 
 
@@ -149,7 +151,7 @@ def mixed(docs: DataFrame, weights: dict[str, int] | None = None, block_chars: i
                     F.col("place").alias("_place"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("source").alias("_source"), _key().alias("_key"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.join(p, (F.col("_key") == F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")))
+    return (rows.join(p.hint("merge"), (F.col("_key") == F.col("_k")) & F.col("_source").eqNullSafe(F.col("_s")))
             .select("_row", "_slot", "_source", "_place")
             .repartitionByRange(parts, "_slot", "_source", "_place")
             .sortWithinPartitions("_slot", "_source", "_place")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -89,6 +90,15 @@ def test_mixed_keeps_rows_columns_and_order(spark):
     assert [place[i] for i in got] == sorted(place[i] for i in got)
 
 
+@pytest.mark.parametrize("rows_of", [mixing.mixed, mixing.positions])
+def test_the_schedule_is_not_broadcast_to_the_documents(spark, rows_of):
+    # it has a row per document, and a hashed relation takes several times the size of its rows
+    out = rows_of(docs(spark, [(i, "word " * (i % 7), f"s{i % 3}") for i in range(200)]))
+    assert len(out.collect()) == 200
+    joins = re.findall(r"\w+Join\w*", out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+    assert joins[0] == "SortMergeJoin", joins  # the outermost: documents and their places
+
+
 def test_empty_and_too_many(spark, monkeypatch):
     assert mixing.positions(docs(spark, [])).count() == 0 and mixing.mixed(docs(spark, [])).count() == 0
     monkeypatch.setattr(mixing, "MAX_SOURCES", 2)
